@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, sharding
+from . import langid, minhash, packing, sharding
 from .common import read_table
 
 
@@ -15,12 +15,22 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", langid.held_out())
+    dictionaries = langid.learn(docs.filter(~docs["held_out"]).select("doc_id", "text", "lang"))
+    return langid.identify(docs.select("doc_id", "held_out", "text"), dictionaries).drop("text")
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(read_table(spark, sf_dir, "documents"))
 
 
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read_table(spark, sf_dir, "documents"), width=4)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_best_fit_packing, op7_sharding)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op3_language_id, op7_sharding, op9_minhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
