@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import langid, minhash, packing, sharding, substrings
+from . import contamination, langid, lines, minhash, packing, sharding, substrings
 from .common import read_table
 
 
@@ -21,6 +22,15 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs.select("doc_id", "held_out", "text"), dictionaries).drop("text")
 
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination.contained_items(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_removed", F.md5("text").alias("kept_md5"), F.length("text").alias("kept_chars"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(read_table(spark, sf_dir, "documents"))
 
@@ -35,7 +45,7 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_best_fit_packing, op3_language_id, op7_sharding, op8_suffix_array_dedup, op9_minhash_near_dedup)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op3_language_id, op4_benchmark_decontamination, op6_line_dedup, op7_sharding, op8_suffix_array_dedup, op9_minhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
