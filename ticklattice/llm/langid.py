@@ -84,8 +84,8 @@ class Classifier:
 _ready: dict[int, Classifier] = {}
 
 
-def identify(docs: DataFrame, dictionaries: dict[str, bytes], narrow: float = 0.0) -> DataFrame:
-    """Adds lang_pred, score, margin and rejected (no letters, or a margin of at most `narrow`) to (doc_id, text, ...)."""
+def classifier(dictionaries: dict[str, bytes]):
+    """A pandas UDF of a text: struct of lang_pred, score and margin."""
     token = hash(tuple(sorted(dictionaries.items())))
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -100,10 +100,18 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], narrow: float = 0.
                 rows.append(model.predict(t) if known else (UNDETERMINED, 0.0, 0.0))
             yield pd.DataFrame(rows, columns=["lang_pred", "score", "margin"])
 
-    classify = F.pandas_udf(run, "lang_pred string, score double, margin double")
-    out = docs.withColumn("_found", classify(F.col("text").cast("string")))
-    out = out.withColumns({c: F.col(f"_found.{c}") for c in ("lang_pred", "score", "margin")}).drop("_found")
-    return out.withColumn("rejected", (F.col("lang_pred") == UNDETERMINED) | (F.col("margin") <= narrow))
+    return F.pandas_udf(run, "lang_pred string, score double, margin double")
+
+
+def is_rejected(found: Column, narrow: float) -> Column:
+    """Whether a verdict has no language, or a margin of at most `narrow`."""
+    return (found["lang_pred"] == UNDETERMINED) | (found["margin"] <= narrow)
+
+
+def identify(docs: DataFrame, dictionaries: dict[str, bytes], narrow: float = 0.0005) -> DataFrame:
+    """(row, lang_pred, score, margin, rejected): row is a struct of the columns of docs, so that none can clash."""
+    found = docs.select(F.struct("*").alias("row"), classifier(dictionaries)(F.col("text").cast("string")).alias("found"))
+    return found.select("row", "found.*", is_rejected(F.col("found"), narrow).alias("rejected"))
 
 
 def held_out() -> Column:

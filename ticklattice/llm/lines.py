@@ -12,7 +12,7 @@ one change apart, and a deletion that equals a whole line is one character apart
 then verified on the lines themselves.
 
 Defined results: null text stays null; empty texts and short lines stay; a null doc_id sorts first; rows with one doc_id
-count as one document; extra columns are kept.
+count as one document; columns of any name are kept in `row`.
 """
 
 from __future__ import annotations
@@ -166,21 +166,20 @@ def doomed_lines(docs: DataFrame, min_chars: int = 16) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = 16) -> DataFrame:
-    """docs with their text rewritten, plus n_lines and n_removed."""
-    keyed = docs.withColumn("_doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)))
-    doomed = doomed_lines(keyed.select(F.col("_doc").alias("doc"), F.col("text").cast("string").alias("text")), min_chars)
-    cuts = doomed.groupBy(F.col("doc").alias("_doc")).agg(F.collect_set("line_no").alias("_cuts"))
-    joined = keyed.join(cuts, "_doc", "left").drop("_doc")
+    """(row, text, n_lines, n_removed): row is a struct of the columns of docs, text what is left of its text."""
+    doc, text = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), F.col("text").cast("string")
+    doomed = doomed_lines(docs.select(doc.alias("doc"), text.alias("text")), min_chars)
+    cuts = doomed.groupBy("doc").agg(F.collect_set("line_no").alias("cuts"))
 
     def rest(texts: pd.Series, cuts: pd.Series) -> pd.Series:
         out = []
-        for text, cut in zip(texts, cuts, strict=True):
-            if text is not None and cut is not None:
+        for t, cut in zip(texts, cuts, strict=True):
+            if t is not None and cut is not None:
                 gone = set(cut)
-                text = "\n".join(x for i, x in enumerate(text.split("\n")) if i not in gone)
-            out.append(text)
+                t = "\n".join(x for i, x in enumerate(t.split("\n")) if i not in gone)
+            out.append(t)
         return pd.Series(out, dtype=object)
 
+    joined = docs.select(doc.alias("doc"), text.alias("text"), F.struct("*").alias("row")).join(cuts, "doc", "left")
     n_lines = F.coalesce(F.length("text") - F.length(F.replace("text", F.lit("\n"))) + 1, F.lit(0))
-    counted = joined.withColumns({"n_lines": n_lines, "n_removed": F.coalesce(F.size("_cuts"), F.lit(0))})
-    return counted.withColumn("text", F.pandas_udf(rest, "string")(F.col("text").cast("string"), "_cuts")).drop("_cuts")
+    return joined.select("row", F.pandas_udf(rest, "string")("text", "cuts").alias("text"), n_lines.alias("n_lines"), F.coalesce(F.size("cuts"), F.lit(0)).alias("n_removed"))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contamination, langid, lines, minhash, packing, sharding, substrings
+from . import ann, chat, contamination, langid, licenses, lines, minhash, packing, sharding, substrings
 from .common import read_table
 
 
@@ -16,19 +16,28 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(read_table(spark, sf_dir, "conversations"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", langid.held_out())
     dictionaries = langid.learn(docs.filter(~docs["held_out"]).select("doc_id", "text", "lang"))
-    return langid.identify(docs.select("doc_id", "held_out", "text"), dictionaries).drop("text")
+    found = langid.identify(docs.select("doc_id", "held_out", "text"), dictionaries)
+    return found.select("row.doc_id", "row.held_out", "lang_pred", "score", "margin", "rejected")
 
 
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.contained_items(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(read_table(spark, sf_dir, "embeddings"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = lines.dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return found.select("doc_id", "n_lines", "n_removed", F.md5("text").alias("kept_md5"), F.length("text").alias("kept_chars"))
+    return found.select("row.doc_id", "n_lines", "n_removed", F.md5("text").alias("kept_md5"), F.length("text").alias("kept_chars"))
 
 
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,8 +53,27 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents"), width=4)
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "line_no", "license", "saved", "changed", F.array_join("missing", " ").alias("missing"), F.array_join("added", " ").alias("added"))
+
+
+_QUERIES = (
+    op1_best_fit_packing,
+    op2_chat_formatting,
+    op3_language_id,
+    op4_benchmark_decontamination,
+    op5_nearest_neighbours,
+    op6_line_dedup,
+    op7_sharding,
+    op8_suffix_array_dedup,
+    op9_minhash_near_dedup,
+    op10_license_scan,
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_best_fit_packing, op3_language_id, op4_benchmark_decontamination, op6_line_dedup, op7_sharding, op8_suffix_array_dedup, op9_minhash_near_dedup)}
+    return {f.__name__: f for f in _QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
