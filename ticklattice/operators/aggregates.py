@@ -10,17 +10,22 @@ from ..schemas import DAY, MINUTE
 from .joins import quiet_symbols
 
 
+def exact_sum(x: Column) -> Column:
+    """A sum that doesn't depend on the order of rows: over decimals of eight places."""
+    return F.sum(x.cast("decimal(28,8)")).cast("double")
+
+
 def trade_buckets(trades: DataFrame, step: int = MINUTE) -> DataFrame:
     """Count and volume-weighted price; NULL price where the volume is 0."""
     return trades.groupBy("symbol", bucket(F.col("timestamp_ms"), step).alias("timestamp_ms")).agg(
-        F.count("*").alias("trade_count"), (F.sum(F.col("price") * F.col("quantity")) / F.nullif(F.sum("quantity"), F.lit(0.0))).alias("trade_vwap")
+        F.count("*").alias("trade_count"), (exact_sum(F.col("price") * F.col("quantity")) / F.nullif(exact_sum(F.col("quantity")), F.lit(0.0))).alias("trade_vwap")
     )
 
 
 def liq_buckets(liquidations: DataFrame, step: int = MINUTE) -> DataFrame:
     """Count and value; a value that doesn't parse counts as 0."""
     return liquidations.groupBy("symbol", bucket(F.col("timestamp_ms"), step).alias("timestamp_ms")).agg(
-        F.count("*").alias("liq_count"), F.sum(F.coalesce(num(F.col("value")), F.lit(0.0))).alias("liq_value")
+        F.count("*").alias("liq_count"), exact_sum(F.coalesce(num(F.col("value")), F.lit(0.0))).alias("liq_value")
     )
 
 

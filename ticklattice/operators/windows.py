@@ -35,14 +35,14 @@ def ladder(book: DataFrame, n: int = 20) -> DataFrame:
     if not 1 <= n <= 200:
         raise ValueError("1 to 200 levels")
     best = Window.partitionBy("symbol", "side").orderBy(signed_price())
-    placed = book.withColumn("level", F.row_number().over(best)).filter(F.col("level") <= n)
+    placed = book.withColumn("level", F.row_number().over(best).cast("bigint")).filter(F.col("level") <= n)
     return placed.withColumn("cumulative", F.sum("qty").over(Window.partitionBy("symbol", "side").orderBy("level").rowsBetween(Window.unboundedPreceding, 0)))
 
 
 def tail(df: DataFrame, n: int, order: tuple[str, ...] = ("timestamp_ms", "seq")) -> DataFrame:
     """The last n rows of each symbol, with their place from the newest."""
     place = Window.partitionBy("symbol").orderBy(*[F.desc(c) for c in order])
-    return df.withColumn("place", F.row_number().over(place)).filter(F.col("place") <= n)
+    return df.withColumn("place", F.row_number().over(place).cast("bigint")).filter(F.col("place") <= n)
 
 
 def latest(df: DataFrame, by: list[str], cols: list[str], order: str = "seq") -> DataFrame:
