@@ -35,6 +35,11 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def if_small(table: DataFrame, rows: int = 500_000) -> DataFrame:
+    """A written table of narrow rows, marked for broadcast if it is counted to have at most `rows`; beyond, joins shuffle it."""
+    return F.broadcast(table) if table.count() <= rows else table
+
+
 def partitions_for(df: DataFrame, rows: int, rows_per_partition: int) -> int:
     """Partitions that hold about rows_per_partition each, never fewer than one."""
     return max(1, -(-rows // rows_per_partition))

@@ -1,12 +1,13 @@
 """Near-duplicate removal with HyperMinHash sketches.
 
-A document's set of word shingles is dealt to 128 buckets by seven bits of each shingle's hash; a bucket's register keeps
-the leading-zero count of the least remaining hash and the ten bits after the leading one. Runs of four registers are the
-bands. Documents with equal sets form one class, classes that share a band are candidates, the collision-corrected
+A document's set of word shingles is dealt to 160 buckets by each shingle's hash; a bucket's register keeps the leading-zero
+count of the least remaining hash and the ten bits after the leading one. Runs of five registers are the 32 bands, which
+miss a pair at the threshold of 0.8 once in 300,000 times. Documents with equal sets form one class, classes that share a band are candidates, the collision-corrected
 Jaccard estimate drops the hopeless ones, and the rest are confirmed on full sets.
 
-Candidates come in rounds: each bucket's smallest class against the others, then components, then only classes of
-different components in a bucket; pairs inside a component can't change it and are never made.
+Candidates come in rounds: twice each bucket's first class against those of other components, then all that is left between
+different components of a bucket, in blocks that give links only; pairs inside a component can't change it and are never
+made.
 
 Defined results: null, empty and blank texts have an empty set and are linked with nothing; rows with one doc_id count as
 one document; a null doc_id has component null, is kept and linked with nothing; extra columns are ignored.
@@ -22,11 +23,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, shingle_hashes, write_table
+from .common import U64, if_small, mix64, shingle_hashes, write_table
 from .components import components
 
-BUCKETS, BUCKET_BITS, MANTISSA, ROWS = 128, 7, 10, 4
+BUCKETS, MANTISSA, ROWS = 160, 10, 5
 SIGMAS = 6.0
+#: Where an empty bucket looks for a filled one, when bands are made: a fixed random order of the others for each bucket.
+_PROBES = np.argsort(mix64(np.arange(BUCKETS * BUCKETS, dtype=U64)).reshape(BUCKETS, BUCKETS), axis=1)
 
 
 def registers(hashes: np.ndarray) -> np.ndarray:
@@ -34,24 +37,31 @@ def registers(hashes: np.ndarray) -> np.ndarray:
     out = np.zeros(BUCKETS, "<u2")
     if not len(hashes):
         return out
-    bucket = (hashes >> U64(64 - BUCKET_BITS)).astype(np.int64)
+    with np.errstate(over="ignore"):
+        dealt = (hashes >> U64(32)) * U64(BUCKETS)
+    bucket = (dealt >> U64(32)).astype(np.int64)
     first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])  # sorted: the first of a bucket is its least
-    rest = (hashes[first] << U64(BUCKET_BITS)) | U64(1 << (BUCKET_BITS - 1))
-    zeros = 63 - np.floor(np.log2(rest.astype(np.float64))).astype(np.int64)
-    zeros = np.maximum(zeros, 0)
+    rest = (dealt[first] << U64(32)) | (hashes[first] & U64(0xFFFFFFFF)) | U64(1)
+    zeros = np.maximum(63 - np.floor(np.log2(rest.astype(np.float64))).astype(np.int64), 0)
     zeros += ((rest << zeros.astype(U64)) >> U64(63) == 0).astype(np.int64)  # where rounding to float gave one too few
+    zeros = np.minimum(zeros, 60)
     mantissa = ((rest << zeros.astype(U64)) << U64(1)) >> U64(64 - MANTISSA)
     out[bucket[first]] = ((zeros + 1) << MANTISSA) | mantissa.astype(np.int64)
     return out
 
 
 def band_keys(regs: np.ndarray) -> list[int]:
-    """A 64-bit key of each band with a filled register."""
-    found = []
-    for i, band in enumerate(regs.reshape(-1, ROWS)):
-        if band.any():
-            found.append(xxhash.xxh3_64_intdigest(band.tobytes(), seed=i) - 2**63)
-    return found
+    """A 64-bit key of each band. Empty buckets borrow a filled one's register, so that a band of a small set agrees as seldom
+    as one of a large set."""
+    filled = regs != 0
+    if not filled.any():
+        return []
+    if not filled.all():
+        empty = np.flatnonzero(~filled)
+        regs = regs.copy()
+        order = _PROBES[empty]
+        regs[empty] = regs[order[np.arange(len(empty)), filled[order].argmax(1)]]
+    return [xxhash.xxh3_64_intdigest(band.tobytes(), seed=i) - 2**63 for i, band in enumerate(regs.reshape(-1, ROWS))]
 
 
 def estimate(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
@@ -104,16 +114,19 @@ def _hopeful(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
     return both.select("a", "b", "n_a", "n_b", "regs_a", "regs_b").mapInPandas(run, "a long, b long")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """Pairs with den * intersection >= num * union, on full sets. Only documents that occur in a pair are shuffled on."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+def _sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """(doc_id, items): the sorted shingle hashes of the named documents."""
 
     def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield pd.DataFrame({"doc_id": batch["doc_id"], "items": [np.unique(shingle_hashes(t, width)).tobytes() for t in batch["text"]]})
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sets = write_table(texts.join(wanted, "doc_id", "left_semi").mapInPandas(gather, "doc_id long, items binary"), "sets")
+    return write_table(texts.join(if_small(ids), "doc_id", "left_semi").mapInPandas(gather, "doc_id long, items binary"), "sets")
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs with den * intersection >= num * union, on full sets."""
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -124,11 +137,60 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, num: int, den: int
                 keep.append(den * both >= num * (len(x) + len(y) - both))
             yield batch.loc[np.asarray(keep, bool), ["a", "b"]]
 
-    side = lambda k, v: sets.select(F.col("doc_id").alias(k), F.col("items").alias(v))
+    wanted = write_table(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "wanted")
+    few = sets.join(if_small(wanted), "doc_id", "left_semi")
+    side = lambda k, v: few.select(F.col("doc_id").alias(k), F.col("items").alias(v))
     return pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "x", "y").mapInPandas(check, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, star_rounds: int = 3) -> DataFrame:
+def _block_links(labelled: DataFrame, heads: DataFrame, sets: DataFrame, num: int, den: int, block: int) -> DataFrame:
+    """Links (a, b) between different components within groups of buckets that have one head.
+
+    In each group the members outside its largest component meet all members, dealt in blocks, and are compared on full sets in
+    the task: what comes out are links alone. Rows go up with the members, and comparisons with members times outsiders.
+    """
+    inside = labelled.join(heads.select("band", "head"), "band").select("head", "rep", "comp").distinct()
+    counts = inside.groupBy("head", "comp").agg(F.count("*").alias("n"))
+    group = counts.groupBy("head").agg(F.max(F.struct("n", "comp"))["comp"].alias("main"), F.sum("n").alias("size"))
+    wide = F.greatest(F.lit(block // 16), F.least(F.lit(block), F.ceil(F.col("size") / 8)))
+    placed = inside.join(group, "head").withColumn("blocks", F.ceil(F.col("size") / wide).cast("int"))
+    members = placed.select("head", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("part"), F.lit(0).alias("kind"), "rep", "comp")
+    others = placed.filter("comp <> main").select("head", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("part"), F.lit(1).alias("kind"), "rep", "comp")
+    rows = members.unionByName(others).join(sets.withColumnRenamed("doc_id", "rep"), "rep")
+    rows = rows.repartition("head", "part").sortWithinPartitions("head", "part", "kind", "rep")
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, held, index = None, [], None
+        for batch in batches:
+            found = []
+            for head, part, kind, rep, comp, items in zip(*(batch[c] for c in ("head", "part", "kind", "rep", "comp", "items")), strict=True):
+                if (head, part) != at:
+                    at, held, index = (head, part), [], None
+                items = np.frombuffer(items, U64)
+                if kind == 0:
+                    held.append((rep, comp, items))
+                    continue
+                if not held:
+                    continue
+                if index is None:  # shingle -> members, as sorted postings
+                    reps, comps, sets_ = zip(*held, strict=True)
+                    sizes = np.asarray([len(x) for x in sets_])
+                    flat, who = np.concatenate(sets_), np.repeat(np.arange(len(sets_)), sizes)
+                    order = np.argsort(flat, kind="stable")
+                    index = (np.asarray(reps), np.asarray(comps), sizes, flat[order], who[order])
+                reps, comps, sizes, flat, who = index
+                low, high = np.searchsorted(flat, items), np.searchsorted(flat, items, "right")
+                n = high - low
+                places = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                both = np.bincount(who[places], minlength=len(reps))
+                hit = (comps != comp) & (den * both >= num * (len(items) + sizes - both))
+                found += [(max(rep, r), min(rep, r)) for r in reps[hit].tolist()]
+            yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return rows.select("head", "part", "kind", "rep", "comp", "items").mapInPandas(compare, "a long, b long").distinct()
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, star_rounds: int = 2, block: int = 4096) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id, kept. Links: Jaccard index of at least num / den."""
     least = num / den
     sketched = write_table(sketches(docs, width), "sketches")
@@ -139,40 +201,24 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
     bands = _bands(classes)
     buckets = bands.groupBy("band").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).filter("least < most")
     shared = write_table(bands.join(buckets.select("band"), "band"), "bands")
-    links, tried, comps = None, None, None
-    number = 0
-    while True:
+    sets = _sets(docs, write_table(shared.select(F.col("rep").alias("doc_id")).distinct(), "wanted"), width)
+
+    links, comps = None, None
+    for number in range(star_rounds + 1):
         if comps is None:
             labelled = shared.withColumn("comp", F.col("rep"))
         else:
-            labelled = shared.join(comps.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("component", "rep")).drop("component")
-        split = labelled.groupBy("band").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.min(F.struct("comp", "rep"))["rep"].alias("head")).filter("c0 < c1")
+            labelled = shared.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("band", "rep", F.coalesce("component", "rep").alias("comp"))
+        heads = labelled.groupBy("band").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.min(F.struct("comp", "rep"))["rep"].alias("head")).filter("c0 < c1")
         if number < star_rounds:  # a bucket's first class against those of other components
-            heads = split if number == 0 else split.select("band", "c0", "c1", "head")
             pairs = labelled.join(heads, "band").filter("comp <> c0").select(F.least("head", "rep").alias("a"), F.greatest("head", "rep").alias("b"))
-        else:  # what is left: all classes of different components
-            rest = labelled.join(split.select("band"), "band")
-            other = rest.select("band", F.col("rep").alias("rep2"), F.col("comp").alias("comp2"))
-            pairs = rest.join(other, "band").filter("comp < comp2").select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b"))
-        pairs = pairs.distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = write_table(pairs, "pairs")
-        fresh = pairs.count()
-        if fresh:
-            hopeful = write_table(_hopeful(pairs, classes, least), "hopeful")
-            found = write_table(_confirmed(hopeful, docs, width, num, den), "links")
-            links = found if links is None else links.unionByName(found)
-            tried = pairs if tried is None else tried.unionByName(pairs)
-            comps = write_table(components(links), "components")
-        if number >= star_rounds:
-            break
-        number = number + 1 if fresh else star_rounds
-    members = classes.select("set_hash", "rep")
-    if comps is not None:
-        members = members.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("set_hash", F.coalesce("component", "rep").alias("component"))
-    else:
-        members = members.select("set_hash", F.col("rep").alias("component"))
+            hopeful = write_table(_hopeful(write_table(pairs.distinct(), "pairs"), classes, least), "hopeful")
+            found = write_table(_confirmed(hopeful, sets, num, den), "links")
+        else:
+            found = write_table(_block_links(labelled, heads, sets, num, den, block), "links")
+        links = found if links is None else links.unionByName(found)
+        comps = write_table(components(links), "components")
+    members = classes.select("set_hash", "rep").join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("set_hash", F.coalesce("component", "rep").alias("component"))
     usable = F.when(F.col("doc_id").isNotNull(), F.col("set_hash"))
     out = sketched.drop("regs").withColumn("set_hash", usable).join(members, "set_hash", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"), F.coalesce(F.coalesce("component", "doc_id") == F.col("doc_id"), F.lit(True)).alias("kept"))
