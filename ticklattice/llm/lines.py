@@ -5,8 +5,8 @@ A line goes if an equal line, or one within one edit (a character put in, left o
 judged on the input, not on what is left.
 
 Emitting a variant per character of every line would swamp the shuffle, so it is done in two steps. Different lines within one
-edit agree outside one quarter: first each line is keyed by what is left without each quarter, for its own length and
-for the length of a line one shorter. Only inside quarters whose key two different lines share are the one-character
+edit agree outside one half: first each line is keyed by what is left without each half, for its own length and
+for the length of a line one shorter. Only inside halves whose key two different lines share are the one-character
 deletions emitted as hashed variants. Equal variants are joined by aggregates: deletions at the same place are
 one change apart, and a deletion that equals a whole line is one character apart. The earliest partner's edit distance is
 then verified on the lines themselves.
@@ -24,9 +24,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, U64, mix64, write_table
+from .common import NULL_ID, U64, if_small, mix64, write_table
 
-QUARTERS = 4
+PARTS = 2
+#: Lines to take out up to which their list is broadcast; beyond, texts are shuffled to it.
+SMALL = 1_000_000
 BASE = 0xC2B2AE3D27D4EB4F
 
 
@@ -65,9 +67,9 @@ class LineHashes:
             return head + tail
 
 
-def quarter_bounds(frame: np.ndarray, extra: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Stretches of a line's quarters; `extra` is 1 where the line is one longer than its frame."""
-    return [(q * frame // QUARTERS, (q + 1) * frame // QUARTERS + extra) for q in range(QUARTERS)]
+def part_bounds(frame: np.ndarray, extra: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Stretches of a line's parts; `extra` is 1 where the line is one longer than its frame."""
+    return [(q * frame // PARTS, (q + 1) * frame // PARTS + extra) for q in range(PARTS)]
 
 
 def _tagged(x: np.ndarray, *tags) -> np.ndarray:
@@ -77,19 +79,19 @@ def _tagged(x: np.ndarray, *tags) -> np.ndarray:
     return x.view(np.int64)
 
 
-def _quarter_keys(lines: list[str]) -> np.ndarray:
-    """Per line, a row of 2 * QUARTERS keys: frames of its own length and of one less, by quarter."""
+def _part_keys(lines: list[str]) -> np.ndarray:
+    """Per line, a row of 2 * PARTS keys: frames of its own length and of one less, by part."""
     h, every = LineHashes(lines), np.arange(len(lines))
     keys = []
     for extra in (0, 1):
         frame = h.n - extra
-        for q, (a, b) in enumerate(quarter_bounds(frame, np.full(len(lines), extra))):
+        for q, (a, b) in enumerate(part_bounds(frame, np.full(len(lines), extra))):
             keys.append(_tagged(h.without(every, a, b), frame, q))
-    return np.stack(keys, 1) if lines else np.empty((0, 2 * QUARTERS), np.int64)
+    return np.stack(keys, 1) if lines else np.empty((0, 2 * PARTS), np.int64)
 
 
 def _occurrences(docs: DataFrame, min_chars: int) -> DataFrame:
-    """doc, line_no, h1, h2 and quarter keys of each line that counts."""
+    """doc, line_no, h1, h2 and part keys of each line that counts."""
     lines = docs.select("doc", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).filter(F.length("line") >= min_chars)
     lines = lines.withColumns({"h1": F.xxhash64("line"), "h2": F.xxhash64(F.lit(1), "line")})
 
@@ -97,7 +99,7 @@ def _occurrences(docs: DataFrame, min_chars: int) -> DataFrame:
         for batch in batches:
             for at in range(0, len(batch), 4000):
                 part = batch.iloc[at : at + 4000]
-                yield part[["doc", "line_no", "h1", "h2"]].assign(keys=list(_quarter_keys(part["line"].tolist())))
+                yield part[["doc", "line_no", "h1", "h2"]].assign(keys=list(_part_keys(part["line"].tolist())))
 
     return lines.mapInPandas(run, "doc long, line_no int, h1 long, h2 long, keys array<long>")
 
@@ -115,9 +117,9 @@ def _variants(candidates: DataFrame) -> DataFrame:
                 slots = [sorted({int(x) for x in s}) for s in part["slots"]]
                 line = np.repeat(np.arange(len(part)), [len(s) for s in slots])
                 slot = np.asarray([x for s in slots for x in s], np.int64)
-                extra = slot // QUARTERS
-                frame, q = h.n[line] - extra, slot % QUARTERS
-                a, b = q * frame // QUARTERS, (q + 1) * frame // QUARTERS + extra
+                extra = slot // PARTS
+                frame, q = h.n[line] - extra, slot % PARTS
+                a, b = q * frame // PARTS, (q + 1) * frame // PARTS + extra
                 width = b - a
                 row = np.repeat(np.arange(len(line)), width)
                 place = np.arange(len(row)) - np.repeat(np.cumsum(width) - width, width) + a[row]
@@ -143,12 +145,16 @@ def doomed_lines(docs: DataFrame, min_chars: int = 16) -> DataFrame:
     """(doc, line_no) of lines that go. docs: (doc, text) with doc not null."""
     seen = write_table(_occurrences(docs, min_chars), "lines")
     lines = write_table(seen.groupBy("h1", "h2").agg(F.min(F.struct("doc", "line_no")).alias("at"), F.first("keys").alias("keys")).select("h1", "h2", "at.doc", "at.line_no", "keys"), "distinct-lines")
-    keyed = lines.select("h1", F.posexplode("keys").alias("slot", "key")).repartition("key")
-    shared = keyed.groupBy("key").agg(F.min("h1").alias("x"), F.max("h1").alias("y")).filter("x <> y").select("key")
-    slots = keyed.join(shared, "key").groupBy("h1").agg(F.collect_set("slot").alias("slots"))
-    wanted = write_table(lines.drop("keys").join(slots, "h1"), "line-candidates")
-    texts = docs.join(wanted.groupBy("doc").agg(F.collect_list(F.struct("line_no", "h1", "h2", "slots")).alias("w")), "doc")
-    texts = texts.select("doc", F.split("text", "\n").alias("all"), F.explode("w").alias("w")).select("doc", "w.*", F.expr("all[w.line_no]").alias("line"))
+    slot_bits = F.lit(2 * PARTS - 1).cast("bigint")
+    # the slot takes the place of the lowest bits of h1, which only names candidates here
+    named = F.col("h1").bitwiseAND(F.bitwise_not(slot_bits))
+    keyed = lines.select(named.alias("name"), F.posexplode("keys").alias("slot", "key")).select("key", F.col("name").bitwiseOR(F.col("slot").cast("bigint")).alias("spot")).repartition("key")
+    shared = keyed.groupBy("key").agg(F.min("spot").alias("x"), F.max("spot").alias("y")).filter(F.col("x").bitwiseAND(F.bitwise_not(slot_bits)) != F.col("y").bitwiseAND(F.bitwise_not(slot_bits))).select("key")
+    slots = keyed.join(shared, "key").select(F.col("spot").bitwiseAND(F.bitwise_not(slot_bits)).alias("name"), F.col("spot").bitwiseAND(slot_bits).cast("int").alias("slot"))
+    slots = write_table(slots.groupBy("name").agg(F.collect_set("slot").alias("slots")), "line-names")
+    wanted = write_table(lines.drop("keys").withColumn("name", named).join(if_small(slots), "name").drop("name"), "line-candidates")
+    texts = docs.join(if_small(wanted), "doc")
+    texts = texts.select("doc", "line_no", "h1", "h2", "slots", F.get(F.split("text", "\n"), F.col("line_no")).alias("line"))
     texts = write_table(texts.filter((F.xxhash64("line") == F.col("h1")) & (F.xxhash64(F.lit(1), "line") == F.col("h2"))), "line-texts")
     spot = F.struct("doc", "line_no", "h1", "h2")
     variants = _variants(texts).withColumn("spot", spot)
@@ -168,8 +174,9 @@ def doomed_lines(docs: DataFrame, min_chars: int = 16) -> DataFrame:
 def dedup_lines(docs: DataFrame, min_chars: int = 16) -> DataFrame:
     """(row, text, n_lines, n_removed): row is a struct of the columns of docs, text what is left of its text."""
     doc, text = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), F.col("text").cast("string")
-    doomed = doomed_lines(docs.select(doc.alias("doc"), text.alias("text")), min_chars)
+    doomed = write_table(doomed_lines(docs.select(doc.alias("doc"), text.alias("text")), min_chars), "doomed-lines")
     cuts = doomed.groupBy("doc").agg(F.collect_set("line_no").alias("cuts"))
+    cuts = F.broadcast(cuts) if doomed.count() <= SMALL else cuts
 
     def rest(texts: pd.Series, cuts: pd.Series) -> pd.Series:
         out = []
