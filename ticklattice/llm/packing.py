@@ -1,7 +1,7 @@
 """Best-fit packing by hierarchical residual packing.
 
 Texts become token pieces; each partition packs its pieces by best fit; bins that are nearly full are final and the rest
-go on as items of the next round, over fewer partitions, until one partition is left or a round saves nothing.
+go on as items of the next round, over fewer partitions, until one partition is left.
 
 Defined results: null and empty texts are one piece that holds only the end id; repeated rows are packed each; a null
 doc_id is kept; an empty table gives an empty result; extra columns are ignored.
@@ -117,7 +117,7 @@ def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray
 
 
 def _round(items: DataFrame, number: int, capacity: int, chunk: int) -> DataFrame:
-    """Adds bin, offset and fill to items; each task packs its rows in chunks of bounded size."""
+    """Adds bin, offset and fill to rows of (item, length, ...); each task packs its rows in chunks of bounded size."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         base, held, count = (number << 56) + (TaskContext.get().partitionId() << 32), [], 0
@@ -125,11 +125,13 @@ def _round(items: DataFrame, number: int, capacity: int, chunk: int) -> DataFram
         def packed() -> pd.DataFrame:
             nonlocal base
             part = pd.concat(held, ignore_index=True)
-            part = part.sort_values([c for c in ("length", "doc_id", "piece", "item") if c in part], kind="stable", ignore_index=True)
+            part = part.sort_values([c for c in ("length", "item", "doc_id", "piece") if c in part], kind="stable", ignore_index=True)
             bins, offsets, fills = best_fit(part["length"].to_numpy(np.int64), capacity)
             part = part.assign(bin=bins + base, offset=offsets, fill=np.asarray(fills, np.int64)[bins])
-            base += len(fills)
-            return part
+            if "item" not in part:
+                part["item"] = np.arange(len(part)) + base + (1 << 55)
+            base += len(part)
+            return part[names]
 
         for batch in batches:
             held.append(batch)
@@ -140,35 +142,52 @@ def _round(items: DataFrame, number: int, capacity: int, chunk: int) -> DataFram
         if held:
             yield packed()
 
-    return items.mapInPandas(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in items.schema) + ", bin long, offset long, fill long")
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in items.schema)
+    schema += ("" if "item" in items.columns else ", item long") + ", bin long, offset long, fill long"
+    names = [x.split()[0] for x in schema.split(", ")]
+    return items.mapInPandas(run, schema)
 
 
 def pack(pieces: DataFrame, capacity: int = 2048, slack: int = 12, items_per_task: int = 50_000, fan_in: int = 8) -> DataFrame:
-    """Adds sequence_id and offset to pieces. Bins with at most `slack` free places are final."""
+    """Adds sequence_id and offset to pieces.
+
+    A bin with at most `slack` free places is final. Of the others, one at least half full is an item of the next round, and
+    the pieces of an emptier one are items again by themselves.
+    """
     pieces = write_table(pieces, "pieces")
     tasks = partitions_for(pieces, pieces.count(), items_per_task)
     first = write_table(_round(pieces.repartition(tasks, "doc_id", "piece"), 1, capacity, 4 * items_per_task), "bins-1")
-    open_bins = first.filter(F.col("fill") < capacity - slack).select(F.col("bin").alias("item"), F.col("fill").alias("length")).distinct()
-    moves, left, number = None, open_bins.count(), 1
-    while left > 1 and (tasks > 1 or number == 1) and number < 60:
-        number += 1
-        tasks = max(1, min(-(-tasks // fan_in), partitions_for(open_bins, left, items_per_task)))
-        merged = write_table(_round(open_bins.repartition(tasks, "item"), number, capacity, 4 * items_per_task), f"bins-{number}")
-        step = merged.select("item", F.col("bin").alias("to"), F.col("offset").alias("by"))
+    full, half = F.col("fill") >= capacity - slack, F.col("fill") * 2 >= capacity
+    bins = first.filter(half & ~full).select(F.col("bin").alias("item"), F.col("fill").alias("length")).distinct()
+    loose = first.filter(~half).select("item", "length", "bin", "offset")
+    placed, moves, left, number = None, None, None, 1
+    while number < 60:
+        items = bins.withColumn("loose", F.lit(False)).unionByName(loose.select("item", "length", F.lit(True).alias("loose")))
+        now = items.count()
+        if now < 2 or now == left and tasks == 1:
+            break
+        left, number = now, number + 1
+        tasks = max(1, min(-(-tasks // fan_in), partitions_for(items, now, items_per_task)))
+        merged = write_table(_round(items.repartition(tasks, "item"), number, capacity, 4 * items_per_task), f"bins-{number}")
+        settled = merged.filter(F.col("loose") & half).select("item", "bin", "offset")
+        placed = settled if placed is None else placed.unionByName(settled)
+        loose = merged.filter(~half).select("item", "length", "bin", "offset")
+        step = merged.filter(~F.col("loose")).select("item", F.col("bin").alias("to"), F.col("offset").alias("by"))
         if moves is None:
             moves = step
         else:
             later = step.select(F.col("item").alias("to"), F.col("to").alias("to2"), F.col("by").alias("by2"))
-            moves = write_table(moves.join(later, "to", "left").select("item", F.coalesce("to2", "to").alias("to"), (F.col("by") + F.coalesce("by2", F.lit(0))).alias("by")), f"moves-{number}")
-        open_bins = merged.filter(F.col("fill") < capacity - slack).select(F.col("bin").alias("item"), F.col("fill").alias("length")).distinct()
-        now = open_bins.count()
-        if tasks == 1 or now == left:
+            old = moves.join(later, "to", "left").select("item", F.coalesce("to2", "to").alias("to"), (F.col("by") + F.coalesce("by2", F.lit(0))).alias("by"))
+            moves = write_table(old.unionByName(step), f"moves-{number}")
+        bins = merged.filter(half & ~full).select(F.col("bin").alias("item"), F.col("fill").alias("length")).distinct()
+        if tasks == 1:
             break
-        left = now
     out = ["doc_id", "piece", "start", "length", "ids_crc32"]
     if moves is None:
         return first.select(*out, F.col("bin").alias("sequence_id"), "offset")
-    joined = first.join(moves.withColumnRenamed("item", "bin"), "bin", "left")
+    again = loose.select("item", F.col("bin").alias("bin2"), F.col("offset").alias("offset2")).unionByName(placed.toDF("item", "bin2", "offset2"))
+    rows = first.join(again, "item", "left").select(*out, F.coalesce("bin2", "bin").alias("bin"), F.coalesce("offset2", "offset").alias("offset"))
+    joined = rows.join(moves.withColumnRenamed("item", "bin"), "bin", "left")
     return joined.select(*out, F.coalesce("to", "bin").alias("sequence_id"), (F.col("offset") + F.coalesce("by", F.lit(0))).alias("offset"))
 
 
