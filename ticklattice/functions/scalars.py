@@ -62,7 +62,8 @@ def notional(price: Column, quantity: Column) -> Column:
 def shares(ratio: Column) -> tuple[Column, Column]:
     """Long and short share of a long/short ratio; a missing ratio counts as 1."""
     r = F.coalesce(ratio, F.lit(1.0))
-    return r / (1 + r), 1 / (1 + r)
+    whole = F.nullif(1 + r, F.lit(0.0))
+    return r / whole, 1 / whole
 
 
 def base_asset(c: Column) -> Column:

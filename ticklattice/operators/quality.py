@@ -54,9 +54,9 @@ def row_checks() -> list[CheckSpec]:
         CheckSpec("open_interest", "oi_value", ~close_to(n("oi_value"), n("open_interest") * n("mark_price"), 1.0, 1e-3), n("open_interest") >= 0),
         CheckSpec("funding_rates", "rate", ~(F.abs(n("funding_rate")) <= 0.03)),
         CheckSpec("long_short_ratio", "shares", F.abs(n("long_ratio") + n("short_ratio") - 1) > 0.02, n("long_ratio").isNotNull() & n("short_ratio").isNotNull()),
-        CheckSpec("long_short_ratio", "ratio", ~close_to(n("long_ratio") / n("short_ratio"), n("long_short_ratio"), 1e-3, 1e-2), n("long_ratio").isNotNull() & (n("short_ratio") > 0)),
+        CheckSpec("long_short_ratio", "ratio", ~close_to(n("long_ratio") / F.nullif(n("short_ratio"), F.lit(0.0)), n("long_short_ratio"), 1e-3, 1e-2), n("long_ratio").isNotNull() & (n("short_ratio") > 0)),
         CheckSpec("taker_buy_sell_ratio", "volumes", ~taker_ok),
-        CheckSpec("taker_buy_sell_ratio", "ratio", ~close_to(n("buy_volume") / n("sell_volume"), n("buy_sell_ratio"), 1e-3, 1e-2), taker_ok & (n("sell_volume") > 0)),
+        CheckSpec("taker_buy_sell_ratio", "ratio", ~close_to(n("buy_volume") / F.nullif(n("sell_volume"), F.lit(0.0)), n("buy_sell_ratio"), 1e-3, 1e-2), taker_ok & (n("sell_volume") > 0)),
     ]
 
 
