@@ -40,12 +40,16 @@ def read_snaps(spark: SparkSession, root: str, symbols: list[str] | None = None,
 
 
 def read_lines(spark: SparkSession, root: str, datatype: str) -> DataFrame:
-    """Raw lines (file_name, value) of a datatype's files, for checks on the text itself; a file without lines has one NULL row."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True).load(f"{root}/{datatype}").select("path", "length")
-    lines = spark.read.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True).text(f"{root}/{datatype}").select(F.col("_metadata.file_path").alias("p"), "value")
+    """Raw lines (file_name, value) of a datatype's files, for checks on the text itself; a file without lines has one NULL row.
+
+    Spark reads nothing of empty files, so these are told by its own listing of the tree.
+    """
     name = lambda c: F.regexp_replace(c, r"^file:/+", "/")
-    empty = files.filter("length = 0").select(name(F.col("path")).alias("file_name"), F.lit(None).cast("string").alias("value"))
-    return lines.select(name(F.col("p")).alias("file_name"), "value").unionByName(empty)
+    text = spark.read.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True).text(f"{root}/{datatype}")
+    lines = text.select(name(F.col("_metadata.file_path")).alias("file_name"), "value")
+    listed = spark.createDataFrame([(f,) for f in text.inputFiles()], "path string").select(name(F.col("path")).alias("file_name"))
+    empty = listed.join(lines.select("file_name").distinct(), "file_name", "left_anti")
+    return lines.unionByName(empty.withColumn("value", F.lit(None).cast("string")))
 
 
 #: Fields of the heartbeat, gap, request and resource files that the reports use.

@@ -14,6 +14,12 @@ AGG_TRADE = "E BIGINT, s STRING, a BIGINT, p STRING, q STRING, f BIGINT, l BIGIN
 KLINE = "E BIGINT, s STRING, k STRUCT<t: BIGINT, T: BIGINT, s: STRING, i: STRING, o: STRING, h: STRING, l: STRING, c: STRING, v: STRING, q: STRING, n: BIGINT, x: BOOLEAN, V: STRING, Q: STRING>"
 FORCE_ORDER = "E BIGINT, o STRUCT<s: STRING, S: STRING, p: STRING, q: STRING, T: BIGINT>"
 PREMIUM = "symbol STRING, markPrice STRING, lastFundingRate STRING, nextFundingTime BIGINT, time BIGINT"
+#: Names for fields that differ in case only, by place.
+DISTINCT = {
+    "depthUpdate": "E: BIGINT, T: BIGINT, s: STRING, first_u: BIGINT, last_u: BIGINT, prev_u: BIGINT, b: ARRAY<ARRAY<STRING>>, a: ARRAY<ARRAY<STRING>>",
+    "kline": "E: BIGINT, s: STRING, k: STRUCT<open_ms: BIGINT, close_ms: BIGINT, s: STRING, i: STRING, o: STRING, h: STRING, l: STRING, c: STRING, v: STRING, q: STRING, n: BIGINT, x: BOOLEAN, taker_base: STRING, taker_quote: STRING>",
+    "forceOrder": "E: BIGINT, o: STRUCT<symbol: STRING, side: STRING, p: STRING, q: STRING, T: BIGINT>",
+}
 EVENT_TYPES = {"depthUpdate": DEPTH, "aggTrade": AGG_TRADE, "kline": KLINE, "forceOrder": FORCE_ORDER}
 EXCHANGE, MARKET = "binance", "futures"
 
@@ -30,7 +36,10 @@ def parse_messages(raw: DataFrame) -> DataFrame:
 
 def typed(messages: DataFrame, event_type: str) -> DataFrame:
     rows = messages.filter(F.col("event_type") == event_type)
-    return rows.select(F.from_json("payload", EVENT_TYPES[event_type]).alias("m"), "received_at").select("m.*", "received_at")
+    message = F.from_json("payload", EVENT_TYPES[event_type])
+    if event_type in DISTINCT:
+        message = message.cast(f"STRUCT<{DISTINCT[event_type]}>")
+    return rows.select(message.alias("m"), "received_at").select("m.*", "received_at")
 
 
 def route(messages: DataFrame) -> dict[str, DataFrame]:
@@ -53,7 +62,7 @@ def number(c: str) -> Column:
 
 def to_diffs(df: DataFrame) -> DataFrame:
     c = F.col
-    return _row(df, "depth_updates", c("E"), c("s"), first_update_id=c("U"), last_update_id=c("u"), prev_update_id=c("pu"), bids_json=levels_json(c("b")), asks_json=levels_json(c("a")))
+    return _row(df, "depth_updates", c("E"), c("s"), first_update_id=c("first_u"), last_update_id=c("last_u"), prev_update_id=c("prev_u"), bids_json=levels_json(c("b")), asks_json=levels_json(c("a")))
 
 
 def to_trades(df: DataFrame) -> DataFrame:
@@ -65,13 +74,13 @@ def to_klines(df: DataFrame) -> DataFrame:
     """Rows of closed bars."""
     c, n = F.col, lambda x: number(f"k.{x}")
     closed = df.filter("k.x")
-    return _row(closed, "klines", c("k.t"), c("s"), open=n("o"), high=n("h"), low=n("l"), close=n("c"), volume=n("v"), quote_volume=n("q"), trade_count=c("k.n"), taker_buy_base=n("V"), taker_buy_quote=n("Q"))
+    return _row(closed, "klines", c("k.open_ms"), c("s"), open=n("o"), high=n("h"), low=n("l"), close=n("c"), volume=n("v"), quote_volume=n("q"), trade_count=c("k.n"), taker_buy_base=n("taker_base"), taker_buy_quote=n("taker_quote"))
 
 
 def to_liquidations(df: DataFrame, universe: DataFrame | None = None) -> DataFrame:
     """Rows of symbols in the universe (symbol), with value = price * quantity."""
     c, n = F.col, lambda x: number(f"o.{x}")
-    rows = _row(df, "liquidations", c("o.T"), c("o.s"), side=F.lower("o.S"), price=n("p"), quantity=n("q"), value=notional(n("p"), n("q")))
+    rows = _row(df, "liquidations", c("o.T"), c("o.symbol"), side=F.lower("o.side"), price=n("p"), quantity=n("q"), value=notional(n("p"), n("q")))
     return rows if universe is None else in_universe(rows, universe)
 
 
