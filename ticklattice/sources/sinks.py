@@ -25,10 +25,10 @@ def write_lane(df: DataFrame, root: str, lane: str, mode: str = "append") -> Non
     rows.sortWithinPartitions("date", *order).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(f"{root}/{lane}")
 
 
-def write_diffs(df: DataFrame, root: str, mode: str = "append") -> None:
+def write_diffs(df: DataFrame, root: str, mode: str = "append", lane: str = "depth_updates") -> None:
     """Diffs by date and hour, in update-id order within each file."""
     rows = _with_parts(df, "date", "hour").repartition("date", "hour", "symbol").sortWithinPartitions("date", "hour", "symbol", "last_update_id")
-    rows.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("date", "hour").parquet(f"{root}/depth_updates")
+    rows.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("date", "hour").parquet(f"{root}/{lane}")
 
 
 def write_snaps(df: DataFrame, root: str, mode: str = "append") -> None:

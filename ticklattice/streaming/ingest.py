@@ -34,9 +34,9 @@ def start_ingest(source: DataFrame, lake: str, checkpoint: str, universe: DataFr
                 if unpersisted is not None and lane in ("trades", "depth_updates"):
                     rows = drop_unpersisted(rows, unpersisted)
                 if lane == "depth_updates":
-                    write_diffs(rows, f"{lake}/batch={number}", "overwrite")
+                    write_diffs(rows, lake, "overwrite", f"{lane}/batch={number}")
                 else:
-                    write_lane(rows, f"{lake}/batch={number}", lane, "overwrite")
+                    write_lane(rows, lake, f"{lane}/batch={number}", "overwrite")
         finally:
             seen.unpersist()
 
@@ -46,7 +46,7 @@ def start_ingest(source: DataFrame, lake: str, checkpoint: str, universe: DataFr
 
 def read_lake(spark: SparkSession, lake: str, lane: str) -> DataFrame:
     """A lane of all batches; repeats of a trade across batches are dropped."""
-    rows = spark.read.option("basePath", lake).parquet(f"{lake}/batch=*/{lane}")
+    rows = spark.read.parquet(f"{lake}/{lane}")
     return rows.dropDuplicates(["symbol", "trade_id"]) if lane == "trades" else rows
 
 
