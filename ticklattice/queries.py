@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import functions as fn
 from .adapters import duck, view
 from .operators import aggregates as agg
 from .operators import book, filters, joins, quality, windows
+from .plans import merged_matrix
 from .schemas import DAY, HOUR, RATIO_TYPES
+from .sources import messages
+from .sources.lanes import is_live
+from .sources.sinks import export_bundle
 
 #: Instants inside the tables' month, and the time at which "now" is asked.
 T = 1_705_320_000_000
@@ -675,3 +679,93 @@ states AS (SELECT e.symbol, e.u, max(CASE WHEN l.side = 'bid' THEN l.price END)
 def o05_rebuild(spark, d):
     nothing = view(spark, d, "v_snaps").filter("false")
     return book.rebuild_day(nothing, events_of(spark, d), 6 * HOUR)
+
+
+# ---- wire messages, files and composites --------------------------------------------------------------------------------
+
+
+def raw_messages(spark: SparkSession, d: str, event_type: str, data: Column) -> DataFrame:
+    """Events as text envelopes of one type, parsed again."""
+    value = F.to_json(F.struct(F.lit("tape").alias("stream"), data.alias("data")))
+    return messages.typed(messages.parse_messages(view(spark, d, "ev").select(value.alias("value"))), event_type)
+
+
+@query("SELECT symbol, timestamp_ms, strftime(make_timestamp(timestamp_ms * 1000), '%Y-%m-%dT%H:%M:%S.%gZ') AS datetime_utc, event_id AS trade_id, CASE WHEN k % 2 = 0 THEN 'sell' ELSE 'buy' END AS side, value AS price, CAST(k + 1 AS DOUBLE) AS quantity, CASE WHEN k % 2 = 0 THEN 1 ELSE 0 END AS is_buyer_maker FROM ev")
+def a07_to_trades(spark, d):
+    c = F.col
+    data = F.struct(F.lit("aggTrade").alias("e"), c("timestamp_ms").alias("E"), F.upper("symbol").alias("s"), c("event_id").alias("a"), c("value").cast("string").alias("p"), (c("k") + 1).cast("string").alias("q"), c("event_id").alias("f"), c("event_id").alias("l"), c("timestamp_ms").alias("T"), (c("k") % 2 == 0).alias("m"))
+    return messages.to_trades(raw_messages(spark, d, "aggTrade", data)).select("symbol", "timestamp_ms", "datetime_utc", "trade_id", "side", "price", "quantity", "is_buyer_maker")
+
+
+@query("SELECT symbol, timestamp_ms, CASE WHEN k % 2 = 0 THEN 'sell' ELSE 'buy' END AS side, value AS price, value * (k + 1) AS value FROM ev WHERE symbol < 's'")
+def a09_to_liquidations(spark, d):
+    c = F.col
+    order = F.struct(F.upper("symbol").alias("s"), F.when(c("k") % 2 == 0, "SELL").otherwise("BUY").alias("S"), c("value").cast("string").alias("p"), (c("k") + 1).cast("string").alias("q"), c("timestamp_ms").alias("T"))
+    rows = raw_messages(spark, d, "forceOrder", F.struct(F.lit("forceOrder").alias("e"), c("timestamp_ms").alias("E"), order.alias("o")))
+    universe = view(spark, d, "ev").filter("symbol < 's'").select("symbol").distinct()
+    return messages.to_liquidations(rows, universe).select("symbol", "timestamp_ms", "side", "price", "value")
+
+
+@query("SELECT symbol, timestamp_ms, value AS mark_price, CAST(k AS DOUBLE) AS open_interest, k * value AS oi_value FROM ev WHERE event_id % 2 = 0")
+def a11_to_open_interest(spark, d):
+    ev = view(spark, d, "ev").withColumn("poll", F.col("event_id"))
+    oi = ev.select("symbol", F.col("k").cast("string").alias("openInterest"), F.col("timestamp_ms").alias("time"), "poll")
+    premium = ev.filter("event_id % 2 = 0").select("symbol", F.col("value").cast("string").alias("markPrice"), "poll")
+    return messages.to_open_interest(oi, premium).select("symbol", "timestamp_ms", "mark_price", "open_interest", "oi_value")
+
+
+@query("SELECT symbol, timestamp_ms, CASE event_id % 3 WHEN 0 THEN 'global' WHEN 1 THEN 'top_trader_account' ELSE 'top_trader_position' END AS ratio_type, value / 1e2 / (1 + value / 1e2) AS long_ratio, 1 / (1 + value / 1e2) AS short_ratio FROM ev")
+def a12_to_long_short(spark, d):
+    ev = view(spark, d, "ev")
+    none = F.lit(None).cast("string")
+    part = lambda n: ev.filter(F.col("event_id") % 3 == n).select("symbol", none.alias("longAccount"), none.alias("shortAccount"), (F.col("value") / 1e2).cast("string").alias("longShortRatio"), F.col("timestamp_ms").alias("timestamp"))
+    return messages.to_long_short(part(0), part(1), part(2)).select("symbol", "timestamp_ms", "ratio_type", "long_ratio", "short_ratio")
+
+
+@query("SELECT symbol, u, side, price, qty FROM v_diffs")
+def o01_level_events(spark, d):
+    rows = view(spark, d, "v_diffs")
+    level = F.concat(F.lit('[["'), F.col("price").cast("string"), F.lit('","'), F.col("qty").cast("string"), F.lit('"]]'))
+    text = lambda side: F.when(F.col("side") == side, level).otherwise("[]").alias(f"{side}s_json")
+    diffs = rows.select("symbol", "timestamp_ms", F.col("u").alias("last_update_id"), F.col("u").alias("seq"), text("bid"), text("ask"))
+    return book.level_events(diffs).select("symbol", "u", "side", "price", "qty")
+
+
+@query(f"WITH {ROWS} SELECT lane, count(DISTINCT {DAY_MS}) AS files, count(*) AS \"rows\" FROM rows_ GROUP BY lane")
+def e20_file_census(spark, d):
+    return agg.file_census(agg.lane_rows({k: v.withColumn("file_name", agg.day()) for k, v in lanes(spark, d).items()}, "file_name"))
+
+
+@query(f"SELECT event_id, {NOW / 1000} - timestamp_ms / 1e3 AS age_s, {NOW / 1000} - timestamp_ms / 1e3 < 86400 AS live FROM ev")
+def t07_is_live(spark, d):
+    beats = view(spark, d, "ev").select("event_id", (F.col("timestamp_ms") / 1e3).alias("timestamp"))
+    return is_live(beats, NOW / 1000, 86400).select("event_id", "age_s", "live")
+
+
+@query(f"SELECT 'trades' AS lane, symbol, timestamp_ms FROM v_trades WHERE timestamp_ms BETWEEN {FROM} AND {TO} UNION ALL SELECT 'liquidations', symbol, timestamp_ms FROM v_liquidations WHERE timestamp_ms BETWEEN {FROM} AND {TO}")
+def b06_bundle(spark, d):
+    found = {k: view(spark, d, LANE_VIEWS[k]) for k in ("trades", "liquidations")}
+    symbols = [r.symbol for r in view(spark, d, "ev").select("symbol").distinct().limit(50).collect()]
+    return agg.lane_rows(export_bundle(found, symbols, ["trades", "liquidations"], FROM, TO))
+
+
+@query(
+    f"WITH {GRID}, b AS (SELECT symbol, timestamp_ms - timestamp_ms % {HOUR} AS timestamp_ms, count(*) AS trade_count, {VWAP} AS trade_vwap FROM v_trades WHERE timestamp_ms BETWEEN {FROM - FROM % HOUR} AND {TO} GROUP BY 1, 2), r AS (SELECT symbol, timestamp_ms AS at_ms, arg_max(funding_rate, seq) AS funding_rate FROM v_funding GROUP BY 1, 2), "
+    f"m AS (SELECT grid.symbol, grid.timestamp_ms, CASE WHEN grid.timestamp_ms - at_ms <= {8 * HOUR} THEN funding_rate END AS funding_rate FROM grid ASOF LEFT JOIN r ON grid.symbol = r.symbol AND grid.timestamp_ms >= r.at_ms) "
+    "SELECT m.symbol, m.timestamp_ms, strftime(make_timestamp(m.timestamp_ms * 1000), '%Y-%m-%dT%H:%M:%S.%gZ') AS datetime_utc, open, high, low, close, volume, trade_count, trade_vwap, funding_rate FROM m LEFT JOIN v_bars USING (symbol, timestamp_ms) LEFT JOIN b USING (symbol, timestamp_ms)"
+)
+def m01_matrix(spark, d):
+    found = {"klines": view(spark, d, "v_bars").withColumn("seq", F.col("timestamp_ms")), "trades": view(spark, d, "v_trades"), "funding_rates": view(spark, d, "v_funding")}
+    symbols = [r.symbol for r in view(spark, d, "ev").select("symbol").distinct().limit(50).collect()]
+    return merged_matrix(spark, found, symbols, FROM, TO, HOUR, wide=False)
+
+
+@query(
+    f"WITH {LIVES}, {SEED}, {DAYS}, c AS (SELECT symbol, count(*) FILTER (WHERE pu <> b) AS breaks FROM (SELECT *, lag(u) OVER (PARTITION BY symbol ORDER BY u) AS b FROM v_diffs) GROUP BY symbol), "
+    "r AS (SELECT symbol, count(*) AS applied, count(*) FILTER (WHERE bid > ask) AS crossed FROM states GROUP BY symbol), s AS (SELECT symbol, coalesce(max(CASE WHEN side = 'bid' THEN price END) > min(CASE WHEN side = 'ask' THEN price END), false) AS seed_crossed FROM seed GROUP BY symbol), "
+    f"h AS (SELECT a.symbol, bool_or(coalesce(a.first_pu <> b.last_u, false)) AS broken FROM firsts a LEFT JOIN firsts b ON a.symbol = b.symbol AND a.day_ms = b.day_ms + {DAY} GROUP BY 1) "
+    "SELECT symbol, breaks, applied, crossed, breaks = 0 AND applied > 0 AND crossed = 0 AND NOT coalesce(seed_crossed, false) AND NOT coalesce(broken, false) AS ok FROM c JOIN r USING (symbol) LEFT JOIN s USING (symbol) LEFT JOIN h USING (symbol)"
+)
+def q20_book_verdict(spark, d):
+    diffs = diffs_of(spark, d)
+    return quality.book_verdict(book.continuity(diffs), o05_rebuild(spark, d), o04_seed_crossed(spark, d), book.midnight_handoff(diffs))
