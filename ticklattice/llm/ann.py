@@ -140,7 +140,7 @@ def _fit(classes: DataFrame, queries: DataFrame, hashing: Hashing, k: int, targe
     return order
 
 
-def nearest(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", query_step: int = 20, k: int = 20, tables: int = 6, bits: int = 4, width: float = 1.2, target: float = 0.95, block: int = 4096, sample: int = 64) -> DataFrame:
+def nearest(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", query_step: int = 20, k: int = 20, tables: int = 6, bits: int = 4, width: float = 1.2, target: float = 0.95, block: int = 4096, index_rows: int = 40_000, sample: int = 64) -> DataFrame:
     """(query_id, rank, vec_id, score): of each row whose id is divisible by query_step, its k nearest others found."""
     usable = _usable(rows, id_col, vector_col)
     classed = usable.withColumns({"h1": F.xxhash64("vec"), "h2": F.xxhash64(F.lit(1), "vec")})
@@ -175,7 +175,10 @@ def nearest(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddin
     spread = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     left = indexed.join(sizes, "cell").select("cell", spread.alias("part"), F.lit(0).alias("kind"), "id", "vec")
     right = queries.mapInPandas(visits, where).join(sizes, "cell").select("cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("part"), F.lit(1).alias("kind"), "id", "vec")
-    met = left.unionByName(right).repartition("cell", "part").sortWithinPartitions("cell", "part", "kind", "id")
+    # a query gets one short list from each task it visits, so cells are dealt to few tasks, of index_rows each
+    tasks = max(2, -(-size["n"] * tables // index_rows))
+    met = left.unionByName(right).withColumn("deal", F.pmod(F.xxhash64("cell", "part"), F.lit(tasks)))
+    met = met.repartition("deal").sortWithinPartitions("cell", "part", "kind", "id").drop("deal")
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []  # the best so far of the task's queries
