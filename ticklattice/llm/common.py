@@ -15,9 +15,17 @@ U64 = np.uint64
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bound_batches(spark: SparkSession, most: str = "4m") -> None:
+    """Bounds the Arrow batches that Python workers get, unless the session does so itself: rows of text may be very long."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, most)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or an own one where it is unset."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -56,7 +64,7 @@ def to_bytes(text: str | None) -> bytes:
 class WordHashes(dict):
     """word -> 64-bit hash; cleared at `cap` entries so that a worker's memory stays bounded."""
 
-    cap = 300_000
+    cap = 150_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.cap:

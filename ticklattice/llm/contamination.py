@@ -22,10 +22,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, mix64, shingle_hashes
+from .common import U64, bound_batches, mix64, shingle_hashes
 
 SMALLEST = 8
-FILTER_BITS = 20
 
 
 class ItemIndex:
@@ -44,14 +43,14 @@ class ItemIndex:
         self.classes = {}
         for c in sorted(set(level)):
             members = [i for i, x in enumerate(level) if x == c]
-            tables = []
+            tables, bits = [], 1 << min(18, max(12, (64 * len(members)).bit_length()))
             with np.errstate(over="ignore"):
                 for m in self.multipliers:
                     least = np.asarray([(self.sets[i] * m).min() for i in members], U64)
                     order = np.argsort(least, kind="stable")
-                    seen = np.zeros(1 << FILTER_BITS, bool)
-                    seen[_low_bits(least)] = True
-                    tables.append((least[order], np.asarray(members)[order], np.packbits(seen)))
+                    seen = np.zeros(bits, bool)
+                    seen[_low_bits(least, bits)] = True
+                    tables.append((least[order], np.asarray(members)[order], seen))
             self.classes[c] = tables
 
     def candidates(self, shingles: list[np.ndarray]) -> set[tuple[int, int]]:
@@ -72,7 +71,6 @@ class ItemIndex:
             nth = np.arange(len(doc)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
             shapes.append((np.flatnonzero(nth % 2 == 0), doc, np.r_[doc[1:] == doc[:-1], False]))
             blocks = -(-blocks // 2)
-        seen_bits = {c: [np.unpackbits(t[2]).astype(bool) for t in tables] for c, tables in self.classes.items()}
         with np.errstate(over="ignore"):
             for f, m in enumerate(self.multipliers):
                 least = np.minimum.reduceat(flat * m, starts)
@@ -83,23 +81,24 @@ class ItemIndex:
                         continue
                     _, doc, joined = shapes[c]
                     window = np.where(joined, np.minimum(least, np.r_[least[1:], least[-1:]]), least)
-                    hit = np.flatnonzero(seen_bits[c][f][_low_bits(window)])
+                    values, members, seen = self.classes[c][f]
+                    hit = np.flatnonzero(seen[_low_bits(window, len(seen))])
                     if not len(hit):
                         continue
-                    values, members, _ = self.classes[c][f]
                     a, b = np.searchsorted(values, window[hit]), np.searchsorted(values, window[hit], "right")
                     for h, x, y in zip(hit[b > a], a[b > a], b[b > a], strict=True):
                         found.update((int(filled[doc[h]]), int(i)) for i in members[x:y])
         return found
 
 
-def _low_bits(x: np.ndarray) -> np.ndarray:
-    """Bits of a MinHash value that tell small values apart."""
-    return ((x >> U64(16)) & U64((1 << FILTER_BITS) - 1)).astype(np.int64)
+def _low_bits(x: np.ndarray, size: int) -> np.ndarray:
+    """Place of a MinHash value in a filter of `size` (a power of two)."""
+    return ((x >> U64(16)) & U64(size - 1)).astype(np.int64)
 
 
 def contained_items(docs: DataFrame, items: DataFrame, width: int = 5, least: float = 0.8, functions: int = 48, items_per_block: int = 20_000, bytes_per_block: int = 32_000_000) -> DataFrame:
     """(doc_id, item_id, n_item, n_shared, containment) of all pairs with n_shared >= least * n_item."""
+    bound_batches(docs.sparkSession)
     items = items.select("item_id", "text")
     size = items.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b")).first()
     blocks = max(1, -(-size["n"] // items_per_block), -(-size["b"] // bytes_per_block))
@@ -111,8 +110,8 @@ def contained_items(docs: DataFrame, items: DataFrame, width: int = 5, least: fl
 
         def run(batches: Iterator[pd.DataFrame], index: ItemIndex = index) -> Iterator[pd.DataFrame]:
             for batch in batches:
-                for at in range(0, len(batch), 500):
-                    part = batch.iloc[at : at + 500]
+                for at in range(0, len(batch), 200):
+                    part = batch.iloc[at : at + 200]
                     shingles = [shingle_hashes(t, index.width) for t in part["text"]]
                     ids, found, sets = part["doc_id"].tolist(), [], {}
                     for d, i in sorted(index.candidates(shingles)):

@@ -20,6 +20,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import bound_batches
+
 UNDETERMINED = "und"
 LETTER = r"\p{L}"
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
@@ -110,6 +112,7 @@ def is_rejected(found: Column, narrow: float) -> Column:
 
 def identify(docs: DataFrame, dictionaries: dict[str, bytes], narrow: float = 0.0005) -> DataFrame:
     """(row, lang_pred, score, margin, rejected): row is a struct of the columns of docs, so that none can clash."""
+    bound_batches(docs.sparkSession)
     found = docs.select(F.struct("*").alias("row"), classifier(dictionaries)(F.col("text").cast("string")).alias("found"))
     return found.select("row", "found.*", is_rejected(F.col("found"), narrow).alias("rejected"))
 

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, U64, if_small, mix64, write_table
+from .common import NULL_ID, U64, bound_batches, if_small, mix64, write_table
 
 PARTS = 2
 #: Lines to take out up to which their list is broadcast; beyond, texts are shuffled to it.
@@ -173,6 +173,7 @@ def doomed_lines(docs: DataFrame, min_chars: int = 16) -> DataFrame:
 
 def dedup_lines(docs: DataFrame, min_chars: int = 16) -> DataFrame:
     """(row, text, n_lines, n_removed): row is a struct of the columns of docs, text what is left of its text."""
+    bound_batches(docs.sparkSession)
     doc, text = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), F.col("text").cast("string")
     doomed = write_table(doomed_lines(docs.select(doc.alias("doc"), text.alias("text")), min_chars), "doomed-lines")
     cuts = doomed.groupBy("doc").agg(F.collect_set("line_no").alias("cuts"))

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, if_small, mix64, shingle_hashes, write_table
+from .common import U64, bound_batches, if_small, mix64, shingle_hashes, write_table
 from .components import components
 
 BUCKETS, MANTISSA, ROWS = 160, 10, 5
@@ -192,6 +192,7 @@ def _block_links(labelled: DataFrame, heads: DataFrame, sets: DataFrame, num: in
 
 def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, star_rounds: int = 2, block: int = 4096) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id, kept. Links: Jaccard index of at least num / den."""
+    bound_batches(docs.sparkSession)
     least = num / den
     sketched = write_table(sketches(docs, width), "sketches")
     filled = sketched.filter(F.col("set_hash").isNotNull() & F.col("doc_id").isNotNull())

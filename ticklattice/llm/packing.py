@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions_for, write_table
+from .common import bound_batches, partitions_for, write_table
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 #: Fixed value: the split pattern of the byte-level vocabulary.
@@ -73,6 +73,7 @@ def cut(n: int, capacity: int) -> list[tuple[int, int]]:
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:
     """Each text's ids, then end_id; documents of more than `capacity` ids are cut."""
+    bound_batches(docs.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         if tokenizer_path not in _encoders:

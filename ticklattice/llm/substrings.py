@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, U64, mix64, to_bytes, write_table
+from .common import NULL_ID, U64, bound_batches, mix64, to_bytes, write_table
 
 LENGTH, ANCHOR = 100, 24
 SIDE = LENGTH - ANCHOR
@@ -303,6 +303,7 @@ def repeated_spans(docs: DataFrame, hot: int = 5000) -> DataFrame:
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and the removed spans and the kept bytes."""
+    bound_batches(docs.sparkSession)
     own = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc"), F.col("text").cast("string").alias("text"))
     spans = repeated_spans(own)
     by_doc = spans.groupBy("doc").agg(F.collect_set(F.struct("start", "stop")).alias("cuts"))
