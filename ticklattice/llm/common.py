@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,11 +22,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def bound_batches(spark: SparkSession, most: str = "4m") -> None:
+def bound_batches(spark: SparkSession, most: str = "4m", rows: int = 1000) -> None:
     """Bounds the Arrow batches that Python workers get, unless the session does so itself: rows of text may be very long."""
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if spark.conf.get(key, None) is None:
-        spark.conf.set(key, most)
+    for key, value in (("maxBytesPerBatch", most), ("maxRecordsPerBatch", str(rows))):
+        if spark.conf.get(f"spark.sql.execution.arrow.{key}", None) is None:
+            spark.conf.set(f"spark.sql.execution.arrow.{key}", value)
+
+
+def release() -> None:
+    """Gives memory that a worker has freed back to the system; workers live on from stage to stage."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library than glibc
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def shared_dir(spark: SparkSession) -> str:

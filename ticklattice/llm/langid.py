@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches
+from .common import bound_batches, release
 
 UNDETERMINED = "und"
 LETTER = r"\p{L}"
@@ -101,6 +101,7 @@ def classifier(dictionaries: dict[str, bytes]):
                 known = isinstance(t, str) and dictionaries and any(map(str.isalpha, t))
                 rows.append(model.predict(t) if known else (UNDETERMINED, 0.0, 0.0))
             yield pd.DataFrame(rows, columns=["lang_pred", "score", "margin"])
+        release()
 
     return F.pandas_udf(run, "lang_pred string, score double, margin double")
 

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, U64, bound_batches, if_small, mix64, write_table
+from .common import NULL_ID, U64, bound_batches, if_small, mix64, release, write_table
 
 PARTS = 2
 #: Lines to take out up to which their list is broadcast; beyond, texts are shuffled to it.
@@ -97,9 +97,10 @@ def _occurrences(docs: DataFrame, min_chars: int) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for at in range(0, len(batch), 4000):
-                part = batch.iloc[at : at + 4000]
+            for at in range(0, len(batch), 1000):
+                part = batch.iloc[at : at + 1000]
                 yield part[["doc", "line_no", "h1", "h2"]].assign(keys=list(_part_keys(part["line"].tolist())))
+        release()
 
     return lines.mapInPandas(run, "doc long, line_no int, h1 long, h2 long, keys array<long>")
 
@@ -109,8 +110,8 @@ def _variants(candidates: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for at in range(0, len(batch), 1000):
-                part = batch.iloc[at : at + 1000].reset_index(drop=True)
+            for at in range(0, len(batch), 200):
+                part = batch.iloc[at : at + 200].reset_index(drop=True)
                 if not len(part):
                     continue
                 h = LineHashes(part["line"].tolist())
@@ -137,6 +138,7 @@ def _variants(candidates: DataFrame) -> DataFrame:
                     for c in ("h1", "h2", "doc", "line_no"):
                         out[c] = part[c].to_numpy()[out["who"]]
                     yield out.drop(columns="who")
+        release()
 
     return candidates.select("line", "h1", "h2", "doc", "line_no", "slots").mapInPandas(run, "variant long, side int, h1 long, h2 long, doc long, line_no int")
 

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, bound_batches, if_small, mix64, shingle_hashes, write_table
+from .common import U64, bound_batches, if_small, mix64, release, shingle_hashes, write_table
 from .components import components
 
 BUCKETS, MANTISSA, ROWS = 160, 10, 5
@@ -85,6 +85,7 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
             out = pd.DataFrame(rows, columns=["n_shingles", "set_hash", "regs"])
             out.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy())
             yield out
+        release()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInPandas(run, "doc_id long, n_shingles long, set_hash string, regs binary")
 

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, partitions_for, write_table
+from .common import bound_batches, partitions_for, release, write_table
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 #: Fixed value: the split pattern of the byte-level vocabulary.
@@ -88,6 +88,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end
                     for k, (start, n) in enumerate(cut(len(ids) // 4, capacity)):
                         rows.append((doc, k, start, n, zlib.crc32(ids[4 * start : 4 * (start + n)])))
                 yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"]).astype({"doc_id": "Int64"})
+        release()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInPandas(run, PIECES)
 
