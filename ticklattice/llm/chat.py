@@ -80,11 +80,13 @@ def _preorder(nodes: DataFrame) -> DataFrame:
         F.struct(out.alias("e"), F.coalesce(F.col("sibling") * 2, F.col("reply_to") * 2 + 1).alias("to"), F.lit(0).cast("long").alias("rank"), F.lit(-1).cast("long").alias("deep")),
     )).alias("s")).select("conv_id", "s.*")
     tour = write_table(tour, "tour")
-    while not tour.filter("to is not null").isEmpty():
-        ahead = tour.select("conv_id", F.col("e").alias("to"), F.col("to").alias("to2"), F.col("rank").alias("rank2"), F.col("deep").alias("deep2"))
-        joined = tour.join(ahead, ["conv_id", "to"], "left")
-        zero = F.lit(0).cast("long")
-        tour = write_table(joined.select("conv_id", "e", F.col("to2").alias("to"), (F.col("rank") + F.coalesce("rank2", zero)).alias("rank"), (F.col("deep") + F.coalesce("deep2", zero)).alias("deep")), "tour")
+    done, active = tour.filter("to is null"), tour.filter("to is not null")
+    while not active.isEmpty():  # only what has not come to its end goes on
+        ahead = done.unionByName(active).select("conv_id", F.col("e").alias("to"), F.col("to").alias("to2"), F.col("rank").alias("rank2"), F.col("deep").alias("deep2"))
+        moved = active.join(ahead, ["conv_id", "to"]).select("conv_id", "e", F.col("to2").alias("to"), (F.col("rank") + F.col("rank2")).alias("rank"), (F.col("deep") + F.col("deep2")).alias("deep"))
+        moved = write_table(moved, "tour")
+        done, active = done.unionByName(moved.filter("to is null")), moved.filter("to is not null")
+    tour = done
     heads = tour.filter(F.pmod("e", F.lit(2)) == 0)
     size = heads.groupBy("conv_id").agg(F.max("rank").alias("size"))
     return heads.join(size, "conv_id").select("conv_id", (F.col("e") / 2).cast("long").alias("turn"), (F.col("size") - F.col("rank")).alias("position"), (-F.col("deep")).alias("depth"))
