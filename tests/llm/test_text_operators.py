@@ -291,3 +291,19 @@ def test_license_scan(spark):
     got = sorted((r.doc_id or 0, r.line_no, r.license) for r in licenses.scan(frame(spark, rows)).collect())
     assert got == [(0, 0, "Proprietary"), (1, 1, "MIT"), (2, 0, "CC-BY-NC-4.0"), (3, 0, "CC-BY-4.0"), (4, 0, "GPL-3.0"), (5, 0, "GPL-2.0"), (8, 0, "Proprietary"), (9, 0, "Apache-2.0")]
     assert licenses.scan(empty(spark)).count() == 0
+
+
+def test_license_notices_inside_lines(spark):
+    notices = {"MIT": "Released under the MIT License.", "Apache-2.0": "Licensed under the Apache License, Version 2.0.", "Proprietary": "Copyright (c) 2021 The Example Project Authors and other contributors. All rights reserved.", "GPL-3.0": "This work is licensed under the GNU General Public License, version 3."}
+    rng, rows, want = random.Random(8), [], set()
+    for n in (0, 100, 300, 1000, 3900, 4001):
+        for name, notice in notices.items():
+            before = prose(rng, 1000)[:n]
+            rows.append((len(rows), f"one\n{before} {notice} {prose(rng, 20)}", None, None, None))
+            want.add((len(rows) - 1, 1, name))
+    rows += [(900, " and ".join(notices.values()), None, None, None), (901, "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation notes of " + prose(rng, 30), None, None, None)]
+    want |= {(900, 0, name) for name in notices} | {(901, 0, "MIT")}
+    rows.append((902, "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", None, None, None))
+    want.add((902, 0, "CC-BY-NC-4.0"))
+    got = [(r.doc_id, r.line_no, r.license) for r in licenses.scan(frame(spark, rows)).collect()]
+    assert set(got) == want and len(got) == len(want)

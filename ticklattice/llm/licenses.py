@@ -1,25 +1,31 @@
 """Licence scans by conditional compression.
 
-Candidate blocks are the lines that mention a licence; each different one is judged once. It is compressed alone and with
-every template as a zstandard raw-content dictionary; templates are ranked by the share of bytes that knowing
-them saves. The winner is confirmed by its exact wording: the template's words that the block lacks, and the words that
-the block puts among them, may be at most `max_changed` of the template's.
+Candidate blocks are the lines that mention a licence. A block is judged in overlapping windows of words, sized to the
+templates: each window is compressed alone and with every template as a zstandard raw-content dictionary, and templates are
+ranked by the bytes that knowing them saves; no template is dropped for its rank. A passage is confirmed by its exact
+wording: the template's words that it lacks, and the words that it puts among them, may be at most `max_changed` of the
+template's. Where passages overlap, the one with the fewest changes wins, then the one that saves most bytes.
 
-Defined results: null and empty texts, and blocks that no template wins, give no row; ties go to the alphabetically first
-licence; repeated rows are each scanned; a null doc_id is kept; extra columns are ignored.
+Only templates of which a window has enough words to be confirmed are compressed with; that loses none.
+
+Defined results: null and empty texts, and blocks that no template wins, give no row; a line gives one row for each licence
+that it holds; ties go to the alphabetically first licence; repeated rows are each scanned; a null doc_id is kept; extra
+columns are ignored.
 """
 
 from __future__ import annotations
 
-import difflib
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import bound_batches
+
 #: Usual wordings of licence notices.
 TEMPLATES = {
     "Apache-2.0": ["Licensed under the Apache License, Version 2.0."],
@@ -36,73 +42,117 @@ TEMPLATES = {
     "Proprietary": ["All rights reserved.", "Unauthorized copying of this file, via any medium is strictly prohibited."],
 }
 CUE = r"(?i)licen[cs]e|copyright|rights reserved|redistribution|permission is hereby|public domain|unauthorized copying|waived all"
-_WORD = re.compile(r"[\w.]*\w")
+_CUE = re.compile(CUE)
+_WORD = re.compile(r"\w+(?:\.\w+)*")
 
 
 def words(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-def wording(template: list[str], block: list[str]) -> tuple[list[str], list[str]]:
-    """Words of the template that the block lacks, and words that the block has between the template's first and last."""
-    missing, added = [], []
-    steps = difflib.SequenceMatcher(None, template, block, autojunk=False).get_opcodes()
-    for n, (kind, a, b, c, d) in enumerate(steps):
-        if kind != "equal":
-            missing += template[a:b]
-            if not (kind == "insert" and n in (0, len(steps) - 1)):
-                added += block[c:d]
-    return missing, added
+def wording(template: list[str], block: list[str]) -> tuple[int, int, list[str], list[str]]:
+    """The passage of the block that is nearest to the template: start, end, words of the template that it lacks, and words
+    that it has among them. Fewest of both; the first such passage."""
+    n, m = len(template), len(block)
+    cost = [[0] * (m + 1)]
+    for i, word in enumerate(template, 1):
+        above, row = cost[-1], [i]
+        for j in range(1, m + 1):
+            best = min(above[j], row[j - 1]) + 1
+            row.append(min(best, above[j - 1]) if block[j - 1] == word else best)
+        cost.append(row)
+    i, j = n, min(range(m + 1), key=cost[n].__getitem__)
+    end, missing, added = j, [], []
+    while i:
+        if j and template[i - 1] == block[j - 1] and cost[i][j] == cost[i - 1][j - 1]:
+            i, j = i - 1, j - 1
+        elif cost[i][j] == cost[i - 1][j] + 1:
+            i -= 1
+            missing.append(template[i])
+        else:
+            j -= 1
+            added.append(block[j])
+    return j, end, missing[::-1], added[::-1]
 
 
 class Scanner:
-    def __init__(self, templates: dict[str, list[str]], level: int = 19):
-        self.entries = []
+    def __init__(self, templates: dict[str, list[str]], max_changed: float, level: int = 19):
+        self.classes = defaultdict(list)  # by the words that a passage may have, rounded up to a power of two
         for name, texts in sorted(templates.items()):
             for text in texts:
-                d = zstandard.ZstdCompressionDict(text.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+                own = words(text)
+                spare = int(max_changed * len(own) + 1e-9)
+                d = zstandard.ZstdCompressionDict(" ".join(own).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
                 tool = zstandard.ZstdCompressor(level=level, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False)
-                self.entries.append((name, words(text), tool))
+                self.classes[1 << (len(own) + spare - 1).bit_length()].append((name, own, spare, tool))
         self.alone = zstandard.ZstdCompressor(level=level, write_content_size=False, write_checksum=False)
+        self.reach = max(self.classes, default=0)
 
-    def rank(self, block: str) -> list[tuple[float, str, list[str]]]:
-        """(share of bytes saved, licence, template words), best first."""
-        data = block.lower().encode("utf-8", "surrogatepass")
+    def rank(self, window: list[str], entries: list[tuple]) -> list[tuple]:
+        """(bytes saved, their share, licence, template words, changes allowed), best first."""
+        if not entries:
+            return []
+        data = " ".join(window).encode("utf-8", "surrogatepass")
         plain = len(self.alone.compress(data))
-        found = [((plain - len(tool.compress(data))) / plain, name, text) for name, text, tool in self.entries]
-        return sorted(found, key=lambda x: (-x[0], x[1]))
-
-    def judge(self, block: str, least: float, max_changed: float, tried: int = 4) -> tuple | None:
-        """The best of the highest-ranked templates whose wording the block keeps."""
-        own, best = words(block), None
-        for saved, name, text in self.rank(block)[:tried]:
-            if saved < least:
-                break
-            missing, added = wording(text, own)
-            changed = (len(missing) + len(added)) / max(1, len(text))
-            if changed <= max_changed and (best is None or changed < best[2]):
-                best = (name, saved, changed, missing, added)
-        return best
-
-
-def scan(docs: DataFrame, templates: dict[str, list[str]] | None = None, least: float = 0.2, max_changed: float = 0.15, max_chars: int = 4000) -> DataFrame:
-    """(doc_id, line_no, license, saved, changed, missing, added, block): per block that a licence wins. A longer line than
-    max_chars is cut in overlapping blocks, so all of it is scanned."""
+        found = [(plain - len(tool.compress(data)), name, own, spare) for name, own, spare, tool in entries]
+        return [(saved, saved / plain, *x) for saved, *x in sorted(found, key=lambda x: (-x[0], x[1]))]
+
+    def confirmed(self, template: list[str], block: list[str], spare: int, at: int) -> Iterator[tuple]:
+        """Passages of the block, which starts at word `at`, that keep the template's wording."""
+        have = set(block)
+        if sum(w in have for w in template) < len(template) - spare:
+            return
+        start, end, missing, added = wording(template, block)
+        if len(missing) + len(added) <= spare:
+            yield at + start, at + end, missing, added
+            yield from self.confirmed(template, block[:start], spare, at)
+            yield from self.confirmed(template, block[end:], spare, at + end)
+
+    def judge(self, own: list[str]) -> list[tuple]:
+        """(start, end, licence, saved, changed, missing, added) of the passages that win, best first; places are in words."""
+        found = []
+        for size, entries in self.classes.items():
+            for at in range(0, max(1, len(own) - size), size):  # any passage of `size` words lies in one window
+                window = own[at : at + 2 * size]
+                have = set(window)
+                likely = [e for e in entries if sum(w in have for w in e[1]) >= len(e[1]) - e[2]]
+                for saved, share, name, template, spare in self.rank(window, likely):
+                    for start, end, missing, added in self.confirmed(template, window, spare, at):
+                        changed = (len(missing) + len(added)) / len(template)
+                        found.append((changed, -saved, name, start, end, share, missing, added))
+        taken, won = bytearray(len(own)), []
+        for changed, _, name, start, end, share, missing, added in sorted(found, key=lambda x: x[:5]):
+            if not any(taken[start:end]):
+                taken[start:end] = b"\1" * (end - start)
+                won.append((start, end, name, share, changed, missing, added))
+        return won
+
+
+def passages(text: str, scanner: Scanner) -> list[tuple]:
+    """(line_no, licence, saved, changed, missing, added, passage as it stands in the text)."""
+    rows = {}
+    for line_no, line in enumerate(text.split("\n")):
+        if _CUE.search(line):
+            places = [m.span() for m in _WORD.finditer(line)]
+            for start, end, name, *rest in scanner.judge([line[a:b].lower() for a, b in places]):
+                rows.setdefault((line_no, name), (line_no, name, *rest, line[places[start][0] : places[end - 1][1]]))
+    return list(rows.values())
+
+
+def scan(docs: DataFrame, templates: dict[str, list[str]] | None = None, max_changed: float = 0.15) -> DataFrame:
+    """(doc_id, line_no, license, saved, changed, missing, added, block): per line and licence that it holds."""
     templates = TEMPLATES if templates is None else templates
-    lines = docs.select("doc_id", F.col("text").cast("string").alias("text")).filter(F.col("text").rlike(CUE))
-    lines = lines.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "block")).filter(F.col("block").rlike(CUE))
-    distinct = lines.select("block").distinct()
+    bound_batches(docs.sparkSession)
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).filter(F.col("text").rlike(CUE))
+    types = (pa.int32(), pa.string(), pa.float64(), pa.float64(), pa.list_(pa.string()), pa.list_(pa.string()), pa.string())
+    names = ["doc_id", "line_no", "license", "saved", "changed", "missing", "added", "block"]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scanner = Scanner(templates)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scanner = Scanner(templates, max_changed)
         for batch in batches:
-            rows = []
-            for line in batch["block"]:
-                pieces = [line[i : i + max_chars] for i in range(0, max(1, len(line) - max_chars // 2), max_chars // 2)]
-                won = [w for w in (scanner.judge(p, least if len(pieces) == 1 else 0.0, max_changed) for p in pieces) if w]
-                if won:
-                    rows.append((line, *min(won, key=lambda w: (w[2], w[0]))))
-            yield pd.DataFrame(rows, columns=["block", "license", "saved", "changed", "missing", "added"])
-
-    judged = distinct.mapInPandas(run, "block string, license string, saved double, changed double, missing array<string>, added array<string>")
-    return lines.join(judged, "block").select("doc_id", "line_no", "license", "saved", "changed", "missing", "added", "block")
+            rows = [(n, *row) for n, text in enumerate(batch.column(1).to_pylist()) for row in passages(text, scanner)]
+            ids, *columns = zip(*rows, strict=True) if rows else [()] * len(names)
+            made = [pa.array(column, kind) for column, kind in zip(columns, types, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(ids, pa.int32())), *made], names)
+
+    return texts.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, line_no int, license string, saved double, changed double, missing array<string>, added array<string>, block string")
