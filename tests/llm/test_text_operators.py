@@ -307,3 +307,14 @@ def test_license_notices_inside_lines(spark):
     want.add((902, 0, "CC-BY-NC-4.0"))
     got = [(r.doc_id, r.line_no, r.license) for r in licenses.scan(frame(spark, rows)).collect()]
     assert set(got) == want and len(got) == len(want)
+
+
+def test_wrapped_license_notices(spark):
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files"
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\nare met:"
+    short = ["All rights\nreserved.", "Dedicated to the public\ndomain under CC0 1.0.", "Unauthorized\ncopying of this file, via\nany medium is strictly prohibited."]
+    rows = [(i, "# title\n\n" + mark + text.replace("\n", "\n" + mark) + "\nand so on", None, None, None) for i, (mark, text) in enumerate(itertools.product(["", "// ", " * "], [mit, bsd, *short]))]
+    rows.append((100, "\n".join([mit, "other words " * 40, bsd, "All rights reserved.", "All rights reserved."]), None, None, None))
+    got = sorted((r.doc_id, r.line_no, r.license, r.changed) for r in licenses.scan(frame(spark, rows)).collect())
+    names = ["MIT", "BSD-3-Clause", "Proprietary", "CC0-1.0", "Proprietary"] * 3
+    assert got == [(i, 2, name, 0.0) for i, name in enumerate(names)] + [(100, 0, "MIT", 0.0), (100, 3, "BSD-3-Clause", 0.0), (100, 6, "Proprietary", 0.0), (100, 7, "Proprietary", 0.0)]

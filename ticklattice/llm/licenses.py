@@ -1,7 +1,8 @@
 """Licence scans by conditional compression.
 
-Candidate blocks are the lines that mention a licence. A block is judged in overlapping windows of words, sized to the
-templates: each window is compressed alone and with every template as a zstandard raw-content dictionary, and templates are
+Candidate blocks are the lines that mention a licence, with as many words before and after them as the longest template may
+take, so that notices wrapped over lines are whole; marks, as of comments, and line ends count for nothing, and blocks that
+meet are one. A block is judged in overlapping windows of words, sized to the templates: each window is compressed alone and with every template as a zstandard raw-content dictionary, and templates are
 ranked by the bytes that knowing them saves; no template is dropped for its rank. A passage is confirmed by its exact
 wording: the template's words that it lacks, and the words that it puts among them, may be at most `max_changed` of the
 template's. Where passages overlap, the one with the fewest changes wins, then the one that saves most bytes.
@@ -9,13 +10,14 @@ template's. Where passages overlap, the one with the fewest changes wins, then t
 Only templates of which a window has enough words to be confirmed are compressed with; that loses none.
 
 Defined results: null and empty texts, and blocks that no template wins, give no row; a line gives one row for each licence
-that it holds; ties go to the alphabetically first licence; repeated rows are each scanned; a null doc_id is kept; extra
+that starts on it; ties go to the alphabetically first licence; repeated rows are each scanned; a null doc_id is kept; extra
 columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -41,7 +43,7 @@ TEMPLATES = {
     "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
     "Proprietary": ["All rights reserved.", "Unauthorized copying of this file, via any medium is strictly prohibited."],
 }
-CUE = r"(?i)licen[cs]e|copyright|rights reserved|redistribution|permission is hereby|public domain|unauthorized copying|waived all"
+CUE = r"(?i)licen[cs]e|copyright|rights\W+reserved|redistribution|permission\W+is\W+hereby|public\W+domain|unauthorized\W+copying|waived\W+all"
 _CUE = re.compile(CUE)
 _WORD = re.compile(r"\w+(?:\.\w+)*")
 
@@ -129,18 +131,34 @@ class Scanner:
 
 
 def passages(text: str, scanner: Scanner) -> list[tuple]:
-    """(line_no, licence, saved, changed, missing, added, passage as it stands in the text)."""
+    """(line_no, licence, saved, changed, missing, added, passage as it stands in the text); line_no is where it starts."""
+    places = [m.span() for m in _WORD.finditer(text)]
+    starts = [a for a, _ in places]
+    ends = [m.start() for m in re.finditer("\n", text)]
+    blocks, after = [], 0
+    for cue in _CUE.finditer(text):
+        if cue.start() < after:
+            continue  # on the lines of the cue before
+        first, last = bisect_left(ends, cue.start()), bisect_left(ends, cue.end())
+        after = ends[last] if last < len(ends) else len(text)
+        a = max(0, bisect_left(starts, ends[first - 1] if first else 0) - scanner.reach)
+        b = bisect_left(starts, after) + scanner.reach
+        if blocks and a <= blocks[-1][1]:
+            blocks[-1][1] = b
+        else:
+            blocks.append([a, b])
     rows = {}
-    for line_no, line in enumerate(text.split("\n")):
-        if _CUE.search(line):
-            places = [m.span() for m in _WORD.finditer(line)]
-            for start, end, name, *rest in scanner.judge([line[a:b].lower() for a, b in places]):
-                rows.setdefault((line_no, name), (line_no, name, *rest, line[places[start][0] : places[end - 1][1]]))
+    for a, b in blocks:
+        near = places[a:b]
+        for start, end, name, *rest in scanner.judge([text[x:y].lower() for x, y in near]):
+            x, y = near[start][0], near[end - 1][1]
+            line_no = bisect_left(ends, x)
+            rows.setdefault((line_no, name), (line_no, name, *rest, text[x:y]))
     return list(rows.values())
 
 
 def scan(docs: DataFrame, templates: dict[str, list[str]] | None = None, max_changed: float = 0.15) -> DataFrame:
-    """(doc_id, line_no, license, saved, changed, missing, added, block): per line and licence that it holds."""
+    """(doc_id, line_no, license, saved, changed, missing, added, block): per line and licence that starts on it."""
     templates = TEMPLATES if templates is None else templates
     bound_batches(docs.sparkSession)
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).filter(F.col("text").rlike(CUE))
