@@ -79,3 +79,18 @@ def test_chats(spark):
     assert all(r.reply_to is None and r.position == 0 for r in got if r.conv_id is None or r.turn is None)
     assert [r.text for r in got if r.conv_id == 4] == ["", ""]
     assert chat.format_chats(df.limit(0)).count() == 0
+
+
+def test_chats_of_several_passages(spark):
+    said = {0: "alpha one\nalpha two", 1: "beta one\nbeta two", 2: "gamma one\ngamma two", 3: "delta one"}
+    rows = [(1, t, "user", text) for t, text in said.items()]
+    rows += [
+        (1, 10, "user", "> alpha one\n> alpha two\nyes\n> beta one\n> beta two\n\n> gamma one\n> gamma two\nall three"), (1, 11, "user", "> no such line\n> nor this\n> nor that\n\n> beta  TWO\nwell"),
+        (1, 12, "user", ">> alpha one\n> unknown\n>> gamma two\ndeep"), (1, 13, "user", "> alpha one\n>> gamma one\n> alpha two\nouter first"), (1, 13, "user", "> alpha one\n>> gamma one\n> alpha two\nouter first"), (1, 14, "user", "> unknown\n> alpha one\n> also unknown\nno share"),
+    ]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r.turn: r for r in chat.format_chats(df).collect()}
+    assert {t: got[t].reply_to for t in (10, 11, 12, 13, 14)} == {10: 2, 11: 1, 12: 2, 13: 0, 14: 13}
+    assert got[10].text == "yes\n\nall three" and got[10].n_quoted == 6
+    links = chat.quote_links(df.selectExpr("xxhash64(*) AS uid", "conv_id", "turn", "text")).collect()
+    assert sorted((r.turn, r.passage, r.level, r.source_turn, r.found, r.of) for r in links) == [(10, 0, 1, 0, 2, 2), (10, 3, 1, 1, 2, 2), (10, 6, 1, 2, 2, 2), (11, 4, 1, 1, 1, 1), (12, 0, 2, 0, 1, 1), (12, 2, 2, 2, 1, 1), (13, 0, 1, 0, 1, 1), (13, 1, 2, 2, 1, 1), (13, 2, 1, 0, 1, 1)]

@@ -2,12 +2,13 @@
 
 A message's lines are parsed for nested quote marks (`>`); a run of lines of one level is a passage. Quoted passages and
 the lines of every message's own text are hashed in normalised form (case, white space and marks folded), and each quoted
-passage is joined to the latest earlier message of its conversation whose own text holds it. The outermost quote's
-source is what a message replies to; without one it replies to the turn before. Conversations are returned in reply order:
+passage is joined by itself to the latest earlier message of its conversation whose own text holds it. A message replies to
+the source of its outermost linked passages, the latest where these have several; without one it replies to the turn before. Conversations are returned in reply order:
 a reply follows its parent and the parent's earlier replies, quotes removed.
 
-The join is keyed by conversation and line hash, so a text that opens many conversations is no hot key, and a passage is
-matched by its longest line, confirmed by the share of its lines found.
+The join is keyed by conversation and line hash, so a text that opens many conversations is no hot key, and a match is
+confirmed by the share of the passage's lines found. Quotes that follow each other at one level without a line between them
+are one passage.
 
 Defined results: null text has no passages and stays null; an empty text stays empty; text that is all quotes becomes empty;
 a null conv_id or turn keeps its row, replies to nothing and has position 0; rows of one turn share its position and its
@@ -34,25 +35,43 @@ def quote_level(line: Column) -> Column:
     return F.length(F.regexp_replace(marks, r"[^>]", ""))
 
 
-def quoted_lines(turns: DataFrame) -> DataFrame:
-    """Each line of each message: uid, conv_id, turn, pos, level, body (without quote marks), key (null: nothing to compare)."""
-    lines = turns.select("uid", "conv_id", "turn", F.posexplode(F.split("text", "\r?\n")).alias("pos", "line"))
-    lines = lines.withColumns({"level": quote_level(F.col("line")), "body": F.regexp_replace("line", QUOTE, "")})
-    form = normalised(F.col("body"))
-    return lines.drop("line").withColumn("key", F.when(F.length(form) > 0, F.xxhash64(form)))
+def line_key(line: Column) -> Column:
+    """Hash of a line's normalised form without quote marks; null where nothing is left to compare."""
+    form = normalised(F.regexp_replace(line, QUOTE, ""))
+    return F.when(F.length(form) > 0, F.xxhash64(form))
+
+
+def quoted_passages(turns: DataFrame) -> DataFrame:
+    """Each run of lines of one level above 0: uid, conv_id, turn, passage (place of its first line), level, keys (distinct)."""
+    lines = F.split("text", "\r?\n")
+    rows = turns.filter(F.col("text").rlike(r"(?m)^\s*>")).select("uid", "conv_id", "turn", lines.alias("lines"), F.transform(lines, quote_level).alias("levels"))
+    starts = F.filter(F.sequence(F.lit(0), F.size("levels") - 1), lambda i: (i == 0) | (F.get("levels", i) != F.get("levels", i - 1)))
+    rows = rows.withColumn("starts", starts)
+
+    def passage(first: Column, n: Column) -> Column:
+        end = F.coalesce(F.get("starts", n + 1), F.size("lines"))
+        keys = F.transform(F.slice("lines", first + 1, end - first), line_key)
+        return F.struct(first.alias("passage"), F.get("levels", first).alias("level"), F.array_distinct(F.array_compact(keys)).alias("keys"))
+
+    return rows.select("uid", "conv_id", "turn", F.inline(F.transform("starts", passage))).filter("level > 0")
+
+
+def own_lines(turns: DataFrame) -> DataFrame:
+    """(conv_id, turn, key) of the different lines that are no quotes."""
+    lines = turns.select("conv_id", "turn", F.explode(F.split("text", "\r?\n")).alias("line")).filter(quote_level(F.col("line")) == 0)
+    return lines.select("conv_id", "turn", line_key(F.col("line")).alias("key")).filter("key is not null").distinct()
 
 
 def quote_links(turns: DataFrame, least: float = 0.5) -> DataFrame:
-    """(uid, level, source_turn, found, of): per message and quote level, the latest earlier turn that holds at least
-    `least` of the level's lines."""
-    lines = quoted_lines(turns).filter(F.col("key").isNotNull())
-    quoted = lines.filter("level > 0").groupBy("uid", "conv_id", "turn", "level").agg(F.collect_set("key").alias("keys"))
-    wanted = quoted.select("uid", "conv_id", F.col("turn").alias("at"), "level", F.size("keys").alias("of"), F.explode("keys").alias("key"))
-    own = lines.filter("level = 0").select("conv_id", "turn", "key").distinct()
-    met = wanted.join(own, ["conv_id", "key"]).filter("turn < at").groupBy("uid", "level", "of", "turn").agg(F.count("*").alias("found"))
+    """(uid, conv_id, turn, passage, level, source_turn, found, of): per quoted passage, the latest of the earlier turns that
+    hold most of its lines, and at least `least` of them."""
+    of = ["uid", "conv_id", "at", "passage", "level", "of"]
+    quoted = quoted_passages(turns).withColumnRenamed("turn", "at").withColumn("of", F.size("keys"))
+    wanted = quoted.select(*of, F.explode("keys").alias("key")).distinct()
+    met = wanted.join(own_lines(turns), ["conv_id", "key"]).filter("turn < at").groupBy(*of, "turn").agg(F.count("*").alias("found"))
     met = met.filter(F.col("found") >= F.lit(least) * F.col("of"))
-    best = met.groupBy("uid", "level").agg(F.max(F.struct("found", F.col("turn").alias("source_turn"), "of")).alias("b"))
-    return best.select("uid", "level", "b.source_turn", "b.found", "b.of")
+    best = met.groupBy(*of).agg(F.max(F.struct("found", F.col("turn").alias("source_turn"))).alias("b"))
+    return best.select("uid", "conv_id", F.col("at").alias("turn"), "passage", "level", "b.source_turn", "b.found", "of")
 
 
 def _next(rows: DataFrame, by: list[str], col: str, name: str, step: int = 1) -> DataFrame:
@@ -100,7 +119,7 @@ def format_chats(conversations: DataFrame) -> DataFrame:
     own = F.array_join(F.filter(lines, lambda x: quote_level(x) == 0), "\n")
     known = turns.filter("conv_id is not null and turn is not null")
     links = quote_links(known.filter("text is not null").withColumn("uid", F.xxhash64("conv_id", "turn", "role", "text")))
-    parents = known.withColumn("uid", F.xxhash64("conv_id", "turn", "role", "text")).join(links.filter("level = 1"), "uid").groupBy("conv_id", "turn").agg(F.max("source_turn").alias("source"))
+    parents = links.groupBy("conv_id", "turn").agg(F.max(F.struct(-F.col("level"), "source_turn"))["source_turn"].alias("source"))
     previous = _next(known, ["conv_id"], "turn", "previous", -1)
     nodes = write_table(previous.join(parents, ["conv_id", "turn"], "left").select("conv_id", "turn", F.coalesce("source", "previous").alias("reply_to")), "replies")
     placed = nodes.join(_preorder(nodes), ["conv_id", "turn"])
