@@ -318,3 +318,17 @@ def test_wrapped_license_notices(spark):
     got = sorted((r.doc_id, r.line_no, r.license, r.changed) for r in licenses.scan(frame(spark, rows)).collect())
     names = ["MIT", "BSD-3-Clause", "Proprietary", "CC0-1.0", "Proprietary"] * 3
     assert got == [(i, 2, name, 0.0) for i, name in enumerate(names)] + [(100, 0, "MIT", 0.0), (100, 3, "BSD-3-Clause", 0.0), (100, 6, "Proprietary", 0.0), (100, 7, "Proprietary", 0.0)]
+
+
+def test_decontamination_of_short_items(spark):
+    rng, items, rows = random.Random(9), [], []
+    for i in range(1500):
+        words = [f"w{i}x{k}" for k in range(5 + i % 4)]
+        items.append((i, " ".join(words)))
+        filler = [f"f{rng.randrange(10**6)}" for _ in range(60)]
+        at = 60 - rng.randrange(60) if i % 3 else 60  # often at the end, where one window holds it
+        rows.append((i, " ".join(filler[:at] + words + filler[at:]), None, None, None))
+    table = spark.createDataFrame(items, "item_id long, text string")
+    got = [(r.doc_id, r.item_id, r.n_item, r.n_shared) for r in contamination.contained_items(frame(spark, rows), table).collect()]
+    assert sorted(got) == [(i, i, 1 + i % 4, 1 + i % 4) for i in range(1500)]
+    assert contamination.drop_contaminated(frame(spark, rows), table).count() == 0

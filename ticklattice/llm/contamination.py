@@ -1,8 +1,9 @@
 """Benchmark decontamination: size-partitioned MinHash containment search, confirmed by exact shingle containment.
 
-Items are partitioned by the size of their shingle sets, class B holding those of more than B/2 and at most B shingles. A
-document is cut, once per class, into blocks of B shingles, and each two neighbouring blocks are a window, so that any
-passage of an item lies in one window and a containment of c there is a Jaccard index of at least about c/4. One-row
+Items are partitioned by the size of their shingle sets, class B (1, 2, 4 and so on) holding those of more than B/2 and at most
+B shingles. A document is cut, once per class, into blocks of B shingles, and each two neighbouring blocks are a window, so that
+any passage of an item lies in one window and a containment of c there is a Jaccard index of at least about c/4. Items of one
+shingle are looked up as they are, among all shingles of the documents. One-row
 bands over `functions` MinHash values find it: a window and an item are candidates where one value agrees. Candidates are
 confirmed by the share of the item's shingles that the whole document holds.
 
@@ -24,8 +25,6 @@ from pyspark.sql import functions as F
 
 from .common import U64, bound_batches, mix64, shingle_hashes
 
-SMALLEST = 8
-
 
 class ItemIndex:
     """Shingle sets and MinHash values of a block of items."""
@@ -39,13 +38,13 @@ class ItemIndex:
             if len(s):
                 self.ids.append(i)
                 self.sets.append(s)
-        level = [max(0, int(np.ceil(np.log2(len(s) / SMALLEST)))) for s in self.sets]
+        level = [(len(s) - 1).bit_length() for s in self.sets]
         self.classes = {}
         for c in sorted(set(level)):
             members = [i for i, x in enumerate(level) if x == c]
             tables, bits = [], 1 << min(18, max(12, (64 * len(members)).bit_length()))
             with np.errstate(over="ignore"):
-                for m in self.multipliers:
+                for m in self.multipliers if c else self.multipliers[:1]:  # one shingle: equal values are equal shingles
                     least = np.asarray([(self.sets[i] * m).min() for i in members], U64)
                     order = np.argsort(least, kind="stable")
                     seen = np.zeros(bits, bool)
@@ -60,13 +59,19 @@ class ItemIndex:
         if not len(filled) or not self.classes:
             return set()
         flat, n = np.concatenate([shingles[i] for i in filled]), sizes[filled]
-        blocks = -(-n // SMALLEST)
-        doc_start = np.cumsum(n) - n
-        starts = np.repeat(doc_start - (np.cumsum(blocks) - blocks) * SMALLEST, blocks) + np.arange(blocks.sum()) * SMALLEST
         found: set[tuple[int, int]] = set()
-        top = max(self.classes)
+        if 0 in self.classes:
+            with np.errstate(over="ignore"):
+                self._meet(found, flat * self.multipliers[0], np.repeat(filled, n), self.classes[0][0])
+        bottom, top = min((c for c in self.classes if c), default=0), max(self.classes)
+        if not bottom:
+            return found
+        smallest = 1 << bottom
+        blocks = -(-n // smallest)
+        doc_start = np.cumsum(n) - n
+        starts = np.repeat(doc_start - (np.cumsum(blocks) - blocks) * smallest, blocks) + np.arange(blocks.sum()) * smallest
         shapes = []  # of each level: starts of pairs of the level below, document of each block, whether the next is the same document's
-        for _ in range(top + 1):
+        for _ in range(bottom, top + 1):
             doc = np.repeat(np.arange(len(filled)), blocks)
             nth = np.arange(len(doc)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
             shapes.append((np.flatnonzero(nth % 2 == 0), doc, np.r_[doc[1:] == doc[:-1], False]))
@@ -74,22 +79,25 @@ class ItemIndex:
         with np.errstate(over="ignore"):
             for f, m in enumerate(self.multipliers):
                 least = np.minimum.reduceat(flat * m, starts)
-                for c in range(top + 1):
-                    if c:
-                        least = np.minimum.reduceat(least, shapes[c - 1][0])
+                for c in range(bottom, top + 1):
+                    if c > bottom:
+                        least = np.minimum.reduceat(least, shapes[c - bottom - 1][0])
                     if c not in self.classes:
                         continue
-                    _, doc, joined = shapes[c]
+                    _, doc, joined = shapes[c - bottom]
                     window = np.where(joined, np.minimum(least, np.r_[least[1:], least[-1:]]), least)
-                    values, members, seen = self.classes[c][f]
-                    hit = np.flatnonzero(seen[_low_bits(window, len(seen))])
-                    if not len(hit):
-                        continue
-                    a, b = np.searchsorted(values, window[hit]), np.searchsorted(values, window[hit], "right")
-                    for h, x, y in zip(hit[b > a], a[b > a], b[b > a], strict=True):
-                        found.update((int(filled[doc[h]]), int(i)) for i in members[x:y])
+                    self._meet(found, window, filled[doc], self.classes[c][f])
         return found
 
+    @staticmethod
+    def _meet(found: set[tuple[int, int]], window: np.ndarray, doc: np.ndarray, table: tuple) -> None:
+        """Adds the (document, item) positions of equal MinHash values."""
+        values, members, seen = table
+        hit = np.flatnonzero(seen[_low_bits(window, len(seen))])
+        a, b = np.searchsorted(values, window[hit]), np.searchsorted(values, window[hit], "right")
+        for h, x, y in zip(hit[b > a], a[b > a], b[b > a], strict=True):
+            found.update((int(doc[h]), int(i)) for i in members[x:y])
+
 
 def _low_bits(x: np.ndarray, size: int) -> np.ndarray:
     """Place of a MinHash value in a filter of `size` (a power of two)."""
