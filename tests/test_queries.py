@@ -42,3 +42,14 @@ def test_entry_module_registers_all(spark):
 
     assert set(tape.queries()) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
     assert entry.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("name", ["b06_bundle", "m01_matrix"])
+def test_more_symbols_than_a_selection_holds(spark, tmp_path, name):
+    con = duckdb.connect()
+    con.execute("set timezone = 'UTC'")
+    con.execute(f"copy (select * replace (event_type || event_id % 25 as event_type) from '{SF}/events.parquet') to '{tmp_path}/events.parquet' (format parquet)")
+    con.execute(f"create view events as select * from '{tmp_path}/events.parquet'")
+    got = [(r.symbol, r.timestamp_ms) for r in tape.queries()[name](spark, str(tmp_path)).select("symbol", "timestamp_ms").collect()]
+    want = con.execute(f"select symbol, timestamp_ms from ({tape.oracle_sql()[name]})").fetchall()
+    assert sorted(got) == sorted(want) and len({s for s, _ in got}) > 100

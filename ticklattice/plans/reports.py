@@ -41,9 +41,9 @@ MATRIX = (
 )
 
 
-def merged_matrix(spark: SparkSession, lanes: dict[str, DataFrame], symbols: list[str], from_ms: int, to_ms: int, step: int = MINUTE, wide: bool = True, specs: tuple[MatrixSpec, ...] = MATRIX) -> DataFrame:
+def merged_matrix(spark: SparkSession, lanes: dict[str, DataFrame], symbols: list[str], from_ms: int, to_ms: int, step: int = MINUTE, wide: bool = True, specs: tuple[MatrixSpec, ...] = MATRIX, required: bool = True) -> DataFrame:
     """One row per step (and symbol, unless wide) with each lane's columns; wide: columns named `<symbol>_<column>` if there are
-    several symbols. Raises ValueError if no cell is filled."""
+    several symbols. Raises ValueError if no cell is filled, where this is required."""
     filters.check_selection(from_ms, to_ms, symbols, list(lanes))
     grid = joins.grid_for(spark, spark.createDataFrame([(s,) for s in symbols], "symbol string"), from_ms, to_ms, step)
     start, names = from_ms - from_ms % step, []
@@ -69,7 +69,8 @@ def merged_matrix(spark: SparkSession, lanes: dict[str, DataFrame], symbols: lis
             b, a = F.col("best_bid"), F.col("best_ask")
             grid = joins.asof_book(grid, agg.top_of_book(rows), spec.tolerance).withColumns({"book_mid": mid(b, a), "book_spread": spread(b, a)}).drop("best_bid", "best_ask", "matched_ms")
         names += spec.columns.values()
-    quality.require_rows(grid.filter(F.coalesce(*[F.col(n).cast("string") for n in names]).isNotNull()) if names else grid.limit(0), "no data in the selection")
+    if required:
+        quality.require_rows(grid.filter(F.coalesce(*[F.col(n).cast("string") for n in names]).isNotNull()) if names else grid.limit(0), "no data in the selection")
     if wide:
         if len(symbols) > 1:
             cells = grid.groupBy("timestamp_ms").pivot("symbol", symbols).agg(*[F.first(n).alias(n) for n in names])

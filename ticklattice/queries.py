@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +12,7 @@ from . import functions as fn
 from .adapters import duck, view
 from .operators import aggregates as agg
 from .operators import book, filters, joins, quality, windows
+from .operators.filters import MAX_SYMBOLS
 from .plans import merged_matrix
 from .schemas import DAY, HOUR, RATIO_TYPES
 from .sources import messages
@@ -742,11 +744,25 @@ def t07_is_live(spark, d):
     return is_live(beats, NOW / 1000, 86400).select("event_id", "age_s", "live")
 
 
+def symbol_batches(rows: DataFrame) -> list[list[str]]:
+    """All symbols in order, in batches as large as one selection may be."""
+    symbols = sorted(r.symbol for r in rows.select("symbol").filter("symbol is not null").distinct().collect())
+    return [symbols[i : i + MAX_SYMBOLS] for i in range(0, len(symbols), MAX_SYMBOLS)]
+
+
 @query(f"SELECT 'trades' AS lane, symbol, timestamp_ms FROM v_trades WHERE timestamp_ms BETWEEN {FROM} AND {TO} UNION ALL SELECT 'liquidations', symbol, timestamp_ms FROM v_liquidations WHERE timestamp_ms BETWEEN {FROM} AND {TO}")
 def b06_bundle(spark, d):
     found = {k: view(spark, d, LANE_VIEWS[k]) for k in ("trades", "liquidations")}
-    symbols = [r.symbol for r in view(spark, d, "ev").select("symbol").distinct().limit(50).collect()]
-    return agg.lane_rows(export_bundle(found, symbols, ["trades", "liquidations"], FROM, TO))
+    parts = []
+    for symbols in symbol_batches(view(spark, d, "ev").select(F.lower("symbol").alias("symbol"))):  # a bundle's symbols are of any case
+        try:
+            bundle = export_bundle(found, symbols, ["trades", "liquidations"], FROM, TO)
+        except ValueError:  # a batch without data adds no rows
+            continue
+        parts.append(agg.lane_rows(bundle))
+    if not parts:
+        raise ValueError("no data in the selection")
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 @query(
@@ -756,8 +772,9 @@ def b06_bundle(spark, d):
 )
 def m01_matrix(spark, d):
     found = {"klines": view(spark, d, "v_bars").withColumn("seq", F.col("timestamp_ms")), "trades": view(spark, d, "v_trades"), "funding_rates": view(spark, d, "v_funding")}
-    symbols = [r.symbol for r in view(spark, d, "ev").select("symbol").distinct().limit(50).collect()]
-    return merged_matrix(spark, found, symbols, FROM, TO, HOUR, wide=False)
+    batches = symbol_batches(view(spark, d, "ev"))
+    parts = [merged_matrix(spark, found, symbols, FROM, TO, HOUR, wide=False, required=len(batches) == 1) for symbols in batches]
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 @query(
