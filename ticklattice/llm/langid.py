@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, release
+from .common import bound_batches, model, release
 
 UNDETERMINED = "und"
 LETTER = r"\p{L}"
@@ -54,23 +54,22 @@ def learn(labelled: DataFrame, docs_per_language: int = 400, chars_per_doc: int
 
 
 class Classifier:
-    """Compressors of all languages; `levels` are (least bytes, level), finer for short texts."""
-
-    def __init__(self, dictionaries: dict[str, bytes], block: int = 4096):
-        self.languages, self.block, self.by_level = sorted(dictionaries), block, {}
-        for level in (3, 12):
-            made = []
-            for lang in self.languages:
-                d = zstandard.ZstdCompressionDict(dictionaries[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-                d.precompute_compress(level=level)
-                made.append(zstandard.ZstdCompressor(level=level, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False))
-            self.by_level[level] = made
+    """A compressor for each language, with one setting for texts of any length. The window holds a whole dictionary and a block;
+    the tables are sized to it, as each worker has them all."""
+
+    def __init__(self, dictionaries: dict[str, bytes], block: int = 4096, level: int = 9):
+        self.languages, self.block, self.tools = sorted(dictionaries), block, []
+        for lang in self.languages:
+            window = max(17, (len(dictionaries[lang]) + block).bit_length())
+            settings = zstandard.ZstdCompressionParameters.from_level(level, window_log=window, hash_log=17, chain_log=17, write_content_size=False, write_checksum=False, write_dict_id=False)
+            d = zstandard.ZstdCompressionDict(dictionaries[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            d.precompute_compress(compression_params=settings)
+            self.tools.append(zstandard.ZstdCompressor(compression_params=settings, dict_data=d))
 
     def sizes(self, text: str) -> list[int]:
         data = normalise(text).encode("utf-8", "surrogatepass")
-        tools = self.by_level[12 if len(data) <= 1024 else 3]
         blocks = [data[i : i + self.block] for i in range(0, len(data), self.block)]
-        return [sum(len(c.compress(b)) for b in blocks) for c in tools]
+        return [sum(len(c.compress(b)) for b in blocks) for c in self.tools]
 
     def predict(self, text: str) -> tuple[str, float, float]:
         """Language, score in [0, 1] and margin (bytes that the runner-up takes more, as a share of its bytes)."""
@@ -83,23 +82,17 @@ class Classifier:
         return self.languages[best], 1.0 / rest, (second - sizes[best]) / max(1, second)
 
 
-_ready: dict[int, Classifier] = {}
-
-
 def classifier(dictionaries: dict[str, bytes]):
     """A pandas UDF of a text: struct of lang_pred, score and margin."""
-    token = hash(tuple(sorted(dictionaries.items())))
+    key = ("languages", hash(tuple(sorted(dictionaries.items()))))
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        if token not in _ready:
-            _ready.clear()
-            _ready[token] = Classifier(dictionaries)
-        model = _ready[token]
+        known = model(key, lambda: Classifier(dictionaries))
         for texts in batches:
             rows = []
             for t in texts:
-                known = isinstance(t, str) and dictionaries and any(map(str.isalpha, t))
-                rows.append(model.predict(t) if known else (UNDETERMINED, 0.0, 0.0))
+                usable = isinstance(t, str) and dictionaries and any(map(str.isalpha, t))
+                rows.append(known.predict(t) if usable else (UNDETERMINED, 0.0, 0.0))
             yield pd.DataFrame(rows, columns=["lang_pred", "score", "margin"])
         release()
 
@@ -111,8 +104,11 @@ def is_rejected(found: Column, narrow: float) -> Column:
     return (found["lang_pred"] == UNDETERMINED) | (found["margin"] <= narrow)
 
 
-def identify(docs: DataFrame, dictionaries: dict[str, bytes], narrow: float = 0.0005) -> DataFrame:
-    """(row, lang_pred, score, margin, rejected): row is a struct of the columns of docs, so that none can clash."""
+def identify(docs: DataFrame, dictionaries: dict[str, bytes], narrow: float = 0.04) -> DataFrame:
+    """(row, lang_pred, score, margin, rejected): row is a struct of the columns of docs, so that none can clash.
+
+    `narrow` is the share of its bytes that the runner-up must take more. Clean texts of 30 bytes and more keep far above 0.04.
+    """
     bound_batches(docs.sparkSession)
     found = docs.select(F.struct("*").alias("row"), classifier(dictionaries)(F.col("text").cast("string")).alias("found"))
     return found.select("row", "found.*", is_rejected(F.col("found"), narrow).alias("rejected"))
