@@ -10,10 +10,12 @@ precision rank the rest.
 cells hold `target` of these true neighbours. Without structure in the vectors this comes to most of the cells.
 
 Equal vectors are one class, searched once; a class keeps its k + 1 smallest ids, which is all an answer can use. Cells are
-split in blocks of `block` classes, so a hot cell is no single task's.
+split in blocks of `block` classes, so a hot cell is no single task's. A query that its cells give fewer than k candidates, though
+there are more, is compared with every class: these queries are dealt in groups to blocks of classes.
 
-Defined results: null, zero, and non-finite vectors, null ids, and vectors of another than the most frequent dimension
-take no part; rows with one id count as candidates each; an empty table gives an empty result; extra columns are ignored.
+Defined results: null, zero, and non-finite vectors and null ids take no part; vectors of each dimension are searched among
+themselves, as no inner product joins others; rows with one id count as candidates each, and a query id that is repeated asks
+with the first of its vectors, in order of their components; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,10 +25,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import write_table
+from .common import free_model, write_table
 
 LADDER = (8, 12, 16, 24, 32, 48, 81)
 
@@ -106,9 +108,18 @@ def _usable(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """(id, vec) of rows that take part."""
     rows = rows.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vec")).filter(F.col("id").isNotNull() & F.col("vec").isNotNull())
     finite = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    rows = rows.filter(finite & F.exists("vec", lambda x: x != 0))
-    dims = rows.groupBy(F.size("vec").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
-    return rows.filter(F.size("vec") == (dims["d"] if dims else 0))
+    return rows.filter(finite & F.exists("vec", lambda x: x != 0))
+
+
+def _top(near: np.ndarray, ids: np.ndarray, n: int) -> list[np.ndarray]:
+    """Per row, the places of the n largest values, ties to the smaller id."""
+    n = min(n, near.shape[1])
+    least = np.partition(near, near.shape[1] - n, 1)[:, near.shape[1] - n]
+    out = []
+    for row, low in zip(near, least, strict=True):
+        at = np.flatnonzero(row >= low)
+        out.append(at[np.lexsort((ids[at], -row[at]))[:n]])
+    return out
 
 
 def _fit(classes: DataFrame, queries: DataFrame, hashing: Hashing, k: int, target: float, sample: int) -> list[tuple[int, ...]]:
@@ -140,19 +151,31 @@ def _fit(classes: DataFrame, queries: DataFrame, hashing: Hashing, k: int, targe
     return order
 
 
-def nearest(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", query_step: int = 20, k: int = 20, tables: int = 6, bits: int = 4, width: float = 1.2, target: float = 0.95, block: int = 4096, index_rows: int = 40_000, sample: int = 64) -> DataFrame:
+SCHEMA = "query_id long, rank int, vec_id long, score double"
+
+
+def nearest(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", query_step: int = 20, k: int = 20, **options) -> DataFrame:
     """(query_id, rank, vec_id, score): of each row whose id is divisible by query_step, its k nearest others found."""
     usable = _usable(rows, id_col, vector_col)
+    out = rows.sparkSession.createDataFrame([], SCHEMA)
+    for (dim,) in usable.select(F.size("vec")).distinct().orderBy(F.size("vec")).collect():
+        out = out.unionByName(_nearest(usable.filter(F.size("vec") == dim), dim, query_step, k, **options))
+    return out
+
+
+def _nearest(usable: DataFrame, dim: int, query_step: int, k: int, tables: int = 6, bits: int = 4, width: float = 1.2, target: float = 0.95, block: int = 4096, index_rows: int = 40_000, sample: int = 64) -> DataFrame:
+    """The search among vectors of one dimension."""
+    spark: SparkSession = usable.sparkSession
     classed = usable.withColumns({"h1": F.xxhash64("vec"), "h2": F.xxhash64(F.lit(1), "vec")})
     few = Window.partitionBy("h1", "h2").orderBy("id")
     members = classed.withColumn("n", F.row_number().over(few)).filter(F.col("n") <= k + 1)
-    classes = write_table(members.groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.sort_array(F.collect_list("id")).alias("ids"), F.first("vec").alias("vec")).drop("h1", "h2"), "vector-classes")
-    queries = write_table(usable.filter(F.col("id") % query_step == 0).dropDuplicates(["id"]), "query-vectors")
-    size = classes.agg(F.count("*").alias("n"), F.max(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x)).alias("norm"), F.max(F.size("vec")).alias("dim")).first()
-    schema = "query_id long, rank int, vec_id long, score double"
+    classes = members.groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.sort_array(F.collect_list("id")).alias("ids"), F.first("vec").alias("vec"))
+    classes = write_table(classes.select(F.monotonically_increasing_id().alias("class"), "rep", "ids", "vec"), "vector-classes")
+    queries = write_table(usable.filter(F.col("id") % query_step == 0).groupBy("id").agg(F.min("vec").alias("vec")), "query-vectors")
+    size = classes.agg(F.count("*").alias("n"), F.max(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x)).alias("norm")).first()
     if not size["n"] or queries.isEmpty():
-        return rows.sparkSession.createDataFrame([], schema)
-    hashing = Hashing(size["dim"], float(np.sqrt(size["norm"])), tables, bits, width)
+        return spark.createDataFrame([], SCHEMA)
+    hashing = Hashing(dim, float(np.sqrt(size["norm"])), tables, bits, width)
     order = _fit(classes, queries, hashing, k, target, sample)
 
     def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -160,33 +183,69 @@ def nearest(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddin
             for at in range(0, len(batch), 2000):
                 part = batch.iloc[at : at + 2000]
                 keys = hashing.own(_matrix(part["vec"]))
-                yield pd.DataFrame({"cell": keys.ravel(), "id": np.repeat(part["rep"].to_numpy(), tables), "vec": [v for v in part["vec"] for _ in range(tables)]})
+                again = lambda c: np.repeat(part[c].to_numpy(), tables)  # noqa: B023, E731
+                yield pd.DataFrame({"cell": keys.ravel(), "id": again("class"), "rep": again("rep"), "vec": [v for v in part["vec"] for _ in range(tables)]})
 
     def visits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for at in range(0, len(batch), 100):
                 part = batch.iloc[at : at + 100]
                 keys = hashing.visited(_matrix(part["vec"]), order).reshape(len(part), -1)
-                yield pd.DataFrame({"cell": keys.ravel(), "id": np.repeat(part["id"].to_numpy(), keys.shape[1]), "vec": [v for v in part["vec"] for _ in range(keys.shape[1])]})
+                ids = np.repeat(part["id"].to_numpy(), keys.shape[1])
+                yield pd.DataFrame({"cell": keys.ravel(), "id": ids, "rep": ids, "vec": [v for v in part["vec"] for _ in range(keys.shape[1])]})
 
-    where = "cell long, id long, vec array<double>"
-    indexed = classes.select("rep", "vec").mapInPandas(index, where)
-    sizes = write_table(classes.select("rep", "vec").mapInPandas(index, where).groupBy("cell").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")), "cells")
+    where = "cell long, id long, rep long, vec array<double>"
+    indexed = classes.select("class", "rep", "vec").mapInPandas(index, where)
+    sizes = write_table(classes.select("class", "rep", "vec").mapInPandas(index, where).groupBy("cell").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")), "cells")
     spread = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    left = indexed.join(sizes, "cell").select("cell", spread.alias("part"), F.lit(0).alias("kind"), "id", "vec")
-    right = queries.mapInPandas(visits, where).join(sizes, "cell").select("cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("part"), F.lit(1).alias("kind"), "id", "vec")
+    left = indexed.join(sizes, "cell").select("cell", spread.alias("part"), F.lit(0).alias("kind"), "id", "rep", "vec")
+    right = queries.mapInPandas(visits, where).join(sizes, "cell").select("cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("part"), F.lit(1).alias("kind"), "id", "rep", "vec")
     # a query gets one short list from each task it visits, so cells are dealt to few tasks, of index_rows each
     tasks = max(2, -(-size["n"] * tables // index_rows))
     met = left.unionByName(right).withColumn("deal", F.pmod(F.xxhash64("cell", "part"), F.lit(tasks)))
-    met = met.repartition("deal").sortWithinPartitions("cell", "part", "kind", "id").drop("deal")
+    found = write_table(_best(_searched(met, k, hashing.norm), k), "near-found")
+    # a class may hold up to k + 1 members, so a query is complete if its classes hold k others, or are all there are
+    held = classes.select("class", F.size("ids").alias("members"))
+    total = classes.agg(F.sum(F.size("ids"))).first()[0]
+    have = found.join(held, "class").groupBy("query_id").agg(F.sum("members").alias("have"))
+    short = queries.join(have, queries["id"] == have["query_id"], "left").filter(F.coalesce("have", F.lit(0)) < F.least(F.lit(k + 1), F.lit(total))).select("id", "vec")
+    short = write_table(short.withColumn("rest", F.lit(True)), "short-queries")
+    missed = short.count()
+    if missed:
+        blocks, groups = -(-size["n"] // block), -(-missed // block)
+        deal = F.pmod(F.xxhash64("id"), F.lit(groups)).cast("long")
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1))).cast("int")
+        asked = short.select(deal.alias("cell"), every(blocks).alias("part"), F.lit(1).alias("kind"), "id", F.col("id").alias("rep"), "vec")
+        there = classes.select(every(groups).cast("long").alias("cell"), F.pmod(F.xxhash64("class"), F.lit(blocks)).cast("int").alias("part"), F.lit(0).alias("kind"), F.col("class").alias("id"), "rep", "vec")
+        exact = _searched(there.unionByName(asked).withColumn("deal", F.xxhash64("cell", "part")), k, hashing.norm)
+        found = _best(found.join(short.select(F.col("id").alias("query_id")), "query_id", "left_anti").unionByName(exact), k)
+    exactly = F.aggregate(F.zip_with("asked", "vec", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
+    scored = found.drop("near").join(queries.select(F.col("id").alias("query_id"), F.col("vec").alias("asked")), "query_id").join(classes.select("class", "ids", "vec"), "class")
+    each = scored.select("query_id", exactly.alias("score"), F.explode("ids").alias("vec_id")).filter("vec_id <> query_id")
+    last = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return each.withColumn("rank", F.row_number().over(last).cast("int")).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _best(found: DataFrame, k: int) -> DataFrame:
+    """Each query's k + 1 best classes, once each."""
+    best = found.groupBy("query_id", "class", "rep").agg(F.max("near").alias("near"))
+    place = Window.partitionBy("query_id").orderBy(F.desc("near"), "rep", "class")
+    return best.withColumn("n", F.row_number().over(place)).filter(F.col("n") <= k + 1).drop("n")
+
+
+def _searched(met: DataFrame, k: int, norm: float) -> DataFrame:
+    """(query_id, class, rep, near): classes (kind 0) and queries (kind 1) of each (cell, part) compared by inner products, a short
+    list per query and task. `near` counts the products in steps of 2**-46 of the largest possible one, so that what only rounding
+    tells apart is a tie; the lists are scored exactly afterwards."""
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        free_model()
         held: list[pd.DataFrame] = []  # the best so far of the task's queries
-        count, where_at, ids, vectors = 0, None, [], []
+        count, where_at, ids, reps, vectors = 0, None, [], [], []
 
         def pruned() -> pd.DataFrame:
-            every = pd.concat(held, ignore_index=True).drop_duplicates(["query_id", "rep"])
-            every = every.sort_values(["query_id", "score", "rep"], ascending=[True, False, True], ignore_index=True)
+            every = pd.concat(held, ignore_index=True).drop_duplicates(["query_id", "class"])
+            every = every.sort_values(["query_id", "near", "rep"], ascending=[True, False, True], ignore_index=True)
             return every[every.groupby("query_id").cumcount() <= k]
 
         for batch in batches:
@@ -194,22 +253,26 @@ def nearest(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddin
             for _, group in batch.groupby(change, sort=False):
                 here = (group["cell"].iloc[0], group["part"].iloc[0])
                 if here != where_at:
-                    where_at, ids, vectors = here, [], []
+                    where_at, ids, reps, vectors = here, [], [], []
                 if group["kind"].iloc[0] == 0:
                     ids.append(group["id"].to_numpy())
+                    reps.append(group["rep"].to_numpy())
                     vectors.append(_matrix(group["vec"]))
                     continue
                 if not ids:
                     continue
                 if len(ids) > 1:
-                    ids, vectors = [np.concatenate(ids)], [np.concatenate(vectors)]
+                    ids, reps, vectors = [np.concatenate(ids)], [np.concatenate(reps)], [np.concatenate(vectors)]
                 asked, names = _matrix(group["vec"]), group["id"].to_numpy()
                 for at in range(0, len(asked), 1000):
-                    scores = asked[at : at + 1000] @ vectors[0].T
-                    n = min(k + 1, scores.shape[1])
-                    top = np.argpartition(-scores, n - 1, 1)[:, :n]
-                    held.append(pd.DataFrame({"query_id": np.repeat(names[at : at + 1000], n), "rep": ids[0][top].ravel(), "score": np.take_along_axis(scores, top, 1).ravel()}))
-                    count += top.size
+                    some = asked[at : at + 1000]
+                    step = np.sqrt((some * some).sum(1)) * norm * 2.0**-46
+                    near = np.rint(some @ vectors[0].T / step[:, None]).astype(np.int64)
+                    top = _top(near, reps[0], k + 1)
+                    row = np.repeat(np.arange(len(top)), [len(t) for t in top])
+                    flat = np.concatenate(top)
+                    held.append(pd.DataFrame({"query_id": names[at : at + 1000][row], "class": ids[0][flat], "rep": reps[0][flat], "near": near[row, flat]}))
+                    count += len(flat)
                 if count > 1_000_000:
                     held = [pruned()]
                     count = len(held[0])
@@ -219,10 +282,5 @@ def nearest(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddin
         if held:
             yield pruned()
 
-    found = met.mapInPandas(search, "query_id long, rep long, score double")
-    best = found.groupBy("query_id", "rep").agg(F.max("score").alias("score"))
-    place = Window.partitionBy("query_id").orderBy(F.desc("score"), "rep")
-    best = best.withColumn("n", F.row_number().over(place)).filter(F.col("n") <= k + 1)
-    each = best.join(classes.select("rep", "ids"), "rep").select("query_id", "score", F.explode("ids").alias("vec_id")).filter("vec_id <> query_id")
-    last = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return each.withColumn("rank", F.row_number().over(last).cast("int")).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    dealt = met.repartition("deal").sortWithinPartitions("cell", "part", "kind", "id").drop("deal")
+    return dealt.mapInPandas(search, "query_id long, class long, rep long, near long")
