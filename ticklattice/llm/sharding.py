@@ -3,7 +3,11 @@
 Law `bytes`: rows are ordered by (text hash, doc_id, row id), so equal texts lie next to each other, and shards are
 consecutive stretches of that order whose byte counts differ by about one document. The order is never built in one
 task: size-weighted samples of the key give quantile boundaries, rows are dealt to the ranges between them, ranges that
-turn out overfull are subdivided by samples of their own, and only the ranges' sums (a bounded number) meet on the driver.
+turn out overfull are subdivided by samples of their own, and only the ranges' sums meet on the driver. There are as many ranges
+as hold range_rows rows each, at least ranges_per_shard a shard; subdividing ends when no range of several keys is overfull.
+
+A group of equal texts lies in one stretch of the order. The law asks for near equal bytes alone, so the few groups that lie on a
+shard's border, and groups larger than a shard, go on in the next shard; all others are whole.
 
 Defined results: null text has size 1 and CRC 0; a null doc_id sorts first; repeated rows each get a slot; an empty table
 gives an empty result; extra columns are ignored.
@@ -11,6 +15,7 @@ gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 import math
 
 from pyspark.sql import Column, DataFrame, Window
@@ -43,21 +48,25 @@ def _sample(rows: DataFrame, share: Column, seed: int) -> list:
     return rows.filter(_unit(seed) < F.col("size") * share).select(*KEY, "size").collect()
 
 
-def _range_of(splitters: list[tuple]) -> Column:
-    """Index of the range that holds the key: how many splitters are at or below it."""
+def _dealt(rows: DataFrame, splitters: list[tuple]) -> DataFrame:
+    """Adds r, the range that holds the key: how many splitters are at or below it, found in three narrowing steps."""
     if not splitters:
-        return F.lit(0)
-    k1, k2, k3 = (F.array(*[F.lit(s[i]).cast("long") for s in splitters]) for i in range(3))
-    cut = F.arrays_zip(k1.alias("k1"), k2.alias("k2"), k3.alias("k3"))
+        return rows.withColumn("r", F.lit(0))
     key = F.struct(*[F.col(k).cast("long").alias(k) for k in KEY])
-    return F.size(F.filter(cut, lambda s: s <= key)).cast("int")
+    wide = max(1, round(len(splitters) ** (1 / 3)))
+    table = lambda some: F.arrays_zip(*[F.array(*[F.lit(s[i]).cast("long") for s in some]).alias(k) for i, k in enumerate(KEY)])
+    below = lambda cut: F.size(F.filter(cut, lambda s: s <= key))
+    found = rows.withColumns({"_c1": table(splitters[wide * wide - 1 :: wide * wide]), "_c2": table(splitters[wide - 1 :: wide]), "_c3": table(splitters)})
+    found = found.withColumn("_at", below(F.col("_c1")) * wide)
+    found = found.withColumn("_at", (F.col("_at") + below(F.slice("_c2", F.col("_at") + 1, F.lit(wide)))) * wide)
+    return found.withColumn("r", (F.col("_at") + below(F.slice("_c3", F.col("_at") + 1, F.lit(wide)))).cast("int")).drop("_c1", "_c2", "_c3", "_at")
 
 
-def assign_shards(docs: DataFrame, n_shards: int = 16, ranges_per_shard: int = 8, sample_rows: int = 8192, max_rounds: int = 4) -> DataFrame:
+def assign_shards(docs: DataFrame, n_shards: int = 16, ranges_per_shard: int = 8, range_rows: int = 1_000_000) -> DataFrame:
     """Per row: doc_id, size, text_crc32, law, shard, slot, grown_shard (null under the law `bytes`).
 
-    sample_rows bounds the expected size of the key sample that comes to the driver; n_shards * ranges_per_shard, plus the
-    subdivisions, bounds the number of range sums.
+    The key sample that comes to the driver is of about 64 keys a range, and a sum for each range: both grow with the rows by
+    a range_rows-th.
     """
     text = text_or_empty()
     rows = write_table(
@@ -71,16 +80,17 @@ def assign_shards(docs: DataFrame, n_shards: int = 16, ranges_per_shard: int = 8
         ),
         "shard-keys",
     )
-    total = rows.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("b")).first()["b"]
-    ranges = n_shards * ranges_per_shard
+    of_all = rows.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("b"), F.count("*").alias("n")).first()
+    total, ranges = of_all["b"], max(n_shards * ranges_per_shard, -(-of_all["n"] // range_rows))
     target = max(1.0, total / ranges)
-    step = max(1.0, total / sample_rows)
+    step = max(1.0, total / (64 * ranges))
     splitters = _quantiles(_sample(rows, F.lit(1.0 / step), 1), step, ranges)
-    for attempt in range(max_rounds + 1):
-        dealt = rows.withColumn("r", _range_of(splitters))
-        stats = sorted(map(tuple, dealt.groupBy("r").agg(F.sum("size"), F.count("*")).collect()))
-        over = {r: b for r, b, n in stats if b > 2 * target and n > 1}
-        if not over or attempt == max_rounds:
+    for attempt in itertools.count():
+        dealt = _dealt(rows, splitters)
+        sums = dealt.groupBy("r").agg(F.sum("size"), F.count("*"), F.max("size"))
+        stats = sorted(map(tuple, sums.collect()))
+        over = {r: b for r, b, n, most in stats if b > 2 * target + most and n > 1}
+        if not over:
             break
         more: list[tuple] = []
         inside = dealt.filter(F.col("r").isin(list(over)))
@@ -89,12 +99,10 @@ def assign_shards(docs: DataFrame, n_shards: int = 16, ranges_per_shard: int = 8
         for r, b in over.items():
             pieces = math.ceil(b / target)
             more += _quantiles([x for x in got if x["r"] == r], b / (64.0 * pieces), pieces)
-        if set(more) <= set(splitters):
-            break
         splitters = sorted({*splitters, *more})
 
     at_bytes, at_rows, starts = 0, 0, {}
-    for r, b, n in stats:
+    for r, b, n, _ in stats:
         starts[r] = (at_bytes, at_rows)
         at_bytes, at_rows = at_bytes + b, at_rows + n
     before = lambda i: F.element_at(F.array(*[F.lit(starts.get(r, (0, 0))[i]).cast("long") for r in range(len(splitters) + 1)]), F.col("r") + 1)
