@@ -10,11 +10,13 @@
    and their common prefixes. Where neighbours share 100 symbols or more, all but the earliest are covered.
 4. Covered stretches are merged per document and cut out.
 
-An anchor under which more than `hot` contexts meet is split by the 38 bytes on its left for windows that reach at least
-that far to the left, and by the 38 bytes on its right for the others; every window falls to one of the two.
+An anchor under which more than `hot` contexts meet is split, and again while a group stays larger: the windows that start in a
+range of columns are taken by themselves, grouped by the bytes that all of them hold, and the range is halved each time. At the
+end a group is one window, and its earliest place is a plain aggregate. So no group of the construction has more than `hot` rows.
 
-Defined results: null text is empty; texts under 100 bytes stay whole; a null doc_id counts as smaller than any other;
-rows with one doc_id are taken as one document, treated alike; extra columns are ignored.
+Defined results: null text is empty; texts under 100 bytes stay whole; a null doc_id counts as smaller than any other; rows with
+one doc_id are documents of their own, told apart by their place in the input, which is also their order; doc_id must be a whole
+number; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,15 +26,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, U64, bound_batches, mix64, to_bytes, write_table
+from .common import NULL_ID, U64, bound_batches, free_model, identified, if_small, mix64, to_bytes, write_table
 
 LENGTH, ANCHOR = 100, 24
 SIDE = LENGTH - ANCHOR
 SPAN = 2 * SIDE + ANCHOR
-HALF = SIDE // 2
 CHUNK = 1 << 20
 BASE = 0x9E3779B97F4A7C15 | 5
 _TABLE = mix64(np.arange(1, 257, dtype=U64) * U64(0xD1342543DE82EF95))
@@ -99,70 +100,65 @@ def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
 
 
 def _occurrences(docs: DataFrame) -> DataFrame:
-    """anchor, context, doc, place, n_bytes: of each (anchor, context) the first in a batch; the later ones of a batch are surely
-    covered and have `covered` set."""
+    """anchor, context, doc, uid, place, n_bytes: of each (anchor, context) the first in a batch; the later ones of a batch are
+    surely covered and have `covered` set."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        free_model()
         for batch in batches:
-            for at in range(0, len(batch), 2000):
-                part = batch.iloc[at : at + 2000]
-                cols: list[list[np.ndarray]] = [[], [], [], [], []]
-                for doc, text in zip(part["doc"], part["text"], strict=True):
-                    data = to_bytes(text)
-                    p, k, c = anchors(data)
-                    for col, x in zip(cols, (k, c, np.full(len(p), doc), p, np.full(len(p), len(data))), strict=True):
-                        col.append(x)
-                k, c = (np.concatenate(x).view(np.int64) for x in cols[:2])
-                d, p, n = (np.concatenate(x).astype(np.int64) for x in cols[2:])
-                if not len(k):
-                    continue
-                order = np.lexsort((p, d, c, k))
-                k, c, d, p, n = k[order], c[order], d[order], p[order], n[order]
-                again = np.r_[False, (k[1:] == k[:-1]) & (c[1:] == c[:-1])]
-                same = np.r_[False, (d[1:] == d[:-1]) & (p[1:] == p[:-1])] & again
-                first = np.maximum.accumulate(np.where(again, 0, np.arange(len(k))))
-                covered = again & ~((d == d[first]) & (p == p[first]))
-                frame = pd.DataFrame({"anchor": k, "context": c, "doc": d, "place": p, "n_bytes": n, "covered": covered})
-                yield frame[~same]
-
-    return docs.mapInPandas(run, "anchor long, context long, doc long, place long, n_bytes long, covered boolean")
+            cols: list[list[np.ndarray]] = [[], [], [], [], [], []]
+            for doc, uid, text in zip(batch["doc"], batch["uid"], batch["text"], strict=True):
+                data = to_bytes(text)
+                p, k, c = anchors(data)
+                for col, x in zip(cols, (k, c, np.full(len(p), doc), np.full(len(p), uid), p, np.full(len(p), len(data))), strict=True):
+                    col.append(x)
+            if not cols[0]:
+                continue
+            k, c = (np.concatenate(x).view(np.int64) for x in cols[:2])
+            d, u, p, n = (np.concatenate(x).astype(np.int64) for x in cols[2:])
+            if not len(k):
+                continue
+            order = np.lexsort((p, u, d, c, k))
+            k, c, d, u, p, n = k[order], c[order], d[order], u[order], p[order], n[order]
+            covered = np.r_[False, (k[1:] == k[:-1]) & (c[1:] == c[:-1])]
+            yield pd.DataFrame({"anchor": k, "context": c, "doc": d, "uid": u, "place": p, "n_bytes": n, "covered": covered})
+
+    return docs.mapInPandas(run, "anchor long, context long, doc long, uid long, place long, n_bytes long, covered boolean")
 
 
 def _runs(occurrences: DataFrame) -> DataFrame:
-    """From rows sorted by (anchor, context, doc, place): kind 0, a context that repeats an earlier one; kind 1, the first of
+    """From rows sorted by (anchor, context, doc, uid, place): kind 0, a context that repeats an earlier one; kind 1, the first of
     a context under an anchor that has several. State is one row, whatever the size of a run."""
+    names = ["anchor", "context", "doc", "uid", "place", "n_bytes"]
+    out = ["anchor", "doc", "uid", "place", "n_bytes"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None  # the last context's first row, [anchor, context, doc, place, n_bytes, whether its anchor has another]
+        held = None  # the last context's first row, and whether its anchor has another
         for batch in batches:
             known = batch["covered"].to_numpy(bool)
             if known.any():
-                yield batch.loc[known, ["anchor", "doc", "place", "n_bytes"]].assign(kind=0)
+                yield batch.loc[known, out].assign(kind=0)
                 batch = batch[~known]
             if not len(batch):
                 continue
-            cols = [batch[c].to_numpy(np.int64) for c in ("anchor", "context", "doc", "place", "n_bytes")]
+            cols = [batch[c].to_numpy(np.int64) for c in names]
             front = held is not None
             if front:
                 cols = [np.r_[h, c] for h, c in zip(held, cols, strict=False)]
-            k, c, d, p, n = cols
+            k, c = cols[:2]
             new = np.r_[True, (k[1:] != k[:-1]) | (c[1:] != c[:-1])]
             starts = np.flatnonzero(new)
-            lead = np.repeat(starts, np.diff(np.r_[starts, len(k)]))
-            repeats = ~new & ~((d == d[lead]) & (p == p[lead]))
-            before = np.r_[bool(front and held[5]), k[starts[1:]] == k[starts[:-1]]]
+            before = np.r_[bool(front and held[-1]), k[starts[1:]] == k[starts[:-1]]]
             after = np.r_[k[starts[1:]] == k[starts[:-1]], False]
             several = starts[:-1][(before | after)[:-1]]
-            kind0 = np.flatnonzero(repeats)
-            for kind, i in ((0, kind0), (1, several)):
+            for kind, i in ((0, np.flatnonzero(~new)), (1, several)):
                 if len(i):
-                    yield pd.DataFrame({"kind": kind, "anchor": k[i], "doc": d[i], "place": p[i], "n_bytes": n[i]})
-            s = starts[-1]
-            held = [k[s], c[s], d[s], p[s], n[s], bool(before[-1])]
-        if held is not None and held[5]:
-            yield pd.DataFrame({"kind": [1], "anchor": [held[0]], "doc": [held[2]], "place": [held[3]], "n_bytes": [held[4]]})
+                    yield pd.DataFrame({"kind": kind} | {name: col[i] for name, col in zip(names, cols, strict=True) if name != "context"})
+            held = [*(col[starts[-1]] for col in cols), bool(before[-1])]
+        if held is not None and held[-1]:
+            yield pd.DataFrame({"kind": [1]} | {name: [x] for name, x in zip(names, held, strict=False) if name != "context"})
 
-    return occurrences.mapInPandas(run, "kind int, anchor long, doc long, place long, n_bytes long")
+    return occurrences.mapInPandas(run, "kind int, anchor long, doc long, uid long, place long, n_bytes long")
 
 
 def covered_starts(symbols: np.ndarray, rank: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -215,17 +211,16 @@ def _stretches(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _construct(contexts: DataFrame, chunk: int = 150_000) -> DataFrame:
-    """Stretches (doc, start, stop) covered according to the construction; rows of a group come one after the other."""
+    """Stretches (doc, uid, start, stop) covered according to the construction; rows of a group come one after the other."""
 
     def solve(frame: pd.DataFrame) -> pd.DataFrame:
         symbols = np.frombuffer(b"".join(frame["bytes"]), np.uint8).reshape(-1, SPAN)
-        doc, place = frame["doc"].to_numpy(np.int64), frame["place"].to_numpy(np.int64)
+        doc, uid, place = (frame[c].to_numpy(np.int64) for c in ("doc", "uid", "place"))
         rank = np.empty(len(frame), np.int64)
-        order = np.lexsort((place, doc))
-        rank[order] = np.cumsum(np.r_[False, (np.diff(doc[order]) != 0) | (np.diff(place[order]) != 0)])
+        rank[np.lexsort((place, uid, doc))] = np.arange(len(frame))
         mask = covered_starts(symbols, rank, frame["low"].to_numpy(np.int64), frame["high"].to_numpy(np.int64))
         row, a, b = _stretches(mask)
-        return pd.DataFrame({"doc": doc[row], "start": place[row] - SIDE + a, "stop": place[row] - SIDE + b + LENGTH})
+        return pd.DataFrame({"doc": doc[row], "uid": uid[row], "start": place[row] - SIDE + a, "stop": place[row] - SIDE + b + LENGTH})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, count = [], 0
@@ -241,7 +236,7 @@ def _construct(contexts: DataFrame, chunk: int = 150_000) -> DataFrame:
         if held:
             yield solve(pd.concat(held, ignore_index=True))
 
-    return contexts.mapInPandas(run, "doc long, start long, stop long")
+    return contexts.mapInPandas(run, "doc long, uid long, start long, stop long")
 
 
 def _contexts(docs: DataFrame, firsts: DataFrame) -> DataFrame:
@@ -250,32 +245,47 @@ def _contexts(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for doc, text, marks in zip(batch["doc"], batch["text"], batch["marks"], strict=True):
+            for doc, uid, text, marks in zip(batch["doc"], batch["uid"], batch["text"], batch["marks"], strict=True):
                 data = to_bytes(text)
                 for anchor, place in {(m["anchor"], m["place"]) for m in marks}:
                     a, b = place - SIDE, place + ANCHOR + SIDE
                     piece = b"\0" * max(0, -a) + data[max(0, a) : b]
-                    rows.append((anchor, doc, place, piece + b"\0" * (SPAN - len(piece)), max(0, -a), min(SIDE, len(data) - LENGTH - a)))
-            yield pd.DataFrame(rows, columns=["anchor", "doc", "place", "bytes", "low", "high"])
-
-    marks = firsts.groupBy("doc").agg(F.collect_list(F.struct("anchor", "place")).alias("marks"))
-    return docs.join(marks, "doc").select("doc", "text", "marks").mapInPandas(run, "anchor long, doc long, place long, bytes binary, low int, high int")
-
-
-def _grouped(contexts: DataFrame, hot: int) -> DataFrame:
-    """Adds group; contexts of a hot anchor go to two smaller groups, each with its share of the windows."""
-    sizes = contexts.groupBy("anchor").agg(F.count("*").alias("n")).filter(F.col("n") > hot).select("anchor", F.lit(True).alias("is_hot"))
-    marked = contexts.join(sizes, "anchor", "left")
-    left = F.xxhash64("anchor", F.lit(1), F.substring("bytes", SIDE - HALF + 1, HALF))
-    right = F.xxhash64("anchor", F.lit(2), F.substring("bytes", SIDE + ANCHOR + 1, HALF))
-    sides = F.when(
-        F.col("is_hot"),
-        F.array(
-            F.struct(left.alias("group"), F.col("low").alias("low"), F.least("high", F.lit(SIDE - HALF)).alias("high")),
-            F.struct(right.alias("group"), F.greatest("low", F.lit(SIDE - HALF)).alias("low"), F.col("high").alias("high")),
-        ),
-    ).otherwise(F.array(F.struct(F.col("anchor").alias("group"), F.col("low").alias("low"), F.col("high").alias("high"))))
-    return marked.select("doc", "place", "bytes", F.explode(sides).alias("s")).select("s.group", "doc", "place", "bytes", "s.low", "s.high").filter("low <= high")
+                    rows.append((anchor, doc, uid, place, piece + b"\0" * (SPAN - len(piece)), max(0, -a), min(SIDE, len(data) - LENGTH - a)))
+            yield pd.DataFrame(rows, columns=["anchor", "doc", "uid", "place", "bytes", "low", "high"])
+
+    marks = firsts.groupBy("doc", "uid").agg(F.collect_list(F.struct("anchor", "place")).alias("marks"))
+    return docs.join(marks, ["doc", "uid"]).select("doc", "uid", "text", "marks").mapInPandas(run, "anchor long, doc long, uid long, place long, bytes binary, low int, high int")
+
+
+def _halved(groups: DataFrame) -> DataFrame:
+    """Rows of groups that are too large, each put under the halves of its range of starts (a, b); a half's group is named by the
+    bytes that all its windows hold."""
+    middle = F.floor((F.col("a") + F.col("b")) / 2).cast("int")
+    halves = F.array(F.struct(F.col("a").alias("a"), middle.alias("b")), F.struct((middle + 1).alias("a"), F.col("b").alias("b")))
+    rows = groups.select("doc", "uid", "place", "bytes", F.col("low").alias("l"), F.col("high").alias("h"), F.explode(halves).alias("s"))
+    rows = rows.select("doc", "uid", "place", "bytes", F.greatest("l", "s.a").alias("low"), F.least("h", "s.b").alias("high"), "s.a", "s.b").filter("low <= high")
+    return rows.withColumn("group", F.xxhash64("a", "b", F.substring("bytes", F.col("b") + 1, F.col("a") + LENGTH - F.col("b"))))
+
+
+def _covered_contexts(contexts: DataFrame, hot: int) -> DataFrame:
+    """Stretches (doc, uid, start, stop) that contexts under one anchor have from earlier ones."""
+    out = None
+    rows = contexts.select("doc", "uid", "place", "bytes", "low", "high", F.lit(0).alias("a"), F.lit(SIDE).alias("b"), F.col("anchor").alias("group"))
+    while True:
+        large = write_table(rows.groupBy("group").agg(F.count("*").alias("n")).filter(F.col("n") > hot).select("group"), "large-groups")
+        fit = rows.join(if_small(large), "group", "left_anti").repartition("group").sortWithinPartitions("group", "doc", "uid", "place")
+        found = _construct(fit.select("group", "doc", "uid", "place", "bytes", "low", "high"))
+        out = found if out is None else out.unionByName(found)
+        if large.isEmpty():
+            return out
+        rest = write_table(_halved(rows.join(if_small(large), "group", "left_semi")), "split-groups")
+        start = F.col("place") - SIDE + F.col("a")
+        single = rest.filter("a = b").select("doc", "uid", start.alias("start"), F.substring("bytes", F.col("a") + 1, F.lit(LENGTH)).alias("window"))
+        at = F.struct("doc", "uid", "start")  # a window under two anchors is one
+        least = write_table(single.groupBy("window").agg(F.min(at).alias("least"), F.count("*").alias("n")).filter("n > 1").drop("n"), "window-heads")
+        again = single.join(if_small(least), "window").filter(at > F.col("least"))
+        out = out.unionByName(again.select("doc", "uid", "start", (F.col("start") + LENGTH).alias("stop")))
+        rows = rest.filter("a < b")
 
 
 def merge_spans(starts: list[int], stops: list[int]) -> list[tuple[int, int]]:
@@ -290,23 +300,23 @@ def merge_spans(starts: list[int], stops: list[int]) -> list[tuple[int, int]]:
 
 
 def repeated_spans(docs: DataFrame, hot: int = 5000) -> DataFrame:
-    """(doc, start, stop): stretches of bytes covered by a 100-byte string that also starts earlier. docs: (doc, text)."""
-    found = _occurrences(docs).withColumn("deal", F.when(F.col("covered"), F.xxhash64("doc", "place")).otherwise(F.col("anchor")))
-    dealt = found.repartition("deal").sortWithinPartitions("anchor", "context", "doc", "place")
-    kinds = write_table(_runs(dealt), "anchor-runs")
-    whole = kinds.filter("kind = 0").select("doc", F.greatest(F.col("place") - SIDE, F.lit(0)).alias("start"), F.least(F.col("place") + ANCHOR + SIDE, F.col("n_bytes")).alias("stop"))
-    firsts = kinds.filter("kind = 1").select("anchor", "doc", "place")
-    contexts = write_table(_contexts(docs, firsts), "contexts")
-    groups = _grouped(contexts, hot).repartition("group").sortWithinPartitions("group", "doc", "place")
-    return whole.unionByName(_construct(groups))
-
-
-def remove_repeats(docs: DataFrame) -> DataFrame:
-    """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and the removed spans and the kept bytes."""
+    """(doc, uid, start, stop): stretches of bytes covered by a 100-byte string that also starts earlier. docs: (doc, uid, text)."""
+    found = _occurrences(docs).withColumn("deal", F.when(F.col("covered"), F.xxhash64("doc", "uid", "place")).otherwise(F.col("anchor")))
+    dealt = found.repartition("deal").sortWithinPartitions("anchor", "context", "doc", "uid", "place")
+    kinds = write_table(_runs(dealt.drop("deal")), "anchor-runs")
+    whole = kinds.filter("kind = 0").select("doc", "uid", F.greatest(F.col("place") - SIDE, F.lit(0)).alias("start"), F.least(F.col("place") + ANCHOR + SIDE, F.col("n_bytes")).alias("stop"))
+    contexts = write_table(_contexts(docs, kinds.filter("kind = 1").select("anchor", "doc", "uid", "place")), "contexts")
+    return whole.unionByName(_covered_contexts(contexts, hot))
+
+
+def remove_repeats(docs: DataFrame, hot: int = 5000, uid: Column | None = None) -> DataFrame:
+    """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and the removed spans and the kept bytes.
+
+    uid, if given, tells rows of one doc_id apart (place_in_file, say); without it the rows are numbered and written.
+    """
     bound_batches(docs.sparkSession)
-    own = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc"), F.col("text").cast("string").alias("text"))
-    spans = repeated_spans(own)
-    by_doc = spans.groupBy("doc").agg(F.collect_set(F.struct("start", "stop")).alias("cuts"))
+    own = identified(docs, uid, F.col("text").cast("string").alias("text"))
+    by_doc = repeated_spans(own, hot).groupBy("doc", "uid").agg(F.collect_set(F.struct("start", "stop")).alias("cuts"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -322,6 +332,6 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                 rows.append((None if doc == NULL_ID else doc, len(data), len(data) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), [{"start": a, "stop": b} for a, b in spans], kept))
             yield pd.DataFrame(rows, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept"]).astype({"doc_id": "Int64"})
 
-    return own.join(by_doc, "doc", "left").mapInPandas(
+    return own.join(by_doc, ["doc", "uid"], "left").select("doc", "text", "cuts").mapInPandas(
         run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start: long, stop: long>>, kept binary"
     )
