@@ -1,4 +1,4 @@
-"""Connected components of an edge table, by rounds of large-star and small-star steps."""
+"""Connected components of an edge table by contraction: hook to the smallest neighbour, jump to the root, relabel."""
 
 from __future__ import annotations
 
@@ -8,29 +8,35 @@ from pyspark.sql import functions as F
 from .common import write_table
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """One step. Each node's smallest neighbour is aggregated before the shuffle; a hot node is never gathered."""
-    if large:
-        near = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
-    else:
-        near = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    least = near.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    linked = near.join(least, "u")
-    if large:
-        out = linked.filter(F.col("v") > F.col("u")).select(F.col("v").alias("a"), F.col("m").alias("b"))
-    else:
-        out = linked.select(F.col("v").alias("a"), F.col("m").alias("b")).unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
-    return out.filter("a <> b").distinct()
-
-
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """(node, component) of all nodes on an edge (a, b); component is the smallest node reachable."""
-    edges = write_table(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    state = None
-    for _ in range(max_rounds):
-        edges = write_table(_star(_star(edges, True), False), "edges")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == state:
-            break
-        state = now
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct()
+def _roots(hooks: DataFrame) -> DataFrame:
+    """(node, root) of a forest given as (node, root) with root < node, by pointer doubling."""
+    while True:
+        ahead = hooks.select(F.col("node").alias("root"), F.col("root").alias("far"))
+        moved = write_table(hooks.join(ahead, "root", "left").select("node", F.coalesce("far", "root").alias("root"), F.col("far").isNotNull().alias("on")), "hooks")
+        hooks = moved.select("node", "root")
+        if moved.filter("on").isEmpty():
+            return hooks
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(node, component) of all nodes on an edge (a, b); component is the smallest node reachable.
+
+    In each round every node that has a smaller neighbour hooks to the smallest, an aggregate that is combined before its
+    shuffle; edges are then renamed to the roots, and those inside a tree go. It ends when no edge is left: each round joins at
+    least two roots of every component that has several. The joins are of written tables, so Spark splits a hub's rows.
+    """
+    ends = lambda a, b: (F.greatest(a, b).alias("a"), F.least(a, b).alias("b"))
+    edges = write_table(edges.filter("a <> b").select(*ends("a", "b")).distinct(), "edges")
+    trees = None
+    while not edges.isEmpty():
+        hooks = _roots(write_table(edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root")), "hooks"))
+        left, right = hooks.select(F.col("node").alias("a"), F.col("root").alias("x")), hooks.select(F.col("node").alias("b"), F.col("root").alias("y"))
+        renamed = edges.join(left, "a", "left").join(right, "b", "left").select(F.coalesce("x", "a").alias("a"), F.coalesce("y", "b").alias("b"))
+        edges = write_table(renamed.filter("a <> b").select(*ends("a", "b")).distinct(), "edges")
+        if trees is not None:
+            later = hooks.select(F.col("node").alias("root"), F.col("root").alias("far"))
+            hooks = write_table(trees.join(later, "root", "left").select("node", F.coalesce("far", "root").alias("root")).unionByName(hooks), "trees")
+        trees = hooks
+    if trees is None:
+        return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    return trees.select("node", F.col("root").alias("component")).unionByName(trees.select(F.col("root").alias("node"), F.col("root").alias("component")).distinct())

@@ -9,8 +9,10 @@ Candidates come in rounds: twice each bucket's first class against those of othe
 different components of a bucket, in blocks that give links only; pairs inside a component can't change it and are never
 made.
 
-Defined results: null, empty and blank texts have an empty set and are linked with nothing; rows with one doc_id count as
-one document; a null doc_id has component null, is kept and linked with nothing; extra columns are ignored.
+Defined results: null, empty and blank texts have an empty set and are linked with nothing; rows with one doc_id are documents
+of their own, told apart by their place in the input, so only the texts decide what is linked; a null doc_id has component null,
+is kept and linked with nothing; extra columns are ignored. `kept` is doc_id = component_id; where doc_ids repeat, `first` is true
+for just one row of each component.
 """
 
 from __future__ import annotations
@@ -20,10 +22,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, bound_batches, if_small, mix64, release, shingle_hashes, write_table
+from .common import NULL_ID, U64, bound_batches, free_model, identified, if_small, mix64, release, shingle_hashes, write_table
 from .components import components
 
 BUCKETS, MANTISSA, ROWS = 160, 10, 5
@@ -74,20 +76,22 @@ def estimate(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.n
 
 
 def sketches(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n_shingles, set_hash (null: empty set), regs."""
+    """doc, uid, n_shingles, set_hash (null: empty set), regs."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        free_model()
         for batch in batches:
             rows = []
             for text in batch["text"]:
                 s = np.unique(shingle_hashes(text, width))
                 rows.append((len(s), xxhash.xxh3_128_hexdigest(s.tobytes()) if len(s) else None, registers(s).tobytes() if len(s) else None))
             out = pd.DataFrame(rows, columns=["n_shingles", "set_hash", "regs"])
-            out.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy())
+            out.insert(0, "doc", batch["doc"].to_numpy())
+            out.insert(1, "uid", batch["uid"].to_numpy())
             yield out
         release()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInPandas(run, "doc_id long, n_shingles long, set_hash string, regs binary")
+    return docs.select("doc", "uid", "text").mapInPandas(run, "doc long, uid long, n_shingles long, set_hash string, regs binary")
 
 
 def _bands(classes: DataFrame) -> DataFrame:
@@ -115,15 +119,15 @@ def _hopeful(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
     return both.select("a", "b", "n_a", "n_b", "regs_a", "regs_b").mapInPandas(run, "a long, b long")
 
 
-def _sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """(doc_id, items): the sorted shingle hashes of the named documents."""
+def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """(rep, items): the sorted shingle hashes of classes, from the text of each one's first document (rep, doc, uid)."""
 
     def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "items": [np.unique(shingle_hashes(t, width)).tobytes() for t in batch["text"]]})
+            yield pd.DataFrame({"rep": batch["rep"], "items": [np.unique(shingle_hashes(t, width)).tobytes() for t in batch["text"]]})
+        release()
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return write_table(texts.join(if_small(ids), "doc_id", "left_semi").mapInPandas(gather, "doc_id long, items binary"), "sets")
+    return write_table(docs.join(if_small(wanted), ["doc", "uid"]).select("rep", "text").mapInPandas(gather, "rep long, items binary"), "sets")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -138,9 +142,9 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFra
                 keep.append(den * both >= num * (len(x) + len(y) - both))
             yield batch.loc[np.asarray(keep, bool), ["a", "b"]]
 
-    wanted = write_table(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "wanted")
-    few = sets.join(if_small(wanted), "doc_id", "left_semi")
-    side = lambda k, v: few.select(F.col("doc_id").alias(k), F.col("items").alias(v))
+    wanted = write_table(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "wanted")
+    few = sets.join(if_small(wanted), "rep", "left_semi")
+    side = lambda k, v: few.select(F.col("rep").alias(k), F.col("items").alias(v))
     return pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "x", "y").mapInPandas(check, "a long, b long")
 
 
@@ -150,14 +154,14 @@ def _block_links(labelled: DataFrame, heads: DataFrame, sets: DataFrame, num: in
     In each group the members outside its largest component meet all members, dealt in blocks, and are compared on full sets in
     the task: what comes out are links alone. Rows go up with the members, and comparisons with members times outsiders.
     """
-    inside = labelled.join(heads.select("band", "head"), "band").select("head", "rep", "comp").distinct()
+    inside = write_table(labelled.join(heads.select("band", "head"), "band").select("head", "rep", "comp").distinct(), "inside")
     counts = inside.groupBy("head", "comp").agg(F.count("*").alias("n"))
-    group = counts.groupBy("head").agg(F.max(F.struct("n", "comp"))["comp"].alias("main"), F.sum("n").alias("size"))
+    group = if_small(write_table(counts.groupBy("head").agg(F.max(F.struct("n", "comp"))["comp"].alias("main"), F.sum("n").alias("size")), "heads"))
     wide = F.greatest(F.lit(block // 16), F.least(F.lit(block), F.ceil(F.col("size") / 8)))
     placed = inside.join(group, "head").withColumn("blocks", F.ceil(F.col("size") / wide).cast("int"))
     members = placed.select("head", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("part"), F.lit(0).alias("kind"), "rep", "comp")
     others = placed.filter("comp <> main").select("head", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("part"), F.lit(1).alias("kind"), "rep", "comp")
-    rows = members.unionByName(others).join(sets.withColumnRenamed("doc_id", "rep"), "rep")
+    rows = members.unionByName(others).join(sets, "rep")
     rows = rows.repartition("head", "part").sortWithinPartitions("head", "part", "kind", "rep")
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -191,36 +195,61 @@ def _block_links(labelled: DataFrame, heads: DataFrame, sets: DataFrame, num: in
     return rows.select("head", "part", "kind", "rep", "comp", "items").mapInPandas(compare, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, star_rounds: int = 2, block: int = 4096) -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id, kept. Links: Jaccard index of at least num / den."""
+def _merged(comps: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Components (node, component) with further links put in; the links are renamed to what is known, so only a small graph of
+    components is searched anew."""
+    if comps is None:
+        return write_table(components(links), "components")
+    for end in ("a", "b"):
+        known = comps.select(F.col("node").alias(end), F.col("component").alias("c"))
+        links = links.join(known, end, "left").withColumn(end, F.coalesce("c", end)).drop("c")
+    step = write_table(components(links), "joined")
+    later = step.select(F.col("node").alias("component"), F.col("component").alias("far"))
+    old = comps.join(later, "component", "left").select("node", F.coalesce("far", "component").alias("component"))
+    return write_table(old.unionByName(step.join(comps, "node", "left_anti")), "components")
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, star_rounds: int = 2, block: int = 4096, uid: Column | None = None) -> DataFrame:
+    """Per row: doc_id, uid, n_shingles, component_id, kept, first. Links: Jaccard index of at least num / den.
+
+    uid, if given, tells rows of one doc_id apart (place_in_file, say); without it the rows are numbered and written.
+    """
     bound_batches(docs.sparkSession)
     least = num / den
+    docs = identified(docs, uid, F.col("text").cast("string").alias("text"))
     sketched = write_table(sketches(docs, width), "sketches")
-    filled = sketched.filter(F.col("set_hash").isNotNull() & F.col("doc_id").isNotNull())
-    classes = write_table(
-        filled.groupBy("set_hash").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("regs").alias("regs")), "classes"
-    )
+    filled = sketched.filter(F.col("set_hash").isNotNull() & (F.col("doc") != NULL_ID))
+    found = filled.groupBy("set_hash").agg(F.min(F.struct("doc", "uid")).alias("at"), F.first("n_shingles").alias("n_shingles"), F.first("regs").alias("regs"))
+    classes = write_table(found.withColumn("rep", F.monotonically_increasing_id()), "classes")
     bands = _bands(classes)
     buckets = bands.groupBy("band").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).filter("least < most")
-    shared = write_table(bands.join(buckets.select("band"), "band"), "bands")
-    sets = _sets(docs, write_table(shared.select(F.col("rep").alias("doc_id")).distinct(), "wanted"), width)
+    shared = write_table(bands.join(if_small(write_table(buckets.select("band"), "buckets")), "band"), "bands")
+    in_buckets = if_small(write_table(shared.select("rep").distinct(), "wanted"))
+    sets = _sets(docs, write_table(classes.join(in_buckets, "rep").select("rep", "at.doc", "at.uid"), "wanted"), width)
 
-    links, comps = None, None
+    comps = None
     for number in range(star_rounds + 1):
         if comps is None:
             labelled = shared.withColumn("comp", F.col("rep"))
         else:
             labelled = shared.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("band", "rep", F.coalesce("component", "rep").alias("comp"))
         heads = labelled.groupBy("band").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.min(F.struct("comp", "rep"))["rep"].alias("head")).filter("c0 < c1")
+        heads = if_small(write_table(heads, "heads"))
         if number < star_rounds:  # a bucket's first class against those of other components
             pairs = labelled.join(heads, "band").filter("comp <> c0").select(F.least("head", "rep").alias("a"), F.greatest("head", "rep").alias("b"))
             hopeful = write_table(_hopeful(write_table(pairs.distinct(), "pairs"), classes, least), "hopeful")
-            found = write_table(_confirmed(hopeful, sets, num, den), "links")
+            links = write_table(_confirmed(hopeful, sets, num, den), "links")
         else:
-            found = write_table(_block_links(labelled, heads, sets, num, den, block), "links")
-        links = found if links is None else links.unionByName(found)
-        comps = write_table(components(links), "components")
-    members = classes.select("set_hash", "rep").join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("set_hash", F.coalesce("component", "rep").alias("component"))
-    usable = F.when(F.col("doc_id").isNotNull(), F.col("set_hash"))
-    out = sketched.drop("regs").withColumn("set_hash", usable).join(members, "set_hash", "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"), F.coalesce(F.coalesce("component", "doc_id") == F.col("doc_id"), F.lit(True)).alias("kept"))
+            links = write_table(_block_links(labelled, heads, sets, num, den, block), "links")
+        comps = _merged(comps, links)
+    placed = write_table(comps.join(classes.select(F.col("rep").alias("node"), "set_hash", "at"), "node"), "members")
+    heads = write_table(placed.groupBy("component").agg(F.min("at").alias("head")), "heads")
+    named = placed.join(if_small(heads), "component").select("set_hash", "head")
+    alone = classes.join(comps.select(F.col("node").alias("rep")), "rep", "left_anti").select("set_hash", F.col("at").alias("head"))
+    members = write_table(named.unionByName(alone), "class-heads")
+    usable = F.when(F.col("doc") != NULL_ID, F.col("set_hash"))
+    out = sketched.select("doc", "uid", "n_shingles", usable.alias("set_hash")).join(members, "set_hash", "left")
+    doc_id = F.when(F.col("doc") != NULL_ID, F.col("doc"))
+    component = F.when(F.col("doc") != NULL_ID, F.coalesce("head.doc", "doc"))
+    first = F.col("head").isNull() | ((F.col("head.doc") == F.col("doc")) & (F.col("head.uid") == F.col("uid")))
+    return out.select(doc_id.alias("doc_id"), "uid", "n_shingles", component.alias("component_id"), F.coalesce(component == doc_id, F.lit(True)).alias("kept"), first.alias("first"))
