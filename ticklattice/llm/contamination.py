@@ -19,11 +19,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import U64, bound_batches, mix64, shingle_hashes
+from .common import U64, bound_batches, free_model, identified, if_small, mix64, shingle_hashes, write_table
 
 
 class ItemIndex:
@@ -110,34 +111,44 @@ def contained_items(docs: DataFrame, items: DataFrame, width: int = 5, least: fl
     items = items.select("item_id", "text")
     size = items.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b")).first()
     blocks = max(1, -(-size["n"] // items_per_block), -(-size["b"] // bytes_per_block))
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in [docs.schema["doc_id"], items.schema["item_id"]]) + ", n_item long, n_shared long, containment double"
+    kind = items.schema["item_id"].dataType
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, item_id {kind.simpleString()}, n_item long, n_shared long, containment double"
+    types = (to_arrow_type(kind), pa.int64(), pa.int64(), pa.float64())
     out = None
     for k in range(blocks):
         rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()
         index = ItemIndex([r["item_id"] for r in rows], [r["text"] for r in rows], width, functions)
 
-        def run(batches: Iterator[pd.DataFrame], index: ItemIndex = index) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                for at in range(0, len(batch), 200):
-                    part = batch.iloc[at : at + 200]
-                    shingles = [shingle_hashes(t, index.width) for t in part["text"]]
-                    ids, found, sets = part["doc_id"].tolist(), [], {}
+        def run(batches: Iterator[pa.RecordBatch], index: ItemIndex = index) -> Iterator[pa.RecordBatch]:
+            free_model()
+            for whole in batches:
+                for at in range(0, whole.num_rows, 200):
+                    batch = whole.slice(at, 200)
+                    shingles = [shingle_hashes(t, index.width) for t in batch.column(1).to_pylist()]
+                    found, sets = [], {}
                     for d, i in sorted(index.candidates(shingles)):
                         if d not in sets:
                             sets = {d: np.unique(shingles[d])}
                         item, own = index.sets[i], sets[d]
-                        at_own = np.searchsorted(own, item)
-                        shared = int((own[np.minimum(at_own, len(own) - 1)] == item).sum())
+                        place = np.searchsorted(own, item)
+                        shared = int((own[np.minimum(place, len(own) - 1)] == item).sum())
                         if shared >= least * len(item) - 1e-9:
-                            found.append((ids[d], index.ids[i], len(item), shared, shared / len(item)))
-                    yield pd.DataFrame(found, columns=["doc_id", "item_id", "n_item", "n_shared", "containment"]).astype({"doc_id": "Int64"} if len(found) else None) if found else pd.DataFrame({"doc_id": [], "item_id": [], "n_item": [], "n_shared": [], "containment": []})
+                            found.append((d, index.ids[i], len(item), shared, shared / len(item)))
+                    docs_at, *columns = zip(*found, strict=True) if found else [()] * 5
+                    made = [pa.array(column, of) for column, of in zip(columns, types, strict=True)]
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(docs_at, pa.int32())), *made], ["doc_id", "item_id", "n_item", "n_shared", "containment"])
 
-        part = docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInPandas(run, schema)
+        part = docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
         out = part if out is None else out.unionByName(part)
     return out
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """Documents that hold no item."""
-    hit = contained_items(docs, items, **options).select("doc_id").distinct()
-    return docs.join(hit, "doc_id", "left_anti").select(docs.columns)
+def drop_contaminated(docs: DataFrame, items: DataFrame, uid: Column | None = None, **options) -> DataFrame:
+    """Documents that hold no item.
+
+    uid, if given, tells rows of one doc_id apart (place_in_file, say); without it the rows are numbered and written.
+    """
+    rows = identified(docs, uid, F.col("text").cast("string").alias("text"), F.struct("*").alias("row"))
+    found = contained_items(rows.select(F.struct("doc", "uid").alias("doc_id"), "text"), items, **options)
+    hit = if_small(write_table(found.select("doc_id.*").distinct(), "contaminated"))
+    return rows.join(hit, ["doc", "uid"], "left_anti").select("row.*")
