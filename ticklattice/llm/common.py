@@ -6,11 +6,13 @@ import contextlib
 import ctypes
 import tempfile
 import uuid
+from collections.abc import Callable
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 NULL_ID = -(2**63)
@@ -22,7 +24,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def bound_batches(spark: SparkSession, most: str = "4m", rows: int = 1000) -> None:
+def bound_batches(spark: SparkSession, most: str = "2m", rows: int = 1000) -> None:
     """Bounds the Arrow batches that Python workers get, unless the session does so itself: rows of text may be very long."""
     for key, value in (("maxBytesPerBatch", most), ("maxRecordsPerBatch", str(rows))):
         if spark.conf.get(f"spark.sql.execution.arrow.{key}", None) is None:
@@ -36,10 +38,31 @@ def release() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+_model: list[Any] = [None, None]
+
+
+def model(key: Any, make: Callable[[], Any]) -> Any:
+    """make(), held for a worker's next task with this key. A worker holds one model at a time, and free_model() drops it."""
+    if _model[0] != key:
+        free_model()
+        _model[:] = key, make()
+    return _model[1]
+
+
+def free_model() -> None:
+    """Called at the start of tasks that need no model: what an earlier stage left in the worker goes."""
+    if _model[0] is not None:
+        _model[:] = None, None
+        release()
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or an own one where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. In a local session, where all is one machine, it may be
+    unset and an own folder is taken; on a cluster that is an error."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="spark-shared-")
         spark.sparkContext.setCheckpointDir(found)
     return found
@@ -53,12 +76,27 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def place_in_file(scan: DataFrame) -> Column:
+    """A row's id from its file and its place there, for a DataFrame read from Parquet files: the same in every pass, unique, and
+    rising with the place in a file."""
+    meta = scan.metadataColumn("_metadata")
+    return F.xxhash64(meta["file_path"]).bitwiseAND(F.lit(2**62 - 1)) + meta["row_index"]
+
+
+def identified(docs: DataFrame, uid: Column | None, *columns: Column) -> DataFrame:
+    """doc (doc_id; null: NULL_ID), uid and the columns. Without a uid the rows are numbered once and written."""
+    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc")
+    if uid is None:
+        return write_table(docs.select(doc, F.monotonically_increasing_id().alias("uid"), *columns), "numbered")
+    return docs.select(doc, uid.alias("uid"), *columns)
+
+
 def if_small(table: DataFrame, rows: int = 500_000) -> DataFrame:
     """A written table of narrow rows, marked for broadcast if it is counted to have at most `rows`; beyond, joins shuffle it."""
     return F.broadcast(table) if table.count() <= rows else table
 
 
-def partitions_for(df: DataFrame, rows: int, rows_per_partition: int) -> int:
+def partitions_for(rows: int, rows_per_partition: int) -> int:
     """Partitions that hold about rows_per_partition each, never fewer than one."""
     return max(1, -(-rows // rows_per_partition))
 

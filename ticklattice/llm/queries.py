@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import ann, chat, contamination, langid, licenses, lines, minhash, packing, sharding, substrings
-from .common import read_table
+from .common import place_in_file, read_table
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,7 +36,8 @@ def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = lines.dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = read_table(spark, sf_dir, "documents")
+    found = lines.dedup_lines(docs.select("doc_id", "text"), uid=place_in_file(docs))
     return found.select("row.doc_id", "n_lines", "n_removed", F.md5("text").alias("kept_md5"), F.length("text").alias("kept_chars"))
 
 
@@ -45,12 +46,15 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = substrings.remove_repeats(read_table(spark, sf_dir, "documents"))
+    docs = read_table(spark, sf_dir, "documents")
+    found = substrings.remove_repeats(docs, uid=place_in_file(docs))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(read_table(spark, sf_dir, "documents"), width=4)
+    docs = read_table(spark, sf_dir, "documents")
+    found = minhash.near_duplicates(docs, width=4, uid=place_in_file(docs))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
