@@ -13,6 +13,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from ticklattice.llm import contamination, langid, licenses, lines, minhash, packing, sharding, substrings
+from ticklattice.llm.common import place_in_file
+from ticklattice.llm.components import components
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 DOCS = "doc_id long, text string, lang string, _doc string, cell string"
@@ -69,7 +71,7 @@ def test_sharding(spark, corpus):
 
 def test_sharding_splits_a_hot_group(spark):
     rows = [(i, "the same text" if i % 3 else f"text {i}", None, None, None) for i in range(900)]
-    got = sharding.assign_shards(frame(spark, rows), n_shards=4, sample_rows=200).groupBy("shard").agg(F.sum("size")).collect()
+    got = sharding.assign_shards(frame(spark, rows), n_shards=4, range_rows=50).groupBy("shard").agg(F.sum("size")).collect()
     assert max(x[1] for x in got) - min(x[1] for x in got) <= 40
 
 
@@ -111,6 +113,33 @@ def test_packing(spark, corpus):
     assert packing.pack_documents(empty(spark), TOKENIZER).count() == 0
 
 
+def test_ids_are_those_of_tokenizers():
+    """Every code point by itself and between neighbours of each kind, the whole vocabulary, and pairs of kinds of characters."""
+    from tokenizers import Tokenizer
+
+    slow = Tokenizer.from_file(TOKENIZER)
+    slow.encode_special_tokens = True
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = ["".join(points[i : i + 500]) for i in range(0, len(points), 500)]
+    texts += ["".join(f"{c} {c}a{c}1{c}.{c}{c}" for c in points[i : i + 100]) for i in range(0, 0x3100, 100)]
+    kinds = ["a", "É", "中", "7", "²", ".", "'", "'s", "'LL", "'re", " ", "  ", "\t", "\n", "\r\n", "\u00a0", "\u3000", "\u200b", "_", "😀", "e\u0301", "<|endoftext|>"]
+    texts += ["".join(x) for x in itertools.product(kinds, repeat=3)]
+    texts += [f"{a}{token}{b}" for token in slow.get_vocab() for a, b in (("", ""),)]
+    made = slow.decode_batch([[i] for i in range(slow.get_vocab_size())], skip_special_tokens=False)
+    texts += made + [f" {x}{y}" for x, y in itertools.pairwise(made)] + ["", "a" * 20_000, " " * 20_000, "ab" * 5000]
+    encoder = packing.Encoder(TOKENIZER)
+    for at in range(0, len(texts), 5000):
+        part = texts[at : at + 5000]
+        assert encoder.encode(part) == [np.asarray(x.ids, "<u4").tobytes() for x in slow.encode_batch(part, add_special_tokens=False)]
+
+
+def test_packing_ends_where_nothing_fits(spark):
+    """Pieces of over half a sequence never share one; rounds must end, over many tasks, and lose none."""
+    pieces = spark.createDataFrame([(i, 0, 0, 1100 + i % 7, i) for i in range(3000)], packing.PIECES)
+    got = packing.pack(pieces, items_per_task=100).collect()
+    assert len(got) == 3000 and len({r.sequence_id for r in got}) == 3000 and all(r.offset == 0 for r in got)
+
+
 def test_language_id(spark):
     rng = random.Random(2)
     words = {"en": "the and of with house river stone that".split(), "de": "der und von mit haus fluss stein dass".split(), "fr": "le et de avec maison rivière pierre que".split()}
@@ -128,14 +157,25 @@ def test_language_id(spark):
     assert langid.identify(docs, {}).filter("lang_pred <> 'und'").count() == 0
 
 
+def test_language_of_long_repeated_and_tied_texts(spark):
+    learned = {"en": b" the house of stone and the river that ", "de": b" das haus aus stein und der fluss dass ", "xx": b" the house of stone and the river that "}
+    rows = [(1, "the house of stone " * 30_000, None, None, None), (1, "das haus aus stein und der fluss", None, None, None), (1, "das haus aus stein und der fluss", None, None, None)]
+    got = sorted((len(r.row.text), r.lang_pred, r.rejected) for r in langid.identify(frame(spark, rows), learned).collect())
+    assert got[0] == got[1] == (32, "de", False) and got[2][1:] == ("en", True)  # en and xx are one
+    one = langid.Classifier(learned)
+    for row in rows:  # the brute-force version: every dictionary by itself
+        assert one.sizes(row[1]) == [langid.Classifier({k: v}).sizes(row[1])[0] for k, v in sorted(learned.items())]
+
+
 def shingles(text, width):
     found = re.findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
     return {tuple(found[i : i + width]) for i in range(len(found) - width + 1)} if len(found) >= width else ({tuple(found)} if found else set())
 
 
 def groups(rows, width):
-    sets = {d: shingles(t, width) for d, t, *_ in rows if d is not None}
-    root = {d: d for d in sets}
+    """(set size, component) of each row with a doc_id, by its place in rows; component is the least doc_id."""
+    sets = {n: shingles(t, width) for n, (d, t, *_) in enumerate(rows) if d is not None}
+    root = {n: n for n in sets}
 
     def find(x):
         while root[x] != x:
@@ -147,23 +187,40 @@ def groups(rows, width):
         if both and 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both):
             x, y = find(a), find(b)
             root[max(x, y)] = min(x, y)
-    return {d: (len(sets[d]), find(d)) for d in sets}
+    least = {}
+    for n in sets:
+        least[find(n)] = min(least.get(find(n), rows[n][0]), rows[n][0])
+    return {n: (len(sets[n]), least[find(n)]) for n in sets}
+
+
+def found_groups(got):
+    return sorted((r.doc_id is not None, r.doc_id or 0, r.n_shingles, r.component_id or 0, r.kept) for r in got)
+
+
+def wanted_groups(rows, width):
+    want = groups(rows, width)
+    blank = [(False, 0, len(shingles(t, width)), 0, True) for d, t, *_ in rows if d is None]
+    return sorted([*blank, *((True, rows[n][0], size, least, least == rows[n][0]) for n, (size, least) in want.items())])
 
 
 @pytest.mark.parametrize("width", [4, 5])
 def test_near_duplicates(spark, corpus, width):
-    rows = [*corpus, corpus[5], (None, corpus[5][1], None, None, None)]
-    want = groups(rows, width)
+    rows = [*corpus, corpus[5], (None, corpus[5][1], None, None, None), (5, "a text of its own under a doc_id that is there already", None, None, None), (3, corpus[9][1], None, None, None)]
     got = minhash.near_duplicates(frame(spark, rows), width=width).collect()
-    assert len(got) == len(rows)
-    for r in got:
-        if r.doc_id is None:
-            assert r.kept and r.component_id is None
-        else:
-            assert (r.n_shingles, r.component_id) == want[r.doc_id] and r.kept == (r.doc_id == r.component_id)
+    assert found_groups(got) == wanted_groups(rows, width)
+    sized = [r for r in got if r.doc_id is not None and r.n_shingles]
+    of = collections.Counter(r.component_id for r in sized)
+    assert all(r.first for r in got if r.doc_id is None or not r.n_shingles) and all(n >= 1 for n in of.values())
+    assert sum(r.first for r in got) < sum(r.kept for r in got)  # the repeated row
     assert minhash.near_duplicates(empty(spark)).count() == 0
 
 
+def test_one_doc_id_two_texts(spark):
+    a, b = "one text of quite enough words to be told apart", "and some other words that nobody else has ever said"
+    got = minhash.near_duplicates(frame(spark, [(1, a, None, None, None), (2, b, None, None, None), (2, a, None, None, None)])).collect()
+    assert sorted((r.doc_id, r.component_id, r.kept, r.first) for r in got) == [(1, 1, True, True), (2, 1, False, False), (2, 2, True, True)]
+
+
 def test_near_duplicates_of_one_large_group(spark):
     """A chain of edits: every copy is linked to some other, but few to the first; no star finds that."""
     rng = random.Random(9)
@@ -172,9 +229,28 @@ def test_near_duplicates_of_one_large_group(spark):
         words = list(words)
         words[rng.randrange(60)] = f"w{i}"
         rows.append((i, " ".join(words), None, None, None))
-    want = groups(rows, 4)
     got = minhash.near_duplicates(frame(spark, rows), width=4, star_rounds=1, block=64).collect()
-    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+    assert found_groups(got) == wanted_groups(rows, 4)
+
+
+@pytest.mark.parametrize("shape", ["hub", "path", "mixed"])
+def test_components(spark, shape):
+    rng = random.Random(5)
+    ids = rng.sample(range(10**6), 120)
+    edges = {"hub": [(ids[0], x) for x in ids[1:]], "path": list(itertools.pairwise(ids)), "mixed": [(rng.choice(ids), rng.choice(ids)) for _ in range(70)]}[shape]
+    root = {x: x for e in edges for x in e}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        x, y = find(a), find(b)
+        root[max(x, y)] = min(x, y)
+    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {x: find(x) for e in edges for x in e if any(a != b and x in (a, b) for a, b in edges)}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
 def test_registers_keep_order():
@@ -185,29 +261,37 @@ def test_registers_keep_order():
     assert abs(est - 0.8) < 0.12 and (a > 0).all()
 
 
-def test_repeated_bytes(spark, corpus):
-    rows = sorted((-1 if d is None else d, (t or "").encode()) for d, t, *_ in [*corpus, (None, corpus[0][1], None, None, None)])
-    first, want = set(), {}
-    for d, data in rows:
+def repeats_of(rows):
+    first, want = set(), []
+    for d, data in sorted(((-1 if d is None else d, (t or "").encode()) for d, t, *_ in rows), key=lambda x: x[0]):
         covered = bytearray(len(data))
         for i in range(len(data) - 99):
             if data[i : i + 100] in first:
                 covered[i : i + 100] = b"\1" * 100
             first.add(data[i : i + 100])
         kept = bytes(x for x, c in zip(data, covered) if not c)
-        want[d] = (len(data), sum(covered), len(re.findall(b"\1+", bytes(covered))), hashlib.sha256(kept).hexdigest())
-    docs = frame(spark, [*corpus, (None, corpus[0][1], None, None, None)])
-    for hot in (5000, 2):
-        original = substrings.repeated_spans
-        try:
-            substrings.repeated_spans = lambda d, hot=hot: original(d, hot)
-            got = substrings.remove_repeats(docs).collect()
-        finally:
-            substrings.repeated_spans = original
-        assert {-1 if r.doc_id is None else r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == want
+        want.append((d, len(data), sum(covered), len(re.findall(b"\1+", bytes(covered))), hashlib.sha256(kept).hexdigest()))
+    return sorted(want)
+
+
+@pytest.mark.parametrize("hot", [5000, 2])
+def test_repeated_bytes(spark, corpus, hot):
+    rng = random.Random(12)
+    shared = "z" + prose(rng, 30)  # one hot anchor: a passage with something different on both sides of it
+    rows = [*corpus, (None, corpus[0][1], None, None, None), *[(300 + i, f"{prose(rng, 9)} {i} {shared[: rng.randint(60, 140)]} {i} {prose(rng, 9)}", None, None, None) for i in range(40)]]
+    got = substrings.remove_repeats(frame(spark, rows), hot).collect()
+    assert sorted((-1 if r.doc_id is None else r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == repeats_of(rows)
     assert substrings.remove_repeats(empty(spark)).count() == 0
 
 
+def test_repeated_bytes_of_one_doc_id(spark):
+    rng = random.Random(13)
+    texts = [prose(rng, 60) for _ in range(3)]
+    rows = [(None, texts[0], None, None, None), (None, texts[1], None, None, None), (None, f"{texts[2]} {texts[0][20:190]}", None, None, None), (7, texts[0][:150] + "x", None, None, None), (7, prose(rng, 50), None, None, None)]
+    got = substrings.remove_repeats(spark.createDataFrame(rows, DOCS).coalesce(1)).collect()
+    assert sorted((-1 if r.doc_id is None else r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == repeats_of(rows)
+
+
 def one_edit(a, b):
     if abs(len(a) - len(b)) > 1:
         return False
@@ -233,21 +317,45 @@ def test_near_lines(spark):
                 del t[at]
             made.append("".join(t))
         rows.append((i, "\n".join(made) if rng.random() > 0.05 else None, "en", "a", "b"))
-    rows.append((None, base[0], None, None, None))
-    seen = sorted((-1 if d is None else d, n, x) for d, t, *_ in rows if t is not None for n, x in enumerate(t.split("\n")) if len(x) >= 16)
-    gone = {(d, n) for k, (d, n, x) in enumerate(seen) if any(one_edit(x, y) for _, _, y in seen[:k])}
-    got = lines.dedup_lines(frame(spark, rows)).collect()
-    assert len(got) == len(rows)
-    for r in got:
-        d, t = r.row.doc_id, r.row.text
-        if t is None:
-            assert r.text is None and r.n_removed == 0
-        else:
-            kept = [x for n, x in enumerate(t.split("\n")) if (-1 if d is None else d, n) not in gone]
-            assert (r.text, r.n_lines, r.n_removed) == ("\n".join(kept), t.count("\n") + 1, t.count("\n") + 1 - len(kept))
+    rows += [(None, base[0], None, None, None), (None, "a line of a row without an id\n\nshort\n  ", None, None, None), (7, "short\nquite a different text here", None, None, None), (500, "short", None, None, None), (501, "", None, None, None)]
+    assert near_lines_found(spark.createDataFrame(rows, DOCS).coalesce(1)) == near_lines_wanted(rows)
     assert lines.dedup_lines(empty(spark)).count() == 0
 
 
+def near_lines_wanted(rows):
+    """(doc_id, text, what is left) of each row; rows of one doc_id in the given order."""
+    order = sorted(range(len(rows)), key=lambda k: (-1 if rows[k][0] is None else rows[k][0], k))
+    seen, out = [], []
+    for k in order:
+        d, t, *_ = rows[k]
+        kept = None if t is None else []
+        for x in t.split("\n") if t is not None else ():
+            near = any(x == y or min(len(x), len(y)) >= 16 and one_edit(x, y) for y in seen) if x.strip() else False
+            kept += [] if near else [x]
+            seen += [x] if x.strip() else []
+        out.append((-1 if d is None else d, t or "", kept is None, "\n".join(kept or []), 0 if t is None else t.count("\n") + 1 - len(kept)))
+    return sorted(out)
+
+
+def near_lines_found(docs, **options):
+    return sorted((-1 if r.row.doc_id is None else r.row.doc_id, r.row.text or "", r.text is None, r.text or "", r.n_removed) for r in lines.dedup_lines(docs, **options).collect())
+
+
+def test_near_lines_of_one_doc_id(spark, tmp_path):
+    rows = [(None, "the first text\nsecond quite different text there", None, None, None), (None, "some more words\nthe first text", None, None, None), (3, "x" * 30 + "\n" + "y" * 40, None, None, None), (3, "y" * 39, None, None, None)]
+    docs = spark.createDataFrame(rows, DOCS).coalesce(1)
+    assert near_lines_found(docs) == near_lines_wanted(rows)
+    docs.write.parquet(f"{tmp_path}/docs")
+    read = spark.read.parquet(f"{tmp_path}/docs")
+    assert near_lines_found(read, uid=place_in_file(read)) == near_lines_wanted(rows)
+
+
+def test_a_very_common_line(spark):
+    rows = [(i, f"number {i} says\na line that everybody has\nok", None, None, None) for i in range(400)]
+    got = lines.dedup_lines(frame(spark, rows)).collect()
+    assert sorted(r.row.doc_id for r in got if r.n_removed < 2) == [0]
+
+
 def test_contained_items(spark):
     rng = random.Random(8)
     vocabulary = [f"w{i}" for i in range(3000)]

@@ -39,6 +39,30 @@ def test_nearest_of_few_and_none(spark):
     assert ann.nearest(df.filter("false")).count() == 0 and ann.nearest(df.filter("vec_id > 0")).count() == 0
 
 
+def test_all_candidates_where_there_are_few(spark):
+    """Tables of 1 to 50 vectors, with equal scores of different vectors, against brute force."""
+    rng = np.random.default_rng(7)
+    for n in (1, 2, 8, 21, 22, 50):
+        rows = [(i, [float(x) for x in rng.integers(-1, 2, 8)] if i % 3 else [1.0] * 8) for i in range(n)]
+        want = {q: [(i, s) for s, i in near] for q, near in exact(rows, 20).items()}
+        got = {}
+        for r in ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect():
+            got.setdefault(r.query_id, {})[r.rank] = (r.vec_id, -r.score)
+        assert {q: [x for _, x in sorted(near.items())] for q, near in got.items()} == {q: near for q, near in want.items() if near}
+
+
+def test_dimensions_are_searched_apart(spark):
+    rows = [(0, [1.0, 0.0]), (1, [1.0, 1.0]), (2, [2.0, 0.0, 1.0]), (20, [1.0, 1.0, 1.0]), (3, [0.5, 0.0, 0.0]), (40, [7.0])]
+    got = [(r.query_id, r.rank, r.vec_id, r.score) for r in ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()]
+    assert sorted(got) == [(0, 1, 1, 1.0), (20, 1, 2, 3.0), (20, 2, 3, 0.5)]
+
+
+def test_ties_at_the_last_rank(spark):
+    rows = [(i, [1.0, 0.0, float(i)] if i else [1.0, 1.0, 0.0]) for i in range(60)]
+    got = sorted((r.rank, r.vec_id) for r in ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect() if r.query_id == 0)
+    assert [i for _, i in got] == list(range(1, 21))
+
+
 def test_probe_order_starts_with_the_own_cell():
     order = ann.probe_order(4, 81)
     assert order[0] == () and order[1] == (1,) and len(order) == len(set(order)) == 81
