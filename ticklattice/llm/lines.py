@@ -1,8 +1,8 @@
 """Near-equal line removal by a deletion-neighbourhood join, within one edit.
 
-Lines of at least `min_chars` characters count, over all documents; the earliest occurrence (doc_id, line number) stays.
-A line goes if an equal line, or one within one edit (a character put in, left out or changed), occurs earlier; this is
-judged on the input, not on what is left.
+All lines that are not blank count, over all documents; the earliest occurrence (doc_id, row, line number) stays. A line goes if
+an equal line occurs earlier, or, between lines of at least `min_chars` characters, one within one edit (a character put in, left
+out or changed); shorter lines that differ say different things. This is judged on the input, not on what is left.
 
 Emitting a variant per character of every line would swamp the shuffle, so it is done in two steps. Different lines within one
 edit agree outside one half: first each line is keyed by what is left without each half, for its own length and
@@ -11,8 +11,11 @@ deletions emitted as hashed variants. Equal variants are joined by aggregates: d
 one change apart, and a deletion that equals a whole line is one character apart. The earliest partner's edit distance is
 then verified on the lines themselves.
 
-Defined results: null text stays null; empty texts and short lines stay; a null doc_id sorts first; rows with one doc_id
-count as one document; columns of any name are kept in `row`.
+A very common line is one row once its occurrences are aggregated; its occurrences then meet that row in a join of two plain
+shuffles, which Spark splits where it is skewed.
+
+Defined results: null text stays null; empty texts and blank lines stay; a null doc_id sorts first; rows with one doc_id are
+told apart by their place in the input, the earlier keeping its lines; columns of any name are kept in `row`.
 """
 
 from __future__ import annotations
@@ -21,14 +24,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, U64, bound_batches, if_small, mix64, release, write_table
+from .common import U64, bound_batches, free_model, identified, if_small, mix64, release, write_table
 
 PARTS = 2
-#: Lines to take out up to which their list is broadcast; beyond, texts are shuffled to it.
-SMALL = 1_000_000
+#: Bytes of the list of lines to take out up to which it is broadcast; beyond, texts are shuffled to it.
+SMALL = 32_000_000
 BASE = 0xC2B2AE3D27D4EB4F
 
 
@@ -91,22 +94,43 @@ def _part_keys(lines: list[str]) -> np.ndarray:
 
 
 def _occurrences(docs: DataFrame, min_chars: int) -> DataFrame:
-    """doc, line_no, h1, h2 and part keys of each line that counts."""
-    lines = docs.select("doc", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).filter(F.length("line") >= min_chars)
+    """doc, uid, line_no, h1, h2 and part keys (none under min_chars) of each line that counts."""
+    lines = docs.select("doc", "uid", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).filter(F.col("line").rlike(r"\S"))
     lines = lines.withColumns({"h1": F.xxhash64("line"), "h2": F.xxhash64(F.lit(1), "line")})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        free_model()
         for batch in batches:
             for at in range(0, len(batch), 1000):
                 part = batch.iloc[at : at + 1000]
-                yield part[["doc", "line_no", "h1", "h2"]].assign(keys=list(_part_keys(part["line"].tolist())))
+                texts = part["line"].tolist()
+                made = iter(_part_keys([t for t in texts if len(t) >= min_chars]))
+                yield part[["doc", "uid", "line_no", "h1", "h2"]].assign(keys=[next(made) if len(t) >= min_chars else () for t in texts])
+        release()
+
+    return lines.mapInPandas(run, "doc long, uid long, line_no int, h1 long, h2 long, keys array<long>")
+
+
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Adds `line` to (doc, uid, line_no, h1, h2, slots)."""
+    marks = wanted.groupBy("doc", "uid").agg(F.collect_list(F.struct("line_no", "h1", "h2", "slots")).alias("marks"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for doc, uid, text, found in zip(batch["doc"], batch["uid"], batch["text"], batch["marks"], strict=True):
+                lines = text.split("\n")
+                rows += [(doc, uid, m["line_no"], m["h1"], m["h2"], m["slots"], lines[m["line_no"]]) for m in found]
+            yield pd.DataFrame(rows, columns=["doc", "uid", "line_no", "h1", "h2", "slots", "line"])
         release()
 
-    return lines.mapInPandas(run, "doc long, line_no int, h1 long, h2 long, keys array<long>")
+    return docs.join(if_small(write_table(marks, "line-marks")), ["doc", "uid"]).select("doc", "uid", "text", "marks").mapInPandas(
+        run, "doc long, uid long, line_no int, h1 long, h2 long, slots array<int>, line string"
+    )
 
 
 def _variants(candidates: DataFrame) -> DataFrame:
-    """From (line, h1, h2, doc, line_no, slots): variant, side (0: a place of change, 1: the shorter line, 2: the longer)."""
+    """From (line, h1, h2, doc, uid, line_no, slots): variant, side (0: a place of change, 1: the shorter line, 2: the longer)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -135,51 +159,78 @@ def _variants(candidates: DataFrame) -> DataFrame:
                 ]
                 for who, variant, side in parts:
                     out = pd.DataFrame({"variant": variant, "side": side, "who": who}).drop_duplicates()
-                    for c in ("h1", "h2", "doc", "line_no"):
+                    for c in ("h1", "h2", "doc", "uid", "line_no"):
                         out[c] = part[c].to_numpy()[out["who"]]
                     yield out.drop(columns="who")
         release()
 
-    return candidates.select("line", "h1", "h2", "doc", "line_no", "slots").mapInPandas(run, "variant long, side int, h1 long, h2 long, doc long, line_no int")
+    return candidates.select("line", "h1", "h2", "doc", "uid", "line_no", "slots").mapInPandas(run, "variant long, side int, h1 long, h2 long, doc long, uid long, line_no int")
+
+
+def _links(variants: DataFrame) -> DataFrame:
+    """From (variant, side, h1, h2, doc, uid, line_no): h1, h2 of each line that shares a variant with an earlier one, and t1, t2,
+    doc, uid and line_no of the earliest that does. A side meets its own (0), or the other (1 and 2). Rows come sorted by variant
+    and place, so the state is the first row of each side; a variant's rows are as many as there are letters to put in its place."""
+    names = ["variant", "side", "h1", "h2", "doc", "uid", "line_no"]
+    partner = np.asarray([0, 2, 1])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = [np.empty(0, np.int64) for _ in names]  # the first row of each side of the last variant
+        for batch in batches:
+            if not len(batch):
+                continue
+            cols = [np.r_[h, batch[c].to_numpy(np.int64)] for h, c in zip(held, names, strict=True)]
+            variant, side = cols[:2]
+            group = np.cumsum(np.r_[True, variant[1:] != variant[:-1]]) - 1
+            first = np.full((group[-1] + 1, 3), len(variant))
+            np.minimum.at(first, (group, side), np.arange(len(variant)))
+            to = first[group, partner[side]]
+            i = np.flatnonzero((to < np.arange(len(variant))) & (np.arange(len(variant)) >= len(held[0])))
+            if len(i):
+                t = to[i]
+                yield pd.DataFrame({"h1": cols[2][i], "h2": cols[3][i], "t1": cols[2][t], "t2": cols[3][t], "doc": cols[4][t], "uid": cols[5][t], "line_no": cols[6][t]})
+            last = np.sort(first[-1][first[-1] < len(variant)])
+            held = [c[last] for c in cols]
+
+    dealt = variants.repartition("variant").sortWithinPartitions("variant", "doc", "uid", "line_no", "side")
+    return dealt.mapInPandas(run, "h1 long, h2 long, t1 long, t2 long, doc long, uid long, line_no int")
 
 
 def doomed_lines(docs: DataFrame, min_chars: int = 16) -> DataFrame:
-    """(doc, line_no) of lines that go. docs: (doc, text) with doc not null."""
+    """(doc, uid, line_no) of lines that go. docs: (doc, uid, text), doc and uid not null and together unique."""
     seen = write_table(_occurrences(docs, min_chars), "lines")
-    lines = write_table(seen.groupBy("h1", "h2").agg(F.min(F.struct("doc", "line_no")).alias("at"), F.first("keys").alias("keys")).select("h1", "h2", "at.doc", "at.line_no", "keys"), "distinct-lines")
+    of_line = seen.groupBy("h1", "h2").agg(F.min(F.struct("doc", "uid", "line_no")).alias("at"), F.count("*").alias("n"), F.first("keys").alias("keys"))
+    lines = write_table(of_line.select("h1", "h2", "at.doc", "at.uid", "at.line_no", "n", "keys"), "distinct-lines")
     slot_bits = F.lit(2 * PARTS - 1).cast("bigint")
     # the slot takes the place of the lowest bits of h1, which only names candidates here
     named = F.col("h1").bitwiseAND(F.bitwise_not(slot_bits))
-    keyed = lines.select(named.alias("name"), F.posexplode("keys").alias("slot", "key")).select("key", F.col("name").bitwiseOR(F.col("slot").cast("bigint")).alias("spot")).repartition("key")
-    shared = keyed.groupBy("key").agg(F.min("spot").alias("x"), F.max("spot").alias("y")).filter(F.col("x").bitwiseAND(F.bitwise_not(slot_bits)) != F.col("y").bitwiseAND(F.bitwise_not(slot_bits))).select("key")
-    slots = keyed.join(shared, "key").select(F.col("spot").bitwiseAND(F.bitwise_not(slot_bits)).alias("name"), F.col("spot").bitwiseAND(slot_bits).cast("int").alias("slot"))
+    name_of = lambda c: F.col(c).bitwiseAND(F.bitwise_not(slot_bits))
+    keyed = lines.select(named.alias("name"), F.posexplode("keys").alias("slot", "key")).select("key", F.col("name").bitwiseOR(F.col("slot").cast("bigint")).alias("spot"))
+    shared = keyed.groupBy("key").agg(F.min("spot").alias("x"), F.max("spot").alias("y")).filter(name_of("x") != name_of("y")).select("key")
+    slots = keyed.join(if_small(write_table(shared, "shared-keys")), "key").select(name_of("spot").alias("name"), F.col("spot").bitwiseAND(slot_bits).cast("int").alias("slot"))
     slots = write_table(slots.groupBy("name").agg(F.collect_set("slot").alias("slots")), "line-names")
-    wanted = write_table(lines.drop("keys").withColumn("name", named).join(if_small(slots), "name").drop("name"), "line-candidates")
-    texts = docs.join(if_small(wanted), "doc")
-    texts = texts.select("doc", "line_no", "h1", "h2", "slots", F.get(F.split("text", "\n"), F.col("line_no")).alias("line"))
-    texts = write_table(texts.filter((F.xxhash64("line") == F.col("h1")) & (F.xxhash64(F.lit(1), "line") == F.col("h2"))), "line-texts")
-    spot = F.struct("doc", "line_no", "h1", "h2")
-    variants = _variants(texts).withColumn("spot", spot)
-    of = lambda *sides: F.min(F.when(F.col("side").isin(*sides), F.col("spot")))
-    met = variants.groupBy("variant").agg(of(0).alias("change"), of(1).alias("short"), of(2).alias("long"), F.max("spot").alias("last"), F.min("spot").alias("head")).filter("head < last")
-    partner = F.when(F.col("side") == 0, F.col("change")).when(F.col("side") == 1, F.col("long")).otherwise(F.col("short"))
-    links = variants.join(met.select("variant", "change", "short", "long"), "variant").withColumn("to", partner).filter("to < spot")
-    links = links.groupBy("h1", "h2").agg(F.min("to").alias("to")).select("h1", "h2", F.col("to.h1").alias("t1"), F.col("to.h2").alias("t2"))
+    wanted = lines.filter(F.size("keys") > 0).drop("keys", "n").withColumn("name", named).join(if_small(slots), "name").drop("name")
+    texts = write_table(_texts(docs, wanted), "line-texts")
+    links = _links(_variants(texts)).groupBy("h1", "h2").agg(F.min(F.struct("doc", "uid", "line_no", "t1", "t2")).alias("to")).select("h1", "h2", "to.t1", "to.t2")
     near = texts.select("h1", "h2", "line")
     checked = links.join(near, ["h1", "h2"]).join(near.select(F.col("h1").alias("t1"), F.col("h2").alias("t2"), F.col("line").alias("other")), ["t1", "t2"])
-    gone = checked.filter(F.levenshtein("line", "other", 1) >= 0).select("h1", "h2", F.lit(True).alias("gone"))
-    firsts = lines.select("h1", "h2", F.col("doc").alias("doc0"), F.col("line_no").alias("line0")).join(gone, ["h1", "h2"], "left")
-    placed = seen.drop("keys").join(firsts, ["h1", "h2"])
-    return placed.filter("gone or doc <> doc0 or line_no <> line0").select("doc", "line_no")
+    gone = write_table(checked.filter(F.levenshtein("line", "other", 1) >= 0).select("h1", "h2", F.lit(True).alias("gone")), "near-lines")
+    firsts = lines.select("h1", "h2", F.col("doc").alias("doc0"), F.col("uid").alias("uid0"), F.col("line_no").alias("line0"), "n").join(if_small(gone), ["h1", "h2"], "left")
+    firsts = write_table(firsts.filter("gone or n > 1").drop("n"), "repeated-lines")
+    placed = seen.drop("keys").join(if_small(firsts), ["h1", "h2"])
+    return placed.filter("gone or doc <> doc0 or uid <> uid0 or line_no <> line0").select("doc", "uid", "line_no")
+
 
+def dedup_lines(docs: DataFrame, min_chars: int = 16, uid: Column | None = None) -> DataFrame:
+    """(row, text, n_lines, n_removed): row is a struct of the columns of docs, text what is left of its text.
 
-def dedup_lines(docs: DataFrame, min_chars: int = 16) -> DataFrame:
-    """(row, text, n_lines, n_removed): row is a struct of the columns of docs, text what is left of its text."""
+    uid, if given, tells rows of one doc_id apart (place_in_file, say); without it the rows are numbered and written.
+    """
     bound_batches(docs.sparkSession)
-    doc, text = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), F.col("text").cast("string")
-    doomed = write_table(doomed_lines(docs.select(doc.alias("doc"), text.alias("text")), min_chars), "doomed-lines")
-    cuts = doomed.groupBy("doc").agg(F.collect_set("line_no").alias("cuts"))
-    cuts = F.broadcast(cuts) if doomed.count() <= SMALL else cuts
+    rows = identified(docs, uid, F.col("text").cast("string").alias("text"), F.struct("*").alias("row"))
+    cuts = write_table(doomed_lines(rows.select("doc", "uid", "text"), min_chars).groupBy("doc", "uid").agg(F.collect_set("line_no").alias("cuts")), "line-cuts")
+    size = cuts.agg(F.coalesce(F.sum(F.size("cuts") * 4 + 48), F.lit(0)).alias("b")).first()["b"]
+    cuts = F.broadcast(cuts) if size <= SMALL else cuts
 
     def rest(texts: pd.Series, cuts: pd.Series) -> pd.Series:
         out = []
@@ -190,6 +241,6 @@ def dedup_lines(docs: DataFrame, min_chars: int = 16) -> DataFrame:
             out.append(t)
         return pd.Series(out, dtype=object)
 
-    joined = docs.select(doc.alias("doc"), text.alias("text"), F.struct("*").alias("row")).join(cuts, "doc", "left")
+    joined = rows.join(cuts, ["doc", "uid"], "left")
     n_lines = F.coalesce(F.length("text") - F.length(F.replace("text", F.lit("\n"))) + 1, F.lit(0))
     return joined.select("row", F.pandas_udf(rest, "string")("text", "cuts").alias("text"), n_lines.alias("n_lines"), F.coalesce(F.size("cuts"), F.lit(0)).alias("n_removed"))
