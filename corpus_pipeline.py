@@ -5,6 +5,11 @@
 3. near_dedup: keeps the document with the smallest doc_id of each group of near copies (five-word shingles, 0.8).
 4. decontamination: drops documents that hold a benchmark item (five-word shingles, 0.8 of the item's).
 5. packing: packs what is left into sequences of 2048 tokens.
+
+Defined results: a row without text goes in the first stage, as it has no language; a null doc_id is kept and ranks first in line
+dedup, but is never a near duplicate; rows with one doc_id are documents of their own, told apart by their place in the stage's
+input, and of repeated rows the first stays; ties go to the smaller doc_id; an empty table gives an empty result; the first four
+stages return the columns that they get, extra ones included.
 """
 
 from __future__ import annotations
@@ -14,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticklattice.llm import contamination, langid, lines, minhash, packing
-from ticklattice.llm.common import read_table, write_table
+from ticklattice.llm.common import if_small, place_in_file, read_table, write_table
 
 #: SQL can't express zstandard sizes, sketches or best fit; tests compare the stages with brute force.
 ORACLE_SQL = None
@@ -26,19 +31,23 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = lines.dedup_lines(docs)
+    found = lines.dedup_lines(docs, uid=place_in_file(docs))
     left = found.filter((F.col("n_removed") == 0) | (F.trim("text") != ""))
-    new = {"text": F.col("text"), "n_chars": F.when(F.col("n_removed") == 0, F.col("row.n_chars")).otherwise(F.length("text").cast("long"))}
-    return left.select(*[new.get(c, F.col(f"row.{c}")).alias(c) for c in docs.columns])
+    new = {"text": F.col("text")}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(F.col("n_removed") == 0, F.col("row.n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType)
+    return left.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    gone = minhash.near_duplicates(docs).filter(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    uid = place_in_file(docs)
+    found = minhash.near_duplicates(docs, uid=uid).filter(~F.col("first"))
+    gone = if_small(write_table(found.select("uid"), "near-copies"))
+    return docs.select(uid.alias("uid"), F.struct("*").alias("row")).join(gone, "uid", "left_anti").select("row.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return contamination.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
+    return contamination.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"), uid=place_in_file(docs))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
