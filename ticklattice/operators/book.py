@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions import levels
 from ..schemas import DAY, HOUR
+from .windows import STRETCH, previous_in_tape
 
 
 def level_events(diffs: DataFrame) -> DataFrame:
@@ -32,9 +33,7 @@ def level_events(diffs: DataFrame) -> DataFrame:
 
 def continuity(diffs: DataFrame, by: tuple[str, ...] = ("symbol",)) -> DataFrame:
     """Per key: rows, breaks (pu is not the u before) and the first break's expected and found id and size."""
-    order = Window.partitionBy(*by).orderBy("seq")
-    before = F.lag("u").over(order)
-    rows = diffs.withColumn("expected", before).withColumn("broken", F.col("expected").isNotNull() & (F.col("pu") != F.col("expected")))
+    rows = previous_in_tape(diffs, "u", list(by), "seq", "expected").withColumn("broken", F.col("expected").isNotNull() & (F.col("pu") != F.col("expected")))
     first = F.min_by(F.struct("expected", "pu"), F.when(F.col("broken"), F.col("seq")))
     out = rows.groupBy(*by).agg(F.count("*").alias("rows"), F.count_if("broken").alias("breaks"), first.alias("f"))
     return out.select(*by, "rows", "breaks", F.when(F.col("breaks") > 0, F.col("f.expected")).alias("expected"), F.when(F.col("breaks") > 0, F.col("f.pu")).alias("got"), F.when(F.col("breaks") > 0, F.abs(F.col("f.pu") - F.col("f.expected"))).alias("break_size"))
@@ -66,22 +65,29 @@ def anchor(snaps: DataFrame, t: int | None = None) -> DataFrame:
     return snaps.groupBy("symbol").agg(F.max(F.struct("timestamp_ms", "last_update_id")).alias("a")).select("symbol", F.col("a.timestamp_ms").alias("anchor_ms"), F.col("a.last_update_id").alias("anchor_id"))
 
 
+def _since(rows: DataFrame, anchors: DataFrame, t: int | None) -> DataFrame:
+    """Rows after the anchor and up to t. Before any join, files of other days than t's and the day before are left out; then rows
+    before the anchor's hour."""
+    if t is not None:
+        rows = rows.filter(F.col("timestamp_ms").between(t - t % DAY - DAY, t))
+    return rows.join(anchors, "symbol").filter("u > anchor_id").filter(F.col("timestamp_ms") >= F.col("anchor_ms") - F.pmod("anchor_ms", F.lit(HOUR)))
+
+
 def book_at(snaps: DataFrame, events: DataFrame, t: int | None = None) -> DataFrame:
     """(symbol, side, price, qty, u): the books at t (None: now), by the last write of each level since the anchor."""
     anchors = anchor(snaps, t)
-    start = snaps.join(anchors, "symbol").filter("timestamp_ms = anchor_ms and last_update_id = anchor_id")
+    near = snaps if t is None else snaps.filter(F.col("timestamp_ms").between(t - t % DAY - DAY, t))
+    start = near.join(anchors, "symbol").filter("timestamp_ms = anchor_ms and last_update_id = anchor_id")
     start = start.select("symbol", "side", "price", "qty", F.col("last_update_id").alias("u"), F.lit(-1).cast("bigint").alias("seq"), F.lit(0).alias("pos"))
-    after = events if t is None else events.filter(F.col("timestamp_ms") <= t)
-    after = after.join(anchors, "symbol").filter("u > anchor_id").select("symbol", "side", "price", "qty", "u", F.col("seq").cast("bigint").alias("seq"), F.col("pos").cast("int").alias("pos"))
+    after = _since(events, anchors, t).select("symbol", "side", "price", "qty", "u", F.col("seq").cast("bigint").alias("seq"), F.col("pos").cast("int").alias("pos"))
     last = start.unionByName(after).groupBy("symbol", "side", "price").agg(F.max_by(F.struct("qty", "u"), F.struct("u", "seq", "pos")).alias("w"))
     return last.filter("w.qty <> 0").select("symbol", "side", "price", "w.qty", "w.u")
 
 
 def book_at_gap(snaps: DataFrame, diffs: DataFrame, t: int | None = None) -> DataFrame:
     """(symbol, applied, gap): whether the diffs applied since the anchor miss an update; the first one is not judged."""
-    used = (diffs if t is None else diffs.filter(F.col("timestamp_ms") <= t)).join(anchor(snaps, t), "symbol").filter("u > anchor_id")
-    before = F.lag("u").over(Window.partitionBy("symbol").orderBy("u", "seq"))
-    rows = used.withColumn("b", before)
+    used = _since(diffs, anchor(snaps, t), t)
+    rows = used.withColumn("b", F.lag("u").over(Window.partitionBy("symbol").orderBy("u", "seq"))) if t is not None else previous_in_tape(used, "u", ["symbol"], "u", "b")
     return rows.groupBy("symbol").agg(F.count("*").alias("applied"), F.bool_or(F.col("b").isNotNull() & (F.col("pu") != F.col("b"))).alias("gap"))
 
 
@@ -91,12 +97,19 @@ def normalize(diffs: DataFrame) -> DataFrame:
     return diffs.withColumn("_n", F.row_number().over(place)).filter("_n = 1").drop("_n")
 
 
-def find_bridge(snaps: DataFrame, diffs: DataFrame) -> DataFrame:
-    """Per snapshot: the first diff that continues it, and by which rule (`perfect`, else `pu_attach`)."""
+def find_bridge(snaps: DataFrame, diffs: DataFrame, width: int = 1024) -> DataFrame:
+    """Per snapshot: the first diff that continues it, and by which rule (`perfect`, else `pu_attach`).
+
+    A diff continues the ids from the lesser of first_u - 1 and pu up to u - 1. Snapshots meet the diffs of their own stretch of
+    `width` ids; the few diffs that span over 64 stretches are joined by themselves.
+    """
     ids = snaps.select("symbol", "last_update_id").distinct()
-    s, rows = F.col("last_update_id"), diffs.select("symbol", "u", "first_u", "pu")
+    s, stretch = F.col("last_update_id"), lambda c: F.floor(c / width)
     rule = F.when(F.col("first_u") <= s + 1, "perfect").when((F.col("pu") <= s) & (s < F.col("first_u")), "pu_attach")
-    met = ids.join(rows, "symbol").filter(F.col("u") > s).withColumn("rule", rule).filter("rule is not null")
+    rows = diffs.select("symbol", "u", "first_u", "pu").withColumns({"_a": stretch(F.least(F.col("first_u") - 1, "pu")), "_b": stretch(F.col("u") - 1)}).filter("_a <= _b")
+    short, long = rows.filter("_b - _a <= 64"), rows.filter("_b - _a > 64")
+    near = ids.withColumn("_at", stretch(s)).join(short.withColumn("_at", F.explode(F.sequence("_a", "_b"))), ["symbol", "_at"]).drop("_at")
+    met = near.unionByName(ids.join(long, "symbol")).filter(F.col("u") > s).withColumn("rule", rule).filter("rule is not null")
     return met.groupBy("symbol", "last_update_id").agg(F.min(F.struct("u", "first_u", "pu", "rule")).alias("b")).select("symbol", "last_update_id", "b.u", "b.first_u", "b.pu", "b.rule")
 
 
@@ -107,10 +120,14 @@ def attach_report(snaps: DataFrame, diffs: DataFrame) -> DataFrame:
     ids = snaps.select("symbol", "last_update_id").distinct()
     ends = diffs.groupBy("symbol").agg(F.min_by("pu", F.struct("u", "seq")).alias("first_pu"), F.max("u").alias("last_u"))
     bridge = find_bridge(snaps, diffs).select("symbol", "last_update_id", F.col("u").alias("bridge_u"), "rule")
-    order = Window.partitionBy("symbol").orderBy("u", "seq")
-    chain = diffs.select("symbol", "u", "seq", (F.col("pu") != F.lag("u").over(order)).alias("broken"))
+    chain = previous_in_tape(diffs.select("symbol", "u", "pu"), "u", ["symbol"], "u", "before").select("symbol", "u", (F.col("pu") != F.col("before")).alias("broken"))
     last_break = chain.filter("broken").groupBy("symbol").agg(F.max("u").alias("last_break_u"))
-    totals = chain.withColumn("n", F.row_number().over(order)).groupBy("symbol", "u").agg(F.min("n").alias("n"))
+    # places in the chain: by stretch of ids, after the sizes of the stretches before
+    stretch = F.floor(F.col("u") / STRETCH)
+    inside = chain.withColumn("_s", stretch).withColumn("k", F.row_number().over(Window.partitionBy("symbol", "_s").orderBy("u")))
+    sizes = chain.groupBy("symbol", stretch.alias("_s")).agg(F.count("*").alias("k0"))
+    ahead = F.coalesce(F.sum("k0").over(Window.partitionBy("symbol").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    totals = inside.join(sizes.select("symbol", "_s", ahead.alias("ahead")), ["symbol", "_s"]).groupBy("symbol", "u").agg(F.min(F.col("ahead") + F.col("k")).alias("n"))
     size = chain.groupBy("symbol").agg(F.count("*").alias("size"))
     met = ids.join(ends, "symbol", "left").join(bridge, ["symbol", "last_update_id"], "left").join(last_break, "symbol", "left").join(size, "symbol", "left")
     met = met.join(totals.select("symbol", F.col("u").alias("bridge_u"), "n"), ["symbol", "bridge_u"], "left")
@@ -264,5 +281,7 @@ def emit_snapshots(snaps: DataFrame, events: DataFrame, every_ms: int) -> DataFr
     written = both.groupBy("symbol", "at_ms", "side", "price").agg(F.max_by("qty", F.struct("u", "seq", "pos")).alias("qty"))
     until = F.lead("at_ms").over(Window.partitionBy("symbol", "side", "price").orderBy("at_ms"))
     spans = written.withColumn("until", until).filter("qty <> 0")
-    instants = rows.select("symbol", F.col("at_ms").alias("instant")).distinct()
-    return spans.join(instants, "symbol").filter("instant >= at_ms and (until is null or instant < until)").select("symbol", F.col("instant").alias("at_ms"), "side", "price", "qty")
+    nth = rows.select("symbol", "at_ms").distinct().withColumn("n", F.row_number().over(Window.partitionBy("symbol").orderBy("at_ms")))
+    places = nth.groupBy("symbol").agg(F.map_from_entries(F.collect_list(F.struct("at_ms", "n"))).alias("n_of"), F.sort_array(F.collect_list("at_ms")).alias("instants"))
+    a, b = F.element_at("n_of", F.col("at_ms")), F.coalesce(F.element_at("n_of", F.col("until")) - 1, F.size("instants"))
+    return spans.join(places, "symbol").select("symbol", F.explode(F.slice("instants", a, b - a + 1)).alias("at_ms"), "side", "price", "qty")

@@ -14,6 +14,20 @@ def previous(df: DataFrame, col: str, by: list[str], order: list[str], name: str
     return df.withColumn(name, F.lag(col).over(Window.partitionBy(*by).orderBy(*order)))
 
 
+#: Values of an order column that make a stretch: windows over a whole tape run by stretches, of which only the ends are joined.
+STRETCH = 1 << 20
+
+
+def previous_in_tape(df: DataFrame, col: str, by: list[str], order: str, name: str = "previous", width: int = STRETCH) -> DataFrame:
+    """The value of the row before in its key's order, a whole number; rows of one key and long tapes are spread over tasks."""
+    stretch = F.floor(F.col(order) / width)
+    near = Window.partitionBy(*by, "_stretch").orderBy(order)
+    rows = df.withColumn("_stretch", stretch).withColumns({"_n": F.row_number().over(near), "_near": F.lag(col).over(near)})
+    ends = df.groupBy(*by, stretch.alias("_stretch")).agg(F.max_by(F.struct(F.col(col)), order).alias("_end"))
+    far = ends.select(*by, "_stretch", F.lag("_end").over(Window.partitionBy(*by).orderBy("_stretch"))[col].alias("_far"))
+    return rows.join(far, [*by, "_stretch"], "left").withColumn(name, F.when(F.col("_n") > 1, F.col("_near")).otherwise(F.col("_far"))).drop("_stretch", "_n", "_near", "_far")
+
+
 def bar_steps(bars: DataFrame) -> DataFrame:
     """(symbol, timestamp_ms, step_ms) of distinct bars: the step to the next one."""
     once = bars.select("symbol", "timestamp_ms").distinct()
@@ -63,11 +77,21 @@ def counter_rate(df: DataFrame, counter: str, by: list[str], ts: str = "timestam
     return df.withColumn("rate", F.when(before > 0, rate))
 
 
-def ema(df: DataFrame, col: str, by: list[str], alpha: float = 0.05, order: str = "seq") -> DataFrame:
-    """Exponential moving average of each key; the first sample seeds it."""
-    pairs = df.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), F.col(col).cast("double").alias("x")))).alias("s"))
-    step = lambda a, p: F.when(a.isNull(), p["x"]).otherwise(a * (1 - alpha) + p["x"] * alpha)
-    return pairs.select(*by, F.aggregate("s", F.lit(None).cast("double"), step).alias("ema"), F.size("s").cast("bigint").alias("samples"))
+def ema(df: DataFrame, col: str, by: list[str], alpha: float = 0.05, order: str = "seq", width: int = 1 << 14) -> DataFrame:
+    """Exponential moving average of each key; the first sample seeds it.
+
+    Stretches of `width` values of the order are folded by themselves: each is a number of samples and their decayed sum (the first
+    one the average itself), and only these meet, in order.
+    """
+    keep = 1 - alpha
+    stretch = F.floor(F.col(order) / width)
+    parts = df.filter(F.col(col).isNotNull()).groupBy(*by, stretch.alias("_s")).agg(F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), F.col(col).cast("double").alias("x")))).alias("v"))
+    fold = lambda v, start: F.aggregate(v, start, lambda a, p: a * keep + p["x"] * alpha)
+    x0 = F.col("v")[0]["x"]
+    ends = parts.select(*by, "_s", F.size("v").alias("n"), fold(F.col("v"), F.lit(0.0)).alias("d"), fold(F.slice("v", F.lit(2), F.size("v")), x0).alias("e"))
+    pieces = ends.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("_s", "n", "d", "e"))).alias("p"), F.sum("n").cast("bigint").alias("samples"))
+    later = F.slice("p", F.lit(2), F.size("p"))
+    return pieces.select(*by, F.aggregate(later, F.col("p")[0]["e"], lambda a, p: a * F.pow(F.lit(keep), p["n"]) + p["d"]).alias("ema"), "samples")
 
 
 def rolling_budget(requests: DataFrame, window_ms: int, budget: int, by: tuple[str, ...] = (), ts: str = "timestamp_ms") -> DataFrame:
@@ -86,13 +110,19 @@ def rolling_budget(requests: DataFrame, window_ms: int, budget: int, by: tuple[s
 LEVELS = {"TRACE": 0, "DEBUG": 0, "INFO": 1, "WARN": 2, "ERROR": 3}
 
 
-def filter_logs(lines: DataFrame, level: str = "INFO", by: tuple[str, ...] = ()) -> DataFrame:
-    """Lines of at least a level; a line without one has that of the line before."""
+def filter_logs(lines: DataFrame, level: str = "INFO", by: tuple[str, ...] = ("file_name",), width: int = STRETCH) -> DataFrame:
+    """Lines of at least a level; a line without one has that of the line before. Levels are carried inside stretches of the order,
+    and from the last stretch before that names one."""
     rank = F.lit(None).cast("int")
     for name, r in LEVELS.items():
         rank = F.when(F.col("level") == name, r).otherwise(rank)
-    carried = F.last(rank, ignorenulls=True).over(Window.partitionBy(*by).orderBy("seq").rowsBetween(Window.unboundedPreceding, 0))
-    return lines.withColumn("rank", F.coalesce(carried, F.lit(1))).filter(F.col("rank") >= LEVELS[level])
+    rows = lines.withColumns({"_rank": rank, "_stretch": F.floor(F.col("seq") / width)})
+    inside = F.last("_rank", ignorenulls=True).over(Window.partitionBy(*by, "_stretch").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0))
+    ends = rows.groupBy(*by, "_stretch").agg(F.max_by("_rank", F.when(F.col("_rank").isNotNull(), F.col("seq"))).alias("_end"))
+    before = F.last("_end", ignorenulls=True).over(Window.partitionBy(*by).orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1))
+    carried = rows.withColumn("_inside", inside).join(ends.select(*by, "_stretch", before.alias("_before")), [*by, "_stretch"], "left")
+    found = carried.withColumn("rank", F.coalesce("_inside", "_before", F.lit(1))).filter(F.col("rank") >= LEVELS[level])
+    return found.select(*lines.columns, "rank")
 
 
 def new_buckets(df: DataFrame, key: list[str], order: str = "seq", ts: str = "timestamp_ms") -> DataFrame:

@@ -18,17 +18,30 @@ def _names(values: list[str] | None) -> str:
     return "*" if not values else "{" + ",".join(sorted(values)) + "}"
 
 
+def tape_place(path: Column, start: Column, row: Column) -> Column:
+    """Place in a symbol's tape, files by name and rows by place in the file, as one BIGINT.
+
+    From the top: 15 bits of the day of the directory, 14 of the two characters after the day in the file name (the hour of an
+    hourly file; none in a daily one), 34 of the place in the file: where the task's stretch starts, in bytes, plus the row's number
+    in the task. A row takes at least a byte and a stretch that is followed by another fills its task, so places rise in a file.
+    Files whose names differ only later on, like several initial snapshots of a day, share a place; update ids tell them apart.
+    """
+    day = F.coalesce(F.datediff(F.try_to_date(path_part(path, 2)), F.lit("1970-01-01").cast("date")), F.lit(0))
+    ahead = F.regexp_extract(path_part(path, 1), r"\d{4}-\d{2}-\d{2}_(.{2})", 1)
+    code = lambda i: F.when(F.length(ahead) == 0, 0).otherwise(F.least(F.ascii(F.substring(ahead, i, 1)), F.lit(127)))
+    file = F.shiftleft((F.greatest(day, F.lit(0)).cast("bigint") * 128 + code(1)) * 128 + code(2), 34)
+    return file + start + row.bitwiseAND(F.lit((1 << 33) - 1))
+
+
 def read_lane(spark: SparkSession, root: str, lane: str, symbols: list[str] | None = None, dates: list[str] | None = None, pattern: str = "*.csv", as_text: bool = False) -> DataFrame:
-    """Rows of a lane with date, file_name and seq (place in the tape: files by name, rows by place in the file).
+    """Rows of a lane with date, file_name and seq, the place in the symbol's tape; see tape_place.
 
-    Only directories of the named symbols and dates are listed. Spark keeps a file's rows in order within a task but doesn't
-    number them, so seq is the order of the task's stretch of the file; land lanes once with write_lane, which keeps it.
+    Only directories of the named symbols and dates are listed.
     """
     paths = f"{root}/{DIRECTORY[lane]}/{_names(symbols)}/{_names(dates)}/"
     rows = spark.read.schema(schema(lane, as_text)).option("header", True).option("enforceSchema", False).option("escape", '"').option("pathGlobFilter", pattern).csv(paths)
     path = F.col("_metadata.file_path")
-    placed = rows.select("*", path_part(path, 2).alias("date"), path_part(path, 1).alias("file_name"), F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_row"))
-    return placed.withColumn("seq", F.col("_start") * (1 << 33) + F.col("_row").bitwiseAND(F.lit((1 << 33) - 1))).drop("_start", "_row")
+    return rows.select("*", path_part(path, 2).alias("date"), path_part(path, 1).alias("file_name"), tape_place(path, F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("seq"))
 
 
 def read_diffs(spark: SparkSession, root: str, symbols: list[str] | None = None, dates: list[str] | None = None) -> DataFrame:
@@ -71,6 +84,13 @@ def is_live(heartbeats: DataFrame, now_s: float, most_s: float = 15) -> DataFram
     return heartbeats.withColumns({"age_s": age, "live": F.coalesce(age < most_s, F.lit(False))})
 
 
+def health(heartbeats: DataFrame, lane_health: DataFrame, now_s: float, most_s: float = 15) -> DataFrame:
+    """One row: age and liveness of the newest heartbeat, its counts, and how many lanes are (all) healthy."""
+    beat = is_live(heartbeats, now_s, most_s).agg(F.max_by(F.struct("age_s", "live", "messages_total", "errors", "active_symbols", "orderbooks_live"), "timestamp").alias("b"))
+    lanes = lane_health.agg(F.count("*").alias("lanes"), F.count_if(F.col("healthy") >= F.col("seen")).alias("healthy_lanes"))
+    return beat.join(lanes).select("b.age_s", F.coalesce("b.live", F.lit(False)).alias("live"), "b.messages_total", "b.errors", "b.active_symbols", "b.orderbooks_live", "lanes", "healthy_lanes")
+
+
 def read_gap_events(spark: SparkSession, path: str) -> DataFrame:
     """Gap events with the symbol that the file is named after."""
     rows = spark.read.schema(GAP_EVENT).option("multiLine", True).json(path)
@@ -88,9 +108,10 @@ def read_exclusions(spark: SparkSession, lists: dict[str, list[str]]) -> dict[st
 
 
 def read_logs(spark: SparkSession, path: str) -> DataFrame:
-    """Log lines (file_name, modified_ms, seq, level, line); level is NULL on continuation lines."""
+    """Log lines (file_name, modified_ms, seq, level, line); seq is the order in the file, level is NULL on continuation lines."""
     rows = spark.read.text(path).select(
-        path_part(F.col("_metadata.file_path"), 1).alias("file_name"), F.unix_millis("_metadata.file_modification_time").alias("modified_ms"), F.monotonically_increasing_id().alias("seq"), F.col("value").alias("line")
+        path_part(F.col("_metadata.file_path"), 1).alias("file_name"), F.unix_millis("_metadata.file_modification_time").alias("modified_ms"),
+        (F.col("_metadata.file_block_start") + F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))).alias("seq"), F.col("value").alias("line"),
     )
     return rows.withColumn("level", F.nullif(F.regexp_extract("line", r"\b(TRACE|DEBUG|INFO|WARN|ERROR)\b", 1), F.lit("")))
 
