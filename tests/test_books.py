@@ -1,10 +1,12 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from ticklattice.operators import book
+from ticklattice.operators import book, windows
 from ticklattice.operators.windows import ladder
 from ticklattice.plans import book_now, replay_at
+from ticklattice.sources import lanes
 
 T0 = 1_768_453_200_000
 DIFF = "symbol string, timestamp_ms long, u long, pu long, first_u long, seq long"
@@ -139,3 +141,72 @@ def test_gap_and_replay(spark):
 def test_level_events(spark):
     d = spark.createDataFrame([("s", 1, 7, 0, '[["99.5","0.4"],["x","1"]]', '[["101","2"]]')], "symbol string, timestamp_ms long, last_update_id long, seq long, bids_json string, asks_json string")
     assert sorted((r.side, r.price, r.qty) for r in book.level_events(d).collect()) == [("ask", 101.0, 2.0), ("bid", 99.5, 0.4)]
+
+
+def diff_files(root, hours, rows=40, broken=()):
+    """Hourly diff files of one chained tape; `broken` are places whose prev_update_id is off. Returns the number of diffs."""
+    folder = root / "orderbooks" / "btcusdt"
+    n = 0
+    for h in range(hours):
+        day, hour = f"2026-01-{15 + h // 24}", h % 24
+        (folder / day).mkdir(parents=True, exist_ok=True)
+        lines = ["exchange,market,datatype,timestamp_ms,datetime_utc,symbol,first_update_id,last_update_id,prev_update_id,bids_json,asks_json"]
+        for _ in range(rows):
+            n += 1
+            lines.append(f'x,y,depth_updates,{1768435200000 + h * 3600000 + n},t,btcusdt,{n * 10 - 9},{n * 10},{n * 10 - 10 - (n in broken)},"[[""99.5"",""{n % 3}""]]",[]')
+        (folder / day / f"btcusdt_depth_updates_{day}_{hour:02d}00-to-{(hour + 1) % 24:02d}00.csv").write_text("\n".join(lines) + "\n")
+    return n
+
+
+def test_tape_order_over_files(spark, tmp_path):
+    """A clean chain of hourly files reads as one, in many partitions and in few; a planted break is found once, at its place."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1500b")
+    try:
+        n = diff_files(tmp_path / "clean", 30)
+        diffs = lanes.read_diffs(spark, str(tmp_path / "clean")).select("symbol", "timestamp_ms", "seq", "file_name", F.col("last_update_id").alias("u"), F.col("prev_update_id").alias("pu"))
+        assert diffs.rdd.getNumPartitions() > 30
+        for rows in (diffs, diffs.repartition(7)):
+            assert [r.u for r in rows.orderBy("seq").collect()] == [10 * i for i in range(1, n + 1)]
+            r = book.continuity(rows).first()
+            assert (r.rows, r.breaks, r.expected) == (n, 0, None)
+        assert diffs.select("seq").distinct().count() == n
+        assert {(h.handoff) for h in book.midnight_handoff(diffs).collect()} == {None, "ok"}
+        diff_files(tmp_path / "broken", 30, broken={41, 500})
+        rows = lanes.read_diffs(spark, str(tmp_path / "broken")).select("symbol", "seq", F.col("last_update_id").alias("u"), F.col("prev_update_id").alias("pu"))
+        r = book.continuity(rows).first()
+        assert (r.rows, r.breaks, r.expected, r.got) == (n, 2, 400, 399)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    again = lanes.read_diffs(spark, str(tmp_path / "clean"))
+    assert [r.last_update_id for r in again.orderBy("seq").collect()] == [10 * i for i in range(1, n + 1)]
+
+
+def test_stretches_join_at_their_ends(spark):
+    rows = [("a", i, i * 3, "INFO" if i % 7 == 0 else "ERROR" if i % 7 == 3 else None) for i in range(100)] + [("b", 5, 1, None), ("b", 90, 2, "WARN"), ("b", 99, 3, None)]
+    df = spark.createDataFrame(rows, "file_name string, seq long, u long, level string")
+    whole = {(r.file_name, r.seq): r.previous for r in windows.previous(df, "u", ["file_name"], ["seq"]).collect()}
+    kept = {(r.file_name, r.seq) for r in windows.filter_logs(df, "WARN", width=1 << 40).collect()}
+    mean = {r.file_name: r.ema for r in windows.ema(df, "u", ["file_name"], width=1 << 40).collect()}
+    for width in (1, 4, 10):
+        assert {(r.file_name, r.seq): r.previous for r in windows.previous_in_tape(df, "u", ["file_name"], "seq", width=width).collect()} == whole
+        assert {(r.file_name, r.seq) for r in windows.filter_logs(df, "WARN", width=width).collect()} == kept
+        got = windows.ema(df, "u", ["file_name"], width=width).collect()
+        assert all(abs(r.ema - mean[r.file_name]) < 1e-9 for r in got) and {r.file_name: r.samples for r in got} == {"a": 100, "b": 3}
+    x = 0.0
+    for r in rows[:100]:
+        x = x * 0.95 + r[2] * 0.05 if r[1] else r[2]
+    assert abs(mean["a"] - x) < 1e-9
+
+
+def test_bridges_over_long_spans(spark):
+    """Any diff may continue a snapshot, also one that spans many stretches of ids."""
+    rng = random.Random(3)
+    diffs = [("a", u, u - rng.choice([0, 1, 5, 300]), u - rng.choice([1, 2, 400, 5000])) for u in rng.sample(range(6000, 20000), 300)]
+    snaps = [("a", i) for i in rng.sample(range(5000, 21000), 80)]
+    want = {}
+    for _, s in snaps:
+        ok = [(u, f, p, "perfect" if f <= s + 1 else "pu_attach") for _, u, f, p in diffs if u > s and (f <= s + 1 or p <= s < f)]
+        if ok:
+            want[s] = min(ok)
+    got = book.find_bridge(spark.createDataFrame(snaps, "symbol string, last_update_id long"), spark.createDataFrame(diffs, "symbol string, u long, first_u long, pu long"), width=16)
+    assert {r.last_update_id: (r.u, r.first_u, r.pu, r.rule) for r in got.collect()} == want

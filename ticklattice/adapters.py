@@ -29,8 +29,9 @@ VIEWS = {
     """,
     "v_snaps": """
         SELECT s.symbol, e.timestamp_ms, e.event_id + 1 AS last_update_id, CASE WHEN p.i < 2 THEN 'bid' ELSE 'ask' END AS side, CAST(94 + p.i AS DOUBLE) AS
-        price, CAST(p.i + 1 AS DOUBLE) AS qty FROM ev e CROSS JOIN (SELECT DISTINCT symbol FROM ev) s CROSS JOIN (SELECT 0 AS i UNION ALL SELECT 1 UNION ALL
-        SELECT 2 UNION ALL SELECT 3) p WHERE e.event_id % 500 = 0
+        price, CAST(p.i + 1 AS DOUBLE) AS qty FROM (SELECT max(timestamp_ms) AS timestamp_ms, max(event_id) AS event_id FROM ev GROUP BY
+        timestamp_ms - timestamp_ms % 25200000) e CROSS JOIN (SELECT DISTINCT symbol FROM ev) s CROSS JOIN (SELECT 0 AS i UNION ALL SELECT 1 UNION ALL
+        SELECT 2 UNION ALL SELECT 3) p
     """,
     "v_bars": """
         SELECT symbol, timestamp_ms - timestamp_ms % 3600000 AS timestamp_ms, min_by(value, event_id) AS open, max(value) AS high, CASE WHEN min(event_id) %
@@ -39,24 +40,24 @@ VIEWS = {
     """,
     "v_liquidations": """
         SELECT symbol, timestamp_ms, event_id AS seq, CASE WHEN event_id % 20 = 0 THEN 'sell' ELSE 'buy' END AS side, value AS price, CAST(k + 1 AS DOUBLE) AS
-        quantity, value * (k + 1) * CASE WHEN event_id % 70 = 0 THEN 15e-1 ELSE 1e0 END AS value FROM ev WHERE event_id % 10 = 0
+        quantity, value * (k + 1) * CASE WHEN event_id % 70 = 0 THEN 15e-1 ELSE 1e0 END AS value FROM ev
     """,
     "v_funding": """
         SELECT symbol, timestamp_ms, event_id AS seq, CASE WHEN event_id % 221 = 0 THEN 35e-1 ELSE value / 1e5 END AS funding_rate, timestamp_ms -
-        timestamp_ms % 28800000 + 28800000 AS next_funding_time FROM ev WHERE event_id % 13 = 0
+        timestamp_ms % 28800000 + 28800000 AS next_funding_time FROM ev
     """,
     "v_open_interest": """
         SELECT symbol, timestamp_ms, event_id AS seq, value AS mark_price, CAST((k + 1) * 10 AS DOUBLE) AS open_interest, value * ((k + 1) * 10) * CASE WHEN
-        event_id % 121 = 0 THEN 2e0 ELSE 1e0 END AS oi_value FROM ev WHERE event_id % 11 = 0
+        event_id % 121 = 0 THEN 2e0 ELSE 1e0 END AS oi_value FROM ev
     """,
     "v_long_short": """
         SELECT symbol, timestamp_ms, event_id AS seq, CASE event_id % 3 WHEN 0 THEN 'global' WHEN 1 THEN 'top_trader_account' ELSE 'top_trader_position' END
         AS ratio_type, 3e-1 + (k % 41) / 1e2 AS long_ratio, 7e-1 - (k % 41) / 1e2 + CASE WHEN event_id % 77 = 0 THEN 1e-1 ELSE 0e0 END AS short_ratio, (3e-1 +
-        (k % 41) / 1e2) / (7e-1 - (k % 41) / 1e2) AS long_short_ratio FROM ev WHERE event_id % 7 = 0
+        (k % 41) / 1e2) / (7e-1 - (k % 41) / 1e2) AS long_short_ratio FROM ev
     """,
     "v_taker": """
         SELECT symbol, timestamp_ms, event_id AS seq, CAST(k + 1 AS DOUBLE) AS buy_volume, value AS sell_volume, CASE WHEN event_id % 65 = 0 THEN 99e-1 ELSE
-        (k + 1) / value END AS buy_sell_ratio FROM ev WHERE event_id % 5 = 0
+        (k + 1) / value END AS buy_sell_ratio FROM ev
     """,
     "v_requests": """
         SELECT event_id, timestamp_ms, symbol AS endpoint, user_id % 10 AS route, event_id % 19 <> 0 AS success, CASE k % 4 WHEN 0 THEN 2 WHEN 1 THEN 5 WHEN 2
@@ -69,7 +70,7 @@ VIEWS = {
         CAST(p_partkey AS VARCHAR(20))) AS base_asset, CASE WHEN p_size % 13 = 0 THEN 'USDC' ELSE 'USDT' END AS quote_asset FROM part
     """,
     "v_log_lines": """
-        SELECT row_number() OVER (ORDER BY conv_id, turn) AS seq, CASE WHEN turn % 3 = 1 THEN NULL WHEN role = 'user' THEN 'WARN' ELSE 'INFO' END AS level,
+        SELECT conv_id AS file_name, turn AS seq, CASE WHEN turn % 3 = 1 THEN NULL WHEN role = 'user' THEN 'WARN' ELSE 'INFO' END AS level,
         text AS line FROM conversations
     """,
 }

@@ -13,25 +13,29 @@ from .adapters import duck, view
 from .operators import aggregates as agg
 from .operators import book, filters, joins, quality, windows
 from .operators.filters import MAX_SYMBOLS
-from .plans import merged_matrix
+from .plans import coverage, merged_matrix, replay_at, replay_day, request_audit, soak_report, symbol_detail
 from .schemas import DAY, HOUR, RATIO_TYPES
 from .sources import messages
-from .sources.lanes import is_live
-from .sources.sinks import export_bundle
+from .sources.lanes import health, is_live
+from .sources.sinks import export_book, export_bundle
 
 #: Instants inside the tables' month, and the time at which "now" is asked.
 T = 1_705_320_000_000
 FROM, TO = 1_705_000_000_000, 1_705_600_000_000
 NOW = 1_706_572_800_000
+#: The end of that month, and the age at which a lane is quiet.
+END, QUIET_AGE = 1_706_659_200_000, 25 * 60_000
 WINDOWS = {"trades": HOUR, "orderbooks": 2 * HOUR, "liquidations": 3 * HOUR, "funding_rates": 8 * HOUR}
 LANE_VIEWS = {"trades": "v_trades", "orderbooks": "v_diffs", "liquidations": "v_liquidations", "funding_rates": "v_funding"}
 
 _found: dict[str, tuple[Callable, str | None]] = {}
+_text: dict[str, str | None] = {}
 
 
 def query(sql: str | None = None):
     def put(f: Callable) -> Callable:
         _found[f.__name__] = (f, duck(sql) if sql else None)
+        _text[f.__name__] = sql
         return f
 
     return put
@@ -140,10 +144,10 @@ def d07_asof_ratio(spark, d):
     return joins.asof_ratio(view(spark, d, "v_long_short"), T, ["long_short_ratio"])
 
 
-@query(f"WITH seen AS (SELECT DISTINCT symbol FROM v_trades), fresh AS (SELECT symbol FROM v_trades GROUP BY symbol HAVING {NOW} - max(timestamp_ms) < {HOUR}), b AS (SELECT symbol FROM v_diffs GROUP BY symbol HAVING {NOW} - max(timestamp_ms) < {2 * DAY}) SELECT symbol FROM seen WHERE symbol NOT IN (SELECT symbol FROM fresh) AND symbol IN (SELECT symbol FROM b)")
+@query(f"WITH seen AS (SELECT DISTINCT symbol FROM v_trades), fresh AS (SELECT symbol FROM v_trades GROUP BY symbol HAVING {END} - max(timestamp_ms) < {QUIET_AGE}), b AS (SELECT symbol FROM v_diffs GROUP BY symbol HAVING {END} - max(timestamp_ms) < {HOUR}) SELECT symbol FROM seen WHERE symbol NOT IN (SELECT symbol FROM fresh) AND symbol IN (SELECT symbol FROM b)")
 def d09_quiet_symbols(spark, d):
-    age = lambda v: view(spark, d, v).groupBy("symbol").agg((NOW - F.max("timestamp_ms")).alias("age"))
-    return joins.quiet_symbols(view(spark, d, "v_trades"), age("v_trades").filter(F.col("age") < HOUR), age("v_diffs").filter(F.col("age") < 2 * DAY))
+    age = lambda v: view(spark, d, v).groupBy("symbol").agg((END - F.max("timestamp_ms")).alias("age"))
+    return joins.quiet_symbols(view(spark, d, "v_trades"), age("v_trades").filter(F.col("age") < QUIET_AGE), age("v_diffs").filter(F.col("age") < HOUR))
 
 
 # ---- filters and sets ---------------------------------------------------------------------------------------------------
@@ -426,9 +430,9 @@ def f09_counter_rate(spark, d):
     return windows.counter_rate(rows, "event_id", ["symbol"]).select("symbol", "event_id", "rate")
 
 
-@query()
+@query("SELECT symbol, user_id, round(list_reduce(list(value ORDER BY event_id), lambda a, x: a * 0.95::DOUBLE + x * 0.05::DOUBLE), 6) AS ema, count(*) AS samples FROM ev GROUP BY symbol, user_id")
 def f10_ema(spark, d):
-    return windows.ema(view(spark, d, "ev"), "value", ["symbol", "user_id"], order="event_id")
+    return windows.ema(view(spark, d, "ev"), "value", ["symbol", "user_id"], order="event_id").withColumn("ema", F.round("ema", 6))
 
 
 @query("SELECT event_id, CAST(sum(weight) OVER (ORDER BY timestamp_ms RANGE BETWEEN 300000 PRECEDING AND CURRENT ROW) AS BIGINT) AS spent, sum(weight) OVER (ORDER BY timestamp_ms RANGE BETWEEN 300000 PRECEDING AND CURRENT ROW) > 20 AS over_budget FROM v_requests")
@@ -436,9 +440,9 @@ def f11_rolling_budget(spark, d):
     return windows.rolling_budget(view(spark, d, "v_requests"), 300_000, 20).select("event_id", "spent", "over_budget")
 
 
-@query("SELECT seq, line FROM (SELECT seq, line, coalesce(last_value(CASE level WHEN 'TRACE' THEN 0 WHEN 'DEBUG' THEN 0 WHEN 'INFO' THEN 1 WHEN 'WARN' THEN 2 WHEN 'ERROR' THEN 3 END IGNORE NULLS) OVER (ORDER BY seq ROWS UNBOUNDED PRECEDING), 1) AS r FROM v_log_lines) WHERE r >= 2")
+@query("SELECT file_name, seq, line FROM (SELECT file_name, seq, line, coalesce(last_value(CASE level WHEN 'TRACE' THEN 0 WHEN 'DEBUG' THEN 0 WHEN 'INFO' THEN 1 WHEN 'WARN' THEN 2 WHEN 'ERROR' THEN 3 END IGNORE NULLS) OVER (PARTITION BY file_name ORDER BY seq ROWS UNBOUNDED PRECEDING), 1) AS r FROM v_log_lines) WHERE r >= 2")
 def f12_filter_logs(spark, d):
-    return windows.filter_logs(view(spark, d, "v_log_lines"), "WARN").select("seq", "line")
+    return windows.filter_logs(view(spark, d, "v_log_lines"), "WARN").select("file_name", "seq", "line")
 
 
 @query("SELECT symbol, event_id FROM (SELECT *, row_number() OVER (PARTITION BY symbol, user_id ORDER BY timestamp_ms DESC, event_id DESC) AS n FROM ev) WHERE n <= 3")
@@ -639,7 +643,12 @@ def o14_live_book(spark, d):
     return book.live_book(events_of(spark, d), 10)
 
 
-@query()
+@query(
+    f"WITH w AS (SELECT symbol, side, price, qty, last_update_id AS u, CAST(NULL AS BIGINT) AS at_ms FROM v_snaps JOIN (SELECT symbol, min(last_update_id) AS last_update_id FROM v_snaps GROUP BY symbol) USING (symbol, last_update_id) UNION ALL SELECT symbol, side, price, qty, u, timestamp_ms - timestamp_ms % {DAY} + {DAY} FROM v_diffs), "
+    "i AS (SELECT DISTINCT symbol, at_ms FROM w WHERE at_ms IS NOT NULL), f AS (SELECT symbol, min(at_ms) AS at_ms FROM i GROUP BY symbol), x AS (SELECT w.symbol, side, price, qty, u, coalesce(w.at_ms, f.at_ms) AS at_ms FROM w JOIN f ON w.symbol = f.symbol), "
+    "last AS (SELECT symbol, at_ms, side, price, arg_max(qty, u) AS qty FROM x GROUP BY 1, 2, 3, 4), l AS (SELECT DISTINCT symbol, side, price FROM last), g AS (SELECT i.symbol, i.at_ms, l.side, l.price FROM i JOIN l ON i.symbol = l.symbol) "
+    "SELECT g.symbol, g.at_ms, g.side, g.price, last.qty FROM g ASOF JOIN last ON g.symbol = last.symbol AND g.side = last.side AND g.price = last.price AND g.at_ms >= last.at_ms WHERE last.qty <> 0"
+)
 def o15_emit_snapshots(spark, d):
     return book.emit_snapshots(view(spark, d, "v_snaps"), events_of(spark, d), DAY)
 
@@ -786,3 +795,114 @@ def m01_matrix(spark, d):
 def q20_book_verdict(spark, d):
     diffs = diffs_of(spark, d)
     return quality.book_verdict(book.continuity(diffs), o05_rebuild(spark, d), o04_seed_crossed(spark, d), book.midnight_handoff(diffs))
+
+
+# ---- composite entry points, exports and paths --------------------------------------------------------------------------
+
+
+@query(f"WITH {_book_sql(T)} SELECT symbol, side, price, qty FROM book")
+def b09_export_book(spark, d):
+    return export_book(o06_book_at(spark, d)).select("symbol", "side", "price", "qty")
+
+
+@query("SELECT 'discovered' AS origin, symbol FROM (SELECT DISTINCT lower(symbol) AS symbol FROM v_contracts WHERE status = 'TRADING') UNION ALL SELECT 'whitelist', unnest(['p1usdt', 'p2usdt'])")
+def c15_select_universe(spark, d):
+    found = view(spark, d, "v_contracts").filter("status = 'TRADING'")
+    named = lambda origin, df: df.select(F.lit(origin).alias("origin"), "symbol")
+    return named("discovered", filters.select_universe(None, found)).unionByName(named("whitelist", filters.select_universe(["P1USDT", "p2usdt", "P2usdt"], found)))
+
+
+DATE = "strftime(make_timestamp(timestamp_ms * 1000), '%Y-%m-%d')"
+HOUR_OF = f"CAST(timestamp_ms % {DAY} // {HOUR} AS INT)"
+
+
+@query(f"SELECT event_id, {DATE} AS date, {HOUR_OF} AS hour, ({HOUR_OF} + 1) % 24 AS next_hour, concat('trades/', symbol, '/', {DATE}, '/', symbol, '_trades_', {DATE}, '.csv') AS path FROM ev")
+def h13_partition_parts(spark, d):
+    ms = F.col("timestamp_ms")
+    parts = fn.partition_parts(ms)
+    return view(spark, d, "ev").select("event_id", *[parts[k].alias(k) for k in ("date", "hour", "next_hour")], fn.partition_path(F.lit("trades"), F.col("symbol"), ms).alias("path"))
+
+
+@query(f"SELECT event_id, timestamp_ms - timestamp_ms % {HOUR} AS start_ms, CAST(NULL AS BIGINT) AS daily FROM ev")
+def h14_file_hour(spark, d):
+    parts = fn.partition_parts(F.col("timestamp_ms"))
+    two = lambda k: F.lpad(parts[k].cast("string"), 2, "0")
+    hourly = F.concat("symbol", F.lit("_depth_updates_"), parts["date"], F.lit("_"), two("hour"), F.lit("00-to-"), two("next_hour"), F.lit("00.csv"))
+    daily = F.concat("symbol", F.lit("_depth_snapshot_"), parts["date"], F.lit(".csv"))
+    return view(spark, d, "ev").select("event_id", fn.file_hour(hourly).alias("start_ms"), fn.file_hour(daily).alias("daily"))
+
+
+DAY_T = T - T % DAY
+INSIDE = f"timestamp_ms BETWEEN {DAY_T} AND {DAY_T + DAY - 1}"
+
+
+@query(
+    f"WITH n AS (SELECT symbol, count(*) AS liquidations FROM v_liquidations WHERE {INSIDE} GROUP BY symbol), s AS (SELECT DISTINCT symbol FROM v_snaps WHERE {INSIDE}), b AS (SELECT symbol, min(timestamp_ms) AS from_ms, max(timestamp_ms) + 60000 AS to_ms, count(*) AS bars, arg_max(close, timestamp_ms) AS last_close FROM v_bars WHERE {INSIDE} GROUP BY symbol) "
+    "SELECT symbol, from_ms, to_ms, bars, s.symbol IS NOT NULL AS has_book, last_close, liquidations FROM b LEFT JOIN s USING (symbol) LEFT JOIN n USING (symbol)"
+)
+def m05_replay_day(spark, d):
+    found = replay_day(view(spark, d, "v_bars").withColumn("seq", F.col("timestamp_ms")), view(spark, d, "v_liquidations"), view(spark, d, "v_snaps"), DAY_T)
+    last = found["prices"].groupBy("symbol").agg(F.max_by("close", "timestamp_ms").alias("last_close"))
+    return found["days"].join(last, "symbol").join(found["liquidations"].groupBy("symbol").agg(F.count("*").alias("liquidations")), "symbol", "left")
+
+
+@query(
+    f"WITH {_book_sql(T)}, t AS (SELECT symbol, max(CASE WHEN side = 'bid' THEN price END) AS best_bid, min(CASE WHEN side = 'ask' THEN price END) AS best_ask, count(*) AS levels FROM book GROUP BY symbol), "
+    f"g AS (SELECT symbol, bool_or(coalesce(pu <> b, false)) AS gap FROM (SELECT e.symbol, pu, lag(u) OVER (PARTITION BY e.symbol ORDER BY u) AS b FROM v_diffs e JOIN anchors a ON e.symbol = a.symbol AND e.u > a.anchor_id AND e.timestamp_ms <= {T}) GROUP BY symbol), "
+    f"c AS (SELECT symbol, arg_max(close, timestamp_ms) AS close FROM v_bars WHERE timestamp_ms BETWEEN {DAY_T - DAY} AND {T} GROUP BY symbol), p AS (SELECT symbol, least(count(*), 40) AS tape FROM v_trades WHERE timestamp_ms <= {T} AND timestamp_ms > {T - DAY} GROUP BY symbol) "
+    "SELECT t.symbol, best_bid, best_ask, gap, close, tape FROM t LEFT JOIN g USING (symbol) LEFT JOIN c USING (symbol) LEFT JOIN p USING (symbol)"
+)
+def m06_replay_at(spark, d):
+    found = {
+        "klines": view(spark, d, "v_bars").withColumn("seq", F.col("timestamp_ms")), "funding_rates": view(spark, d, "v_funding"), "open_interest": view(spark, d, "v_open_interest"),
+        "long_short_ratio": view(spark, d, "v_long_short"), "trades": view(spark, d, "v_trades"), "liquidations": view(spark, d, "v_liquidations"),
+    }
+    state = replay_at(found, view(spark, d, "v_snaps"), events_of(spark, d), diffs_of(spark, d), T)
+    tape = state["tape"].groupBy("symbol").agg(F.count("*").alias("tape"))
+    out = state["top"].join(state["gap"].select("symbol", "gap"), "symbol", "left").join(state["close"].select("symbol", "close"), "symbol", "left")
+    return out.join(tape, "symbol", "left").select("symbol", "best_bid", "best_ask", "gap", "close", "tape")
+
+
+@query(
+    "WITH c AS (SELECT symbol, least(count(*), 180) AS candles FROM v_bars GROUP BY symbol), t AS (SELECT symbol, least(count(*), 60) AS trades FROM v_trades GROUP BY symbol), f AS (SELECT symbol, arg_max(funding_rate, seq) AS funding_rate FROM v_funding GROUP BY symbol), "
+    "o AS (SELECT symbol, arg_max(oi_value, seq) AS oi_value FROM v_open_interest GROUP BY symbol), r AS (SELECT symbol, count(DISTINCT ratio_type) AS ratios FROM v_long_short GROUP BY symbol) SELECT symbol, candles, trades, funding_rate, oi_value, ratios FROM c JOIN t USING (symbol) JOIN f USING (symbol) JOIN o USING (symbol) JOIN r USING (symbol)"
+)
+def m07_symbol_detail(spark, d):
+    found = symbol_detail({
+        "klines": view(spark, d, "v_bars").withColumn("seq", F.col("timestamp_ms")), "trades": view(spark, d, "v_trades"), "funding_rates": view(spark, d, "v_funding"),
+        "open_interest": view(spark, d, "v_open_interest"), "long_short_ratio": view(spark, d, "v_long_short"),
+    })
+    count = lambda k, name: found[k].groupBy("symbol").agg(F.count("*").alias(name))
+    out = count("candles", "candles").join(count("trades", "trades"), "symbol").join(found["funding"].select("symbol", "funding_rate"), "symbol")
+    return out.join(found["open_interest"].select("symbol", "oi_value"), "symbol").join(count("ratios", "ratios"), "symbol")
+
+
+@query(_text["e09_coverage_totals"])
+def m11_coverage(spark, d):
+    rows = agg.lane_rows({k: v.withColumn("file_name", agg.day()) for k, v in lanes(spark, d).items()}, "file_name")
+    return coverage(rows, view(spark, d, "v_liquidations"), NOW)["totals"]
+
+
+@query(f"WITH x AS ({_text['o11_midnight_handoff']}), y AS ({_text['o12_midnight_trade_gap']}) SELECT x.symbol, x.day_ms, x.handoff, y.gap_ms FROM x LEFT JOIN y ON x.symbol = y.symbol AND x.day_ms = y.day_ms")
+def m16_soak_report(spark, d):
+    samples = view(spark, d, "ev").select("timestamp_ms", F.col("k").alias("rss_mb"), F.col("user_id").alias("reconnects"))
+    found = soak_report(samples, diffs_of(spark, d), view(spark, d, "v_trades"))
+    return found["handoffs"].join(found["trade_gaps"], ["symbol", "day_ms"], "left").select("symbol", "day_ms", "handoff", "gap_ms")
+
+
+@query(f"WITH s AS ({_text['e19_request_success']}), b AS (SELECT route, endpoint, sum(weight) OVER (ORDER BY timestamp_ms RANGE BETWEEN 300000 PRECEDING AND CURRENT ROW) > 20 AS over_budget FROM v_requests), n AS (SELECT route, endpoint, count(*) FILTER (WHERE over_budget) AS over_budget FROM b GROUP BY 1, 2) SELECT s.route, s.endpoint, s.requests, s.succeeded, n.over_budget FROM s JOIN n ON s.route = n.route AND s.endpoint = n.endpoint")
+def m17_request_audit(spark, d):
+    found = request_audit(view(spark, d, "v_requests"), 300_000, 20)
+    over = found["budget"].groupBy("route", "endpoint").agg(F.count_if("over_budget").alias("over_budget"))
+    return found["success"].join(over, ["route", "endpoint"]).select("route", "endpoint", "requests", "succeeded", "over_budget")
+
+
+@query(
+    f"WITH b AS (SELECT {NOW / 1000} - max(timestamp_ms) / 1e3 AS age_s, arg_max(event_id, timestamp_ms) AS messages_total FROM ev WHERE timestamp_ms <= {NOW}), {ROWS}, {SEEN}, l AS (SELECT lane, count(*) AS seen, count(*) FILTER (WHERE {NOW} - last_ms < 3600000) AS healthy FROM seen GROUP BY lane) "
+    "SELECT age_s, age_s < 900 AS live, messages_total, (SELECT count(*) FROM l) AS lanes, (SELECT count(*) FROM l WHERE healthy >= seen) AS healthy_lanes FROM b"
+)
+def m14_health(spark, d):
+    beats = view(spark, d, "ev").filter(F.col("timestamp_ms") <= NOW).select((F.col("timestamp_ms") / 1e3).alias("timestamp"), F.col("event_id").alias("messages_total"), *[F.lit(0).alias(c) for c in ("errors", "active_symbols", "orderbooks_live")])
+    seen = agg.last_seen(agg.lane_rows(lanes(spark, d)))
+    per = seen.groupBy("lane").agg(F.count("*").alias("seen"), F.count_if(NOW - F.col("last_ms") < HOUR).alias("healthy"))
+    return health(beats, per, NOW / 1000, 900).select("age_s", "live", "messages_total", "lanes", "healthy_lanes")
