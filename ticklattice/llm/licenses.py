@@ -1,8 +1,10 @@
 """Licence scans by conditional compression.
 
-Candidate blocks are the lines that mention a licence, with as many words before and after them as the longest template may
+Candidate blocks are the lines that hold a cue, with as many words before and after them as the longest template may
 take, so that notices wrapped over lines are whole; marks, as of comments, and line ends count for nothing, and blocks that
-meet are one. A block is judged in overlapping windows of words, sized to the templates: each window is compressed alone and with every template as a zstandard raw-content dictionary, and templates are
+meet are one. Cues come from the templates: a passage may lack a fixed number of a template's words, so one more than that of them,
+the longest, are its cues, and no passage is without one. A block is judged in overlapping windows of words, sized to the templates:
+each window is compressed alone and with every template as a zstandard raw-content dictionary, and templates are
 ranked by the bytes that knowing them saves; no template is dropped for its rank. A passage is confirmed by its exact
 wording: the template's words that it lacks, and the words that it puts among them, may be at most `max_changed` of the
 template's. Where passages overlap, the one with the fewest changes wins, then the one that saves most bytes.
@@ -26,25 +28,31 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches
+from .common import bound_batches, model
 
 #: Usual wordings of licence notices.
 TEMPLATES = {
-    "Apache-2.0": ["Licensed under the Apache License, Version 2.0."],
+    "AGPL-3.0": ["This work is licensed under the GNU Affero General Public License, version 3."],
+    "Apache-2.0": ["Licensed under the Apache License, Version 2.0.", "You may not use this file except in compliance with the License. You may obtain a copy of the License at"],
+    "BSD-2-Clause": ["Released under the BSD 2-Clause License."],
     "BSD-3-Clause": ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:", "Released under the BSD 3-Clause License."],
     "CC-BY-4.0": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
     "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
+    "CC-BY-ND-4.0": ["Licensed under CC BY-ND 4.0.", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."],
     "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
     "CC0-1.0": ["To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.", "Dedicated to the public domain under CC0 1.0."],
-    "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2."],
-    "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3."],
+    "EPL-2.0": ["This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0"],
+    "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2.", "under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."],
+    "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3.", "under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."],
+    "ISC": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"],
     "LGPL-3.0": ["This work is licensed under the GNU Lesser General Public License, version 3."],
     "MIT": ["Released under the MIT License.", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"],
     "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
     "Proprietary": ["All rights reserved.", "Unauthorized copying of this file, via any medium is strictly prohibited."],
+    "Unlicense": ["This is free and unencumbered software released into the public domain."],
 }
-CUE = r"(?i)licen[cs]e|copyright|rights\W+reserved|redistribution|permission\W+is\W+hereby|public\W+domain|unauthorized\W+copying|waived\W+all"
-_CUE = re.compile(CUE)
+#: Fixed value: how source files name their licence; one more template for each of the names above.
+SPDX = "SPDX-License-Identifier: {}"
 _WORD = re.compile(r"\w+(?:\.\w+)*")
 
 
@@ -52,6 +60,24 @@ def words(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+def with_identifiers(templates: dict[str, list[str]]) -> dict[str, list[str]]:
+    return {name: [*texts, SPDX.format(name)] for name, texts in templates.items()}
+
+
+def allowed(own: list[str], max_changed: float) -> int:
+    """How many words of a template may be missing or put in."""
+    return int(max_changed * len(own) + 1e-9)
+
+
+def cues(templates: dict[str, list[str]], max_changed: float) -> str:
+    """A pattern that every confirmed passage holds: of each template the longest words, one more than may be missing."""
+    found = set()
+    for texts in templates.values():
+        for own in map(words, texts):
+            found.update(sorted(set(own), key=lambda w: (-len(w), w))[: allowed(own, max_changed) + 1])
+    return r"(?iu)(?<!\w)(?:" + "|".join(re.escape(w) for w in sorted(found, key=lambda w: (-len(w), w))) + r")(?!\w)"
+
+
 def wording(template: list[str], block: list[str]) -> tuple[int, int, list[str], list[str]]:
     """The passage of the block that is nearest to the template: start, end, words of the template that it lacks, and words
     that it has among them. Fewest of both; the first such passage."""
@@ -83,12 +109,13 @@ class Scanner:
         for name, texts in sorted(templates.items()):
             for text in texts:
                 own = words(text)
-                spare = int(max_changed * len(own) + 1e-9)
+                spare = allowed(own, max_changed)
                 d = zstandard.ZstdCompressionDict(" ".join(own).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
                 tool = zstandard.ZstdCompressor(level=level, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False)
                 self.classes[1 << (len(own) + spare - 1).bit_length()].append((name, own, spare, tool))
         self.alone = zstandard.ZstdCompressor(level=level, write_content_size=False, write_checksum=False)
         self.reach = max(self.classes, default=0)
+        self.cue = re.compile(cues(templates, max_changed))
 
     def rank(self, window: list[str], entries: list[tuple]) -> list[tuple]:
         """(bytes saved, their share, licence, template words, changes allowed), best first."""
@@ -136,7 +163,7 @@ def passages(text: str, scanner: Scanner) -> list[tuple]:
     starts = [a for a, _ in places]
     ends = [m.start() for m in re.finditer("\n", text)]
     blocks, after = [], 0
-    for cue in _CUE.finditer(text):
+    for cue in scanner.cue.finditer(text):
         if cue.start() < after:
             continue  # on the lines of the cue before
         first, last = bisect_left(ends, cue.start()), bisect_left(ends, cue.end())
@@ -159,14 +186,14 @@ def passages(text: str, scanner: Scanner) -> list[tuple]:
 
 def scan(docs: DataFrame, templates: dict[str, list[str]] | None = None, max_changed: float = 0.15) -> DataFrame:
     """(doc_id, line_no, license, saved, changed, missing, added, block): per line and licence that starts on it."""
-    templates = TEMPLATES if templates is None else templates
+    templates = with_identifiers(TEMPLATES) if templates is None else templates
     bound_batches(docs.sparkSession)
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).filter(F.col("text").rlike(CUE))
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).filter(F.col("text").rlike(cues(templates, max_changed)))
     types = (pa.int32(), pa.string(), pa.float64(), pa.float64(), pa.list_(pa.string()), pa.list_(pa.string()), pa.string())
     names = ["doc_id", "line_no", "license", "saved", "changed", "missing", "added", "block"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(templates, max_changed)
+        scanner = model(("licences", hash(str(templates)), max_changed), lambda: Scanner(templates, max_changed))
         for batch in batches:
             rows = [(n, *row) for n, text in enumerate(batch.column(1).to_pylist()) for row in passages(text, scanner)]
             ids, *columns = zip(*rows, strict=True) if rows else [()] * len(names)
