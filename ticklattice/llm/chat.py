@@ -67,11 +67,17 @@ def quote_links(turns: DataFrame, least: float = 0.5) -> DataFrame:
     hold most of its lines, and at least `least` of them."""
     of = ["uid", "conv_id", "at", "passage", "level", "of"]
     quoted = quoted_passages(turns).withColumnRenamed("turn", "at").withColumn("of", F.size("keys"))
-    wanted = quoted.select(*of, F.explode("keys").alias("key")).distinct()
-    met = wanted.join(own_lines(turns), ["conv_id", "key"]).filter("turn < at").groupBy(*of, "turn").agg(F.count("*").alias("found"))
+    wanted, held = quoted.select(*of, F.explode("keys").alias("key")).distinct(), own_lines(turns)
+    met = wanted.filter("of > 1").join(held, ["conv_id", "key"]).filter("turn < at").groupBy(*of, "turn").agg(F.count("*").alias("found"))
     met = met.filter(F.col("found") >= F.lit(least) * F.col("of"))
-    best = met.groupBy(*of).agg(F.max(F.struct("found", F.col("turn").alias("source_turn"))).alias("b"))
-    return best.select("uid", "conv_id", F.col("at").alias("turn"), "passage", "level", "b.source_turn", "b.found", "of")
+    best = met.groupBy(*of).agg(F.max(F.struct("found", F.col("turn").alias("source_turn"))).alias("b")).select(*of, "b.found", "b.source_turn")
+    # one line: the last turn before that holds it, by a look back, however many turns quote or hold it
+    asked = wanted.filter("of = 1").select("conv_id", "key", F.col("at").alias("when"), F.struct(*of).alias("q"), F.lit(None).cast("long").alias("holder"))
+    there = held.select("conv_id", "key", F.col("turn").alias("when"), F.lit(None).cast(asked.schema["q"].dataType).alias("q"), F.col("turn").alias("holder"))
+    back = Window.partitionBy("conv_id", "key").orderBy("when", F.col("holder").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    lone = asked.unionByName(there.join(asked.select("conv_id", "key").distinct(), ["conv_id", "key"], "left_semi")).withColumn("source_turn", F.last("holder", ignorenulls=True).over(back))
+    lone = lone.filter("q is not null and source_turn is not null").select("q.*", F.lit(1).cast("long").alias("found"), "source_turn").filter(F.lit(least) <= 1)
+    return best.unionByName(lone).select("uid", "conv_id", F.col("at").alias("turn"), "passage", "level", "source_turn", "found", "of")
 
 
 def _next(rows: DataFrame, by: list[str], col: str, name: str, step: int = 1) -> DataFrame:
