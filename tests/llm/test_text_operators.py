@@ -440,3 +440,36 @@ def test_decontamination_of_short_items(spark):
     got = [(r.doc_id, r.item_id, r.n_item, r.n_shared) for r in contamination.contained_items(frame(spark, rows), table).collect()]
     assert sorted(got) == [(i, i, 1 + i % 4, 1 + i % 4) for i in range(1500)]
     assert contamination.drop_contaminated(frame(spark, rows), table).count() == 0
+
+
+def test_licenses_against_every_window_and_template(spark):
+    """Planted notices with words left out, put in or none: what is found is what any window of words confirms with any template."""
+    rng, templates = random.Random(21), licenses.with_identifiers(licenses.TEMPLATES)
+    flat = [(name, text) for name, texts in templates.items() for text in texts]
+    rows, scanner = [], licenses.Scanner(templates, 0.15)
+    for i, (name, text) in enumerate(flat):
+        own = text.split()
+        for k in range(3):
+            made = list(own)
+            if k == 1 and len(made) > 6:
+                del made[rng.randrange(len(made))]
+            if k == 2 and len(made) > 6:
+                made[rng.randrange(len(made))] = "otherwise"
+            lines = " ".join(made)
+            rows.append((3 * i + k, f"{prose(rng, 30)}\n{lines}\n{prose(rng, 30)}", None, None, None))
+    want = set()
+    for d, text, *_ in rows:
+        block = licenses.words(text)
+        for name, texts in templates.items():
+            for own in map(licenses.words, texts):
+                if any(True for _ in scanner.confirmed(own, block, licenses.allowed(own, 0.15), 0)):
+                    want.add((d, name))
+    got = {(r.doc_id, r.license) for r in licenses.scan(frame(spark, rows)).collect()}
+    assert got <= want and {d for d, _ in got} == {d for d, _ in want} and all((3 * i, name) in got for i, (name, _) in enumerate(flat))
+    assert len({d for d, _ in got}) > 100
+
+
+def test_spdx_and_repeated_rows(spark):
+    rows = [(1, "// SPDX-License-Identifier: MIT\nint main", None, None, None), (1, "// SPDX-License-Identifier: MIT\nint main", None, None, None), (2, "# SPDX-License-Identifier: GPL-3.0-only", None, None, None), (3, "reserved", None, None, None)]
+    got = sorted((r.doc_id, r.line_no, r.license) for r in licenses.scan(frame(spark, rows)).collect())
+    assert got == [(1, 0, "MIT"), (1, 0, "MIT"), (2, 0, "GPL-3.0")]

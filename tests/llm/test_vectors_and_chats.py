@@ -1,3 +1,6 @@
+import random
+import re
+
 import numpy as np
 
 from ticklattice.llm import ann, chat
@@ -118,3 +121,38 @@ def test_chats_of_several_passages(spark):
     assert got[10].text == "yes\n\nall three" and got[10].n_quoted == 6
     links = chat.quote_links(df.selectExpr("xxhash64(*) AS uid", "conv_id", "turn", "text")).collect()
     assert sorted((r.turn, r.passage, r.level, r.source_turn, r.found, r.of) for r in links) == [(10, 0, 1, 0, 2, 2), (10, 3, 1, 1, 2, 2), (10, 6, 1, 2, 2, 2), (11, 4, 1, 1, 1, 1), (12, 0, 2, 0, 1, 1), (12, 2, 2, 2, 1, 1), (13, 0, 1, 0, 1, 1), (13, 1, 2, 2, 1, 1), (13, 2, 1, 0, 1, 1)]
+
+
+def test_links_against_brute_force(spark):
+    """Random chats in which short lines come again and again, quoted alone and in passages; repeated and very long messages."""
+    rng, pool, rows = random.Random(4), [f"line {i} of all" for i in range(6)], []
+    for conv in range(3):
+        for turn in range(0, 60, 2):
+            said = "\n".join(rng.choice(pool) for _ in range(rng.randint(1, 3)))
+            quoted = [f"> {rng.choice(pool)}" if rng.random() < 0.7 else "between" for _ in range(rng.randint(0, 5))]
+            rows.append((conv, turn, "user", "\n".join([*quoted, said])))
+    rows += [rows[5], (7, 0, "user", "word " * 200_000 + "\n" + pool[0]), (7, 1, "user", f"> {pool[0]}\nyes")]
+    form = lambda x: " ".join(re.findall(r"[a-z0-9]+", x.lower()))
+    want = set()
+    for conv, turn, _, text in rows:
+        passages, before = [], None
+        for place, line in enumerate(text.split("\n")):
+            level = line.startswith(">")
+            if level and not before:
+                passages.append((place, set()))
+            if level:
+                passages[-1][1].add(form(line))
+            before = level
+        for place, keys in passages:
+            met = []
+            for c, t, _, other in rows:
+                if c == conv and t < turn:
+                    own = {form(x) for x in other.split("\n") if not x.startswith(">")}
+                    if 2 * len(own & keys) >= len(keys):
+                        met.append((len(own & keys), t))
+            if met:
+                want.add((conv, turn, place, max(met)[1], max(met)[0], len(keys)))
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = chat.quote_links(df.selectExpr("xxhash64(*) AS uid", "conv_id", "turn", "text")).collect()
+    assert {(r.conv_id, r.turn, r.passage, r.source_turn, r.found, r.of) for r in got} == want and len(want) > 60
+    assert chat.format_chats(df).count() == len(rows)
