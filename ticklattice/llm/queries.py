@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, contamination, langid, licenses, lines, minhash, packing, sharding, substrings
+from . import ann, chat, contamination, langid, licenses, lines, minhash, packing, sharding, sql, substrings
 from .common import place_in_file, read_table
 
 
@@ -81,4 +81,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op4_benchmark_decontamination": sql.CONTAINED,
+        "op6_line_dedup": sql.LINES,
+        "op8_suffix_array_dedup": sql.REPEATS,
+        "op9_minhash_near_dedup": sql.NEAR,
+    }
