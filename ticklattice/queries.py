@@ -18,6 +18,7 @@ from .schemas import DAY, HOUR, RATIO_TYPES
 from .sources import messages
 from .sources.lanes import health, is_live
 from .sources.sinks import export_book, export_bundle
+from .streaming import ingest, state
 
 #: Instants inside the tables' month, and the time at which "now" is asked.
 T = 1_705_320_000_000
@@ -797,6 +798,145 @@ def q20_book_verdict(spark, d):
     return quality.book_verdict(book.continuity(diffs), o05_rebuild(spark, d), o04_seed_crossed(spark, d), book.midnight_handoff(diffs))
 
 
+#: The type of the message that an event is sent as; `trade` is a type that no lane takes.
+KIND = "CASE event_id % 5 WHEN 0 THEN 'aggTrade' WHEN 1 THEN 'depthUpdate' WHEN 2 THEN 'forceOrder' WHEN 3 THEN 'kline' ELSE 'trade' END"
+
+
+def envelopes(spark: SparkSession, d: str) -> DataFrame:
+    """Events as envelopes of all types: liquidations as arrays of two, and now and then text that is no envelope."""
+    rows = view(spark, d, "ev").withColumn("kind", F.expr(KIND))
+    one = F.to_json(F.struct(F.col("kind").alias("e"), F.col("timestamp_ms").alias("E")))
+    data = F.when(F.col("kind") == "forceOrder", F.concat(F.lit("["), one, F.lit(","), one, F.lit("]"))).otherwise(one)
+    whole = F.concat(F.lit('{"stream":"tape","data":'), data, F.lit("}"))
+    return rows.select(F.when(F.col("event_id") % 11 == 0, "no envelope").otherwise(whole).alias("value"))
+
+
+SENT = f"sent AS (SELECT CASE WHEN event_id % 11 = 0 THEN NULL ELSE {KIND} END AS event_type, CASE WHEN event_id % 11 = 0 THEN NULL ELSE timestamp_ms END AS timestamp_ms FROM ev UNION ALL SELECT 'forceOrder', timestamp_ms FROM ev WHERE event_id % 5 = 2 AND event_id % 11 <> 0)"
+
+
+@query(f"WITH {SENT} SELECT event_type, timestamp_ms FROM sent")
+def a04_parse_messages(spark, d):
+    return messages.parse_messages(envelopes(spark, d)).select("event_type", F.get_json_object("payload", "$.E").cast("bigint").alias("timestamp_ms"))
+
+
+@query(f"WITH {SENT} SELECT CASE WHEN event_type IS NULL OR event_type = 'trade' THEN 'dropped' ELSE event_type END AS kind, timestamp_ms FROM sent")
+def a05_route(spark, d):
+    parts = []
+    for kind, rows in messages.route(messages.parse_messages(envelopes(spark, d))).items():
+        at = F.get_json_object("payload", "$.E").cast("bigint") if kind == "dropped" else F.col("E")
+        parts.append(rows.select(F.lit(kind).alias("kind"), at.alias("timestamp_ms")))
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+LEVEL = "concat('[[\"', CAST(price AS VARCHAR), '\",\"', CAST(qty AS VARCHAR), '\"]]')"
+
+
+@query(f"SELECT symbol, timestamp_ms, u AS first_update_id, u AS last_update_id, pu AS prev_update_id, CASE WHEN side = 'bid' THEN {LEVEL} ELSE '[]' END AS bids_json, CASE WHEN side = 'ask' THEN {LEVEL} ELSE '[]' END AS asks_json FROM v_diffs")
+def a06_to_diffs(spark, d):
+    c = F.col
+    level = F.array(F.array(c("price").cast("string"), c("qty").cast("string")))
+    side = lambda name: F.when(c("side") == name, level).otherwise(F.array().cast("array<array<string>>"))
+    data = F.struct(F.lit("depthUpdate").alias("e"), c("timestamp_ms").alias("E"), c("timestamp_ms").alias("T"), F.upper("symbol").alias("s"), c("u").alias("U"), c("u"), c("pu"), side("bid").alias("b"), side("ask").alias("a"))
+    value = F.to_json(F.struct(F.lit("tape").alias("stream"), data.alias("data")))
+    rows = messages.typed(messages.parse_messages(view(spark, d, "v_diffs").select(value.alias("value"))), "depthUpdate")
+    return messages.to_diffs(rows).select("symbol", "timestamp_ms", "first_update_id", "last_update_id", "prev_update_id", "bids_json", "asks_json")
+
+
+@query(f"SELECT symbol, timestamp_ms, open, high, low, close, volume, CAST(7 AS BIGINT) AS trade_count, volume / 2 AS taker_buy_base FROM v_bars WHERE timestamp_ms // {HOUR} % 3 <> 0")
+def a08_to_klines(spark, d):
+    c, text = F.col, lambda name: F.col(name).cast("string")
+    closed = F.floor(c("timestamp_ms") / HOUR) % 3 != 0
+    bar = F.struct(
+        c("timestamp_ms").alias("t"), (c("timestamp_ms") + HOUR - 1).alias("T"), F.upper("symbol").alias("s"), F.lit("1h").alias("i"), text("open").alias("o"), text("high").alias("h"), text("low").alias("l"), text("close").alias("c"),
+        text("volume").alias("v"), text("volume").alias("q"), F.lit(7).alias("n"), closed.alias("x"), (c("volume") / 2).cast("string").alias("V"), text("volume").alias("Q"),
+    )
+    data = F.struct(F.lit("kline").alias("e"), c("timestamp_ms").alias("E"), F.upper("symbol").alias("s"), bar.alias("k"))
+    value = F.to_json(F.struct(F.lit("tape").alias("stream"), data.alias("data")))
+    rows = messages.typed(messages.parse_messages(view(spark, d, "v_bars").select(value.alias("value"))), "kline")
+    return messages.to_klines(rows).select("symbol", "timestamp_ms", "open", "high", "low", "close", "volume", "trade_count", "taker_buy_base")
+
+
+@query("SELECT symbol, timestamp_ms + i AS timestamp_ms, value / 1e5 AS funding_rate, timestamp_ms + 28800000 AS next_funding_time FROM ev CROSS JOIN (SELECT 0 AS i UNION ALL SELECT 1) t WHERE (i = 0 OR event_id % 2 = 1) AND symbol < 's' AND symbol >= 'd'")
+def a10_to_funding(spark, d):
+    c, ev = F.col, view(spark, d, "ev")
+    one = lambda i: F.to_json(F.struct(F.upper("symbol").alias("symbol"), c("value").cast("string").alias("markPrice"), (c("value") / 1e5).cast("string").alias("lastFundingRate"), (c("timestamp_ms") + 28_800_000).alias("nextFundingTime"), (c("timestamp_ms") + i).alias("time")))
+    body = F.when(c("event_id") % 2 == 0, one(0)).otherwise(F.concat(F.lit("["), one(0), F.lit(","), one(1), F.lit("]")))
+    symbols = ev.select("symbol").distinct()
+    found = messages.to_funding(ev.select(body.alias("body")), symbols.filter("symbol < 's'"), symbols.filter("symbol < 'd'"))
+    return found.select("symbol", "timestamp_ms", "funding_rate", "next_funding_time")
+
+
+@query("SELECT symbol, timestamp_ms, '5m' AS period, CAST(k + 1 AS DOUBLE) AS buy_volume, CASE WHEN event_id % 9 <> 0 THEN value END AS sell_volume, (k + 1) / value AS buy_sell_ratio FROM ev")
+def a13_to_taker(spark, d):
+    c = F.col
+    sold = F.when(c("event_id") % 9 == 0, "none").otherwise(c("value").cast("string"))
+    rows = view(spark, d, "ev").select(F.upper("symbol").alias("symbol"), c("timestamp_ms").alias("timestamp"), (c("k") + 1).cast("string").alias("buyVol"), sold.alias("sellVol"), ((c("k") + 1) / c("value")).cast("string").alias("buySellRatio"))
+    return messages.to_taker(rows).select("symbol", "timestamp_ms", "period", "buy_volume", "sell_volume", "buy_sell_ratio")
+
+
+@query("SELECT 'mark_price_klines' AS datatype, symbol, timestamp_ms, open, high, low, close FROM v_bars")
+def a14_to_price_klines(spark, d):
+    fields = F.array(*[F.col(x).cast("string") for x in ("timestamp_ms", "open", "high", "low", "close")])
+    short = F.array(F.col("timestamp_ms").cast("string"), F.col("open").cast("string"))
+    rows = view(spark, d, "v_bars").select(F.upper("symbol").alias("symbol"), F.to_json(F.array(short, fields)).alias("body"))
+    return messages.to_price_klines(rows, "mark_price_klines").select("datatype", "symbol", "timestamp_ms", "open", "high", "low", "close")
+
+
+@query(f"SELECT symbol, timestamp_ms, close FROM v_bars WHERE timestamp_ms // {HOUR} % 3 <> 0")
+def c07_closed_only(spark, d):
+    bars = view(spark, d, "v_bars").withColumn("is_closed", F.floor(F.col("timestamp_ms") / HOUR) % 3 != 0)
+    return filters.closed_only(bars).select("symbol", "timestamp_ms", "close")
+
+
+@query("SELECT event_id, value AS price, CAST(k AS DOUBLE) AS quantity FROM ev WHERE event_id % 7 <> 0 AND event_id % 11 <> 0 AND event_id % 13 <> 0")
+def c16_parsed(spark, d):
+    c = F.col
+    price = F.when(c("event_id") % 7 == 0, "1,5").when(c("event_id") % 11 == 0, "NaN").otherwise(c("value").cast("string"))
+    quantity = F.when(c("event_id") % 13 == 0, "").otherwise(c("k").cast("string"))
+    return filters.parsed(view(spark, d, "ev").select("event_id", price.alias("price"), quantity.alias("quantity")), ["price", "quantity"])
+
+
+@query(
+    "SELECT event_id, CASE event_id % 5 WHEN 0 THEN 'orderbooks' WHEN 1 THEN 'premium_index_klines' WHEN 2 THEN 'funding_rates' WHEN 3 THEN 'exchange_info' ELSE 'unknown' END AS endpoint, CASE WHEN event_id % 5 = 3 THEN 'ALL' ELSE upper(symbol) END AS symbol, "
+    "CAST(CASE WHEN event_id % 5 <> 0 THEN 1 WHEN k * 7 <= 50 THEN 2 WHEN k * 7 <= 100 THEN 5 WHEN k * 7 <= 500 THEN 10 ELSE 20 END AS INT) AS weight FROM ev"
+)
+def c18_classify_request(spark, d):
+    paths = ("/fapi/v1/depth?symbol={s}&limit={n}", "/fapi/v1/premiumIndexKlines?symbol={s}", "/fapi/v1/premiumIndex?symbol={s}", "/fapi/v1/exchangeInfo", "/fapi/v1/time?symbol={s}")
+    path = F.element_at(F.array(*[F.lit(p) for p in paths]), (F.col("event_id") % 5 + 1).cast("int"))
+    url = F.replace(F.replace(path, F.lit("{s}"), F.upper("symbol")), F.lit("{n}"), (F.col("k") * 7).cast("string"))
+    return view(spark, d, "ev").select("event_id", fn.classify_request(url).alias("r")).select("event_id", "r.*")
+
+
+@query("SELECT event_id, value AS price, CAST(k AS DOUBLE) AS qty FROM ev UNION ALL SELECT event_id, NULL, 1.0 FROM ev WHERE event_id % 3 = 0")
+def h09_levels(spark, d):
+    c = F.col
+    pair = F.array(c("value").cast("string"), c("k").cast("string"))
+    text = F.when(c("event_id") % 3 == 0, fn.levels_json(F.array(pair, F.array(F.lit("x"), F.lit("1"))))).otherwise(fn.levels_json(F.array(pair)))
+    return view(spark, d, "ev").select("event_id", F.inline(fn.levels(text)))
+
+
+@query(f"WITH {ROWS}, {SEEN} SELECT lane, symbol, last_ms FROM seen")
+def t06_freshness(spark, d):
+    return state.freshness(agg.lane_rows(lanes(spark, d))).select("lane", "symbol", "last_ms")
+
+
+@query(
+    f"WITH c AS (SELECT concat(symbol, CAST(user_id % 50 AS VARCHAR)) AS symbol, arg_max(event_id % 3, event_id) AS last FROM ev WHERE user_id % 2 = 0 GROUP BY 1), t AS (SELECT DISTINCT concat(symbol, CAST(user_id % 50 AS VARCHAR)) AS symbol FROM ev WHERE user_id % 3 = 0), "
+    f"k AS (SELECT symbol FROM t WHERE symbol NOT IN (SELECT symbol FROM c WHERE last = 0)) SELECT symbol, CAST(5 AS BIGINT) AS since_ms FROM k UNION ALL SELECT symbol, {NOW} FROM c WHERE last <> 0 AND symbol NOT IN (SELECT symbol FROM k)"
+)
+def t10_pending_listings(spark, d):
+    rows = view(spark, d, "ev").withColumn("symbol", F.concat("symbol", (F.col("user_id") % 50).cast("string")))
+    change = F.when(F.col("event_id") % 3 == 0, "removed").otherwise("added")
+    changes = rows.filter("user_id % 2 = 0").select("symbol", F.col("event_id").alias("cycle"), change.alias("change"))
+    known = rows.filter("user_id % 3 = 0").select("symbol").distinct().withColumn("since_ms", F.lit(5).cast("bigint"))
+    return ingest.pending_listings(changes, known, NOW)
+
+
+@query(f"WITH {SENT} SELECT event_type, count(*) AS messages FROM sent GROUP BY event_type")
+def t11_stream_metrics(spark, d):
+    return ingest.stream_metrics(messages.parse_messages(envelopes(spark, d)))
+
+
 # ---- composite entry points, exports and paths --------------------------------------------------------------------------
 
 
