@@ -25,7 +25,10 @@ def feed(spark, tmp_path, rows, ddl, files):
 def drain(df, tmp_path, mode="append"):
     name = "t" + uuid.uuid4().hex
     q = df.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", str(tmp_path / name)).trigger(availableNow=True).start()
-    q.awaitTermination(60)
+    for _ in range(60):  # with timers a stream goes on without data: the first such batch ends it here
+        if q.awaitTermination(1) or q.lastProgress is not None and q.lastProgress["numInputRows"] == 0:
+            break
+    q.stop()
     assert q.exception() is None
     return df.sparkSession.table(name).collect()
 
@@ -112,3 +115,21 @@ def test_live_books(spark, tmp_path):
     assert ("Initializing", None, None, None, None) in steps and ("Live", 110, 99.5, 101.0, None) in steps
     assert ("Live", 112, 99.0, 100.5, None) in steps and ("Live", 121, 99.0, 100.4, "gap") in steps and ("Initializing", None, None, None, "delisted") in steps
     assert F is not None
+
+
+def test_live_books_forget_idle_symbols(spark, tmp_path):
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    rows = [
+        ("s", "snapshot", 3, 100, 100, 0, [[99.0, 1.0], [98.0, 1.0]], [[101.0, 1.0]]), ("s", "diff", 4, 101, 101, 100, [[99.0, 0.0]], []),
+        ("t", "diff", 5, 5, 5, 4, [], []), ("s", "diff", 6, 102, 102, 101, [], [[100.5, 1.0]]),
+    ]
+    try:
+        kept = drain(state.live_books(feed(spark, tmp_path, rows, LIVE, 4)), tmp_path, "update")
+        late = tmp_path / "late"
+        late.mkdir()
+        gone = drain(state.live_books(feed(spark, late, rows, LIVE, 4), idle_ms=1), late, "update")
+    finally:
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+    ends = {r.u: (r.best_bid, r.best_ask, r.bids, r.asks) for r in kept if r.symbol == "s"}
+    assert ends[101] == (98.0, 101.0, 1, 1) and ends[102] == (98.0, 100.5, 1, 2) and not any(r.reason == "idle" for r in kept)
+    assert all(r.state != "Live" for r in gone) and any(r.reason == "idle" for r in gone)

@@ -109,44 +109,50 @@ class BookProcessor(StatefulProcessor):
 
     Input rows: (symbol, kind, timestamp_ms, first_u, u, pu, bids, asks) of kind `snapshot`, `diff` or `delist`, levels as arrays
     of [price, qty]. Diffs wait in a buffer of at most `buffer` rows and 60 s until a snapshot is bridged. A live book goes on over
-    gaps, which are reported. State of a symbol without rows for two hours expires; `delist` clears it at once.
+    gaps, which are reported. A symbol without rows for two hours is forgotten by a timer (reason `idle`); `delist` clears it at
+    once. Of the stored levels only those that a batch changes are written.
     """
 
     def __init__(self, depth: int = 1000, buffer: int = 1024, span_ms: int = 60_000, idle_ms: int = 7_200_000):
         self.depth, self.buffer, self.span_ms, self.idle_ms = depth, buffer, span_ms, idle_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.meta = handle.getValueState("meta", "state STRING, u BIGINT", self.idle_ms)
-        self.levels = handle.getMapState("levels", "side STRING, price DOUBLE", "qty DOUBLE", self.idle_ms)
-        self.waiting = handle.getListState("waiting", "timestamp_ms BIGINT, first_u BIGINT, u BIGINT, pu BIGINT, bids STRING, asks STRING", self.idle_ms)
+        self.handle = handle
+        self.meta = handle.getValueState("meta", "state STRING, u BIGINT, seen BIGINT")
+        self.levels = handle.getMapState("levels", "side STRING, price DOUBLE", "qty DOUBLE")
+        self.waiting = handle.getListState("waiting", "timestamp_ms BIGINT, first_u BIGINT, u BIGINT, pu BIGINT, bids STRING, asks STRING")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        symbol = key[0]
-        state, at = self.meta.get() if self.meta.exists() else ("Initializing", None)
-        book, reason, changed = self._load(), None, False
+        symbol, now = key[0], timerValues.getCurrentProcessingTimeInMs()
+        state, at, seen = self.meta.get() if self.meta.exists() else ("Initializing", None, now)
+        if now - seen >= self.idle_ms:
+            self._forget()
+            state, at = "Initializing", None
+        book, stored = self._load()
+        reason = None
         frame = pd.concat(list(rows)).sort_values(["timestamp_ms", "u"], kind="stable")
         waiting = [tuple(x) for x in self.waiting.get()] if self.waiting.exists() else []
         for r in frame.itertuples():
             if r.kind == "delist":
-                self.meta.clear(), self.levels.clear(), self.waiting.clear()
-                state, at, book, waiting, reason, changed = "Initializing", None, Sides(), [], "delisted", True
+                self._forget()
+                state, at, book, stored, waiting, reason = "Initializing", None, Sides(), {}, [], "delisted"
             elif r.kind == "snapshot":
                 if state != "Live":
-                    book, at, state, changed = Sides(), int(r.u), "Syncing", True
+                    book, at, state = Sides(), int(r.u), "Syncing"
                     self._apply(book, r.bids, r.asks)
             elif state == "Live":
                 if r.u > at:
                     reason = "gap" if r.pu != at else reason
                     self._apply(book, r.bids, r.asks)
                     book.trim(self.depth)
-                    at, changed = int(r.u), True
+                    at = int(r.u)
             else:
                 waiting.append((int(r.timestamp_ms), int(r.first_u), int(r.u), int(r.pu), _text(r.bids), _text(r.asks)))
                 newest = max(w[0] for w in waiting)
                 waiting = [w for w in waiting if w[0] >= newest - self.span_ms][-self.buffer :]
             if state == "Syncing":
                 state, at, waiting = self._attach(book, at, waiting)
-        self._save(state, at, book, waiting)
+        self._save(state, at, book, stored, waiting, now)
         yield pd.DataFrame([(symbol, state, at, book.best["bid"], book.best["ask"], len(book.levels["bid"]), len(book.levels["ask"]), reason)], columns=[c.split()[0] for c in BOOK_OUT.split(", ")])
 
     def _attach(self, book: Sides, at: int, waiting: list[tuple]) -> tuple:
@@ -166,21 +172,35 @@ class BookProcessor(StatefulProcessor):
             for price, qty in levels if levels is not None else []:
                 book.put(side, float(price), float(qty))
 
-    def _load(self) -> Sides:
-        book = Sides()
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self._forget()
+        yield pd.DataFrame([(key[0], "Initializing", None, None, None, 0, 0, "idle")], columns=[c.split()[0] for c in BOOK_OUT.split(", ")])
+
+    def _forget(self) -> None:
+        self.meta.clear(), self.levels.clear(), self.waiting.clear()
+
+    def _load(self) -> tuple[Sides, dict]:
+        """The book, and its levels as they are stored."""
+        book, stored = Sides(), {}
         if self.levels.exists():
             for (side, price), (qty,) in self.levels.iterator():
                 book.put(side, price, qty)
-        return book
-
-    def _save(self, state: str, at: int | None, book: Sides, waiting: list[tuple]) -> None:
-        self.levels.clear()
-        for side, levels in book.levels.items():
-            for price, qty in levels.items():
-                self.levels.updateValue((side, price), (qty,))
+                stored[side, price] = qty
+        return book, stored
+
+    def _save(self, state: str, at: int | None, book: Sides, stored: dict, waiting: list[tuple], now: int) -> None:
+        held = {(side, price): qty for side, levels in book.levels.items() for price, qty in levels.items()}
+        for level in stored.keys() - held.keys():
+            self.levels.removeKey(level)
+        for level, qty in held.items():
+            if stored.get(level) != qty:
+                self.levels.updateValue(level, (qty,))
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
         if state == "Initializing" and at is None and not waiting:
             return
-        self.meta.update((state, at))
+        self.handle.registerTimer(now + self.idle_ms)
+        self.meta.update((state, at, now))
         if waiting:
             self.waiting.put(waiting)
         else:
