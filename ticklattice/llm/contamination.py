@@ -7,7 +7,8 @@ shingle are looked up as they are, among all shingles of the documents. One-row
 bands over `functions` MinHash values find it: a window and an item are candidates where one value agrees. Candidates are
 confirmed by the share of the item's shingles that the whole document holds.
 
-The index of items goes to the executors in blocks of bounded size, one pass over the documents for each.
+The index of items goes to the executors in blocks of bounded size, one pass over the documents for each; where there are several,
+each pass is written before the next block is indexed.
 
 Defined results: null, empty and blank texts match nothing; an item or document of fewer than `width` words is one shingle
 of all its words, so it meets only texts of just these words; repeated rows of documents or items are matched each; null
@@ -139,6 +140,8 @@ def contained_items(docs: DataFrame, items: DataFrame, width: int = 5, least: fl
                     yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(docs_at, pa.int32())), *made], ["doc_id", "item_id", "n_item", "n_shared", "containment"])
 
         part = docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
+        if blocks > 1:  # one pass at a time, so that the driver holds one block's index
+            part = write_table(part, "contained")
         out = part if out is None else out.unionByName(part)
     return out
 
