@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticklattice.llm import contamination, langid, lines, minhash, packing
-from ticklattice.llm.common import if_small, place_in_file, read_table, write_table
+from ticklattice.llm.common import NULL_ID, if_small, place_in_file, read_table, write_table
 
 #: SQL can't express zstandard sizes, sketches or best fit; tests compare the stages with brute force.
 ORACLE_SQL = None
@@ -41,9 +41,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     uid = place_in_file(docs)
+    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc")
     found = minhash.near_duplicates(docs, uid=uid).filter(~F.col("first"))
-    gone = if_small(write_table(found.select("uid"), "near-copies"))
-    return docs.select(uid.alias("uid"), F.struct("*").alias("row")).join(gone, "uid", "left_anti").select("row.*")
+    gone = if_small(write_table(found.select(doc, "uid"), "near-copies"))
+    return docs.select(doc, uid.alias("uid"), F.struct("*").alias("row")).join(gone, ["doc", "uid"], "left_anti").select("row.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
