@@ -29,6 +29,11 @@ def planted(folder):
         con.execute(f"create table {name} ({key} bigint, text varchar)")
         con.executemany(f"insert into {name} values (?, ?)", list(enumerate(rows)))
         con.execute(f"copy {name} to '{folder}/{name}.parquet' (format parquet)")
+    vectors = [[rng.gauss(0, 1) for _ in range(64)] for _ in range(150)]
+    vectors += [vectors[3], [0.0] * 64, [0.25] * 64, None, [None] * 64, [float("nan")] * 64, [float("-inf")] * 64]
+    con.execute("create table embeddings (vec_id bigint, embedding float[], label integer)")
+    con.executemany("insert into embeddings values (?, ?, ?)", [(i, v, rng.choice([0, 1, 2, None])) for i, v in enumerate(vectors)])
+    con.execute(f"copy embeddings to '{folder}/embeddings.parquet' (format parquet)")
     return str(folder)
 
 
@@ -44,7 +49,7 @@ def test_equals_sql(spark, folders, which, name):
     if not os.path.isdir(folder):
         pytest.skip("no tables")
     con = duckdb.connect()
-    for table in ("documents", "benchmark"):
+    for table in ("documents", "benchmark", "embeddings"):
         con.execute(f"create view {table} as select * from '{folder}/{table}.parquet'")
     found = con.execute(training.oracle_sql()[name])
     names = [d[0] for d in found.description]

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, contamination, langid, licenses, lines, minhash, packing, sharding, sql, substrings
+from . import ann, chat, codes, contamination, langid, licenses, lines, minhash, packing, resampling, setjoin, sharding, sql, substrings
 from .common import place_in_file, read_table
 
 
@@ -62,6 +62,19 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "line_no", "license", "saved", "changed", F.array_join("missing", " ").alias("missing"), F.array_join("added", " ").alias("added"))
 
 
+def op11_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return setjoin.join_sets(docs, uid=place_in_file(docs)).select("doc_id", "n_shingles", "component_id")
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress(read_table(spark, sf_dir, "embeddings")).drop("label")
+
+
 _QUERIES = (
     op1_best_fit_packing,
     op2_chat_formatting,
@@ -73,6 +86,9 @@ _QUERIES = (
     op8_suffix_array_dedup,
     op9_minhash_near_dedup,
     op10_license_scan,
+    op11_ngram_jaccard_join,
+    op12_importance_resampling,
+    op13_vector_codes,
 )
 
 
@@ -86,4 +102,7 @@ def oracle_sql() -> dict[str, str]:
         "op6_line_dedup": sql.LINES,
         "op8_suffix_array_dedup": sql.REPEATS,
         "op9_minhash_near_dedup": sql.NEAR,
+        "op11_ngram_jaccard_join": sql.JOINED,
+        "op12_importance_resampling": sql.RESAMPLED,
+        "op13_vector_codes": sql.CODES,
     }
