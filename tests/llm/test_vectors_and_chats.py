@@ -1,3 +1,4 @@
+import functools
 import random
 import re
 
@@ -54,6 +55,39 @@ def test_all_candidates_where_there_are_few(spark):
         assert {q: [x for _, x in sorted(near.items())] for q, near in got.items()} == {q: near for q, near in want.items() if near}
 
 
+def answers(spark, rows, **options):
+    got = {}
+    for r in ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), **options).collect():
+        got.setdefault(r.query_id, {})[r.rank] = (r.vec_id, r.score)
+    return {q: [x for _, x in sorted(near.items())] for q, near in got.items()}
+
+
+def summed(rows, k=20):
+    """Brute force, with products summed in order as doubles are."""
+    product = lambda a, b: functools.reduce(lambda t, xy: t + xy[0] * xy[1], zip(a, b, strict=True), 0.0)
+    return {q: [(i, s) for s, i in sorted((-product(x, y), i) for i, y in rows if i != q)[:k]] for q, x in rows if q % 20 == 0}
+
+
+def test_queries_without_candidates_are_searched_exactly(spark):
+    """Cells so narrow that every query is short of candidates, ordinary, far, tiny and huge vectors: all by the exact way."""
+    rng = np.random.default_rng(11)
+    rows = [(i, [float(x) for x in rng.normal(size=8)]) for i in range(90)]
+    far = [(i, [x + (50.0 if i % 2 else -50.0) for x in v]) for i, v in rows]
+    tiny = [*rows, (100, [1e-200] * 8), (101, [-1e-200] * 8), (120, [1e-170, 0.0] * 4), (140, [3e-320] * 8)]
+    huge = [*rows, (100, [1e150] * 8), (101, [-1e150] * 8), (120, [1e140, 0.0] * 4)]
+    for table in (rows, far, tiny, huge):
+        want = {q: [(i, -s) for i, s in near] for q, near in summed(table).items()}
+        assert answers(spark, table, width=0.01, block=16) == want
+
+
+def test_tiny_and_huge_vectors_at_default_settings(spark):
+    rng = np.random.default_rng(12)
+    rows = [(i, [float(x) * (1e-200 if i % 7 == 0 else 1e120 if i % 11 == 0 else 1.0) for x in rng.normal(size=8)]) for i in range(120)]
+    want, got = summed(rows), answers(spark, rows)
+    assert set(got) == set(want) and all(len(v) == 20 for v in got.values())
+    assert sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want) >= 0.9 * 20 * len(want)
+
+
 def test_dimensions_are_searched_apart(spark):
     rows = [(0, [1.0, 0.0]), (1, [1.0, 1.0]), (2, [2.0, 0.0, 1.0]), (20, [1.0, 1.0, 1.0]), (3, [0.5, 0.0, 0.0]), (40, [7.0])]
     got = [(r.query_id, r.rank, r.vec_id, r.score) for r in ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()]

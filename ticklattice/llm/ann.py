@@ -7,7 +7,7 @@ Cells and visiting queries meet by cell; each task merges what its cells give a
 precision rank the rest.
 
 `probes` is fitted: a bounded sample of queries is searched by brute force, and the least number of probes is taken whose
-cells hold `target` of these true neighbours. Without structure in the vectors this comes to most of the cells.
+cells hold `target` of these true neighbours, with room for the sample's error (one side of 95 %). Without structure in the vectors this comes to most of the cells.
 
 Equal vectors are one class, searched once; a class keeps its k + 1 smallest ids, which is all an answer can use. Cells are
 split in blocks of `block` classes, so a hot cell is no single task's. A query that its cells give fewer than k candidates, though
@@ -65,9 +65,11 @@ class Hashing:
 
     def cells(self, x: np.ndarray, query: bool) -> tuple[np.ndarray, np.ndarray]:
         """Cells (row, table, bit) and places within them."""
-        length = np.sqrt((x * x).sum(1))
-        x = x / length[:, None] if query else x / self.norm
-        last = np.zeros(len(x)) if query else np.sqrt(np.maximum(0, 1 - (length / self.norm) ** 2))
+        if query:
+            x, last = _units(x), np.zeros(len(x))
+        else:
+            x = x / self.norm
+            last = np.sqrt(np.maximum(0, 1 - (x * x).sum(1)))
         at = (np.c_[x, last] @ self.lines + self.shift).reshape(len(x), self.tables, self.bits)
         cell = np.floor(at)
         return cell.astype(np.int64), at - cell
@@ -100,7 +102,7 @@ class Hashing:
         return keys
 
 
-def _matrix(vectors: pd.Series) -> np.ndarray:
+def _matrix(vectors) -> np.ndarray:
     return np.stack([np.asarray(v, np.float64) for v in vectors])
 
 
@@ -111,32 +113,61 @@ def _usable(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return rows.filter(finite & F.exists("vec", lambda x: x != 0))
 
 
-def _top(near: np.ndarray, ids: np.ndarray, n: int) -> list[np.ndarray]:
-    """Per row, the places of the n largest values, ties to the smaller id."""
-    n = min(n, near.shape[1])
-    least = np.partition(near, near.shape[1] - n, 1)[:, near.shape[1] - n]
-    out = []
-    for row, low in zip(near, least, strict=True):
-        at = np.flatnonzero(row >= low)
-        out.append(at[np.lexsort((ids[at], -row[at]))[:n]])
-    return out
+def _units(x: np.ndarray) -> np.ndarray:
+    """Rows scaled to length 1, however long or short they are."""
+    x = x / np.abs(x).max(1)[:, None]
+    return x / np.sqrt((x * x).sum(1))[:, None]
+
+
+def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inner products of rows, summed component by component as the answers' scores are."""
+    total = np.zeros(len(b))
+    with np.errstate(over="ignore", invalid="ignore", under="ignore"):
+        for x, y in zip(a.T, b.T, strict=True):
+            total += x * y
+    return np.where(np.isnan(total), np.inf, total)
+
+
+def _top(asked: np.ndarray, vectors: np.ndarray, ids: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each asked row's n largest inner products, ties to the smaller id: the rows, the places of the vectors, the products. A fast product finds what may be
+    among them, with room for its rounding; exact sums decide."""
+    n = min(n, len(vectors))
+    scale = np.abs(vectors).max()
+    near = _units(asked) @ (vectors / scale).T
+    room = 2.0**-40 * np.sqrt(((vectors / scale) ** 2).sum(1).max())
+    least = np.partition(near, near.shape[1] - n, 1)[:, near.shape[1] - n] - room
+    # sums too small or large for doubles to tell apart
+    with np.errstate(over="ignore", under="ignore"):
+        reach = np.abs(asked).max(1) * scale
+    blurred = (reach < 1e-280) | ~(reach < 1e290)
+    rows, at = np.nonzero((near >= least[:, None]) | blurred[:, None])
+    score = _products(asked[rows], vectors[at])
+    order = np.lexsort((ids[at], -score, rows))
+    rows, at, score = rows[order], at[order], score[order]
+    many = np.bincount(rows, minlength=len(asked))
+    kept = np.arange(len(rows)) - np.repeat(many.cumsum() - many, many) < n
+    return rows[kept], at[kept], score[kept]
 
 
 def _fit(classes: DataFrame, queries: DataFrame, hashing: Hashing, k: int, target: float, sample: int) -> list[tuple[int, ...]]:
     """The probe order that reaches the target on a bounded sample of queries, searched by brute force."""
     asked = queries.orderBy(F.xxhash64("id")).limit(sample).collect()
-    q, own = np.asarray([r["vec"] for r in asked]), [r["id"] for r in asked]
+    q, own = _matrix([r["vec"] for r in asked]), [r["id"] for r in asked]
 
     def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = pd.DataFrame({"n": [], "rep": [], "score": []})
         for batch in batches:
             if len(batch):
-                scores = _matrix(batch["vec"]) @ q.T
-                top = np.argsort(-scores, 0, kind="stable")[: k + 1]
-                n = np.repeat(np.arange(len(q))[None, :], len(top), 0)
-                yield pd.DataFrame({"n": n.ravel(), "rep": batch["rep"].to_numpy()[top.ravel()], "vec": [batch["vec"].iloc[i] for i in top.ravel()], "score": scores[top, n].ravel()})
-
-    near = classes.select("rep", "vec").mapInPandas(best, "n int, rep long, vec array<double>, score double")
-    ranked = near.withColumn("rank", F.row_number().over(Window.partitionBy("n").orderBy(F.desc("score"), "rep"))).filter(F.col("rank") <= k + 1).collect()
+                reps = batch["rep"].to_numpy()
+                rows, at, score = _top(q, _matrix(batch["vec"]), reps, k + 1)
+                held = pd.concat([held, pd.DataFrame({"n": rows, "rep": reps[at], "score": score})]).sort_values(["n", "score", "rep"], ascending=[True, False, True])
+                held = held[held.groupby("n").cumcount() <= k]
+        yield held
+
+    near = classes.select("rep", "vec").mapInPandas(best, "n int, rep long, score double")
+    ranked = near.withColumn("rank", F.row_number().over(Window.partitionBy("n").orderBy(F.desc("score"), "rep"))).filter(F.col("rank") <= k + 1).select("n", "rep")
+    # the vectors of at most sample * (k + 1) answers
+    ranked = ranked.join(classes.select("rep", "vec"), "rep").collect()
     order = probe_order(hashing.bits, LADDER[-1])
     visited = hashing.visited(q, order)
     at = [r for r in ranked if r["rep"] != own[r["n"]]]
@@ -146,7 +177,8 @@ def _fit(classes: DataFrame, queries: DataFrame, hashing: Hashing, k: int, targe
     hits = visited[[r["n"] for r in at]] == cells[:, :, None]
     first = np.where(hits.any(1), 1, 0)
     for probes in LADDER:
-        if first[:, :probes].any(1).mean() >= target:
+        found = first[:, :probes].any(1).mean()
+        if found - 1.64 * np.sqrt(found * (1 - found) / len(first)) >= target:
             return order[:probes]
     return order
 
@@ -172,10 +204,12 @@ def _nearest(usable: DataFrame, dim: int, query_step: int, k: int, tables: int =
     classes = members.groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.sort_array(F.collect_list("id")).alias("ids"), F.first("vec").alias("vec"))
     classes = write_table(classes.select(F.monotonically_increasing_id().alias("class"), "rep", "ids", "vec"), "vector-classes")
     queries = write_table(usable.filter(F.col("id") % query_step == 0).groupBy("id").agg(F.min("vec").alias("vec")), "query-vectors")
-    size = classes.agg(F.count("*").alias("n"), F.max(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x)).alias("norm")).first()
+    size = classes.agg(F.count("*").alias("n"), F.max(F.array_max(F.transform("vec", F.abs))).alias("most")).first()
     if not size["n"] or queries.isEmpty():
         return spark.createDataFrame([], SCHEMA)
-    hashing = Hashing(dim, float(np.sqrt(size["norm"])), tables, bits, width)
+    most = float(size["most"])  # lengths are compared in its multiples, so that their squares neither vanish nor overflow
+    longest = classes.agg(F.max(F.aggregate("vec", F.lit(0.0), lambda a, x: a + (x / most) * (x / most)))).first()[0]
+    hashing = Hashing(dim, min(most * float(np.sqrt(longest)), 1.7e308), tables, bits, width)
     order = _fit(classes, queries, hashing, k, target, sample)
 
     def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -203,7 +237,7 @@ def _nearest(usable: DataFrame, dim: int, query_step: int, k: int, tables: int =
     # a query gets one short list from each task it visits, so cells are dealt to few tasks, of index_rows each
     tasks = max(2, -(-size["n"] * tables // index_rows))
     met = left.unionByName(right).withColumn("deal", F.pmod(F.xxhash64("cell", "part"), F.lit(tasks)))
-    found = write_table(_best(_searched(met, k, hashing.norm), k), "near-found")
+    found = write_table(_best(_searched(met, k), k), "near-found")
     # a class may hold up to k + 1 members, so a query is complete if its classes hold k others, or are all there are
     held = classes.select("class", F.size("ids").alias("members"))
     total = classes.agg(F.sum(F.size("ids"))).first()[0]
@@ -214,13 +248,13 @@ def _nearest(usable: DataFrame, dim: int, query_step: int, k: int, tables: int =
     if missed:
         blocks, groups = -(-size["n"] // block), -(-missed // block)
         deal = F.pmod(F.xxhash64("id"), F.lit(groups)).cast("long")
-        every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1))).cast("int")
-        asked = short.select(deal.alias("cell"), every(blocks).alias("part"), F.lit(1).alias("kind"), "id", F.col("id").alias("rep"), "vec")
-        there = classes.select(every(groups).cast("long").alias("cell"), F.pmod(F.xxhash64("class"), F.lit(blocks)).cast("int").alias("part"), F.lit(0).alias("kind"), F.col("class").alias("id"), "rep", "vec")
-        exact = _searched(there.unionByName(asked).withColumn("deal", F.xxhash64("cell", "part")), k, hashing.norm)
+        every = lambda n, kind: F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast(f"array<{kind}>"))
+        asked = short.select(deal.alias("cell"), every(blocks, "int").alias("part"), F.lit(1).alias("kind"), "id", F.col("id").alias("rep"), "vec")
+        there = classes.select(every(groups, "long").alias("cell"), F.pmod(F.xxhash64("class"), F.lit(blocks)).cast("int").alias("part"), F.lit(0).alias("kind"), F.col("class").alias("id"), "rep", "vec")
+        exact = _searched(there.unionByName(asked).withColumn("deal", F.xxhash64("cell", "part")), k)
         found = _best(found.join(short.select(F.col("id").alias("query_id")), "query_id", "left_anti").unionByName(exact), k)
     exactly = F.aggregate(F.zip_with("asked", "vec", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
-    scored = found.drop("near").join(queries.select(F.col("id").alias("query_id"), F.col("vec").alias("asked")), "query_id").join(classes.select("class", "ids", "vec"), "class")
+    scored = found.drop("score").join(queries.select(F.col("id").alias("query_id"), F.col("vec").alias("asked")), "query_id").join(classes.select("class", "ids", "vec"), "class")
     each = scored.select("query_id", exactly.alias("score"), F.explode("ids").alias("vec_id")).filter("vec_id <> query_id")
     last = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return each.withColumn("rank", F.row_number().over(last).cast("int")).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
@@ -228,15 +262,14 @@ def _nearest(usable: DataFrame, dim: int, query_step: int, k: int, tables: int =
 
 def _best(found: DataFrame, k: int) -> DataFrame:
     """Each query's k + 1 best classes, once each."""
-    best = found.groupBy("query_id", "class", "rep").agg(F.max("near").alias("near"))
-    place = Window.partitionBy("query_id").orderBy(F.desc("near"), "rep", "class")
+    best = found.groupBy("query_id", "class", "rep").agg(F.max("score").alias("score"))
+    place = Window.partitionBy("query_id").orderBy(F.desc("score"), "rep", "class")
     return best.withColumn("n", F.row_number().over(place)).filter(F.col("n") <= k + 1).drop("n")
 
 
-def _searched(met: DataFrame, k: int, norm: float) -> DataFrame:
-    """(query_id, class, rep, near): classes (kind 0) and queries (kind 1) of each (cell, part) compared by inner products, a short
-    list per query and task. `near` counts the products in steps of 2**-46 of the largest possible one, so that what only rounding
-    tells apart is a tie; the lists are scored exactly afterwards."""
+def _searched(met: DataFrame, k: int) -> DataFrame:
+    """(query_id, class, rep, score): classes (kind 0) and queries (kind 1) of each (cell, part) compared by inner products, a short
+    list per query and task."""
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         free_model()
@@ -245,7 +278,7 @@ def _searched(met: DataFrame, k: int, norm: float) -> DataFrame:
 
         def pruned() -> pd.DataFrame:
             every = pd.concat(held, ignore_index=True).drop_duplicates(["query_id", "class"])
-            every = every.sort_values(["query_id", "near", "rep"], ascending=[True, False, True], ignore_index=True)
+            every = every.sort_values(["query_id", "score", "rep"], ascending=[True, False, True], ignore_index=True)
             return every[every.groupby("query_id").cumcount() <= k]
 
         for batch in batches:
@@ -266,12 +299,8 @@ def _searched(met: DataFrame, k: int, norm: float) -> DataFrame:
                 asked, names = _matrix(group["vec"]), group["id"].to_numpy()
                 for at in range(0, len(asked), 1000):
                     some = asked[at : at + 1000]
-                    step = np.sqrt((some * some).sum(1)) * norm * 2.0**-46
-                    near = np.rint(some @ vectors[0].T / step[:, None]).astype(np.int64)
-                    top = _top(near, reps[0], k + 1)
-                    row = np.repeat(np.arange(len(top)), [len(t) for t in top])
-                    flat = np.concatenate(top)
-                    held.append(pd.DataFrame({"query_id": names[at : at + 1000][row], "class": ids[0][flat], "rep": reps[0][flat], "near": near[row, flat]}))
+                    row, flat, score = _top(some, vectors[0], reps[0], k + 1)
+                    held.append(pd.DataFrame({"query_id": names[at : at + 1000][row], "class": ids[0][flat], "rep": reps[0][flat], "score": score}))
                     count += len(flat)
                 if count > 1_000_000:
                     held = [pruned()]
@@ -283,4 +312,4 @@ def _searched(met: DataFrame, k: int, norm: float) -> DataFrame:
             yield pruned()
 
     dealt = met.repartition("deal").sortWithinPartitions("cell", "part", "kind", "id").drop("deal")
-    return dealt.mapInPandas(search, "query_id long, class long, rep long, near long")
+    return dealt.mapInPandas(search, "query_id long, class long, rep long, score double")
