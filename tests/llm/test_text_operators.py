@@ -469,6 +469,23 @@ def test_licenses_against_every_window_and_template(spark):
     assert len({d for d, _ in got}) > 100
 
 
+def test_license_sizes_decide(monkeypatch):
+    """Every template knows its own text best; without the sizes, notices of other versions take the place of the right ones."""
+    templates = licenses.with_identifiers(licenses.TEMPLATES)
+    texts = [(name, text) for name, own in templates.items() for text in own]
+    found = lambda: [[r[1] for r in licenses.passages(text, licenses.Scanner(templates, 0.15))] for _, text in texts]
+    ranked = found()
+    assert all(name in got for (name, _), got in zip(texts, ranked, strict=True))
+    three = next(i for i, (_, text) in enumerate(texts) if text == "This work is licensed under the GNU General Public License, version 3.")
+    monkeypatch.setattr(licenses.Scanner, "reductions", lambda self, block, tools: [(0, 0.0)] * len(tools))
+    assert ranked[three] == ["GPL-3.0"] and found()[three] != ["GPL-3.0"]
+
+
+@pytest.mark.parametrize(("text", "want"), [("Licensed under the MIT license", "MIT"), ("This project is MIT licensed.", "MIT"), ("GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007", "GPL-3.0"), ("// SPDX-License-Identifier: GPL-3.0-or-later", "GPL-3.0-or-later"), ("# SPDX-License-Identifier: LGPL-3.0-only", "LGPL-3.0-only")])
+def test_license_names(text, want):
+    assert [r[1] for r in licenses.passages(f"one\n{text}\ntwo", licenses.Scanner(licenses.with_identifiers(licenses.TEMPLATES), 0.15))] == [want]
+
+
 def test_spdx_and_repeated_rows(spark):
     rows = [(1, "// SPDX-License-Identifier: MIT\nint main", None, None, None), (1, "// SPDX-License-Identifier: MIT\nint main", None, None, None), (2, "# SPDX-License-Identifier: GPL-3.0-only", None, None, None), (3, "reserved", None, None, None)]
     got = sorted((r.doc_id, r.line_no, r.license) for r in licenses.scan(frame(spark, rows)).collect())

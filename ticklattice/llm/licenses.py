@@ -4,15 +4,14 @@ Candidate blocks are the lines that hold a cue, with as many words before and af
 take, so that notices wrapped over lines are whole; marks, as of comments, and line ends count for nothing, and blocks that
 meet are one. Cues come from the templates: a passage may lack a fixed number of a template's words, so one more than that of them,
 the longest, are its cues, and no passage is without one. A block is judged in overlapping windows of words, sized to the templates:
-each window is compressed alone and with every template as a zstandard raw-content dictionary, and templates are
-ranked by the bytes that knowing them saves; no template is dropped for its rank. A passage is confirmed by its exact
-wording: the template's words that it lacks, and the words that it puts among them, may be at most `max_changed` of the
-template's. Where passages overlap, the one with the fewest changes wins, then the one that saves most bytes.
-
-Only templates of which a window has enough words to be confirmed are compressed with; that loses none.
+each window is compressed alone and with every template of its size as a zstandard raw-content dictionary, and templates are
+ranked by the bytes that knowing them saves. In that order a passage is confirmed by its exact wording: the template's words that it
+lacks, and the words that it puts among them, may be at most `max_changed` of the template's. No template is dropped for its rank, as
+no least saving can be proved; a passage is compressed once more by itself, and where passages overlap, the one that knowing its template
+makes smallest by the most bytes wins.
 
 Defined results: null and empty texts, and blocks that no template wins, give no row; a line gives one row for each licence
-that starts on it; ties go to the alphabetically first licence; repeated rows are each scanned; a null doc_id is kept; extra
+that starts on it; equal savings go to the alphabetically first licence; repeated rows are each scanned; a null doc_id is kept; extra
 columns are ignored.
 """
 
@@ -32,27 +31,33 @@ from .common import bound_batches, model
 
 #: Usual wordings of licence notices.
 TEMPLATES = {
-    "AGPL-3.0": ["This work is licensed under the GNU Affero General Public License, version 3."],
-    "Apache-2.0": ["Licensed under the Apache License, Version 2.0.", "You may not use this file except in compliance with the License. You may obtain a copy of the License at"],
+    "AGPL-3.0": ["GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007", "This work is licensed under the GNU Affero General Public License, version 3."],
+    "Apache-2.0": ["Licensed under the Apache License, Version 2.0.", "Apache License Version 2.0, January 2004", "You may not use this file except in compliance with the License. You may obtain a copy of the License at"],
     "BSD-2-Clause": ["Released under the BSD 2-Clause License."],
-    "BSD-3-Clause": ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:", "Released under the BSD 3-Clause License."],
+    "BSD-3-Clause": ["Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:", "Released under the BSD 3-Clause License."],
     "CC-BY-4.0": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
     "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
     "CC-BY-ND-4.0": ["Licensed under CC BY-ND 4.0.", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."],
     "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
     "CC0-1.0": ["To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.", "Dedicated to the public domain under CC0 1.0."],
     "EPL-2.0": ["This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0"],
-    "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2.", "under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."],
-    "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3.", "under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."],
+    "GPL-2.0": ["GNU GENERAL PUBLIC LICENSE Version 2, June 1991", "This work is licensed under the GNU General Public License, version 2.", "under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."],
+    "GPL-3.0": ["GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007", "This work is licensed under the GNU General Public License, version 3.", "under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."],
     "ISC": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"],
-    "LGPL-3.0": ["This work is licensed under the GNU Lesser General Public License, version 3."],
-    "MIT": ["Released under the MIT License.", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"],
+    "LGPL-3.0": ["GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007", "This work is licensed under the GNU Lesser General Public License, version 3."],
+    "MIT": [
+        "Released under the MIT License.", "Licensed under the MIT License.", "This project is MIT licensed.", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
+        "to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+    ],
     "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
     "Proprietary": ["All rights reserved.", "Unauthorized copying of this file, via any medium is strictly prohibited."],
     "Unlicense": ["This is free and unencumbered software released into the public domain."],
 }
-#: Fixed value: how source files name their licence; one more template for each of the names above.
+#: How source files name their licence, one more template for each of the names above; names that tell whether later
+#: versions may be taken are licences of their own.
 SPDX = "SPDX-License-Identifier: {}"
+SPDX_VERSIONS = {name: ("only", "or-later") for name in ("AGPL-3.0", "GPL-2.0", "GPL-3.0", "LGPL-3.0")}
 _WORD = re.compile(r"\w+(?:\.\w+)*")
 
 
@@ -61,7 +66,8 @@ def words(text: str) -> list[str]:
 
 
 def with_identifiers(templates: dict[str, list[str]]) -> dict[str, list[str]]:
-    return {name: [*texts, SPDX.format(name)] for name, texts in templates.items()}
+    named = {name: [*texts, SPDX.format(name)] for name, texts in templates.items()}
+    return named | {f"{name}-{kind}": [SPDX.format(f"{name}-{kind}")] for name, kinds in SPDX_VERSIONS.items() if name in templates for kind in kinds}
 
 
 def allowed(own: list[str], max_changed: float) -> int:
@@ -104,27 +110,33 @@ def wording(template: list[str], block: list[str]) -> tuple[int, int, list[str],
 
 
 class Scanner:
-    def __init__(self, templates: dict[str, list[str]], max_changed: float, level: int = 19):
+    def __init__(self, templates: dict[str, list[str]], max_changed: float, level: int = 9):
         self.classes = defaultdict(list)  # by the words that a passage may have, rounded up to a power of two
         for name, texts in sorted(templates.items()):
             for text in texts:
                 own = words(text)
                 spare = allowed(own, max_changed)
-                d = zstandard.ZstdCompressionDict(" ".join(own).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-                tool = zstandard.ZstdCompressor(level=level, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False)
-                self.classes[1 << (len(own) + spare - 1).bit_length()].append((name, own, spare, tool))
-        self.alone = zstandard.ZstdCompressor(level=level, write_content_size=False, write_checksum=False)
+                data = " ".join(own).encode()
+                self.classes[1 << (len(own) + spare - 1).bit_length()].append((name, own, spare, self._tool(level, data)))
+        self.alone = self._tool(level)
         self.reach = max(self.classes, default=0)
         self.cue = re.compile(cues(templates, max_changed))
 
-    def rank(self, window: list[str], entries: list[tuple]) -> list[tuple]:
-        """(bytes saved, their share, licence, template words, changes allowed), best first."""
-        if not entries:
-            return []
-        data = " ".join(window).encode("utf-8", "surrogatepass")
+    @staticmethod
+    def _tool(level: int, data: bytes | None = None) -> zstandard.ZstdCompressor:
+        """A compressor with tables sized to short texts, so that what a call costs is the text's."""
+        settings = zstandard.ZstdCompressionParameters.from_level(level, source_size=1024, dict_size=len(data or b""), write_content_size=False, write_checksum=False, write_dict_id=False)
+        if data is None:
+            return zstandard.ZstdCompressor(compression_params=settings)
+        known = zstandard.ZstdCompressionDict(data, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        known.precompute_compress(compression_params=settings)
+        return zstandard.ZstdCompressor(dict_data=known, compression_params=settings)
+
+    def reductions(self, block: list[str], tools: list[zstandard.ZstdCompressor]) -> list[tuple[int, float]]:
+        """The bytes by which knowing each template makes the block smaller, and their share."""
+        data = " ".join(block).encode("utf-8", "surrogatepass")
         plain = len(self.alone.compress(data))
-        found = [(plain - len(tool.compress(data)), name, own, spare) for name, own, spare, tool in entries]
-        return [(saved, saved / plain, *x) for saved, *x in sorted(found, key=lambda x: (-x[0], x[1]))]
+        return [(saved := plain - len(tool.compress(data)), saved / plain) for tool in tools]
 
     def confirmed(self, template: list[str], block: list[str], spare: int, at: int) -> Iterator[tuple]:
         """Passages of the block, which starts at word `at`, that keep the template's wording."""
@@ -143,14 +155,13 @@ class Scanner:
         for size, entries in self.classes.items():
             for at in range(0, max(1, len(own) - size), size):  # any passage of `size` words lies in one window
                 window = own[at : at + 2 * size]
-                have = set(window)
-                likely = [e for e in entries if sum(w in have for w in e[1]) >= len(e[1]) - e[2]]
-                for saved, share, name, template, spare in self.rank(window, likely):
+                ranked = sorted(zip(self.reductions(window, [e[3] for e in entries]), entries, strict=True), key=lambda x: (-x[0][0], x[1][0]))
+                for _, (name, template, spare, tool) in ranked:
                     for start, end, missing, added in self.confirmed(template, window, spare, at):
-                        changed = (len(missing) + len(added)) / len(template)
-                        found.append((changed, -saved, name, start, end, share, missing, added))
+                        saved, share = self.reductions(own[start:end], [tool])[0]
+                        found.append((-saved, name, start, end, (len(missing) + len(added)) / len(template), share, missing, added))
         taken, won = bytearray(len(own)), []
-        for changed, _, name, start, end, share, missing, added in sorted(found, key=lambda x: x[:5]):
+        for _, name, start, end, changed, share, missing, added in sorted(found, key=lambda x: x[:5]):
             if not any(taken[start:end]):
                 taken[start:end] = b"\1" * (end - start)
                 won.append((start, end, name, share, changed, missing, added))
