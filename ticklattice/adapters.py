@@ -56,8 +56,8 @@ VIEWS = {
         (k % 41) / 1e2) / (7e-1 - (k % 41) / 1e2) AS long_short_ratio FROM ev
     """,
     "v_taker": """
-        SELECT symbol, timestamp_ms, event_id AS seq, CAST(k + 1 AS DOUBLE) AS buy_volume, value AS sell_volume, CASE WHEN event_id % 65 = 0 THEN 99e-1 ELSE
-        (k + 1) / value END AS buy_sell_ratio FROM ev
+        SELECT symbol, timestamp_ms, event_id AS seq, CAST(k + 1 AS DOUBLE) AS buy_volume, value AS sell_volume, CASE WHEN event_id % 65 = 0 THEN 99e-1 WHEN
+        value <> 0 THEN (k + 1) / value END AS buy_sell_ratio FROM ev
     """,
     "v_requests": """
         SELECT event_id, timestamp_ms, symbol AS endpoint, user_id % 10 AS route, event_id % 19 <> 0 AS success, CASE k % 4 WHEN 0 THEN 2 WHEN 1 THEN 5 WHEN 2
@@ -92,6 +92,8 @@ def duck(sql: str) -> str:
     body = " ".join(sql.split())
     if not with_views:
         return body
+    if body.startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {with_views}, {body[15:]}".replace("{MS}", DUCK_MS)
     full = f"WITH {with_views}, {body[5:]}" if body.startswith("WITH ") else f"WITH {with_views} {body}"
     return full.replace("{MS}", DUCK_MS)
 

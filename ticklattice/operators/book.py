@@ -1,8 +1,8 @@
 """Order books from snapshots and diffs.
 
 A diff carries absolute quantities, so the book at an instant is, per level, the last write: an aggregate over levels, with
-no replay. Only counts that need every state in between (crossed books, trimmed books) run in sequence, and then by hourly
-segments whose opening books are again last writes.
+no replay. How often a book is crossed comes from the life spans of its levels. Only books that are trimmed after every diff are
+played, and then by segments of time that run side by side.
 
 Columns: snaps (symbol, timestamp_ms, last_update_id, side, price, qty); events (symbol, timestamp_ms, u, seq, side, pos,
 price, qty); diffs (symbol, timestamp_ms, u, pu, first_u, seq).
@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 
 from ..functions import levels
 from ..schemas import DAY, HOUR
-from .windows import STRETCH, previous_in_tape
+from ..scratch import written
+from .spans import crossed_numbers, level_spans, numbered
+from .windows import STRETCH, previous_in_tape, signed_price
 
 
 def level_events(diffs: DataFrame) -> DataFrame:
@@ -196,78 +198,95 @@ class Sides:
                     del book[price]
 
 
-def _segments(rows: DataFrame, width: int) -> DataFrame:
-    """Rows of seed and events with their segment, and each segment's opening book as rows of kind 0."""
-    kept = rows.withColumn("segment", F.floor(F.col("timestamp_ms") / width))
-    # what each segment leaves behind per level, carried to every later segment of the symbol that has events while the level is alive
-    last = kept.groupBy("symbol", "segment", "side", "price").agg(F.max_by("qty", F.struct("kind", "u", "seq", "pos")).alias("qty"))
-    after = Window.partitionBy("symbol", "side", "price").orderBy("segment")
-    spans = last.withColumn("until", F.lead("segment").over(after)).filter("qty <> 0")
-    active = kept.select("symbol", "segment").distinct()
-    nth = active.withColumn("n", F.row_number().over(Window.partitionBy("symbol").orderBy("segment")))
-    places = nth.groupBy("symbol").agg(F.map_from_entries(F.collect_list(F.struct("segment", "n"))).alias("n_of"), F.sort_array(F.collect_list("segment")).alias("segments"))
-    carried = spans.join(places, "symbol").withColumns({"a": F.element_at("n_of", F.col("segment")) + 1, "b": F.coalesce(F.element_at("n_of", F.col("until")), F.size("segments"))})
-    opening = carried.filter("a <= b").select("symbol", "side", "price", "qty", F.explode(F.slice("segments", F.col("a"), F.col("b") - F.col("a") + 1)).alias("segment"))
-    opening = opening.select("symbol", "segment", F.lit(0).alias("kind"), F.lit(None).cast("bigint").alias("u"), F.lit(None).cast("bigint").alias("seq"), F.lit(None).cast("int").alias("pos"), "side", "price", "qty")
-    return opening.unionByName(kept.select("symbol", "segment", F.col("kind") + 1, "u", "seq", "pos", "side", "price", "qty").toDF("symbol", "segment", "kind", "u", "seq", "pos", "side", "price", "qty"))
-
-
 def rebuild_day(seeded: DataFrame, events: DataFrame, segment_ms: int = HOUR) -> DataFrame:
     """Per symbol: diffs applied (update ids after the seed's), how often the book is crossed after a diff, the best prices at the end.
 
-    Segments run side by side: each starts from the last writes before it and holds one stretch of one symbol.
+    Diffs are numbered by segments of time. Levels become life spans over these numbers, and the best prices come from the spans
+    (see spans); no book is played.
     """
     ids = seeded.groupBy("symbol").agg(F.max("last_update_id").alias("seed_id"))
-    start = seeded.select("symbol", F.lit(0).alias("kind"), F.col("last_update_id").alias("u"), F.lit(0).cast("bigint").alias("seq"), F.lit(0).alias("pos"), "side", "price", "qty")
     used = events.join(ids, "symbol", "left").filter("seed_id is null or u > seed_id")
-    first = used.groupBy("symbol").agg(F.min("timestamp_ms").alias("timestamp_ms"))
-    start = start.join(first, "symbol").select("symbol", "timestamp_ms", "kind", "u", "seq", "pos", "side", "price", "qty")
-    rows = start.unionByName(used.select("symbol", "timestamp_ms", F.lit(1).alias("kind"), "u", F.col("seq").cast("bigint"), F.col("pos").cast("int"), "side", "price", "qty"))
-
-    def play(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["kind", "u", "seq", "pos"], na_position="first")
-        book, applied, bad, at = Sides(), 0, 0, None
-        for kind, u, side, price, qty in zip(group["kind"], group["u"], group["side"], group["price"], group["qty"], strict=True):
-            if kind == 2 and u != at:
-                if at is not None:
-                    applied, bad = applied + 1, bad + book.crossed()
-                at = u
-            book.put(side, price, qty)
-        if at is not None:
-            applied, bad = applied + 1, bad + book.crossed()
-        return pd.DataFrame({"symbol": [group["symbol"].iloc[0]], "segment": [group["segment"].iloc[0]], "applied": [applied], "crossed": [int(bad)], "best_bid": [book.best["bid"]], "best_ask": [book.best["ask"]]})
-
-    parts = _segments(rows, segment_ms).groupBy("symbol", "segment").applyInPandas(play, "symbol string, segment long, applied long, crossed long, best_bid double, best_ask double")
-    return parts.groupBy("symbol").agg(F.sum("applied").alias("applied"), F.sum("crossed").alias("crossed"), F.max_by("best_bid", "segment").alias("best_bid"), F.max_by("best_ask", "segment").alias("best_ask"))
-
-
-def live_book(events: DataFrame, depth: int) -> DataFrame:
-    """Books that are trimmed to the best `depth` levels after every diff. Trimming depends on the path, so a symbol's day is
-    played in sequence, read batch by batch; symbols and days run side by side."""
-    day = F.floor(F.col("timestamp_ms") / DAY)
-    ordered = events.select("symbol", day.alias("day"), "u", "seq", "pos", "side", "price", "qty").repartition("symbol", "day").sortWithinPartitions("symbol", "day", "u", "seq", "pos")
+    placed = numbered(used.select("symbol", "timestamp_ms", "u", "seq", "pos", "side", "price", "qty"), "u", F.floor(F.col("timestamp_ms") / segment_ms))
+    totals = placed.groupBy("symbol").agg(F.max("t").alias("total"))
+    writes = placed.groupBy("symbol", "side", "price", "t").agg(F.max_by("qty", F.struct("seq", "pos")).alias("qty"))
+    start = seeded.join(totals.select("symbol"), "symbol", "left_semi").groupBy("symbol", "side", "price").agg(F.max("qty").alias("qty"))
+    spans = level_spans(writes.unionByName(start.withColumn("t", F.lit(0).cast("bigint"))))
+    ends = top(spans.filter("b is null"))
+    out = totals.join(crossed_numbers(spans, totals), "symbol", "left").join(ends, "symbol", "left")
+    return out.select("symbol", F.col("total").alias("applied"), F.coalesce("crossed", F.lit(0)).cast("bigint").alias("crossed"), "best_bid", "best_ask")
+
+
+_LEVEL = "symbol string, day long, segment long, side string, price double, qty double"
+
+
+def _openings(rows: DataFrame, depth: int) -> DataFrame:
+    """A first guess of the book that each segment of a day opens with: the best `depth` of the last writes before it."""
+    last = rows.groupBy("symbol", "day", "segment", "side", "price").agg(F.max_by("qty", F.struct("u", "seq", "pos")).alias("qty"))
+    until = F.lead("segment").over(Window.partitionBy("symbol", "day", "side", "price").orderBy("segment"))
+    ends = rows.groupBy("symbol", "day").agg(F.max("segment").alias("end"))
+    spans = last.withColumn("until", until).filter("qty <> 0").join(ends, ["symbol", "day"]).withColumn("until", F.coalesce("until", "end")).filter("segment < until")
+    held = spans.select("symbol", "day", F.explode(F.sequence(F.col("segment") + 1, F.col("until"))).alias("segment"), "side", "price", "qty")
+    best = Window.partitionBy("symbol", "day", "segment", "side").orderBy(signed_price())
+    return held.withColumn("_n", F.row_number().over(best)).filter(F.col("_n") <= depth).drop("_n")
+
+
+def _played(rows: DataFrame, openings: DataFrame, depth: int) -> DataFrame:
+    """The book at the end of each segment, from its opening and its diffs, trimmed after each diff."""
+    none = F.lit(None).cast("bigint")
+    start = openings.select("symbol", "day", "segment", F.lit(0).alias("kind"), none.alias("u"), none.alias("seq"), F.lit(None).cast("int").alias("pos"), "side", "price", "qty")
+    both = start.unionByName(rows.select("symbol", "day", "segment", F.lit(1).alias("kind"), "u", "seq", "pos", "side", "price", "qty"))
+    ordered = both.repartition("symbol", "day", "segment").sortWithinPartitions("symbol", "day", "segment", "kind", "u", "seq", "pos")
 
     def play(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, book, at = None, Sides(), None
 
         def closed() -> pd.DataFrame:
             book.trim(depth)
-            return pd.DataFrame([(*key, s, p, q, at) for s, side in book.levels.items() for p, q in side.items()], columns=["symbol", "day", "side", "price", "qty", "u"])
+            return pd.DataFrame([(*key, s, p, q) for s, side in book.levels.items() for p, q in side.items()], columns=["symbol", "day", "segment", "side", "price", "qty"])
 
         for batch in batches:
-            for symbol, day, u, side, price, qty in zip(*(batch[c] for c in ("symbol", "day", "u", "side", "price", "qty")), strict=True):
-                if (symbol, day) != key:
+            for *where, kind, u, side, price, qty in zip(*(batch[c] for c in ("symbol", "day", "segment", "kind", "u", "side", "price", "qty")), strict=True):
+                if where != key:
                     if key is not None:
                         yield closed()
-                    key, book, at = (symbol, day), Sides(), None
-                if at is not None and u != at:
+                    key, book, at = where, Sides(), None
+                if kind and at is not None and u != at:
                     book.trim(depth)
-                at = u
+                at = u if kind else None
                 book.put(side, price, qty)
         if key is not None:
             yield closed()
 
-    return ordered.mapInPandas(play, "symbol string, day long, side string, price double, qty double, u long")
+    return ordered.mapInPandas(play, _LEVEL)
+
+
+def live_book(events: DataFrame, depth: int, segment_ms: int = HOUR) -> DataFrame:
+    """Books of each symbol and day that are trimmed to the best `depth` levels after every diff.
+
+    Trimming depends on the path: a level that was cut stays out when better ones go. Segments of a day run side by side, each
+    from a guess of its opening book, the best of the last writes before it; then every segment whose guess isn't the book that the
+    one before ended with is played again from that book, until all fit. A day's first segment is right at once, and each round makes
+    at least the next one right, so the books are those of one sequence; guesses are wrong only where a cut level would be in the
+    best `depth` again. A task holds one segment of a symbol.
+    """
+    parts = events.select("symbol", F.floor(F.col("timestamp_ms") / DAY).alias("day"), F.floor(F.col("timestamp_ms") / segment_ms).alias("segment"), "u", F.col("seq").cast("bigint").alias("seq"), F.col("pos").cast("int").alias("pos"), "side", "price", "qty")
+    rows = written(parts, "live-events")
+    where = ["symbol", "day", "segment"]
+    follows = F.lead("segment").over(Window.partitionBy("symbol", "day").orderBy("segment"))
+    chain = written(rows.groupBy(*where).agg(F.max("u").alias("u")).withColumn("next", follows), "live-segments")
+    print_of = lambda df, name: df.groupBy(*where).agg(F.struct(F.count("*").alias("n"), F.bit_xor(F.xxhash64("side", "price", "qty")).alias("x")).alias(name))
+    openings = written(_openings(rows, depth), "live-openings")
+    closings = written(_played(rows, openings.join(chain, where, "left_semi"), depth), "live-closings")
+    while True:
+        right = written(closings.join(chain.select(*where, "next"), where).filter("next is not null").select("symbol", "day", F.col("next").alias("segment"), "side", "price", "qty"), "live-openings")
+        told = chain.select(*where).join(print_of(openings, "guess"), where, "left").join(print_of(right, "fact"), where, "left")
+        wrong = written(told.filter(~F.col("guess").eqNullSafe(F.col("fact"))).select(*where), "live-wrong")
+        if wrong.isEmpty():
+            break
+        again = _played(rows.join(wrong, where, "left_semi"), right.join(wrong, where, "left_semi"), depth)
+        closings, openings = written(closings.join(wrong, where, "left_anti").unionByName(again), "live-closings"), right
+    last = chain.filter("next is null").select(*where, "u")
+    return closings.join(last, where).select("symbol", "day", "side", "price", "qty", "u")
 
 
 def emit_snapshots(snaps: DataFrame, events: DataFrame, every_ms: int) -> DataFrame:

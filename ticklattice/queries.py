@@ -639,7 +639,18 @@ def o12_midnight_trade_gap(spark, d):
     return book.midnight_trade_gap(view(spark, d, "v_trades"))
 
 
-@query()
+#: A sequential fold: a step for each diff of a symbol and day, which trims both sides to the best ten.
+LIVE = f"""WITH RECURSIVE e AS (SELECT symbol, timestamp_ms // {DAY} AS day, u, side, price, qty, row_number() OVER (PARTITION BY symbol, timestamp_ms // {DAY} ORDER BY u) AS n FROM v_diffs),
+r(symbol, day, n, u, bids, asks) AS (SELECT DISTINCT symbol, day, CAST(0 AS BIGINT), CAST(NULL AS BIGINT), CAST([] AS STRUCT(price DOUBLE, qty DOUBLE)[]), CAST([] AS STRUCT(price DOUBLE, qty DOUBLE)[]) FROM e
+UNION ALL SELECT r.symbol, r.day, e.n, e.u,
+CASE WHEN side = 'bid' THEN list_reverse_sort(list_concat(list_filter(bids, lambda x: x.price <> e.price), CASE WHEN qty <> 0 THEN [struct_pack(price := price, qty := qty)] ELSE [] END))[1:10] ELSE bids END,
+CASE WHEN side = 'ask' THEN list_sort(list_concat(list_filter(asks, lambda x: x.price <> e.price), CASE WHEN qty <> 0 THEN [struct_pack(price := price, qty := qty)] ELSE [] END))[1:10] ELSE asks END
+FROM r JOIN e ON e.symbol = r.symbol AND e.day = r.day AND e.n = r.n + 1),
+f AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY symbol, day ORDER BY n DESC) = 1),
+x AS (SELECT symbol, day, u, 'bid' AS side, unnest(bids) AS l FROM f UNION ALL SELECT symbol, day, u, 'ask', unnest(asks) FROM f) SELECT symbol, day, side, l.price AS price, l.qty AS qty, u FROM x"""
+
+
+@query(LIVE)
 def o14_live_book(spark, d):
     return book.live_book(events_of(spark, d), 10)
 
@@ -866,11 +877,11 @@ def a10_to_funding(spark, d):
     return found.select("symbol", "timestamp_ms", "funding_rate", "next_funding_time")
 
 
-@query("SELECT symbol, timestamp_ms, '5m' AS period, CAST(k + 1 AS DOUBLE) AS buy_volume, CASE WHEN event_id % 9 <> 0 THEN value END AS sell_volume, (k + 1) / value AS buy_sell_ratio FROM ev")
+@query("SELECT symbol, timestamp_ms, '5m' AS period, CAST(k + 1 AS DOUBLE) AS buy_volume, CASE WHEN event_id % 9 <> 0 THEN value END AS sell_volume, CASE WHEN value <> 0 THEN (k + 1) / value END AS buy_sell_ratio FROM ev")
 def a13_to_taker(spark, d):
     c = F.col
     sold = F.when(c("event_id") % 9 == 0, "none").otherwise(c("value").cast("string"))
-    rows = view(spark, d, "ev").select(F.upper("symbol").alias("symbol"), c("timestamp_ms").alias("timestamp"), (c("k") + 1).cast("string").alias("buyVol"), sold.alias("sellVol"), ((c("k") + 1) / c("value")).cast("string").alias("buySellRatio"))
+    rows = view(spark, d, "ev").select(F.upper("symbol").alias("symbol"), c("timestamp_ms").alias("timestamp"), (c("k") + 1).cast("string").alias("buyVol"), sold.alias("sellVol"), F.when(c("value") != 0, (c("k") + 1) / c("value")).cast("string").alias("buySellRatio"))
     return messages.to_taker(rows).select("symbol", "timestamp_ms", "period", "buy_volume", "sell_volume", "buy_sell_ratio")
 
 
