@@ -19,16 +19,17 @@ from pyspark.sql import functions as F
 from ..functions import levels
 from ..schemas import DAY, HOUR
 from ..scratch import written
+from .pruning import in_days_to, since_anchors
 from .spans import crossed_numbers, level_spans, numbered
 from .windows import STRETCH, previous_in_tape, signed_price
 
 
 def level_events(diffs: DataFrame) -> DataFrame:
-    """One row per level of each diff, bids before asks."""
-    sides = None
+    """One row per level of each diff, bids before asks, with the directories of a lake where the diffs have them."""
+    sides, parts = None, [c for c in ("date", "hour") if c in diffs.columns]
     for n, (side, col) in enumerate((("bid", "bids_json"), ("ask", "asks_json"))):
-        part = diffs.select("symbol", "timestamp_ms", F.col("last_update_id").alias("u"), "seq", F.lit(side).alias("side"), F.posexplode(levels(F.col(col))).alias("pos", "l"))
-        part = part.select("symbol", "timestamp_ms", "u", "seq", "side", (F.col("pos") * 2 + n).alias("pos"), "l.price", "l.qty")
+        part = diffs.select("symbol", "timestamp_ms", F.col("last_update_id").alias("u"), "seq", F.lit(side).alias("side"), F.posexplode(levels(F.col(col))).alias("pos", "l"), *parts)
+        part = part.select("symbol", "timestamp_ms", "u", "seq", "side", (F.col("pos") * 2 + n).alias("pos"), "l.price", "l.qty", *parts)
         sides = part if sides is None else sides.unionByName(part)
     return sides.dropna(subset=["price", "qty"])
 
@@ -63,13 +64,14 @@ def seed_crossed(seeded: DataFrame, by: tuple[str, ...] = ("symbol",)) -> DataFr
 def anchor(snaps: DataFrame, t: int | None = None) -> DataFrame:
     """(symbol, anchor_ms, anchor_id): the newest snapshot by (time, id) at or before t, of t's day or the day before."""
     if t is not None:
-        snaps = snaps.filter(F.col("timestamp_ms").between(t - t % DAY - DAY, t))
+        snaps = in_days_to(snaps, t).filter(F.col("timestamp_ms").between(t - t % DAY - DAY, t))
     return snaps.groupBy("symbol").agg(F.max(F.struct("timestamp_ms", "last_update_id")).alias("a")).select("symbol", F.col("a.timestamp_ms").alias("anchor_ms"), F.col("a.last_update_id").alias("anchor_id"))
 
 
 def _since(rows: DataFrame, anchors: DataFrame, t: int | None) -> DataFrame:
-    """Rows after the anchor and up to t. Before any join, files of other days than t's and the day before are left out; then rows
-    before the anchor's hour."""
+    """Rows after the anchor and up to t. Before any join, directories of other hours than those from an anchor on are left out, and
+    rows of other days than t's and the day before; then rows before the anchor's hour."""
+    rows = since_anchors(rows, anchors, t)
     if t is not None:
         rows = rows.filter(F.col("timestamp_ms").between(t - t % DAY - DAY, t))
     return rows.join(anchors, "symbol").filter("u > anchor_id").filter(F.col("timestamp_ms") >= F.col("anchor_ms") - F.pmod("anchor_ms", F.lit(HOUR)))
@@ -78,7 +80,7 @@ def _since(rows: DataFrame, anchors: DataFrame, t: int | None) -> DataFrame:
 def book_at(snaps: DataFrame, events: DataFrame, t: int | None = None) -> DataFrame:
     """(symbol, side, price, qty, u): the books at t (None: now), by the last write of each level since the anchor."""
     anchors = anchor(snaps, t)
-    near = snaps if t is None else snaps.filter(F.col("timestamp_ms").between(t - t % DAY - DAY, t))
+    near = since_anchors(snaps, anchors, t) if t is None else in_days_to(snaps, t).filter(F.col("timestamp_ms").between(t - t % DAY - DAY, t))
     start = near.join(anchors, "symbol").filter("timestamp_ms = anchor_ms and last_update_id = anchor_id")
     start = start.select("symbol", "side", "price", "qty", F.col("last_update_id").alias("u"), F.lit(-1).cast("bigint").alias("seq"), F.lit(0).alias("pos"))
     after = _since(events, anchors, t).select("symbol", "side", "price", "qty", "u", F.col("seq").cast("bigint").alias("seq"), F.col("pos").cast("int").alias("pos"))

@@ -12,6 +12,7 @@ from ..operators import aggregates as agg
 from ..operators import book as books
 from ..operators import filters, joins, quality, windows
 from ..schemas import DAY, HOUR, MINUTE
+from ..streaming.ingest import read_lake
 
 
 @dataclass(frozen=True)
@@ -81,6 +82,22 @@ def merged_matrix(spark: SparkSession, lanes: dict[str, DataFrame], symbols: lis
     return grid.select("symbol", "timestamp_ms", iso_utc(F.col("timestamp_ms")).alias("datetime_utc"), *names)
 
 
+def lake_books(spark: SparkSession, lake: str, symbols: list[str] | None = None) -> dict[str, DataFrame]:
+    """What a lake holds of books: `snaps`, `diffs` and their level `events`, with their directories, so that book_at, book_at_gap,
+    replay_at and book_now read only the hours that their snapshots lead to."""
+    snaps, updates = read_lake(spark, lake, "depth_snapshot"), read_lake(spark, lake, "depth_updates")
+    if symbols:
+        snaps, updates = (df.filter(F.col("symbol").isin([s.lower() for s in symbols])) for df in (snaps, updates))
+    if "seq" not in updates.columns:
+        updates = updates.withColumn("seq", F.col("last_update_id"))
+    parts = [c for c in ("date", "hour") if c in updates.columns]
+    return {
+        "snaps": snaps.select("symbol", "timestamp_ms", "last_update_id", "side", "price", F.col("quantity").alias("qty"), *[c for c in parts if c in snaps.columns]),
+        "diffs": updates.select("symbol", "timestamp_ms", F.col("last_update_id").alias("u"), F.col("prev_update_id").alias("pu"), F.col("first_update_id").alias("first_u"), "seq", *parts),
+        "events": books.level_events(updates),
+    }
+
+
 def book_now(snaps: DataFrame, events: DataFrame, n: int = 20) -> tuple[DataFrame, DataFrame]:
     """The ladders of the current books, and their tops with middle and spread."""
     book = books.book_at(snaps, events)

@@ -29,9 +29,14 @@ DIRECTORY = {lane: "orderbooks" if lane.startswith("depth_") else lane for lane
 MINUTE, HOUR, DAY = 60_000, 3_600_000, 86_400_000
 
 
-def schema(lane: str, as_text: bool = False) -> StructType:
-    """The lane's schema; as_text gives every column as STRING, for quality checks on raw values."""
+def ddl(lane: str) -> str:
+    """The lane's columns as text, which needs no session."""
     if lane not in OWN_COLUMNS:
         raise ValueError(f"unknown lane {lane!r}")
-    found = StructType.fromDDL(f"{PREFIX}, {OWN_COLUMNS[lane]}")
+    return f"{PREFIX}, {OWN_COLUMNS[lane]}"
+
+
+def schema(lane: str, as_text: bool = False) -> StructType:
+    """The lane's schema; as_text gives every column as STRING, for quality checks on raw values."""
+    found = StructType.fromDDL(ddl(lane))
     return StructType.fromDDL(", ".join(f"{f.name} STRING" for f in found)) if as_text else found
