@@ -2,10 +2,11 @@
 
 The tokens of a set are dealt to groups by their hash. The numbers of tokens per group are a point, and the sum of the smaller
 coordinates of two points bounds their sets' overlap from above. Two sets of sizes a and b that link differ in at most
-(den - num) / (den + num) * (a + b) tokens. Sizes are cut into classes, a class has a tenth more groups than its largest pair has
-differences, so linked sets agree exactly on some group: sets meet by the contents of each group of two or more tokens. A set with
-too few such groups to be sure of that is dealt to groups anew by another hash, until it has enough; a linked set then does the same.
-So no link is lost, but for collisions of 64-bit hashes.
+d = (den - num) / (den + num) * (a + b) tokens. Sizes are cut into classes, and a class has more groups than its largest pair has
+differences, so linked sets agree exactly on some group. A set's d + 1 fullest groups of two or more tokens are its meeting places, by
+their contents: the fullest group on which two sets agree comes after at most d others in either, all of them differing. A set with
+fewer such groups gives all it has and is dealt to groups anew by another hash, until it has enough; a linked set that agrees on none
+of them does the same. So no link is lost, but for collisions of 64-bit hashes.
 
 Where sets meet, the bound drops pairs before any full set is read. Candidates come in rounds: twice the first set of each
 meeting place against those of other components; then all that is left between different components, in blocks of bounded size, each
@@ -44,7 +45,7 @@ class Classes:
     def of(self, n: int) -> int:
         while self._lows[-1] <= n:
             low = self._lows[-1]
-            self._lows.append(max(low + 1, low * self.den * self.den // (self.num * self.num) + 1))
+            self._lows.append(max(low + 1, low * self.den**4 // self.num**4 + 1))
         return int(np.searchsorted(self._lows, n, "right")) - 1
 
     def top(self, k: int) -> int:
@@ -76,21 +77,27 @@ def meeting_keys(tokens: np.ndarray, k: int, classes: Classes) -> tuple[list[np.
             start = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
             size = np.diff(np.r_[start, len(dealt)])
             if counts is None:
-                counts = np.zeros(n_groups, "<u2")
+                counts = np.zeros(n_groups, np.int64)
                 counts[group[start]] = size
-            good = size >= 2
+            good = np.flatnonzero(size >= 2)
+            good = good[np.argsort(-size[good], kind="stable")][: most + 1]
             held = np.add.reduceat(mix64(dealt ^ _STEP), start)[good]
             name = ((U64(k) << U64(48)) | (U64(seed) << U64(32)) | group[start][good].astype(U64)) * _STEP
             keys.append(mix64(held ^ mix64(name)).view(np.int64))
-        if good.sum() > most:
+        if len(good) > most:
             break
         seed += 1
-    return keys, counts if counts is not None else np.zeros(0, "<u2")
+    return keys, counts if counts is not None else np.zeros(0, np.int64)
+
+
+def _packed(counts: np.ndarray | None) -> bytes | None:
+    """A count vector in bytes; null where a coordinate has no room in one, so that nothing is known of its pairs."""
+    return None if counts is None or counts.max(initial=0) > 255 else counts.astype(np.uint8).tobytes()
 
 
 def sketches(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
     """doc, uid, n_shingles, rep (a hash of the whole set; null: empty), class, keys, and count vectors by the groups of its class and of
-    the one below (null: too large for it)."""
+    the one below (null: too large for it, or not to be packed)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         free_model()
@@ -111,8 +118,8 @@ def sketches(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
                 own.append(k if len(tokens) else None)
                 keys += many
                 ends.append(ends[-1] + sum(map(len, many)))
-                counts.append(None if vector is None else vector.tobytes())
-                below.append(None if lower is None else lower.tobytes())
+                counts.append(_packed(vector))
+                below.append(_packed(lower))
             flat = np.concatenate(keys) if keys else np.empty(0, np.int64)
             columns = {"doc": batch.column("doc"), "uid": batch.column("uid"), "n_shingles": pa.array(n, pa.int64()), "rep": pa.array(reps, pa.int64()), "class": pa.array(own, pa.int32())}
             columns |= {"keys": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)), "counts": pa.array(counts, pa.binary()), "below": pa.array(below, pa.binary())}
@@ -127,11 +134,14 @@ def bounded(pairs: DataFrame, points: DataFrame, num: int, den: int) -> DataFram
     side = lambda x: points.select(F.col("rep").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in ("n_shingles", "class", "counts", "below")))
     both = pairs.join(side("a"), "a").join(side("b"), "b").filter(F.abs(F.col("class_a") - F.col("class_b")) <= 1)
     pick = lambda x, y: F.when(F.col(f"class_{x}") > F.col(f"class_{y}"), F.col(f"below_{x}")).otherwise(F.col(f"counts_{x}"))
-    both = both.select("a", "b", (F.col("n_shingles_a") + F.col("n_shingles_b")).alias("n"), pick("a", "b").alias("x"), pick("b", "a").alias("y")).filter(F.col("x").isNotNull() & F.col("y").isNotNull())
+    both = both.select("a", "b", (F.col("n_shingles_a") + F.col("n_shingles_b")).alias("n"), pick("a", "b").alias("x"), pick("b", "a").alias("y"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            most = np.fromiter((np.minimum(np.frombuffer(x, "<u2"), np.frombuffer(y, "<u2")).sum(dtype=np.int64) for x, y in zip(batch["x"], batch["y"], strict=True)), np.int64, len(batch))
+            most = batch["n"].to_numpy().copy()  # where a vector is missing, all may be shared
+            for i, (x, y) in enumerate(zip(batch["x"], batch["y"], strict=True)):
+                if x is not None and y is not None:
+                    most[i] = np.minimum(np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)).sum(dtype=np.int64)
             yield batch.loc[(num + den) * most >= num * batch["n"].to_numpy(), ["a", "b"]]
 
     return both.mapInPandas(run, "a long, b long")
@@ -230,13 +240,12 @@ def join_sets(docs: DataFrame, width: int = 4, num: int = 85, den: int = 100, st
     docs = identified(docs, uid, F.col("text").cast("string").alias("text"))
     sketched = write_table(sketches(docs, width, num, den), "set-sketches")
     filled = sketched.filter(F.col("rep").isNotNull() & (F.col("doc") != NULL_ID))
-    firsts = if_small(write_table(filled.groupBy("rep").agg(F.min(F.struct("doc", "uid")).alias("at")), "set-classes"))
-    once = filled.join(firsts.select("rep", "at.doc", "at.uid"), ["rep", "doc", "uid"])
-    keyed = once.select("rep", F.explode("keys").alias("key"))
+    firsts = write_table(filled.groupBy("rep").agg(F.min(F.struct("doc", "uid")).alias("at")), "set-classes")
+    keyed = filled.select("rep", F.explode("keys").alias("key"))
     places = keyed.groupBy("key").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).filter("least < most")
-    shared = write_table(keyed.join(if_small(write_table(places.select("key"), "places")), "key"), "shared")
-    met = write_table(shared.select("rep").distinct(), "met")
-    points = write_table(once.join(if_small(met), "rep").select("rep", "doc", "uid", "n_shingles", "class", "counts", "below"), "points")
+    shared = write_table(write_table(keyed.join(places.select("key"), "key"), "shared").distinct(), "shared")
+    met = firsts.join(write_table(shared.select("rep").distinct(), "met"), "rep").select("rep", "at.doc", "at.uid")
+    points = write_table(filled.join(met, ["rep", "doc", "uid"]).select("rep", "doc", "uid", "n_shingles", "class", "counts", "below"), "points")
     sets, comps = None, None
     for number in range(star_rounds + 1):
         if comps is None:
