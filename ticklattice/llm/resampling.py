@@ -67,12 +67,24 @@ def head(docs: DataFrame, words: int, pairs: int, held: int) -> tuple[list[bytes
                 for at in range(0, len(found), held):
                     ones.add(found[at : at + held])
                     twos.add(pairwise(found[at : at + held + 1]))
-        top = [(a, None, n) for a, n in ones.counts.most_common(words)] + [(a, b, n) for (a, b), n in twos.counts.most_common(pairs)]
+        top = [(a, None, n) for a, n in ones.counts.most_common(words) if n > 1] + [(a, b, n) for (a, b), n in twos.counts.most_common(pairs) if n > 1]
         for at in range(0, len(top), 50_000):
             yield pd.DataFrame(top[at : at + 50_000], columns=["a", "b", "n"])
 
     counted = write_table(docs.select("text").mapInPandas(run, "a binary, b binary, n long").groupBy("a", "b").agg(F.sum("n").alias("n")), "head-counts")
-    best = lambda where, n: counted.filter(where).orderBy(F.desc("n"), "a", "b").limit(n).collect()
+
+    def best(of: str, most: int) -> list:
+        """The rows of the highest steps of frequency, a sixteenth of a doubling each, that have at most `most` rows together. A step is
+        left out as a whole, so nothing is sorted and the driver gets no more than it keeps."""
+        step = F.floor(16 * F.log2("n"))
+        sizes, low, held = counted.filter(of).groupBy(step.alias("step")).agg(F.count("*").alias("rows")).collect(), None, 0
+        for s in sorted(sizes, key=lambda s: -s["step"]):
+            if held + s["rows"] > most:
+                break
+            low, held = s["step"], held + s["rows"]
+        found = [] if low is None else counted.filter(of).filter(step >= low).collect()
+        return sorted(found, key=lambda r: (-r["n"], bytes(r["a"]), bytes(r["b"] or b"")))
+
     ones = [bytes(r["a"]) for r in best("b IS NULL", words)]
     number = {w: i for i, w in enumerate(ones)}
     twos = [(number.get(bytes(r["a"])), number.get(bytes(r["b"]))) for r in best("b IS NOT NULL", pairs)]
@@ -164,7 +176,7 @@ def _weighed(docs: DataFrame, known: Broadcast, gain: list[int]) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, "doc_id long, n_features long, weight long")
 
 
-def resample(docs: DataFrame, target: DataFrame, share: tuple[int, int] = (25, 100), least_words: int = 20, seed: int = 7, buckets: int = 10_000, words: int = 20_000, pairs: int = 250_000, held: int = 200_000) -> DataFrame:
+def resample(docs: DataFrame, target: DataFrame, share: tuple[int, int] = (25, 100), least_words: int = 20, seed: int = 7, buckets: int = 10_000, words: int = 20_000, pairs: int = 100_000, held: int = 200_000) -> DataFrame:
     """(doc_id, n_features, weight, score, rank) of every document; rank is null where it isn't drawn."""
     spark = docs.sparkSession
     bound_batches(spark)
