@@ -44,6 +44,19 @@ def test_entry_module_registers_all(spark):
     assert entry.entry(spark).count() > 0
 
 
+@pytest.mark.parametrize("name", ["q17_taker", "q21_reports", "q22_verdicts", "a13_to_taker"])
+def test_nothing_is_divided_by_zero(spark, tmp_path, name):
+    con = duckdb.connect()
+    con.execute("set timezone = 'UTC'")
+    con.execute(f"copy (select * replace (case when event_id % 7 = 0 then 0 else value end as value) from '{SF}/events.parquet') to '{tmp_path}/events.parquet' (format parquet)")
+    con.execute(f"create view events as select * from '{tmp_path}/events.parquet'")
+    df = tape.queries()[name](spark, str(tmp_path))
+    found = con.execute(tape.oracle_sql()[name])
+    names = [d[0] for d in found.description]
+    want = [tuple(r[names.index(c)] for c in sorted(names)) for r in found.fetchall()]
+    assert ordered([tuple(r[c] for c in sorted(names)) for r in df.collect()]) == ordered(want)
+
+
 @pytest.mark.parametrize("name", ["b06_bundle", "m01_matrix"])
 def test_more_symbols_than_a_selection_holds(spark, tmp_path, name):
     con = duckdb.connect()

@@ -34,6 +34,8 @@ def since_anchors(rows: DataFrame, anchors: DataFrame, t: int | None) -> DataFra
         day = anchors.agg(F.min(_date(first))).scalar()
         rows = rows.filter(F.col("date").cast("date") >= day)
         return rows.filter(F.unix_date(F.col("date").cast("date")) * 24 + F.col("hour") >= anchors.agg(F.min(first)).scalar()) if "hour" in rows.columns else rows
-    hours = anchors.filter(F.col("anchor_ms") <= t).select(F.explode(F.sequence(first, F.lit(t // HOUR))).alias("_h")).select(_date(F.col("_h")).alias("date"), (F.col("_h") % 24).cast("int").alias("hour")).distinct()
-    names = [c for c in ("date", "hour") if c in rows.columns]
-    return rows.join(F.broadcast(hours.select(*names).distinct() if len(names) < 2 else hours), names, "left_semi")
+    # one key of both directory columns: of two keys Spark would prune each by itself, and read every pairing
+    of = (lambda h: F.floor(h / 24)) if "hour" not in rows.columns else lambda h: h
+    hours = anchors.filter(F.col("anchor_ms") <= t).select(F.explode(F.sequence(first, F.lit(t // HOUR))).alias("_h")).select(of(F.col("_h")).alias("_h")).distinct()
+    own = F.unix_date(F.col("date").cast("date")).cast("bigint")
+    return rows.join(F.broadcast(hours), (own * 24 + F.col("hour") if "hour" in rows.columns else own) == F.col("_h"), "left_semi")

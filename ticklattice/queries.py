@@ -43,10 +43,14 @@ def query(sql: str | None = None):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from . import lake_queries  # noqa: F401  (registers those that go through files)
+
     return {name: f for name, (f, _) in _found.items()}
 
 
 def oracle_sql() -> dict[str, str]:
+    from . import lake_queries  # noqa: F401
+
     return {name: sql for name, (_, sql) in _found.items() if sql}
 
 

@@ -52,13 +52,13 @@ def read_snaps(spark: SparkSession, root: str, symbols: list[str] | None = None,
     return read_lane(spark, root, "depth_snapshot", symbols, dates, "*depth_snapshot*.csv")
 
 
-def read_lines(spark: SparkSession, root: str, datatype: str) -> DataFrame:
+def read_lines(spark: SparkSession, root: str, datatype: str, pattern: str = "*.csv") -> DataFrame:
     """Raw lines (file_name, value) of a datatype's files, for checks on the text itself; a file without lines has one NULL row.
 
     Spark reads nothing of empty files, so these are told by its own listing of the tree.
     """
     name = lambda c: F.regexp_replace(c, r"^file:/+", "/")
-    text = spark.read.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True).text(f"{root}/{datatype}")
+    text = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", True).text(f"{root}/{datatype}")
     lines = text.select(name(F.col("_metadata.file_path")).alias("file_name"), "value")
     listed = spark.createDataFrame([(f,) for f in text.inputFiles()], "path string").select(name(F.col("path")).alias("file_name"))
     empty = listed.join(lines.select("file_name").distinct(), "file_name", "left_anti")
@@ -91,10 +91,11 @@ def health(heartbeats: DataFrame, lane_health: DataFrame, now_s: float, most_s:
     return beat.join(lanes).select("b.age_s", F.coalesce("b.live", F.lit(False)).alias("live"), "b.messages_total", "b.errors", "b.active_symbols", "b.orderbooks_live", "lanes", "healthy_lanes")
 
 
-def read_gap_events(spark: SparkSession, path: str) -> DataFrame:
-    """Gap events with the symbol that the file is named after."""
-    rows = spark.read.schema(GAP_EVENT).option("multiLine", True).json(path)
-    return rows.select(norm_symbol(F.regexp_extract(path_part(F.col("_metadata.file_path"), 1), r"^([A-Za-z0-9]+)", 1)).alias("symbol"), *[c for c in rows.columns])
+def read_gap_events(spark: SparkSession, path: str, one_a_line: bool = False, symbol_of: int = 1) -> DataFrame:
+    """Gap events, a JSON array or one_a_line, with the symbol that the file is named after, or the part of its path that symbol_of
+    counts from the end (`symbol=x` or x)."""
+    rows = spark.read.schema(GAP_EVENT).option("multiLine", not one_a_line).json(path)
+    return rows.select(norm_symbol(F.regexp_extract(path_part(F.col("_metadata.file_path"), symbol_of), r"^(?:symbol=)?([A-Za-z0-9_]+)" if symbol_of > 1 else r"^([A-Za-z0-9]+)", 1)).alias("symbol"), *[c for c in rows.columns])
 
 
 def read_universe(spark: SparkSession, path: str) -> DataFrame:
