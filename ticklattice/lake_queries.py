@@ -123,12 +123,12 @@ def b08_matrix_file(spark, d):
     return spark.read.schema(tape.m01_matrix(spark, d).schema).option("header", True).csv(path).withColumn("datetime_utc", F.col("datetime_utc").cast("string"))
 
 
-@query("SELECT symbol AS file_name, event_id AS seq, CASE WHEN event_id % 3 = 0 THEN 'WARN' WHEN event_id % 3 = 1 THEN 'INFO' END AS level, CASE WHEN event_id % 3 = 0 THEN concat('WARN at ', event_id) WHEN event_id % 3 = 1 THEN concat('INFO at ', event_id) ELSE concat('  more of ', event_id) END AS line FROM ev")
+@query("SELECT symbol AS file_name, event_id AS seq, CASE WHEN event_id % 3 = 0 THEN 'WARN' WHEN event_id % 3 = 1 THEN 'INFO' END AS level, CASE WHEN event_id % 3 = 0 THEN concat('WARN at ', event_id) WHEN event_id % 3 = 1 THEN concat('INFO at ', event_id) ELSE concat('more of ', event_id) END AS line FROM ev")
 def a18_log_files(spark, d):
     """A log for each symbol; lines are told by what they hold, in the order of the file."""
     path = new_folder(spark, "logs")
     k = F.col("event_id") % 3
-    line = F.concat(F.when(k == 0, "WARN at ").when(k == 1, "INFO at ").otherwise("  more of "), F.col("event_id").cast("string"))
+    line = F.concat(F.when(k == 0, "WARN at ").when(k == 1, "INFO at ").otherwise("more of "), F.col("event_id").cast("string"))
     view(spark, d, "ev").select("symbol", line.alias("value"), "event_id").repartition("symbol").sortWithinPartitions("symbol", "event_id").select("symbol", "value").write.partitionBy("symbol").text(path)
     found = readers.read_logs(spark, f"{path}/*/")
     told = F.regexp_extract("line", "([0-9]+)$", 1).cast("bigint").alias("told")
