@@ -1,11 +1,14 @@
 import json
+import random
 import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
 from ticklattice.operators import windows
+from ticklattice.operators.book import Sides
 from ticklattice.streaming import ingest, state
+from ticklattice.streaming.pages import Pages
 
 TRADE = "symbol string, timestamp_ms long, seq long, trade_id long"
 
@@ -133,3 +136,83 @@ def test_live_books_forget_idle_symbols(spark, tmp_path):
     ends = {r.u: (r.best_bid, r.best_ask, r.bids, r.asks) for r in kept if r.symbol == "s"}
     assert ends[101] == (98.0, 101.0, 1, 1) and ends[102] == (98.0, 100.5, 1, 2) and not any(r.reason == "idle" for r in kept)
     assert all(r.state != "Live" for r in gone) and any(r.reason == "idle" for r in gone)
+
+
+def rocks(spark, run):
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        return run()
+    finally:
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+
+
+@pytest.mark.parametrize("files", [1, 3])
+def test_ring_dedup_equals_fifo(spark, tmp_path, files):
+    rng = random.Random(4)
+    rows = [(s, i, i, rng.randrange(25)) for i in range(90) for s in "st"]
+    want = []
+    for s in "st":
+        seen = []
+        for _, _, i, x in (r for r in rows if r[0] == s):
+            if x not in seen:
+                want.append((s, i))
+                seen = (seen + [x])[-10:]
+    got = rocks(spark, lambda: drain(state.dedup_ring(feed(spark, tmp_path, rows, TRADE, files), window=10), tmp_path))
+    assert sorted((r.symbol, r.seq) for r in got) == sorted(want)
+
+
+@pytest.mark.parametrize("high", [True, False])
+def test_pages_hold_a_side(high):
+    """Random writes and trims over stored pages, each batch with a directory of its own, against a plain dictionary."""
+    rng, store, directory, plain = random.Random(6), {}, "[]", {}
+    for _ in range(150):
+        reads = []
+        side = Pages(high, json.loads(directory), lambda n: reads.append(n) or dict(store[n]), size=8)
+        touched = 0
+        for _ in range(rng.randint(1, 6)):
+            price, qty = float(rng.randint(0, 400)), float(rng.choice([0, 1, 2, 3]))
+            side.put(price, qty)
+            touched += 1
+            if qty:
+                plain[price] = qty
+            else:
+                plain.pop(price, None)
+        side.trim(120)
+        for price in sorted(plain, reverse=high)[120:]:
+            del plain[price]
+        assert len(side) == len(plain) and side.best == (max if high else min)(plain, default=None)
+        assert len(reads) <= touched + 2  # a page a level, one for the best, one for the trim
+        for n in side.gone:
+            store.pop(n, None)
+        store |= {n: dict(side.page(n)) for n in side.changed}
+        directory = json.dumps(side.directory)
+        assert {p: q for n, _, _ in side.directory for p, q in store[n].items()} == plain
+
+
+def test_deep_books_equal_a_plain_one(spark, tmp_path):
+    rng = random.Random(9)
+    level = lambda lo: [[float(lo + rng.randint(0, 60)), float(rng.choice([0, 1, 2]))] for _ in range(rng.randint(0, 4))]
+    rows = [("s", "snapshot", 1, 100, 100, 0, [[float(p), 1.0] for p in range(30, 90)], [[float(p), 1.0] for p in range(100, 160)])]
+    rows += [("s", "diff", 2 + i, 101 + i, 101 + i, 100 + i, level(30), level(100)) for i in range(60)]
+    plain = Sides()
+    for _, _, _, _, _, _, bids, asks in rows:
+        for side, levels in (("bid", bids), ("ask", asks)):
+            for p, q in levels:
+                plain.put(side, p, q)
+        plain.trim(40)
+        plain.best = {"bid": max(plain.levels["bid"], default=None), "ask": min(plain.levels["ask"], default=None)}
+    got = rocks(spark, lambda: drain(state.live_books(feed(spark, tmp_path, rows, LIVE, 5), depth=40, page=8), tmp_path, "update"))
+    last = max(got, key=lambda r: r.u)
+    assert (last.u, last.best_bid, last.best_ask, last.bids, last.asks) == (160, plain.best["bid"], plain.best["ask"], len(plain.levels["bid"]), len(plain.levels["ask"]))
+
+
+def test_waiting_diffs_expire(spark, tmp_path):
+    """A diff that waited longer than it may is gone when the snapshot comes, though no other diff came since."""
+    rows = [("s", "diff", 2, 101, 110, 100, [[99.5, 2.0]], []), ("s", "snapshot", 3, 100, 100, 0, [[99.0, 1.0]], [[101.0, 1.0]])]
+    ends = []
+    for ttl in (60_000, 1):
+        folder = tmp_path / str(ttl)
+        folder.mkdir()
+        got = rocks(spark, lambda: drain(state.live_books(feed(spark, folder, rows, LIVE, 2), ttl_ms=ttl), folder, "update"))  # noqa: B023
+        ends.append(sorted((r.state, r.u) for r in got if r.u is not None))
+    assert ends == [[("Live", 110)], [("Syncing", 100)]]

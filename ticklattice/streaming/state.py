@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..operators.book import Sides
+from .pages import Pages
 
 
 def dedup_trades(trades: DataFrame, delay: str = "1 hour") -> DataFrame:
@@ -54,6 +54,57 @@ def dedup_fifo(trades: DataFrame, window: int = 5000, idle_ms: int = 3_600_000,
     return _keyed(trades, ["symbol"], step, _ddl(trades), "ids STRING", idle_ms)
 
 
+class RingProcessor(StatefulProcessor):
+    """Keeps rows whose id is not among the key's last `window` different ids. Ids have a slot of a ring: a new one takes the oldest
+    one's, so a row costs a look for its id, and a new id two writes and a removal, however large the window is."""
+
+    def __init__(self, columns: list[str], window: int, idle_ms: int, id_col: str, order: str):
+        self.columns, self.window, self.idle_ms, self.id_col, self.order = columns, window, idle_ms, id_col, order
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.count = handle.getValueState("count", "n BIGINT")
+        self.slots = handle.getMapState("slots", "id BIGINT", "slot BIGINT")
+        self.ring = handle.getMapState("ring", "slot BIGINT", "id BIGINT")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        frame = pd.concat(list(rows)).sort_values(self.order, kind="stable")
+        n = self.count.get()[0] if self.count.exists() else 0
+        keep, known = [], {}
+        for i in frame[self.id_col].tolist():
+            if i not in known:
+                known[i] = self.slots.containsKey((i,))
+            keep.append(not known[i])
+            if not known[i]:
+                slot = n % self.window
+                if n >= self.window:
+                    old = self.ring.getValue((slot,))[0]
+                    self.slots.removeKey((old,))
+                    known[old] = False
+                self.ring.updateValue((slot,), (i,))
+                self.slots.updateValue((i,), (slot,))
+                known[i] = True
+                n += 1
+        self.count.update((n,))
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        if self.idle_ms:
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle_ms)
+        yield frame[keep][self.columns]
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.count.clear(), self.slots.clear(), self.ring.clear()
+        yield pd.DataFrame([], columns=self.columns)
+
+    def close(self) -> None:
+        pass
+
+
+def dedup_ring(trades: DataFrame, window: int = 5000, idle_ms: int = 3_600_000, order: str = "seq") -> DataFrame:
+    """As dedup_fifo, with a ring in state instead of a list that each batch rewrites; needs the RocksDB state store."""
+    return trades.groupBy("symbol").transformWithStateInPandas(RingProcessor(trades.columns, window, idle_ms, "trade_id", order), _ddl(trades), "append", "ProcessingTime")
+
+
 def new_buckets(df: DataFrame, keys: list[str], order: str = "seq", ts: str = "timestamp_ms") -> DataFrame:
     """Rows whose bucket is later than any that their key has had."""
 
@@ -108,103 +159,125 @@ class BookProcessor(StatefulProcessor):
     """Live books: Initializing -> Syncing (a snapshot came) -> Live (a diff continues it).
 
     Input rows: (symbol, kind, timestamp_ms, first_u, u, pu, bids, asks) of kind `snapshot`, `diff` or `delist`, levels as arrays
-    of [price, qty]. Diffs wait in a buffer of at most `buffer` rows and 60 s until a snapshot is bridged. A live book goes on over
-    gaps, which are reported. A symbol without rows for two hours is forgotten by a timer (reason `idle`); `delist` clears it at
-    once. Of the stored levels only those that a batch changes are written.
+    of [price, qty]. A live book goes on over gaps, which are reported. A symbol without rows for two hours is forgotten by a timer
+    (reason `idle`); `delist` clears it at once.
+
+    Levels are stored in pages of neighbouring prices with a directory (see Pages): a batch reads and writes the pages that its diffs
+    touch and those of the best prices, however deep the book is. Diffs that wait for a snapshot, the last `buffer` of them and of the
+    last `span_ms`, are appended one by one and expire by themselves after `ttl_ms`; they are read only while a snapshot is to be bridged.
     """
 
-    def __init__(self, depth: int = 1000, buffer: int = 1024, span_ms: int = 60_000, idle_ms: int = 7_200_000):
-        self.depth, self.buffer, self.span_ms, self.idle_ms = depth, buffer, span_ms, idle_ms
+    def __init__(self, depth: int = 1000, buffer: int = 1024, span_ms: int = 60_000, idle_ms: int = 7_200_000, ttl_ms: int | None = None, page: int = 64):
+        self.depth, self.buffer, self.span_ms, self.idle_ms, self.page = depth, buffer, span_ms, idle_ms, page
+        self.ttl_ms = span_ms if ttl_ms is None else ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.meta = handle.getValueState("meta", "state STRING, u BIGINT, seen BIGINT")
-        self.levels = handle.getMapState("levels", "side STRING, price DOUBLE", "qty DOUBLE")
-        self.waiting = handle.getListState("waiting", "timestamp_ms BIGINT, first_u BIGINT, u BIGINT, pu BIGINT, bids STRING, asks STRING")
+        self.meta = handle.getValueState("meta", "state STRING, u BIGINT, seen BIGINT, bids STRING, asks STRING, waiting BIGINT")
+        self.pages = handle.getMapState("pages", "side STRING, page BIGINT", "levels STRING")
+        self.waiting = handle.getListState("waiting", "timestamp_ms BIGINT, first_u BIGINT, u BIGINT, pu BIGINT, bids STRING, asks STRING", ttlDurationMs=self.ttl_ms)
+
+    def _side(self, side: str, directory: str | None) -> Pages:
+        read = lambda number: {p: q for p, q in json.loads(self.pages.getValue((side, number))[0])}
+        return Pages(side == "bid", json.loads(directory or "[]"), read, self.page)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         symbol, now = key[0], timerValues.getCurrentProcessingTimeInMs()
-        state, at, seen = self.meta.get() if self.meta.exists() else ("Initializing", None, now)
+        state, at, seen, bids, asks, stored = self.meta.get() if self.meta.exists() else ("Initializing", None, now, None, None, 0)
         if now - seen >= self.idle_ms:
             self._forget()
-            state, at = "Initializing", None
-        book, stored = self._load()
+            state, at, bids, asks, stored = "Initializing", None, None, None, 0
+        book = {"bid": self._side("bid", bids), "ask": self._side("ask", asks)}
+        held: list[tuple] | None = None  # the stored waiting diffs, once they are needed
+        fresh: list[tuple] = []  # those of this batch
         reason = None
+
+        def buffered() -> list[tuple]:
+            nonlocal held
+            if held is None:
+                held = [tuple(x) for x in self.waiting.get()] if stored else []
+            every = held + fresh
+            newest = max((w[0] for w in every), default=0)
+            return [w for w in every if w[0] >= newest - self.span_ms][-self.buffer :]
+
         frame = pd.concat(list(rows)).sort_values(["timestamp_ms", "u"], kind="stable")
-        waiting = [tuple(x) for x in self.waiting.get()] if self.waiting.exists() else []
         for r in frame.itertuples():
             if r.kind == "delist":
                 self._forget()
-                state, at, book, stored, waiting, reason = "Initializing", None, Sides(), {}, [], "delisted"
+                book = {"bid": self._side("bid", None), "ask": self._side("ask", None)}
+                state, at, held, fresh, stored, reason = "Initializing", None, [], [], 0, "delisted"
             elif r.kind == "snapshot":
                 if state != "Live":
-                    book, at, state = Sides(), int(r.u), "Syncing"
+                    for side in book.values():
+                        side.clear()
+                    at, state = int(r.u), "Syncing"
                     self._apply(book, r.bids, r.asks)
             elif state == "Live":
                 if r.u > at:
                     reason = "gap" if r.pu != at else reason
                     self._apply(book, r.bids, r.asks)
-                    book.trim(self.depth)
+                    self._trim(book)
                     at = int(r.u)
             else:
-                waiting.append((int(r.timestamp_ms), int(r.first_u), int(r.u), int(r.pu), _text(r.bids), _text(r.asks)))
-                newest = max(w[0] for w in waiting)
-                waiting = [w for w in waiting if w[0] >= newest - self.span_ms][-self.buffer :]
+                fresh.append((int(r.timestamp_ms), int(r.first_u), int(r.u), int(r.pu), _text(r.bids), _text(r.asks)))
             if state == "Syncing":
-                state, at, waiting = self._attach(book, at, waiting)
-        self._save(state, at, book, stored, waiting, now)
-        yield pd.DataFrame([(symbol, state, at, book.best["bid"], book.best["ask"], len(book.levels["bid"]), len(book.levels["ask"]), reason)], columns=[c.split()[0] for c in BOOK_OUT.split(", ")])
-
-    def _attach(self, book: Sides, at: int, waiting: list[tuple]) -> tuple:
+                state, at = self._attach(book, at, buffered())
+                if state == "Live":
+                    held, fresh = [], []
+                    if stored:
+                        self.waiting.clear()
+                        stored = 0
+        if stored + len(fresh) > 2 * self.buffer:
+            kept = buffered()
+            self.waiting.put(kept)
+            stored = len(kept)
+        elif fresh:
+            self.waiting.appendList(fresh)
+            stored += len(fresh)
+        self._save(state, at, book, stored, now)
+        yield pd.DataFrame([(symbol, state, at, book["bid"].best, book["ask"].best, len(book["bid"]), len(book["ask"]), reason)], columns=[c.split()[0] for c in BOOK_OUT.split(", ")])
+
+    def _attach(self, book: dict[str, Pages], at: int, waiting: list[tuple]) -> tuple[str, int]:
         ordered = sorted({w[2]: w for w in sorted(waiting, key=lambda w: w[0])}.values(), key=lambda w: w[2])
         start = next((i for i, w in enumerate(ordered) if w[2] > at and (w[1] <= at + 1 or w[3] <= at < w[1])), None)
         if start is None:
-            return "Syncing", at, waiting
+            return "Syncing", at
         for w in ordered[start:]:
             self._apply(book, json.loads(w[4]), json.loads(w[5]))
-            book.trim(self.depth)
+            self._trim(book)
             at = w[2]
-        return "Live", at, []
+        return "Live", at
 
     @staticmethod
-    def _apply(book: Sides, bids, asks) -> None:
+    def _apply(book: dict[str, Pages], bids, asks) -> None:
         for side, levels in (("bid", bids), ("ask", asks)):
             for price, qty in levels if levels is not None else []:
-                book.put(side, float(price), float(qty))
+                book[side].put(float(price), float(qty))
+
+    def _trim(self, book: dict[str, Pages]) -> None:
+        for side in book.values():
+            side.trim(self.depth)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self._forget()
         yield pd.DataFrame([(key[0], "Initializing", None, None, None, 0, 0, "idle")], columns=[c.split()[0] for c in BOOK_OUT.split(", ")])
 
     def _forget(self) -> None:
-        self.meta.clear(), self.levels.clear(), self.waiting.clear()
-
-    def _load(self) -> tuple[Sides, dict]:
-        """The book, and its levels as they are stored."""
-        book, stored = Sides(), {}
-        if self.levels.exists():
-            for (side, price), (qty,) in self.levels.iterator():
-                book.put(side, price, qty)
-                stored[side, price] = qty
-        return book, stored
-
-    def _save(self, state: str, at: int | None, book: Sides, stored: dict, waiting: list[tuple], now: int) -> None:
-        held = {(side, price): qty for side, levels in book.levels.items() for price, qty in levels.items()}
-        for level in stored.keys() - held.keys():
-            self.levels.removeKey(level)
-        for level, qty in held.items():
-            if stored.get(level) != qty:
-                self.levels.updateValue(level, (qty,))
+        self.meta.clear(), self.pages.clear(), self.waiting.clear()
+
+    def _save(self, state: str, at: int | None, book: dict[str, Pages], stored: int, now: int) -> None:
+        for name, side in book.items():
+            for number in side.gone:
+                if self.pages.containsKey((name, number)):
+                    self.pages.removeKey((name, number))
+            for number in side.changed:
+                self.pages.updateValue((name, number), (json.dumps(list(side.page(number).items())),))
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
-        if state == "Initializing" and at is None and not waiting:
+        if state == "Initializing" and at is None and not stored:
             return
         self.handle.registerTimer(now + self.idle_ms)
-        self.meta.update((state, at, now))
-        if waiting:
-            self.waiting.put(waiting)
-        else:
-            self.waiting.clear()
+        self.meta.update((state, at, now, json.dumps(book["bid"].directory), json.dumps(book["ask"].directory), stored))
 
     def close(self) -> None:
         pass
