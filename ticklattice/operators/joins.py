@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import bucket
 from ..schemas import DAY, HOUR, MINUTE
+from .scans import carried
 
 
 def minute_grid(spark: SparkSession, from_ms: int, to_ms: int, step: int = MINUTE) -> DataFrame:
@@ -28,12 +29,12 @@ def join_bars(grid: DataFrame, bars: DataFrame, cols: dict[str, str], step: int
     return grid.join(last, ["symbol", "timestamp_ms"], "left")
 
 
-def asof_join(left: DataFrame, right: DataFrame, cols: dict[str, str], tolerance: int | None = None, ties: str = "last", by: tuple[str, ...] = ("symbol",), ts: str = "timestamp_ms", order: str = "seq") -> DataFrame:
+def asof_join(left: DataFrame, right: DataFrame, cols: dict[str, str], tolerance: int | None = None, ties: str = "last", by: tuple[str, ...] = ("symbol",), ts: str = "timestamp_ms", order: str = "seq", width: int = DAY) -> DataFrame:
     """Adds to each left row the columns of the last right row at or before it, at most `tolerance` ms older.
 
     Both sides are shuffled once by key and stretch of time, and sorted; the last value is carried forward. A stretch is as
     long as the tolerance, and a right row is also given to the next stretch, so the work of a hot key is spread over time.
-    Without a tolerance the key alone is dealt. Of right rows with one time, the first or last in `order` counts.
+    Without a tolerance stretches are of `width` ms, and the last right row of those before is carried on. Of right rows with one time, the first or last in `order` counts.
     """
     names = list(cols.values())
     value = F.struct(F.col(ts).alias("_at"), *[F.col(c).alias(n) for c, n in cols.items()])
@@ -46,8 +47,11 @@ def asof_join(left: DataFrame, right: DataFrame, cols: dict[str, str], tolerance
         lefts = lefts.withColumn("_part", own)
         keys.append("_part")
     both = lefts.unionByName(rights, allowMissingColumns=True)
-    so_far = Window.partitionBy(*keys).orderBy(ts, "_side", "_order").rowsBetween(Window.unboundedPreceding, 0)
-    met = both.withColumn("_value", F.last("_value", ignorenulls=True).over(so_far)).filter("_side = 1")
+    if tolerance:
+        so_far = Window.partitionBy(*keys).orderBy(ts, "_side", "_order").rowsBetween(Window.unboundedPreceding, 0)
+        met = both.withColumn("_value", F.last("_value", ignorenulls=True).over(so_far)).filter("_side = 1")
+    else:
+        met = carried(both, keys, ts, [ts, "_side", "_order"], width, _last=(F.col("_value"), "last")).filter("_side = 1").drop("_value").withColumnRenamed("_last", "_value")
     fresh = F.lit(True) if tolerance is None else F.col(ts) - F.col("_value._at") <= tolerance
     return met.select("_row.*", *[F.when(fresh, F.col(f"_value.{n}")).alias(n) for n in names], F.when(fresh, F.col("_value._at")).alias("matched_ms"))
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import num
 from ..schemas import DAY
+from .scans import carried
 
 
 def previous(df: DataFrame, col: str, by: list[str], order: list[str], name: str = "previous") -> DataFrame:
@@ -28,10 +29,11 @@ def previous_in_tape(df: DataFrame, col: str, by: list[str], order: str, name: s
     return rows.join(far, [*by, "_stretch"], "left").withColumn(name, F.when(F.col("_n") > 1, F.col("_near")).otherwise(F.col("_far"))).drop("_stretch", "_n", "_near", "_far")
 
 
-def bar_steps(bars: DataFrame) -> DataFrame:
+def bar_steps(bars: DataFrame, width: int = DAY) -> DataFrame:
     """(symbol, timestamp_ms, step_ms) of distinct bars: the step to the next one."""
-    once = bars.select("symbol", "timestamp_ms").distinct()
-    return once.withColumn("step_ms", F.lead("timestamp_ms").over(Window.partitionBy("symbol").orderBy("timestamp_ms")) - F.col("timestamp_ms"))
+    once = bars.select("symbol", "timestamp_ms").distinct().withColumn("_back", -F.col("timestamp_ms"))
+    found = carried(once, ["symbol"], "_back", ["_back"], width, _next=(F.col("timestamp_ms"), "last"))
+    return found.select("symbol", "timestamp_ms", (F.col("_next") - F.col("timestamp_ms")).alias("step_ms"))
 
 
 def repeats(df: DataFrame, by: list[str], order: list[str]) -> DataFrame:
@@ -69,12 +71,13 @@ def tape_before(trades: DataFrame, t: int, n: int) -> DataFrame:
     return tail(trades.filter((F.col("timestamp_ms") <= t) & (F.col("timestamp_ms") > t - DAY)), n)
 
 
-def counter_rate(df: DataFrame, counter: str, by: list[str], ts: str = "timestamp_ms") -> DataFrame:
-    """Rate per second since the sample before; NULL until a count that isn't 0 came before. A reset counter counts as 0."""
-    order = Window.partitionBy(*by).orderBy(ts)
-    before, then = F.lag(counter).over(order), F.lag(ts).over(order)
+def counter_rate(df: DataFrame, counter: str, by: list[str], ts: str = "timestamp_ms", width: int = DAY) -> DataFrame:
+    """Rate per second since the sample before; NULL until a count that isn't 0 came before. A reset counter counts as 0. Of samples
+    of one time the lower count comes first."""
+    found = carried(df, by, ts, [ts, counter], width, _before=(F.struct(F.col(counter).alias("n"), F.col(ts).alias("at")), "last"))
+    before, then = F.col("_before.n"), F.col("_before.at")
     rate = F.greatest(F.col(counter) - before, F.lit(0)) * 1000.0 / F.nullif(F.col(ts) - then, F.lit(0))
-    return df.withColumn("rate", F.when(before > 0, rate))
+    return found.withColumn("rate", F.when(before > 0, rate)).drop("_before")
 
 
 def ema(df: DataFrame, col: str, by: list[str], alpha: float = 0.05, order: str = "seq", width: int = 1 << 14) -> DataFrame:
@@ -125,21 +128,21 @@ def filter_logs(lines: DataFrame, level: str = "INFO", by: tuple[str, ...] = ("f
     return found.select(*lines.columns, "rank")
 
 
-def new_buckets(df: DataFrame, key: list[str], order: str = "seq", ts: str = "timestamp_ms") -> DataFrame:
+def new_buckets(df: DataFrame, key: list[str], order: str = "seq", ts: str = "timestamp_ms", width: int = STRETCH) -> DataFrame:
     """Rows whose bucket is later than any bucket of their key that came before them."""
-    before = Window.partitionBy(*key).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    mark = F.max(ts).over(before)
-    return df.withColumn("_mark", mark).filter(F.col("_mark").isNull() | (F.col(ts) > F.col("_mark"))).drop("_mark")
+    found = carried(df, key, order, [order], width, _mark=(F.col(ts), "max"))
+    return found.filter(F.col("_mark").isNull() | (F.col(ts) > F.col("_mark"))).drop("_mark")
 
 
-def lifecycle(presence: DataFrame, strikes: int = 2) -> DataFrame:
+def lifecycle(presence: DataFrame, strikes: int = 2, width: int = 1 << 14) -> DataFrame:
     """(symbol, cycle, change) from (symbol, cycle, present): `added` as soon as present, `removed` at the second absence in a
     row; one absence is forgiven. Rows before a symbol's first presence are ignored."""
-    order = Window.partitionBy("symbol").orderBy("cycle")
-    gone = F.when(F.col("present"), 0).otherwise(1)
-    rows = presence.withColumn("_gone", gone).withColumns({"_b1": F.lag("_gone", 1).over(order), "_b2": F.lag("_gone", 2).over(order), "_ever": F.coalesce(F.max(1 - F.col("_gone")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))})
-    removed = (F.col("_gone") == 1) & (F.col("_b1") == 1) & (F.coalesce("_b2", F.lit(1)) == 0) & (F.col("_ever") == 1)
-    added = (F.col("_gone") == 0) & ((F.col("_ever") == 0) | ((F.col("_b1") == 1) & (F.col("_b2") == 1)))
+    gone = presence.withColumn("_gone", F.when(F.col("present"), 0).otherwise(1))
+    one = carried(gone, ["symbol"], "cycle", ["cycle"], width, _b1=(F.col("_gone"), "last"), _seen=(1 - F.col("_gone"), "max"))
+    rows = carried(one, ["symbol"], "cycle", ["cycle"], width, _held=(F.struct(F.col("_b1").alias("b")), "last"))
+    b1, b2, ever = F.col("_b1"), F.col("_held.b"), F.coalesce("_seen", F.lit(0))
+    removed = (F.col("_gone") == 1) & (b1 == 1) & (F.coalesce(b2, F.lit(1)) == 0) & (ever == 1)
+    added = (F.col("_gone") == 0) & ((ever == 0) | ((b1 == 1) & (b2 == 1)))
     return rows.withColumn("change", F.when(removed, "removed").when(added, "added")).filter("change is not null").select("symbol", "cycle", "change")
 
 
