@@ -170,15 +170,35 @@ RAW = "raw AS (SELECT symbol, event_id, CASE WHEN event_id % 50 = 0 THEN 2 WHEN
 @query(f"WITH {RAW} SELECT symbol, 'row_width' AS issue, count(*) AS n FROM raw WHERE fault = 2 GROUP BY symbol UNION ALL SELECT symbol, 'repeated_header', count(*) FROM raw WHERE fault = 1 GROUP BY symbol")
 def q23_file_issues(spark, d):
     """Files of raw lines with rows of another width and headers among the rows."""
-    path = new_folder(spark, "raw")
-    head = ["symbol", "event_id", "value"]
+    path = raw_tree(spark, d)
+    found = readers.read_lines(spark, path, "rows", pattern="*.txt")
+    return quality.file_issues(found, RAW_HEAD).select(F.regexp_extract("file_name", "symbol=([^/]+)", 1).alias("symbol"), "issue", "n")
+
+
+@query(_text["q23_file_issues"])
+def q26_changed_files(spark, d):
+    """The same by two runs over one state: the first reads a tree with half of the symbols, the second what has come since."""
+    path, state = new_folder(spark, "raw"), new_folder(spark, "verified")
+    symbols = sorted(r.symbol for r in view(spark, d, "ev").select("symbol").distinct().collect())  # some event types
+    for some in (symbols[::2], symbols[1::2]):
+        raw_tree(spark, d, path, some)
+        found = plans.verify_changed(spark, path, {"rows": RAW_HEAD}, state, "*.txt")
+    return found["issues"].select(F.regexp_extract("file_name", "symbol=([^/]+)", 1).alias("symbol"), "issue", "n")
+
+
+RAW_HEAD = ["symbol", "event_id", "value"]
+
+
+def raw_tree(spark: SparkSession, d: str, path: str | None = None, symbols: list[str] | None = None) -> str:
+    path, head = path or new_folder(spark, "raw"), RAW_HEAD
     row = F.concat_ws(",", "symbol", F.col("event_id").cast("string"), F.lit('"1,5"'))
     line = F.when(F.col("event_id") % 50 == 0, F.concat(row, F.lit(",7"))).when(F.col("event_id") % 77 == 0, ",".join(head)).otherwise(row)
-    lines = view(spark, d, "ev").select("symbol", F.lit(1).alias("n"), line.alias("value"))
+    events = view(spark, d, "ev")
+    events = events if symbols is None else events.filter(F.col("symbol").isin(symbols))
+    lines = events.select("symbol", F.lit(1).alias("n"), line.alias("value"))
     heads = lines.select("symbol").distinct().select("symbol", F.lit(0).alias("n"), F.lit(",".join(head)).alias("value"))
-    lines.unionByName(heads).repartition("symbol").sortWithinPartitions("symbol", "n").select("symbol", "value").write.partitionBy("symbol").text(f"{path}/rows")
-    found = readers.read_lines(spark, path, "rows", pattern="*.txt")
-    return quality.file_issues(found, head).select(F.regexp_extract("file_name", "symbol=([^/]+)", 1).alias("symbol"), "issue", "n")
+    lines.unionByName(heads).repartition("symbol").sortWithinPartitions("symbol", "n").select("symbol", "value").write.mode("append").partitionBy("symbol").text(f"{path}/rows")
+    return path
 
 
 # ---- composite entry points, all rows ------------------------------------------------------------------------------------
