@@ -75,6 +75,22 @@ def test_sharding_splits_a_hot_group(spark):
     assert max(x[1] for x in got) - min(x[1] for x in got) <= 40
 
 
+def test_groups_on_a_border_stay_whole(spark):
+    """Groups of equal texts that are smaller than the largest document lie in one shard, slots stay gapless, bytes near equal."""
+    rng = random.Random(5)
+    texts = [f"{g} " + "x" * rng.randint(5, 90) for g in range(60)]
+    rows = [(i, rng.choice(texts), "a", "b", "c") for i in range(300)] + [(900, "y" * 900, "a", "b", "c"), (901, "z" * 800, "a", "b", "c")]
+    got = sharding.assign_shards(frame(spark, rows), n_shards=12, range_rows=40).collect()
+    shards, sizes, slots, whole = collections.defaultdict(set), collections.Counter(), collections.defaultdict(list), collections.Counter()
+    for r in got:
+        shards[r.text_crc32].add(r.shard)
+        whole[r.text_crc32] += r.size
+        sizes[r.shard] += r.size
+        slots[r.shard].append(r.slot)
+    assert all(len(found) == 1 for text, found in shards.items() if whole[text] <= 901)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and max(sizes.values()) - min(sizes.values()) <= 2 * 901
+
+
 def test_best_fit_is_tight():
     rng = np.random.default_rng(1)
     lengths = rng.integers(1, 100, 500)

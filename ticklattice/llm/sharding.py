@@ -6,8 +6,10 @@ task: size-weighted samples of the key give quantile boundaries, rows are dealt
 turn out overfull are subdivided by samples of their own, and only the ranges' sums meet on the driver. There are as many ranges
 as hold range_rows rows each, at least ranges_per_shard a shard; subdividing ends when no range of several keys is overfull.
 
-A group of equal texts lies in one stretch of the order. The law asks for near equal bytes alone, so the few groups that lie on a
-shard's border, and groups larger than a shard, go on in the next shard; all others are whole.
+A group of equal texts lies in one stretch of the order. Where it lies on a shard's border and has no more bytes than the largest row,
+the border moves to the group's edge, by the side on which its middle is: no further than a row of that size would move it, so bytes
+stay as near equal as they can be told to be, and the group is whole. A group with more bytes than the largest row goes on in the
+next shard where it must, as the law asks for bytes first.
 
 Defined results: null text has size 1 and CRC 0; a null doc_id sorts first; repeated rows each get a slot; an empty table
 gives an empty result; extra columns are ignored.
@@ -109,8 +111,14 @@ def assign_shards(docs: DataFrame, n_shards: int = 16, ranges_per_shard: int = 8
     up_to = Window.partitionBy("r").orderBy(*KEY).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = dealt.withColumns({"ends": before(0) + F.sum("size").over(up_to), "rank": before(1) + F.row_number().over(up_to) - 1})
     middle = F.col("ends").cast("decimal(38,0)") * 2 - F.col("size")
-    placed = placed.withColumn("shard", F.least(F.lit(n_shards - 1), F.floor(middle * n_shards / F.lit(2 * max(1, total)))).cast("int"))
-    placed = write_table(placed.select("doc_id", "size", "text_crc32", "shard", "rank"), "shard-places")
+    at = lambda twice: F.least(F.lit(n_shards - 1), F.floor(twice * n_shards / F.lit(2 * max(1, total)))).cast("int")
+    placed = write_table(placed.select("doc_id", "size", "text_crc32", "k1", "ends", at(middle).alias("shard"), "rank"), "shard-places")
+    # groups on a border that may move it: a shard has two borders, so they are fewer than the shards
+    largest = max((most for *_, most in stats), default=0)
+    groups = placed.groupBy("k1").agg(F.min("shard").alias("a"), F.max("shard").alias("b"), F.sum("size").alias("all"), F.max("ends").alias("ends"))
+    moved = groups.filter((F.col("a") < F.col("b")) & (F.col("all") <= largest)).select("k1", at(F.col("ends").cast("decimal(38,0)") * 2 - F.col("all")).alias("to")).collect()
+    if moved:
+        placed = placed.withColumn("shard", F.coalesce(F.element_at(F.create_map(*[F.lit(x) for m in moved for x in (m["k1"], m["to"])]), F.col("k1")), F.col("shard")))
     firsts = dict(placed.groupBy("shard").agg(F.min("rank")).collect())
     first = F.element_at(F.array(*[F.lit(firsts.get(s, 0)).cast("long") for s in range(n_shards)]), F.col("shard") + 1)
     return placed.select(
