@@ -506,3 +506,33 @@ def test_spdx_and_repeated_rows(spark):
     rows = [(1, "// SPDX-License-Identifier: MIT\nint main", None, None, None), (1, "// SPDX-License-Identifier: MIT\nint main", None, None, None), (2, "# SPDX-License-Identifier: GPL-3.0-only", None, None, None), (3, "reserved", None, None, None)]
     got = sorted((r.doc_id, r.line_no, r.license) for r in licenses.scan(frame(spark, rows)).collect())
     assert got == [(1, 0, "MIT"), (1, 0, "MIT"), (2, 0, "GPL-3.0")]
+
+
+def test_language_by_plain_compression(spark):
+    """Every text's sizes with every dictionary, by compressors made anew for each block, choose the same languages; texts whose margin
+    is narrow are left out, as tables of another make may differ in a byte there."""
+    import zstandard
+
+    rng = random.Random(31)
+    stems = {"aa": "haus baum strasse fenster wasser nacht himmel".split(), "bb": "house tree street window water night heaven".split(), "cc": "maison arbre rue fenetre eau nuit ciel".split()}
+    text = lambda lang, n: " ".join(rng.choice(stems[lang]) + rng.choice(["", "s", "e", "n"]) for _ in range(n))
+    rows = [(i, text(lang, rng.randint(4, 900)), lang, "x", "y") for i, lang in enumerate(rng.choices(sorted(stems), k=120))]
+    rows += [(900 + i, text("aa", 5) + " " + text("bb", n), None, "x", "y") for i, n in enumerate((1, 9, 40))] + [(950, "ÜBER 12 !!", None, "", ""), (951, "", None, "", "")]
+    docs = frame(spark, rows)
+    dictionaries = langid.learn(docs.select("doc_id", "text", "lang"))
+    got = {r.row.doc_id: r for r in langid.identify(docs, dictionaries).collect()}
+    compared = 0
+    for doc, body, *_ in rows:
+        if not any(map(str.isalpha, body)):
+            assert got[doc].lang_pred == "und"
+            continue
+        data = (" " + " ".join("".join(c if c.isalpha() else " " for c in body.lower()).split()) + " ").encode()
+        sizes = {}
+        for lang, content in dictionaries.items():
+            known = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            sizes[lang] = sum(len(zstandard.ZstdCompressor(level=9, dict_data=known, write_content_size=False).compress(data[at : at + 4096])) for at in range(0, len(data), 4096))
+        best, second = sorted(sizes.values())[:2]
+        if (second - best) / second > 0.15:
+            compared += 1
+            assert got[doc].lang_pred == min(sizes, key=sizes.get) and 0 <= got[doc].score <= 1
+    assert compared > 90
