@@ -208,11 +208,11 @@ def rebuild_day(seeded: DataFrame, events: DataFrame, segment_ms: int = HOUR) ->
     """
     ids = seeded.groupBy("symbol").agg(F.max("last_update_id").alias("seed_id"))
     used = events.join(ids, "symbol", "left").filter("seed_id is null or u > seed_id")
-    placed = numbered(used.select("symbol", "timestamp_ms", "u", "seq", "pos", "side", "price", "qty"), "u", F.floor(F.col("timestamp_ms") / segment_ms))
+    placed = written(numbered(used.select("symbol", "timestamp_ms", "u", "seq", "pos", "side", "price", "qty"), "u", F.floor(F.col("timestamp_ms") / segment_ms)), "numbered-diffs")
     totals = placed.groupBy("symbol").agg(F.max("t").alias("total"))
     writes = placed.groupBy("symbol", "side", "price", "t").agg(F.max_by("qty", F.struct("seq", "pos")).alias("qty"))
     start = seeded.join(totals.select("symbol"), "symbol", "left_semi").groupBy("symbol", "side", "price").agg(F.max("qty").alias("qty"))
-    spans = level_spans(writes.unionByName(start.withColumn("t", F.lit(0).cast("bigint"))))
+    spans = written(level_spans(writes.unionByName(start.withColumn("t", F.lit(0).cast("bigint")))), "level-spans")
     ends = top(spans.filter("b is null"))
     out = totals.join(crossed_numbers(spans, totals), "symbol", "left").join(ends, "symbol", "left")
     return out.select("symbol", F.col("total").alias("applied"), F.coalesce("crossed", F.lit(0)).cast("bigint").alias("crossed"), "best_bid", "best_ask")

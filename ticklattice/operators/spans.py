@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..scratch import written
+
 #: Runs of up to 2**(BLOCK - 1) numbers are compared number by number, longer ones block by block.
 BLOCK = 5
 
@@ -48,7 +50,7 @@ def crossed_numbers(spans: DataFrame, totals: DataFrame) -> DataFrame:
     near = spans.join(totals, "symbol").join(reach, "symbol").filter(F.when(F.col("side") == "bid", F.col("price") > F.col("low")).otherwise(F.col("price") < F.col("high")))
     whole = near.select("symbol", "side", "price", F.greatest("a", F.lit(1)).alias("a"), F.least(F.coalesce("b", F.col("total") + 1), F.col("total") + 1).alias("b"))
     best = [F.max(price("bid")).alias("bid"), F.min(price("ask")).alias("ask")]
-    runs = aligned_runs(whole).groupBy("symbol", "k", "run").agg(*best)
+    runs = written(aligned_runs(whole).groupBy("symbol", "k", "run").agg(*best), "level-runs")
     again = [F.max("bid").alias("bid"), F.min("ask").alias("ask")]
     # blocks that any run touches, with the best of the runs that hold them whole
     long = runs.filter(F.col("k") >= BLOCK)
