@@ -116,6 +116,17 @@ def test_last_write_equals_sequence(spark):
     trimmed, _ = sequential([], tape, depth=4)
     got = {(r.side, r.price): r.qty for r in book.live_book(ev, 4).collect()}
     assert got == {(s, p): q for s, levels in trimmed.levels.items() for p, q in levels.items()}
+    for width, least in ((40_000, 1), (20_000, 60)):
+        got = {(r.side, r.price): r.qty for r in book.live_book(ev, 4, width, least).collect()}
+        assert got == {(s, p): q for s, levels in trimmed.levels.items() for p, q in levels.items()}
+
+
+def test_short_segments_are_played_together(spark):
+    rows = spark.createDataFrame([("s", 0, h) for h in range(6) for _ in range(3)] + [("s", 0, 6)] * 50 + [("s", 1, 24), ("z", 0, 2)], "symbol string, day long, segment long")
+    got = {(r.symbol, r.day, r.segment): r["count"] for r in book._segments(rows, 7).groupBy("symbol", "day", "segment").count().collect()}
+    assert got == {("s", 0, 0): 9, ("s", 0, 3): 6, ("s", 0, 5): 53, ("s", 1, 24): 1, ("z", 0, 2): 1}
+    alone = book._segments(rows, 1).groupBy("symbol", "day", "segment").count()
+    assert alone.count() == 9
 
 
 def test_gap_and_replay(spark):

@@ -221,11 +221,12 @@ def rebuild_day(seeded: DataFrame, events: DataFrame, segment_ms: int = HOUR) ->
 _LEVEL = "symbol string, day long, segment long, side string, price double, qty double"
 
 
-def _openings(rows: DataFrame, depth: int) -> DataFrame:
-    """A first guess of the book that each segment of a day opens with: the best `depth` of the last writes before it."""
+def _openings(rows: DataFrame, chain: DataFrame, depth: int) -> DataFrame:
+    """A first guess of the book that each segment of a day but its first opens with: the best `depth` of the last writes before it."""
+    rows = rows.join(chain.filter("next is not null"), ["symbol", "day", "segment"], "left_semi")
     last = rows.groupBy("symbol", "day", "segment", "side", "price").agg(F.max_by("qty", F.struct("u", "seq", "pos")).alias("qty"))
     until = F.lead("segment").over(Window.partitionBy("symbol", "day", "side", "price").orderBy("segment"))
-    ends = rows.groupBy("symbol", "day").agg(F.max("segment").alias("end"))
+    ends = chain.groupBy("symbol", "day").agg(F.max("segment").alias("end"))
     spans = last.withColumn("until", until).filter("qty <> 0").join(ends, ["symbol", "day"]).withColumn("until", F.coalesce("until", "end")).filter("segment < until")
     held = spans.select("symbol", "day", F.explode(F.sequence(F.col("segment") + 1, F.col("until"))).alias("segment"), "side", "price", "qty")
     best = Window.partitionBy("symbol", "day", "segment", "side").orderBy(signed_price())
@@ -262,22 +263,33 @@ def _played(rows: DataFrame, openings: DataFrame, depth: int) -> DataFrame:
     return ordered.mapInPandas(play, _LEVEL)
 
 
-def live_book(events: DataFrame, depth: int, segment_ms: int = HOUR) -> DataFrame:
+def _segments(rows: DataFrame, least: int) -> DataFrame:
+    """Rows with `segment` set to the first of the segments of their day that are played together: short ones that follow each other, until
+    they have `least` rows. Only the segments' sizes meet."""
+    where = ["symbol", "day", "segment"]
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("symbol", "day").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sizes = rows.groupBy(*where).agg(F.count("*").alias("n")).select(*where, F.floor(before / least).alias("_part"))
+    first = F.min("segment").over(Window.partitionBy("symbol", "day", "_part"))
+    return rows.join(sizes.select(*where, first.alias("_first")), where).withColumn("segment", F.col("_first")).drop("_first")
+
+
+def live_book(events: DataFrame, depth: int, segment_ms: int = HOUR, least_rows: int = 100_000) -> DataFrame:
     """Books of each symbol and day that are trimmed to the best `depth` levels after every diff.
 
     Trimming depends on the path: a level that was cut stays out when better ones go. Segments of a day run side by side, each
     from a guess of its opening book, the best of the last writes before it; then every segment whose guess isn't the book that the
     one before ended with is played again from that book, until all fit. A day's first segment is right at once, and each round makes
     at least the next one right, so the books are those of one sequence; guesses are wrong only where a cut level would be in the
-    best `depth` again. A task holds one segment of a symbol.
+    best `depth` again. Segments are `segment_ms` long; short ones are played together, so a segment has less than `least_rows` rows and
+    those of `segment_ms` more, and only busy days take rounds. A task's group is one segment of a symbol.
     """
     parts = events.select("symbol", F.floor(F.col("timestamp_ms") / DAY).alias("day"), F.floor(F.col("timestamp_ms") / segment_ms).alias("segment"), "u", F.col("seq").cast("bigint").alias("seq"), F.col("pos").cast("int").alias("pos"), "side", "price", "qty")
-    rows = written(parts, "live-events")
+    rows = _segments(written(parts, "live-events"), least_rows)
     where = ["symbol", "day", "segment"]
     follows = F.lead("segment").over(Window.partitionBy("symbol", "day").orderBy("segment"))
     chain = written(rows.groupBy(*where).agg(F.max("u").alias("u")).withColumn("next", follows), "live-segments")
     print_of = lambda df, name: df.groupBy(*where).agg(F.struct(F.count("*").alias("n"), F.bit_xor(F.xxhash64("side", "price", "qty")).alias("x")).alias(name))
-    openings = written(_openings(rows, depth), "live-openings")
+    openings = written(_openings(rows, chain, depth), "live-openings")
     closings = written(_played(rows, openings.join(chain, where, "left_semi"), depth), "live-closings")
     while True:
         right = written(closings.join(chain.select(*where, "next"), where).filter("next is not null").select("symbol", "day", F.col("next").alias("segment"), "side", "price", "qty"), "live-openings")
