@@ -12,7 +12,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from ticklattice.llm import contamination, langid, licenses, lines, minhash, packing, sharding, substrings
+from ticklattice.llm import common, contamination, langid, licenses, lines, minhash, packing, sharding, substrings
 from ticklattice.llm.common import place_in_file
 from ticklattice.llm.components import components
 
@@ -536,3 +536,15 @@ def test_language_by_plain_compression(spark):
             compared += 1
             assert got[doc].lang_pred == min(sizes, key=sizes.get) and 0 <= got[doc].score <= 1
     assert compared > 90
+
+
+def test_broadcasts_are_bounded_by_rows_and_bytes(spark):
+    lists = spark.createDataFrame([(1, [(1, [1, 2]), (2, None)], "äb", {"k": 1}), (2, None, None, None)], "id long, marks array<struct<n int, slots array<int>>>, text string, m map<string, long>")
+    table = common.write_table(lists, "lists")
+    got = {r.id: r.b for r in table.select("id", common.bytes_in_memory(table).alias("b")).collect()}
+    # 16 a row, 8 a number or null, 8 a struct, 24 a list, two lists a map, 16 and its bytes a text
+    assert got == {1: 16 + 8 + (24 + (8 + 8 + (24 + 16)) + (8 + 8 + 8)) + (16 + 3) + ((24 + 17) + (24 + 8)), 2: 16 + 8 + 8 + 8 + (8 + 8)}
+    size = sum(got.values())
+    hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
+    assert hinted(common.if_small(table, 2, size)) and not hinted(common.if_small(table, 1, size)) and not hinted(common.if_small(table, 2, size - 1))
+    assert hinted(common.if_small(table.filter("false")))

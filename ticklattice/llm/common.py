@@ -14,9 +14,12 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 NULL_ID = -(2**63)
 U64 = np.uint64
+#: Bytes up to which a table is broadcast.
+SMALL = 32_000_000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -91,9 +94,36 @@ def identified(docs: DataFrame, uid: Column | None, *columns: Column) -> DataFra
     return docs.select(doc, uid.alias("uid"), *columns)
 
 
-def if_small(table: DataFrame, rows: int = 500_000) -> DataFrame:
-    """A written table of narrow rows, marked for broadcast if it is counted to have at most `rows`; beyond, joins shuffle it."""
-    return F.broadcast(table) if table.count() <= rows else table
+def _bytes(value: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        size = F.octet_length(value).cast("long") + 16
+    elif isinstance(kind, T.StructType):
+        size = F.lit(8).cast("long")
+        for field in kind.fields:
+            size = size + _bytes(value[field.name], field.dataType)
+    elif isinstance(kind, T.ArrayType):
+        size = F.aggregate(value, F.lit(24).cast("long"), lambda sum_, x: sum_ + _bytes(x, kind.elementType))
+    elif isinstance(kind, T.MapType):
+        size = _bytes(F.map_keys(value), T.ArrayType(kind.keyType)) + _bytes(F.map_values(value), T.ArrayType(kind.valueType))
+    else:
+        return F.lit(8).cast("long")
+    return F.coalesce(size, F.lit(8).cast("long"))
+
+
+def bytes_in_memory(table: DataFrame) -> Column:
+    """A row's size as Spark holds it, lists, structs and texts by what they hold."""
+    size = F.lit(16).cast("long")
+    for field in table.schema.fields:
+        size = size + _bytes(F.col(f"`{field.name}`"), field.dataType)
+    return size
+
+
+def if_small(table: DataFrame, rows: int = 500_000, size: int = SMALL) -> DataFrame:
+    """A written table, marked for broadcast if it is counted to have at most `rows` rows and these to take at most `size` bytes; beyond,
+    joins shuffle it. Only tables of so few rows are read for their size."""
+    if table.count() > rows:
+        return table
+    return F.broadcast(table) if table.agg(F.coalesce(F.sum(bytes_in_memory(table)), F.lit(0)).alias("b")).first()["b"] <= size else table
 
 
 def partitions_for(rows: int, rows_per_partition: int) -> int:

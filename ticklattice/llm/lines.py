@@ -30,8 +30,6 @@ from pyspark.sql import functions as F
 from .common import U64, bound_batches, free_model, identified, if_small, mix64, release, write_table
 
 PARTS = 2
-#: Bytes of the list of lines to take out up to which it is broadcast; beyond, texts are shuffled to it.
-SMALL = 32_000_000
 BASE = 0xC2B2AE3D27D4EB4F
 
 
@@ -228,9 +226,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 16, uid: Column | None = None)
     """
     bound_batches(docs.sparkSession)
     rows = identified(docs, uid, F.col("text").cast("string").alias("text"), F.struct("*").alias("row"))
-    cuts = write_table(doomed_lines(rows.select("doc", "uid", "text"), min_chars).groupBy("doc", "uid").agg(F.collect_set("line_no").alias("cuts")), "line-cuts")
-    size = cuts.agg(F.coalesce(F.sum(F.size("cuts") * 4 + 48), F.lit(0)).alias("b")).first()["b"]
-    cuts = F.broadcast(cuts) if size <= SMALL else cuts
+    cuts = if_small(write_table(doomed_lines(rows.select("doc", "uid", "text"), min_chars).groupBy("doc", "uid").agg(F.collect_set("line_no").alias("cuts")), "line-cuts"))
 
     def rest(texts: pd.Series, cuts: pd.Series) -> pd.Series:
         out = []
