@@ -300,6 +300,17 @@ def test_repeated_bytes(spark, corpus, hot):
     assert substrings.remove_repeats(empty(spark)).count() == 0
 
 
+def test_splitting_a_large_group_takes_ever_fewer_rows(spark, monkeypatch):
+    rng = random.Random(14)
+    shared = "z" + prose(rng, 60)  # many contexts under each of its outer anchors, and the same bytes in all their inner windows
+    rows = [(i, f"{prose(rng, 40)} {i} {shared} {i} {prose(rng, 40)}", None, None, None) for i in range(40)]
+    halved, counts = substrings._halved, []
+    monkeypatch.setattr(substrings, "_halved", lambda groups: (counts.append(groups.count()), halved(groups))[1])
+    got = substrings.remove_repeats(frame(spark, rows), 10).collect()
+    assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == repeats_of(rows)
+    assert counts[0] >= 40 and all(b <= a for a, b in zip(counts, counts[1:], strict=False))
+
+
 def test_repeated_bytes_of_one_doc_id(spark):
     rng = random.Random(13)
     texts = [prose(rng, 60) for _ in range(3)]

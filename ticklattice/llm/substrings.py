@@ -11,8 +11,9 @@
 4. Covered stretches are merged per document and cut out.
 
 An anchor under which more than `hot` contexts meet is split, and again while a group stays larger: the windows that start in a
-range of columns are taken by themselves, grouped by the bytes that all of them hold, and the range is halved each time. At the
-end a group is one window, and its earliest place is a plain aggregate. So no group of the construction has more than `hot` rows.
+range of columns are taken by themselves, grouped by the bytes that all of them hold, and the range is halved each time. Of rows
+whose windows all hold the same bytes, found by a plain aggregate, only the earliest is split on: the others are covered by it. At
+the end a range is one window, and none is left. So no group of the construction has more than `hot` rows.
 
 Defined results: null text is empty; texts under 100 bytes stay whole; a null doc_id counts as smaller than any other; rows with
 one doc_id are documents of their own, told apart by their place in the input, which is also their order; doc_id must be a whole
@@ -279,13 +280,13 @@ def _covered_contexts(contexts: DataFrame, hot: int) -> DataFrame:
         if large.isEmpty():
             return out
         rest = write_table(_halved(rows.join(if_small(large), "group", "left_semi")), "split-groups")
-        start = F.col("place") - SIDE + F.col("a")
-        single = rest.filter("a = b").select("doc", "uid", start.alias("start"), F.substring("bytes", F.col("a") + 1, F.lit(LENGTH)).alias("window"))
-        at = F.struct("doc", "uid", "start")  # a window under two anchors is one
-        least = write_table(single.groupBy("window").agg(F.min(at).alias("least"), F.count("*").alias("n")).filter("n > 1").drop("n"), "window-heads")
-        again = single.join(if_small(least), "window").filter(at > F.col("least"))
-        out = out.unionByName(again.select("doc", "uid", "start", (F.col("start") + LENGTH).alias("stop")))
-        rows = rest.filter("a < b")
+        rest = rest.withColumn("span", F.substring("bytes", F.col("a") + 1, F.col("b") - F.col("a") + LENGTH))
+        at, same = F.struct("doc", "uid", "place"), ["a", "b", "low", "high", "span"]
+        heads = write_table(rest.groupBy(*same).agg(F.min(at).alias("least"), F.count("*").alias("n")).filter("n > 1").drop("n"), "span-heads")
+        rest = write_table(rest.join(if_small(heads), same, "left").withColumn("again", F.coalesce(at > F.col("least"), F.lit(False))).drop("least", "span"), "split-spans")
+        start = F.col("place") - SIDE
+        out = out.unionByName(rest.filter("again").select("doc", "uid", (start + F.col("low")).alias("start"), (start + F.col("high") + LENGTH).alias("stop")))
+        rows = rest.filter("not again and a < b").drop("again")
 
 
 def merge_spans(starts: list[int], stops: list[int]) -> list[tuple[int, int]]:
