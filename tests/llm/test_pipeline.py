@@ -55,3 +55,11 @@ def test_empty_tables(spark, made, tmp_path):
     spark.read.parquet(f"{folder}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
     spark.read.parquet(f"{folder}/benchmark.parquet").limit(0).write.parquet(f"{tmp_path}/benchmark.parquet")
     assert cp.run(spark, str(tmp_path)).count() == 0
+
+
+def test_line_dedup_cuts_each_text_once(spark, made):
+    """A filter on what is left must not bring a second function, whose workers come on top of the first one's."""
+    folder, _ = made
+    out = cp.line_dedup(spark, spark.read.parquet(f"{folder}/documents.parquet"), folder)
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1

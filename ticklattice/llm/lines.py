@@ -239,4 +239,6 @@ def dedup_lines(docs: DataFrame, min_chars: int = 16, uid: Column | None = None)
 
     joined = rows.join(cuts, ["doc", "uid"], "left")
     n_lines = F.coalesce(F.length("text") - F.length(F.replace("text", F.lit("\n"))) + 1, F.lit(0))
-    return joined.select("row", F.pandas_udf(rest, "string")("text", "cuts").alias("text"), n_lines.alias("n_lines"), F.coalesce(F.size("cuts"), F.lit(0)).alias("n_removed"))
+    # marked so that Spark doesn't run it a second time, in other workers, for a filter on what is left
+    left = F.pandas_udf(rest, "string").asNondeterministic()
+    return joined.select("row", left("text", "cuts").alias("text"), n_lines.alias("n_lines"), F.coalesce(F.size("cuts"), F.lit(0)).alias("n_removed"))
